@@ -75,7 +75,8 @@ def distributed_row_number(df: DataFrame, order_by: Sequence[Column],
 
 def values_at_ranks(df: DataFrame, value: str | Column,
                     ranks: dict[str, Callable[[Column], Column]],
-                    keys: Sequence[str] = (), k: int = LOG_BUCKETS_PER_E) -> DataFrame:
+                    keys: Sequence[str] = (), k: int = LOG_BUCKETS_PER_E,
+                    bucket_fn: Callable[[Column], Column] | None = None) -> DataFrame:
     """Exact value at 0-based ascending ranks, per group of ``keys``.
 
     ``ranks`` maps an output name to a function of the group size ``n`` (a
@@ -87,7 +88,7 @@ def values_at_ranks(df: DataFrame, value: str | Column,
     v = df.select(*K, vcol.cast("double").alias("__v")).where(F.col("__v").isNotNull())
     # distinct values with multiplicity: hot values collapse in the map-side combine
     c = v.groupBy(*K, "__v").agg(F.count(F.lit(1)).alias("__c")) \
-         .withColumn("__b", log_bucket(F.col("__v"), k))
+         .withColumn("__b", bucket_fn(F.col("__v")) if bucket_fn else log_bucket(F.col("__v"), k))
     hist = c.groupBy(*K, "__b").agg(F.sum("__c").alias("__bc"))
     wk = Window.partitionBy(*K) if K else Window.partitionBy()
     hist = (hist.withColumn("__hi", F.sum("__bc").over(wk.orderBy("__b")
