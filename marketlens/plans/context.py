@@ -117,6 +117,23 @@ class MarketContext:
         return self._keep(rfm.customer_rfm(self.master))
 
 
+    # ---- ML --------------------------------------------------------------
+    @cached_property
+    def ml_dataset(self) -> DataFrame:
+        from ..operators import ml
+        return self._keep(ml.ml_dataset(self.master, self.full))
+
+    @cached_property
+    def split(self):
+        from ..operators import ml
+        return ml.time_split(ml._cast_numeric(self.ml_dataset))
+
+    @cached_property
+    def models(self):
+        from ..operators import ml
+        return ml.train_models(self.ml_dataset)
+
+
 _CONTEXTS: dict[tuple, MarketContext] = {}
 
 
