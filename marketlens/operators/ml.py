@@ -189,7 +189,10 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
                           F.col("prediction").cast("int").alias("pred"))
         # reliable checkpoint in spark.checkpoint.dir: later evaluation plans
         # start from the written scores instead of the whole training lineage
-        return scored.checkpoint(eager=True)
+        kept = scored.persist()
+        out = kept.checkpoint(eager=True)
+        kept.unpersist()
+        return out
     return TrainedModels(train, test, cut, lr_model, rf_model, score(lr_model), score(rf_model))
 
 

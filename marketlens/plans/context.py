@@ -32,6 +32,7 @@ class MarketContext:
             if spelling_fixes is None else spelling_fixes
         self.materialize = materialize
         self._held: list[DataFrame] = []
+        self.cache: dict = {}
 
     # ---- materialisation -------------------------------------------------
     def _keep(self, df: DataFrame) -> DataFrame:
@@ -43,6 +44,16 @@ class MarketContext:
             df = df.checkpoint(eager=True)
         return df
 
+    def _keep_eager(self, df: DataFrame) -> DataFrame:
+        """Materialise now and cut the lineage: a reliable checkpoint in the
+        shared ``spark.checkpoint.dir``. The frame is persisted first so the
+        checkpoint write does not compute it a second time."""
+        ensure_checkpoint_dir(self.spark)
+        tmp = df.persist(StorageLevel.MEMORY_AND_DISK)
+        cp = tmp.checkpoint(eager=True)
+        tmp.unpersist()
+        return cp
+
     def release(self) -> None:
         for df in self._held:
             df.unpersist()

@@ -1 +1,240 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: insight evidence, summary, records and validation.
+
+The evidence marts are small; they are computed once per context and
+checkpointed (reliable, lineage cut) so the many small rule plans start
+from written data."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import customers as cu
+from ..operators import delivery as dl
+from ..operators import insights as ins
+from ..operators import marts as mt
+from ..operators import ml
+from ..session import ensure_checkpoint_dir
+from .queries_core import BUCKET_DIM_CTE, MONTH_MIN_ORDERS, MONTHLY_CTE
+from .queries_customers import FIXTURE_SPEND_EDGES, RFM_CTE  # noqa: F401
+from .queries_delivery import CAT_ENRICHED_CTE, DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS, STATE_ENRICHED_CTE
+from .registry import REGISTRY, register
+
+# fixture parameters: states are NATION_k; the "region" is nine of them
+FIXTURE_PARAMS = ins.InsightParams(
+    focus_state="NATION_0", risk_state="NATION_1",
+    region_states=[f"NATION_{k}" for k in range(9)], min_category_reviews=200)
+
+
+def evidence(c) -> dict:
+    if "evidence" in c.cache:
+        return c.cache["evidence"]
+    ensure_checkpoint_dir(c.spark)
+    m, full, fc, os_, rfm = c.master, c.full, c.first_cat, c.order_sellers, c.rfm
+    raw = {
+        "kpis": mt.topline_kpis(m),
+        "rfm": rfm,
+        "rfm_seg": cu.rfm_segment_summary(rfm),
+        "repeat": cu.repeat_vs_onetime(rfm, m),
+        "cust_geo": cu.customer_geography(m, rfm),
+        "spend": cu.spend_statistics(rfm).crossJoin(cu.top_decile_share(rfm).select("top_share_pct")),
+        "cat_perf": mt.category_performance(full, m, fc),
+        "monthly": mt.monthly_trends(m, MONTH_MIN_ORDERS),
+        "seller_perf": mt.seller_performance(full, m, os_),
+        "del_ov": dl.delivery_overview(m),
+        "buckets": dl.delay_bucket_counts(c.spark, m),
+        "del_state": dl.delivery_by_state_enriched(m),
+        "del_cat": dl.delivery_by_category_enriched(fc, m),
+        "del_time": dl.delivery_over_time(m, DELIVERY_MIN_ORDERS),
+        "seller_del": dl.seller_delivery_qualified(os_, m, FIXTURE_MIN_SELLER_ORDERS),
+        "rev_delay": dl.review_by_delay_detailed(m),
+        "rev_state": dl.review_by_state(m),
+        "rev_cat": dl.review_by_category(fc, m),
+    }
+    # small marts, each reused by several rules: computed once, lineage cut
+    ev = {k: (v if k == "rfm" else c._keep_eager(v)) for k, v in raw.items()}
+    c.cache["evidence"] = ev
+    return ev
+
+
+def _sql_of(name: str) -> str:
+    return REGISTRY[name].sql
+
+
+def evidence_ctes() -> str:
+    cat_body = CAT_ENRICHED_CTE[CAT_ENRICHED_CTE.index("cat_enriched AS"):]
+    parts = [RFM_CTE.strip(), MONTHLY_CTE.strip(), BUCKET_DIM_CTE.strip(), STATE_ENRICHED_CTE.strip(), cat_body.strip()]
+    named = {"ev_kpis": "topline_kpis", "ev_seg": "rfm_segment_summary", "ev_repeat": "repeat_vs_onetime",
+             "ev_geo": "customer_geography", "ev_cat": "category_performance", "ev_seller": "seller_performance",
+             "ev_ov": "delivery_overview", "ev_buckets": "delay_bucket_counts", "ev_deltime": "delivery_over_time",
+             "ev_sellerq": "seller_delivery_qualified", "ev_rdelay": "review_by_delay_detailed",
+             "ev_rstate": "review_by_state", "ev_rcat": "review_by_category"}
+    for cte, q in named.items():
+        parts.append(f"{cte} AS (\n{_sql_of(q)}\n)")
+    parts.append(f"ev_spend AS (SELECT s.*, t.top_share_pct FROM ({_sql_of('spend_statistics')}) s, "
+                 f"({_sql_of('top_decile_share')}) t)")
+    return ",\n".join(parts)
+
+
+def _row(iid: str, metric: str, expr: str) -> str:
+    cat, typ = ins._META[iid]
+    return f"SELECT '{iid}' AS insight_id, '{cat}' AS category, '{typ}' AS type, '{metric}' AS metric, CAST(({expr}) AS DOUBLE) AS value"
+
+
+def _evidence_sql(p: ins.InsightParams) -> str:
+    rows = []
+    ot = "(SELECT {c} FROM ev_repeat WHERE customer_type = 'One-Time')"
+    rp = "(SELECT {c} FROM ev_repeat WHERE customer_type = 'Repeat')"
+    for metric, tmpl, col in [("onetime_customers", ot, "customer_count"), ("onetime_customer_pct", ot, "customer_pct"),
+                              ("onetime_revenue_pct", ot, "revenue_pct"), ("onetime_avg_spend", ot, "avg_spend"),
+                              ("repeat_customers", rp, "customer_count"), ("repeat_customer_pct", rp, "customer_pct"),
+                              ("repeat_revenue_pct", rp, "revenue_pct"), ("repeat_avg_spend", rp, "avg_spend"),
+                              ("repeat_avg_order_count", rp, "avg_order_count")]:
+        rows.append(_row("C1_onetime_retention_pattern", metric, tmpl.format(c=col)))
+    for iid, seg in (("C2_champions_concentration", "Champions"), ("C3_at_risk_dormant", "At Risk")):
+        for c in ["customer_count", "customer_pct", "total_revenue", "revenue_pct", "avg_spend", "avg_frequency",
+                  "avg_recency_days"]:
+            rows.append(_row(iid, c, f"SELECT {c} FROM ev_seg WHERE segment = '{seg}'"))
+    rows += [
+        _row("C4_geographic_concentration", "focus_state_customer_pct",
+             f"SELECT customer_pct FROM ev_geo WHERE customer_state = '{p.focus_state}'"),
+        _row("C4_geographic_concentration", "focus_state_revenue_pct",
+             f"SELECT revenue_pct FROM ev_geo WHERE customer_state = '{p.focus_state}'"),
+        _row("C4_geographic_concentration", "top3_states_revenue_pct",
+             "SELECT sum(revenue_pct) FROM (SELECT revenue_pct FROM ev_geo ORDER BY order_count DESC, customer_state LIMIT 3)"),
+        _row("C5_spending_skew", "p90_spend", "SELECT p90 FROM ev_spend"),
+        _row("C5_spending_skew", "top_decile_revenue_pct", "SELECT top_share_pct FROM ev_spend"),
+        _row("C5_spending_skew", "median_spend", "SELECT median FROM ev_spend"),
+        _row("C5_spending_skew", "mean_spend", "SELECT mean FROM ev_spend"),
+        _row("S1_category_concentration", "top_categories_sales",
+             f"SELECT sum(product_sales_value) FROM ev_cat WHERE rank_by_sales <= {p.top_categories}"),
+        _row("S1_category_concentration", "top_categories_sales_pct",
+             f"SELECT CAST(sum(product_sales_value) AS DOUBLE) / CAST((SELECT total_product_sales FROM ev_kpis) AS DOUBLE) * 100 "
+             f"FROM ev_cat WHERE rank_by_sales <= {p.top_categories}"),
+        _row("S2_seller_concentration", "top_sellers_sales",
+             f"SELECT sum(product_sales_value) FROM ev_seller WHERE rank_by_sales <= {p.top_sellers}"),
+        _row("S2_seller_concentration", "top_sellers_sales_pct",
+             f"SELECT CAST(sum(product_sales_value) AS DOUBLE) / CAST((SELECT total_product_sales FROM ev_kpis) AS DOUBLE) * 100 "
+             f"FROM ev_seller WHERE rank_by_sales <= {p.top_sellers}"),
+        _row("S2_seller_concentration", "total_sellers", "SELECT count(*) FROM ev_seller"),
+        _row("S3_seasonality_and_crisis", "peak_month_orders", "SELECT max(order_count) FROM monthly"),
+        _row("S3_seasonality_and_crisis", "peak_month_sales",
+             "SELECT product_sales_value FROM monthly ORDER BY order_count DESC, ym LIMIT 1"),
+        _row("S3_seasonality_and_crisis", "months_above_late_threshold",
+             f"SELECT count(*) FILTER (WHERE late_pct > {p.crisis_late_pct}) FROM ev_deltime"),
+        _row("S3_seasonality_and_crisis", "max_month_late_pct", "SELECT max(late_pct) FROM ev_deltime"),
+    ]
+    e7 = "(SELECT order_count FROM ev_buckets WHERE delay_bucket = 'Early >7d')"
+    rows += [
+        _row("D1_conservative_estimates", "early_over_7d_orders", e7),
+        _row("D1_conservative_estimates", "delivered_orders", "SELECT n_orders FROM ev_ov"),
+        _row("D1_conservative_estimates", "early_over_7d_pct", f"SELECT {e7}::DOUBLE / n_orders * 100 FROM ev_ov"),
+        _row("D1_conservative_estimates", "on_time_pct", "SELECT on_time_pct FROM ev_ov"),
+    ]
+    region = ", ".join(f"'{s}'" for s in p.region_states)
+    reg = f"FROM state_enriched WHERE customer_state IN ({region}) AND NOT low_volume"
+    rows += [
+        _row("D2_northeast_delivery_gap", "region_avg_late_pct", f"SELECT avg(late_pct) {reg}"),
+        _row("D2_northeast_delivery_gap", "region_orders", f"SELECT sum(order_count) {reg}"),
+        _row("D2_northeast_delivery_gap", "region_avg_delivery_days", f"SELECT avg(avg_delivery_days) {reg}"),
+        _row("D2_northeast_delivery_gap", "national_late_pct", "SELECT late_pct FROM ev_ov"),
+        _row("D2_northeast_delivery_gap", "national_avg_delivery_days", "SELECT avg_delivery_days FROM ev_ov"),
+    ]
+    for c in ["order_count", "late_pct", "late_vs_national", "avg_delivery_days"]:
+        rows.append(_row("D3_rj_high_volume_risk", c,
+                         f"SELECT {c} FROM state_enriched WHERE customer_state = '{p.risk_state}'"))
+    above = f"late_pct > (SELECT late_pct FROM ev_ov) * {p.seller_late_factor}"
+    rows += [
+        _row("D4_seller_delivery_concentration", "qualified_sellers", "SELECT count(*) FROM ev_sellerq"),
+        _row("D4_seller_delivery_concentration", "sellers_above_threshold",
+             f"SELECT count(*) FILTER (WHERE {above}) FROM ev_sellerq"),
+        _row("D4_seller_delivery_concentration", "orders_of_sellers_above",
+             f"SELECT sum(order_count) FILTER (WHERE {above}) FROM ev_sellerq"),
+        _row("D4_seller_delivery_concentration", "review_of_sellers_above",
+             f"SELECT avg(avg_review_score) FILTER (WHERE {above}) FROM ev_sellerq"),
+        _row("D4_seller_delivery_concentration", "national_review", "SELECT avg_review_score FROM ev_kpis"),
+    ]
+    cat, typ = ins._META["D5_category_delivery_variance"]
+    rows.append(f"""SELECT * FROM (SELECT 'D5_category_delivery_variance' AS insight_id, '{cat}' AS category, '{typ}' AS type,
+                       'late_pct:' || product_category_name_english AS metric, CAST(late_pct AS DOUBLE) AS value
+                FROM cat_enriched WHERE late_pct > (SELECT late_pct FROM ev_ov) AND NOT low_volume
+                ORDER BY late_pct DESC, product_category_name_english LIMIT {p.top_late_categories})""")
+    rb = "(SELECT {c} FROM ev_rdelay WHERE delay_bucket = '{b}')"
+    for metric, b, c in [("early_over_7d_review", "Early >7d", "avg_review_score"),
+                         ("early_over_7d_orders", "Early >7d", "order_count"),
+                         ("late_1_3d_review", "Late 1-3d", "avg_review_score"),
+                         ("late_4_7d_review", "Late 4-7d", "avg_review_score"),
+                         ("late_4_7d_orders", "Late 4-7d", "order_count"),
+                         ("late_over_14d_review", "Late >14d", "avg_review_score")]:
+        rows.append(_row("T1_delay_review_association", metric, rb.format(c=c, b=b)))
+    lo_s = "SELECT {c} FROM ev_rstate ORDER BY avg_review_score, customer_state LIMIT 1"
+    hi_s = "SELECT {c} FROM ev_rstate ORDER BY avg_review_score DESC, customer_state LIMIT 1"
+    rows += [
+        _row("T2_state_satisfaction_gap", "lowest_state_review", lo_s.format(c="avg_review_score")),
+        _row("T2_state_satisfaction_gap", "lowest_state_reviews", lo_s.format(c="review_count")),
+        _row("T2_state_satisfaction_gap", "lowest_state_late_pct", lo_s.format(c="late_pct")),
+        _row("T2_state_satisfaction_gap", "highest_state_review", hi_s.format(c="avg_review_score")),
+        _row("T2_state_satisfaction_gap", "national_review", "SELECT avg_review_score FROM ev_kpis"),
+    ]
+    w = f"WHERE review_count >= {p.min_category_reviews}"
+    lo_c = f"SELECT {{c}} FROM ev_rcat {w} ORDER BY avg_review_score, product_category_name_english LIMIT 1"
+    hi_c = f"SELECT {{c}} FROM ev_rcat {w} ORDER BY avg_review_score DESC, product_category_name_english LIMIT 1"
+    rows += [
+        _row("T3_category_satisfaction", "lowest_category_review", lo_c.format(c="avg_review_score")),
+        _row("T3_category_satisfaction", "lowest_category_reviews", lo_c.format(c="review_count")),
+        _row("T3_category_satisfaction", "lowest_category_late_pct", lo_c.format(c="late_pct")),
+        _row("T3_category_satisfaction", "lowest_category_1star_pct", lo_c.format(c="pct_1star")),
+        _row("T3_category_satisfaction", "highest_category_review", hi_c.format(c="avg_review_score")),
+        _row("T3_category_satisfaction", "highest_category_reviews", hi_c.format(c="review_count")),
+    ]
+    return "\nUNION ALL\n".join(rows)
+
+
+EVIDENCE_SPEC = "insight_id:s, category:s, type:s, metric:s, value:d"
+EVIDENCE_SQL = _evidence_sql(FIXTURE_PARAMS)
+
+register("insight_evidence", EVIDENCE_SPEC, EVIDENCE_SQL, evidence_ctes())(
+    lambda c: ins.insight_evidence(evidence(c), FIXTURE_PARAMS))
+
+register("insight_summary_rules", "category:s, type:s, insights:i",
+         f"SELECT category, type, count(DISTINCT insight_id) AS insights FROM ({EVIDENCE_SQL}) e GROUP BY 1, 2",
+         evidence_ctes())(lambda c: ins.insight_summary(ins.insight_evidence(evidence(c), FIXTURE_PARAMS)))
+
+register("validate_insights", "check:s, value:d, expected:d, passed:b",
+         """SELECT 'C1_onetime_pct_vs_rfm' AS "check", v AS value, e AS expected, coalesce(abs(v - e) < 0.1, false) AS passed
+            FROM (SELECT (SELECT customer_pct FROM ev_repeat WHERE customer_type = 'One-Time') AS v,
+                         (SELECT count(*) FILTER (WHERE frequency < 2)::DOUBLE / count(*) * 100 FROM rfm) AS e)
+            UNION ALL
+            SELECT 'D1_on_time_pct_vs_kpi', o.on_time_pct, k.on_time_delivery_pct,
+                   coalesce(abs(o.on_time_pct - k.on_time_delivery_pct) < 0.05, false) FROM ev_ov o, ev_kpis k
+            UNION ALL
+            SELECT 'T1_early_review_above_late_4_7d', e.a, l.a, coalesce(e.a > l.a, false)
+            FROM (SELECT max(avg_review_score) AS a FROM ev_rdelay WHERE delay_bucket = 'Early >7d') e,
+                 (SELECT max(avg_review_score) AS a FROM ev_rdelay WHERE delay_bucket = 'Late 4-7d') l
+            UNION ALL
+            SELECT 'segment_revenue_vs_kpi_order_value', s.r, k.total_order_value,
+                   coalesce(abs(s.r - k.total_order_value) < 1.0, false)
+            FROM (SELECT sum(total_revenue) AS r FROM ev_seg) s, ev_kpis k""",
+         evidence_ctes())(lambda c: ins.validate_insights(evidence(c)))
+
+
+def _all_insights(c):
+    tm = c.models
+    split = ml.split_summary(c.ml_dataset)
+    extra = ins.ml_rules(ml.model_metrics(tm), split, ml.feature_importance(c.spark, tm))
+    out = ins.insight_evidence(evidence(c), FIXTURE_PARAMS)
+    for e in extra:
+        out = out.unionByName(e)
+    return out
+
+
+# including the two model insights: rows-only checks
+register("insights_all", EVIDENCE_SPEC)(_all_insights)
+register("insight_summary", "category:s, type:s, insights:i")(lambda c: ins.insight_summary(_all_insights(c)))
+register("insight_records", "insight_id:s, category:s, type:s, metric_text:s, metrics:i")(
+    lambda c: ins.insight_records(_all_insights(c)))
+register("validate_model_ranking", "check:s, value:d, expected:d, passed:b")(
+    lambda c: ml.model_metrics(c.models).agg(
+        F.max(F.when(F.col("model") == "logistic_regression", F.col("roc_auc"))).alias("value"),
+        F.max(F.when(F.col("model") == "random_forest", F.col("roc_auc"))).alias("expected"))
+    .select(F.lit("M1_lr_auc_above_rf").alias("check"), "value", "expected",
+            F.coalesce(F.col("value") > F.col("expected"), F.lit(False)).alias("passed")))

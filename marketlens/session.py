@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # plan strings are rendered for every adaptive re-plan; bound them so a
+    # deep lineage cannot exhaust the driver heap
+    "spark.sql.maxPlanStringLength": "1000000",
 }
 
 
@@ -25,6 +28,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    conf.setdefault("spark.driver.memory", "4g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -38,7 +42,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (e.g. the driver's)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.maxPlanStringLength"):
         spark.conf.set(k, BASE_CONF[k])
     ensure_checkpoint_dir(spark)
     return spark
