@@ -15,7 +15,10 @@ def zero_pad(x: Column, width: int = 5) -> Column:
 
 def category_display(raw: Column, overrides: dict | None = None) -> Column:
     """Override map first, else underscores to spaces in title case."""
-    default = F.initcap(F.regexp_replace(raw, "_", " "))
+    # upper-case the first letter of each word, keep the rest as is
+    words = F.split(F.regexp_replace(raw, "_", " "), " ")
+    default = F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)),
+                                                                 F.substring(w, 2, 1 << 20))), " ")
     if not overrides:
         return default
     m = F.create_map(*[F.lit(v) for kv in overrides.items() for v in kv])

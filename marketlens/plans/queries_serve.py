@@ -1 +1,135 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: serving requests with fixed example parameters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import delivery as dl
+from ..operators import marts as mt
+from ..operators import serve as sv
+from .queries_delivery import FIXTURE_MIN_SELLER_ORDERS
+from .queries_insights import EVIDENCE_SQL, FIXTURE_PARAMS, evidence, evidence_ctes
+from .registry import REGISTRY, register
+from ..operators import insights as ins
+
+MONTHS = ("1996-01", "1997-06")
+CATEGORIES = ["promo_goods", "standard_goods", "construction_large"]
+STATES = ["NATION_0", "NATION_3", "NATION_7"]
+SEGMENTS = ["Champions", "At Risk", "Lost / Inactive"]
+EV = evidence_ctes()
+
+
+def _q(name: str) -> str:
+    return REGISTRY[name].sql
+
+
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+register("serve_filters", "kind:s, value:s",
+         """SELECT DISTINCT * FROM (
+              SELECT 'category' AS kind, product_category_name_english AS value FROM ev_cat
+              UNION ALL SELECT 'state', customer_state FROM (SELECT DISTINCT customer_state FROM master)
+              UNION ALL SELECT 'segment', segment FROM ev_seg
+              UNION ALL SELECT 'month_min', min(ym) FROM monthly
+              UNION ALL SELECT 'month_max', max(ym) FROM monthly) WHERE value IS NOT NULL""", EV)(
+    lambda c: sv.serve_filters(evidence(c)["cat_perf"], mt.state_performance(c.master), evidence(c)["rfm_seg"],
+                               evidence(c)["monthly"]))
+
+register("serve_kpis", REGISTRY["topline_kpis"].spec + ", _scope:s, _note:s",
+         f"SELECT *, '{sv.KPI_SCOPE}' AS _scope, '{sv.KPI_NOTE}' AS _note FROM ev_kpis", EV)(
+    lambda c: sv.serve_kpis(evidence(c)["kpis"]))
+
+register("serve_monthly_trends", REGISTRY["monthly_trends"].spec,
+         f"SELECT * FROM monthly WHERE ym >= '{MONTHS[0]}' AND ym <= '{MONTHS[1]}'", EV)(
+    lambda c: sv.in_range(evidence(c)["monthly"], "ym", *MONTHS))
+
+register("serve_categories", REGISTRY["category_performance"].spec,
+         f"SELECT * FROM ev_cat WHERE product_category_name_english IN ({_in(CATEGORIES)}) ORDER BY rank_by_sales LIMIT 2",
+         EV)(lambda c: sv.serve_categories(evidence(c)["cat_perf"], CATEGORIES, top=2))
+
+register("serve_states", REGISTRY["customer_geography"].spec,
+         f"SELECT * FROM ev_geo WHERE customer_state IN ({_in(STATES)})", EV)(
+    lambda c: sv.in_list(evidence(c)["cust_geo"], "customer_state", STATES))
+
+register("serve_delivery_states", REGISTRY["delivery_by_state_enriched"].spec,
+         f"SELECT * FROM state_enriched WHERE customer_state IN ({_in(STATES)})", EV)(
+    lambda c: sv.in_list(evidence(c)["del_state"], "customer_state", STATES))
+
+register("serve_delivery_categories", REGISTRY["delivery_by_category_enriched"].spec,
+         f"SELECT * FROM cat_enriched WHERE product_category_name_english IN ({_in(CATEGORIES)})", EV)(
+    lambda c: sv.in_list(evidence(c)["del_cat"], "product_category_name_english", CATEGORIES))
+
+register("serve_delivery_time", REGISTRY["delivery_over_time"].spec,
+         f"SELECT * FROM ev_deltime WHERE ym >= '{MONTHS[0]}' AND ym <= '{MONTHS[1]}'", EV)(
+    lambda c: sv.in_range(evidence(c)["del_time"], "ym", *MONTHS))
+
+register("serve_customers", REGISTRY["rfm_segment_summary"].spec,
+         f"SELECT * FROM ev_seg WHERE segment IN ({_in(SEGMENTS)})", EV)(
+    lambda c: sv.in_list(evidence(c)["rfm_seg"], "segment", SEGMENTS))
+
+SELLER_SERVE_SPEC = ("seller_id:i, product_sales_value:d, freight_value_total:d, item_count:i, order_count:i, "
+                     "seller_state:s, seller_city:s, rank_by_sales:i, avg_delivery_days:d, median_delivery_days:d, "
+                     "avg_delay_days:d, late_count:i, on_time_count:i, avg_review_score:d, late_pct:d")
+_SELLER_JOIN = """SELECT p.seller_id, p.product_sales_value, p.freight_value_total, p.item_count, p.order_count, p.seller_state,
+                         p.seller_city, p.rank_by_sales, d.avg_delivery_days, d.median_delivery_days, d.avg_delay_days,
+                         d.late_count, d.on_time_count, d.avg_review_score, d.late_pct
+                  FROM ev_seller p LEFT JOIN ev_sellerq d ON p.seller_id = d.seller_id"""
+register("serve_sellers", SELLER_SERVE_SPEC,
+         f"SELECT * FROM ({_SELLER_JOIN}) ORDER BY late_pct DESC NULLS LAST, seller_id LIMIT 20", EV)(
+    lambda c: sv.serve_sellers(evidence(c)["seller_perf"], evidence(c)["seller_del"], "late_pct", False, 20))
+register("serve_sellers_default_sort", SELLER_SERVE_SPEC,
+         f"SELECT * FROM ({_SELLER_JOIN}) ORDER BY product_sales_value ASC NULLS LAST, seller_id LIMIT 5", EV)(
+    lambda c: sv.serve_sellers(evidence(c)["seller_perf"], evidence(c)["seller_del"], "not_a_column", True, 5))
+
+register("serve_reviews_by_delay", REGISTRY["review_by_delay_detailed"].spec, "SELECT * FROM ev_rdelay", EV)(
+    lambda c: evidence(c)["rev_delay"])
+
+register("serve_insights", "insight_id:s, category:s, type:s, metric:s, value:d",
+         f"SELECT * FROM ({EVIDENCE_SQL}) WHERE category = 'delivery' AND type = 'risk'", EV)(
+    lambda c: sv.serve_insights(ins.insight_evidence(evidence(c), FIXTURE_PARAMS), "delivery", "risk"))
+
+register("serve_ml_importance", "feature:s, importance:d")(
+    lambda c: sv.serve_ml(__import__("marketlens.operators.ml", fromlist=["ml"]).feature_importance(c.spark, c.models),
+                          __import__("marketlens.operators.ml", fromlist=["ml"]).lr_coefficients(c.spark, c.models))[0])
+
+register("national_review_weighted", "national_review_weighted:d",
+         """SELECT sum(avg_review_score * order_count) / NULLIF(sum(order_count), 0) AS national_review_weighted
+            FROM ev_rdelay""", EV)(lambda c: sv.national_review_weighted(evidence(c)["rev_delay"]))
+
+register("segment_shares", "segment:s, customer_count:i, total_revenue:d, customer_share_pct:d, revenue_share_pct:d",
+         f"""SELECT segment, customer_count, total_revenue,
+                    customer_count::DOUBLE / sum(customer_count) OVER () * 100 AS customer_share_pct,
+                    CAST(total_revenue AS DOUBLE) / CAST(sum(total_revenue) OVER () AS DOUBLE) * 100 AS revenue_share_pct
+             FROM ev_seg WHERE segment IN ({_in(SEGMENTS)})""", EV)(
+    lambda c: sv.segment_shares(evidence(c)["rfm_seg"], SEGMENTS))
+
+register("top_states_by_customers", "customer_state:s, customer_uid_count:i",
+         "SELECT customer_state, customer_uid_count FROM ev_geo ORDER BY customer_uid_count DESC, customer_state LIMIT 20",
+         EV)(lambda c: sv.top_states(evidence(c)["cust_geo"], "customer_uid_count"))
+register("top_states_by_revenue", "customer_state:s, total_revenue:d",
+         "SELECT customer_state, total_revenue FROM ev_geo ORDER BY total_revenue DESC, customer_state LIMIT 20",
+         EV)(lambda c: sv.top_states(evidence(c)["cust_geo"], "total_revenue"))
+
+register("late_categories_chart", "product_category_name_english:s, order_count:i, late_pct:d",
+         """SELECT product_category_name_english, order_count, late_pct FROM cat_enriched WHERE order_count >= 100
+            ORDER BY late_pct DESC NULLS LAST, product_category_name_english LIMIT 20""", EV)(
+    lambda c: sv.late_categories_chart(evidence(c)["del_cat"]))
+
+register("late_states_chart", "customer_state:s, order_count:i, late_pct:d, severity:s",
+         """SELECT customer_state, order_count, late_pct,
+                   CASE WHEN late_pct > 15 THEN 'high' WHEN late_pct > 10 THEN 'medium'
+                        WHEN late_pct > (SELECT late_pct FROM ev_ov) THEN 'above_national' ELSE 'normal' END AS severity
+            FROM state_enriched ORDER BY late_pct DESC NULLS LAST, customer_state LIMIT 27""", EV)(
+    lambda c: sv.late_states_chart(evidence(c)["del_state"], evidence(c)["del_ov"]))
+
+register("category_display_names", "product_category_name_english:s, display_name:s",
+         """SELECT product_category_name_english,
+                   array_to_string(list_transform(string_split(replace(product_category_name_english, '_', ' '), ' '),
+                                                  lambda w: upper(w[1]) || w[2:]), ' ') AS display_name FROM ev_cat""", EV)(
+    lambda c: sv.category_display_names(evidence(c)["cat_perf"]))
+
+register("seller_display_ids", "seller_id:i, display_id:s",
+         "SELECT seller_id, '...' || right(CAST(seller_id AS VARCHAR), 8) AS display_id FROM ev_seller", EV)(
+    lambda c: sv.seller_display_ids(evidence(c)["seller_perf"]))
