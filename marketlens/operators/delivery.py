@@ -104,8 +104,11 @@ def delivery_by_state_enriched(master: DataFrame, low_volume: int = 200) -> Data
 
 def high_impact_states(master: DataFrame, low_volume: int = 200) -> DataFrame:
     """States later than national and not low volume."""
-    s = delivery_by_state_enriched(master, low_volume)
-    return s.where((F.col("late_pct") > F.col("nat_late_pct")) & ~F.col("low_volume"))
+    return high_impact_states_of(delivery_by_state_enriched(master, low_volume))
+
+
+def high_impact_states_of(state_enriched: DataFrame) -> DataFrame:
+    return state_enriched.where((F.col("late_pct") > F.col("nat_late_pct")) & ~F.col("low_volume"))
 
 
 def delivery_by_category_enriched(first_cat: DataFrame, master: DataFrame, low_volume: int = 100) -> DataFrame:

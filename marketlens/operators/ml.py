@@ -66,16 +66,17 @@ def ml_dataset(master: DataFrame, full: DataFrame) -> DataFrame:
         F.col(TARGET).cast("int").alias(TARGET))
 
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch() -> F.Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def split_cutoff(ds: DataFrame, train_frac: float = 0.8) -> DataFrame:
     """One row: the cutoff timestamp and the dataset size."""
-    micros = F.timestamp_diff("MICROSECOND", _EPOCH, F.col("order_purchase_timestamp"))
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), F.col("order_purchase_timestamp"))
     cut = values_at_ranks(ds.select(micros.alias("__us")), "__us",
                           {"__cut": lambda n: F.floor(n * F.lit(train_frac))},
                           bucket_fn=lambda v: F.floor(v / F.lit(3.6e9)).cast("bigint"))
-    return cut.select(F.timestamp_add("MICROSECOND", F.col("__cut").cast("bigint"), _EPOCH).alias("cutoff"),
+    return cut.select(F.timestamp_add("MICROSECOND", F.col("__cut").cast("bigint"), _epoch()).alias("cutoff"),
                       F.col("n").alias("n_orders"))
 
 
@@ -179,11 +180,17 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
     rf = RandomForestClassifier(featuresCol="features", labelCol=TARGET, weightCol="weight",
                                 numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                 featureSubsetStrategy="sqrt", seed=SEED)
-    lr_model = Pipeline(stages=preprocessing_stages() + [lr]).fit(train)
-    rf_model = Pipeline(stages=preprocessing_stages() + [rf]).fit(train)
+    # the preprocessing is deterministic given the training set, so it is
+    # fitted once and shared by both models; features are assembled once
+    pre = Pipeline(stages=preprocessing_stages()).fit(train)
+    xtr = pre.transform(train).select("order_id", "features", TARGET, "weight").persist()
+    lr_model = PipelineModel(stages=list(pre.stages) + [lr.fit(xtr)])
+    rf_model = PipelineModel(stages=list(pre.stages) + [rf.fit(xtr)])
+    xtr.unpersist()
+    xte = pre.transform(test).select("order_id", "features", TARGET).persist()
 
     def score(model):
-        p = model.transform(test)
+        p = model.stages[-1].transform(xte)
         scored = p.select("order_id", F.col(TARGET).alias("label"),
                           vector_to_array(F.col("probability"))[1].alias("score"),
                           F.col("prediction").cast("int").alias("pred"))

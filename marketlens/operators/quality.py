@@ -122,14 +122,31 @@ def structural_checks(ctx) -> DataFrame:
 
 # ------------------------------------------------------------------ reconciliation
 
-def reconciliations(ctx) -> DataFrame:
+def reconciliations(ctx, marts: dict | None = None) -> DataFrame:
     """Totals rebuilt along a second path must agree: item grain vs order
     grain, category / RFM / segment / type totals, and the delivery
-    deep-dive vs the topline KPIs."""
+    deep-dive vs the topline KPIs. ``marts`` may pass already materialised
+    marts (kpis, cat_perf, rfm_seg, repeat, del_ov, delay_dist, buckets,
+    del_by_cat3, del_cat); missing ones are built here."""
     from . import customers as cu
     from . import delivery as dl
     from . import marts as mt
     m, full = ctx.master, ctx.full
+    mk = dict(marts or {})
+    build = {
+        "kpis": lambda: mt.topline_kpis(m),
+        "cat_perf": lambda: mt.category_performance(full, m, ctx.first_cat),
+        "rfm_seg": lambda: cu.rfm_segment_summary(ctx.rfm),
+        "repeat": lambda: cu.repeat_vs_onetime(ctx.rfm, m),
+        "del_ov": lambda: dl.delivery_overview(m),
+        "delay_dist": lambda: mt.delivery_delay_dist(ctx.spark, m),
+        "buckets": lambda: dl.delay_bucket_counts(ctx.spark, m),
+        "del_by_cat3": lambda: mt.delivery_by_category(ctx.first_cat, m),
+        "del_cat": lambda: dl.delivery_by_category_enriched(ctx.first_cat, m),
+    }
+    for k, f in build.items():
+        if k not in mk:
+            mk[k] = f()
     dm = delivered(m)
     dfull = full.where(is_delivered())
     order_side = dm.agg(F.sum("product_sales_value").alias("s"), F.sum("freight_value_total").alias("f"),
@@ -137,22 +154,24 @@ def reconciliations(ctx) -> DataFrame:
     item_side = dfull.agg(F.sum("price").alias("si"), F.sum("freight_value").alias("fi"),
                           F.count_distinct("order_id").alias("ni"))
     k = order_side.crossJoin(item_side)
-    cat = mt.category_performance(full, m, ctx.first_cat).agg(F.sum("product_sales_value").alias("cs"))
+    cat = mk["cat_perf"].agg(F.sum("product_sales_value").alias("cs"))
     rfm = ctx.rfm.agg(F.sum("monetary").alias("mon"), F.count(F.lit(1)).alias("rc"))
-    seg = cu.rfm_segment_summary(ctx.rfm).agg(F.sum("customer_count").alias("sc"), F.sum("total_revenue").alias("sr"))
-    typ = cu.repeat_vs_onetime(ctx.rfm, m).agg(F.sum("customer_count").alias("tc"), F.sum("total_revenue").alias("tr"))
-    kpi = mt.topline_kpis(m)
-    ov = dl.delivery_overview(m)
-    d3 = mt.delivery_delay_dist(ctx.spark, m).agg(F.sum("order_count").alias("b3"))
-    d5 = dl.delay_bucket_counts(ctx.spark, m).agg(F.sum("order_count").alias("b5"))
-    c3 = mt.delivery_by_category(ctx.first_cat, m).agg(F.sum("order_count").alias("c3"))
-    c5 = dl.delivery_by_category_enriched(ctx.first_cat, m).agg(F.sum("order_count").alias("c5"))
+    seg = mk["rfm_seg"].agg(F.sum("customer_count").alias("sc"), F.sum("total_revenue").alias("sr"))
+    typ = mk["repeat"].agg(F.sum("customer_count").alias("tc"), F.sum("total_revenue").alias("tr"))
+    kpi = mk["kpis"]
+    ov = mk["del_ov"]
+    d3 = mk["delay_dist"].agg(F.sum("order_count").alias("b3"))
+    d5 = mk["buckets"].agg(F.sum("order_count").alias("b5"))
+    c3 = mk["del_by_cat3"].agg(F.sum("order_count").alias("c3"))
+    c5 = mk["del_cat"].agg(F.sum("order_count").alias("c5"))
+    kd = kpi.select(F.col("avg_delivery_days").alias("kd"), "on_time_delivery_pct", "late_delivery_pct",
+                    "avg_order_value")
     t = 0.05
     return union_all([
         _check(k, "kpi_sales_item_vs_order", F.col("si"), F.col("s")),
         _check(k, "kpi_freight_item_vs_order", F.col("fi"), F.col("f")),
         _check(k, "kpi_delivered_orders_item_vs_order", F.col("ni"), F.col("n"), None),
-        _check(k.crossJoin(kpi.select("avg_order_value")), "kpi_aov_recomputed",
+        _check(k.crossJoin(kd), "kpi_aov_recomputed",
                F.try_divide(F.col("ov").cast("double"), F.col("n").cast("double")), F.col("avg_order_value")),
         _check(cat.crossJoin(item_side), "category_sales_vs_items", F.col("cs"), F.col("si")),
         _check(rfm.crossJoin(order_side), "rfm_monetary_vs_order_value", F.col("mon"), F.col("ov")),
@@ -160,10 +179,9 @@ def reconciliations(ctx) -> DataFrame:
         _check(seg.crossJoin(rfm), "segment_revenue_vs_rfm", F.col("sr"), F.col("mon")),
         _check(typ.crossJoin(rfm), "type_customers_vs_rfm", F.col("tc"), F.col("rc"), None),
         _check(typ.crossJoin(rfm), "type_revenue_vs_rfm", F.col("tr"), F.col("mon")),
-        _check(ov.crossJoin(kpi.drop("avg_delivery_days")), "delivery_on_time_pct_vs_kpi", F.col("on_time_pct"), F.col("on_time_delivery_pct"), t),
-        _check(ov.crossJoin(kpi.drop("avg_delivery_days")), "delivery_late_pct_vs_kpi", F.col("late_pct"), F.col("late_delivery_pct"), t),
-        _check(ov.crossJoin(kpi.select(F.col("avg_delivery_days").alias("kd"))),
-               "delivery_avg_days_vs_kpi", F.col("avg_delivery_days"), F.col("kd"), t),
+        _check(ov.crossJoin(kd), "delivery_on_time_pct_vs_kpi", F.col("on_time_pct"), F.col("on_time_delivery_pct"), t),
+        _check(ov.crossJoin(kd), "delivery_late_pct_vs_kpi", F.col("late_pct"), F.col("late_delivery_pct"), t),
+        _check(ov.crossJoin(kd), "delivery_avg_days_vs_kpi", F.col("avg_delivery_days"), F.col("kd"), t),
         _check(d5.crossJoin(d3), "delay_bucket_totals_phase5_vs_phase3", F.col("b5"), F.col("b3"), None),
         _check(c5.crossJoin(c3), "category_order_totals_phase5_vs_phase3", F.col("c5"), F.col("c3"), None),
     ])

@@ -81,7 +81,8 @@ def values_at_ranks(df: DataFrame, value: str | Column,
 
     ``ranks`` maps an output name to a function of the group size ``n`` (a
     Column) giving the rank. Returns ``keys``, ``n`` and one double column per
-    rank name. Nulls are ignored. Ranks outside [0, n) give null.
+    rank name. Nulls are ignored. Ranks outside [0, n) give null (a group
+    whose wanted ranks are all out of range has no row).
     """
     K = list(keys)
     vcol = F.col(value) if isinstance(value, str) else value
@@ -107,14 +108,10 @@ def values_at_ranks(df: DataFrame, value: str | Column,
     cand = (cand.withColumn("__chi", F.col("__lo") + F.sum("__c").over(wb))
                 .withColumn("__clo", F.col("__chi") - F.col("__c"))
                 .where((F.col("__r") >= F.col("__clo")) & (F.col("__r") < F.col("__chi"))))
-    picked = cand.groupBy(*K).agg(
+    # every group has at least one value, so each wanted rank in [0, n) has a row here
+    return cand.groupBy(*K).agg(
         F.max("__n").alias("n"),
         *[F.max(F.when(F.col("__rname") == name, F.col("__v"))).alias(name) for name in ranks])
-    sizes = hist.groupBy(*K).agg(F.max("__n").alias("__n2")) if K else None
-    if K:
-        # groups whose ranks are all out of range still get a row
-        picked = sizes.join(picked.drop("n"), on=K, how="left").withColumnRenamed("__n2", "n")
-    return picked
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],

@@ -8,8 +8,8 @@ from ..operators import clean, facts, marts
 from .contracts import MASTER
 from .registry import register
 
-MONTH_MIN_ORDERS = 120   # fixture: the reference's 50 keeps every month
-MONTH_MIN_REVIEWS = 50
+from .params import MONTH_MIN_ORDERS, MONTH_MIN_REVIEWS
+from .shared import mart
 
 # ---------------------------------------------------------------- facts
 
@@ -88,7 +88,7 @@ FROM (SELECT coalesce(sum(product_sales_value) FILTER (WHERE order_status = 'del
      (SELECT count(*) AS repeat_customer_base, count(*) FILTER (WHERE n > 1) AS repeat_customers
       FROM (SELECT customer_unique_id, count(order_id) AS n FROM delivered GROUP BY customer_unique_id)) r
 """
-register("topline_kpis", KPI_SPEC, KPI_SQL)(lambda c: marts.topline_kpis(c.master))
+register("topline_kpis", KPI_SPEC, KPI_SQL)(lambda c: mart(c, "kpis"))
 
 register("repeat_rate", "repeat_customer_base:i, repeat_customers:i, repeat_customer_rate_pct:d",
          """SELECT count(*) AS repeat_customer_base, count(*) FILTER (WHERE n > 1) AS repeat_customers,
@@ -116,13 +116,13 @@ monthly AS (
   WHERE a.order_count >= %d)
 """ % MONTH_MIN_ORDERS
 register("monthly_trends", MONTHLY_SPEC, "SELECT * FROM monthly", MONTHLY_CTE)(
-    lambda c: marts.monthly_trends(c.master, MONTH_MIN_ORDERS))
+    lambda c: mart(c, "monthly"))
 
 register("peak_month", "peak_orders_month:s, peak_order_count:i, peak_sales_month:s, peak_sales_value:d",
          """SELECT arg_min(ym, (-order_count, ym)) AS peak_orders_month, max(order_count) AS peak_order_count,
                    arg_min(ym, (-product_sales_value, ym)) AS peak_sales_month,
                    max(product_sales_value) AS peak_sales_value FROM monthly""", MONTHLY_CTE)(
-    lambda c: marts.peak_month(marts.monthly_trends(c.master, MONTH_MIN_ORDERS)))
+    lambda c: marts.peak_month(mart(c, "monthly")))
 
 # ---------------------------------------------------------------- marts
 
@@ -146,7 +146,7 @@ LEFT JOIN (SELECT fc.product_category_name_english, avg(d.review_score) AS avg_r
   ON f.product_category_name_english = s.product_category_name_english
 """
 register("category_performance", CAT_SPEC, CAT_SQL)(
-    lambda c: marts.category_performance(c.full, c.master, c.first_cat))
+    lambda c: mart(c, "cat_perf"))
 
 STATE_SPEC = ("customer_state:s, order_count:i, customer_count:i, product_sales_value:d, freight_value_total:d, "
               "order_value:d, avg_order_value:d, avg_review_score:d, avg_delivery_days:d, late_count:i, "
@@ -165,7 +165,7 @@ LEFT JOIN (SELECT customer_state, coalesce(sum(product_sales_value), 0) AS produ
                   avg(delivery_delay_days) AS avg_delay_days
            FROM delivered GROUP BY 1) d ON a.customer_state IS NOT DISTINCT FROM d.customer_state
 """
-register("state_performance", STATE_SPEC, STATE_SQL)(lambda c: marts.state_performance(c.master))
+register("state_performance", STATE_SPEC, STATE_SQL)(lambda c: mart(c, "state_perf"))
 
 SELLER_SPEC = ("seller_id:i, product_sales_value:d, freight_value_total:d, item_count:i, order_count:i, "
                "seller_state:s, seller_city:s, avg_review_score:d, avg_delivery_days:d, late_count:i, "
@@ -184,7 +184,7 @@ LEFT JOIN (SELECT os.seller_id, avg(d.review_score) AS avg_review_score, avg(d.d
   ON f.seller_id = s.seller_id
 """
 register("seller_performance", SELLER_SPEC, SELLER_SQL)(
-    lambda c: marts.seller_performance(c.full, c.master, c.order_sellers))
+    lambda c: mart(c, "seller_perf"))
 
 DELAY_BUCKET_SQL = """CASE WHEN {x} <= -7 THEN 'Early >7d' WHEN {x} <= -3 THEN 'Early 3-7d' WHEN {x} <= 0 THEN 'Early 0-3d'
  WHEN {x} <= 3 THEN 'Late 1-3d' WHEN {x} <= 7 THEN 'Late 4-7d' WHEN {x} <= 14 THEN 'Late 8-14d'
@@ -200,7 +200,7 @@ register("delivery_delay_dist", "delay_bucket:s, bucket_ord:i, order_count:i, pc
              FROM delay_dim dd LEFT JOIN (
                SELECT {DELAY_BUCKET_SQL.format(x='delivery_delay_days')} AS b, count(*) AS n
                FROM delivered WHERE delivery_days IS NOT NULL GROUP BY 1) c ON dd.delay_bucket = c.b""",
-         BUCKET_DIM_CTE)(lambda c: marts.delivery_delay_dist(c.spark, c.master))
+         BUCKET_DIM_CTE)(lambda c: mart(c, "delay_dist"))
 
 register("delivery_by_state",
          "customer_state:s, order_count:i, avg_delivery_days:d, avg_delay_days:d, late_pct:d, avg_review_score:d",
@@ -215,7 +215,7 @@ register("delivery_by_category",
                    avg(d.delivery_delay_days) AS avg_delay_days, avg(d.is_late) * 100 AS late_pct,
                    avg(d.review_score) AS avg_review_score
             FROM first_cat fc LEFT JOIN delivered d ON fc.order_id = d.order_id GROUP BY 1""")(
-    lambda c: marts.delivery_by_category(c.first_cat, c.master))
+    lambda c: mart(c, "del_by_cat3"))
 
 register("review_score_dist", "review_score:i, order_count:i, pct:d",
          """SELECT review_score, count(*) AS order_count,

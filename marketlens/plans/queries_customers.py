@@ -7,8 +7,8 @@ from ..operators import customers as cu
 from ..operators import rfm as rf
 from .registry import register
 
-# fixture: spend runs from ~48k to ~4.1M, so the bucket edges are scaled by 1000
-FIXTURE_SPEND_EDGES = [e * 1000 for e in SPEND_EDGES]
+from .params import FIXTURE_SPEND_EDGES
+from .shared import mart
 
 RFM_CTE = """
 rfm_base AS (
@@ -73,7 +73,7 @@ register("rfm_segment_summary",
                                avg(R_score) AS avg_r_score, avg(F_score) AS avg_f_score, avg(M_score) AS avg_m_score,
                                quantile_cont(CAST(monetary AS DOUBLE), 0.5) AS median_spend
                         FROM rfm GROUP BY 1""", "customer_count", "total_revenue"),
-         RFM_CTE)(lambda c: cu.rfm_segment_summary(c.rfm))
+         RFM_CTE)(lambda c: mart(c, "rfm_seg"))
 
 register("repeat_vs_onetime",
          "customer_type:s, customer_count:i, total_revenue:d, avg_spend:d, avg_order_count:d, max_order_count:i, "
@@ -87,7 +87,7 @@ register("repeat_vs_onetime",
                           SELECT ty.customer_type, CAST(sum(d.order_value) AS DOUBLE) / NULLIF(count(d.order_value), 0) AS aov
                           FROM delivered d JOIN typed ty ON d.customer_unique_id = ty.customer_unique_id GROUP BY 1) a
                         ON t.customer_type = a.customer_type GROUP BY 1""", "customer_count", "total_revenue"),
-         RFM_CTE)(lambda c: cu.repeat_vs_onetime(c.rfm, c.master))
+         RFM_CTE)(lambda c: mart(c, "repeat"))
 
 register("repeat_frequency_dist", "order_count:i, customer_count:i",
          """SELECT frequency AS order_count, count(*) AS customer_count FROM rfm WHERE frequency >= 2
@@ -108,7 +108,7 @@ register("customer_geography",
                         FROM delivered GROUP BY 1) s) g
             LEFT JOIN (SELECT h.customer_state, count(*) AS n FROM rfm JOIN home h USING (customer_unique_id)
                        WHERE rfm.frequency >= 2 GROUP BY 1) r ON g.customer_state IS NOT DISTINCT FROM r.customer_state""",
-         RFM_CTE)(lambda c: cu.customer_geography(c.master, c.rfm))
+         RFM_CTE)(lambda c: mart(c, "cust_geo"))
 
 register("state_overcount", "state_sum:i, distinct_customers:i, overcount:i",
          """SELECT s.state_sum, d.distinct_customers, s.state_sum - d.distinct_customers AS overcount
@@ -121,7 +121,7 @@ register("spend_statistics", "n:i, min:d, median:d, mean:d, p75:d, p90:d, p95:d,
                    CAST(sum(monetary) AS DOUBLE) / count(monetary) AS mean,
                    quantile_cont(CAST(monetary AS DOUBLE), 0.75) AS p75, quantile_cont(CAST(monetary AS DOUBLE), 0.9) AS p90,
                    quantile_cont(CAST(monetary AS DOUBLE), 0.95) AS p95, quantile_cont(CAST(monetary AS DOUBLE), 0.99) AS p99,
-                   max(monetary) AS max FROM rfm""", RFM_CTE)(lambda c: cu.spend_statistics(c.rfm))
+                   max(monetary) AS max FROM rfm""", RFM_CTE)(lambda c: mart(c, "spend_stats"))
 
 
 def _spend_case() -> str:
@@ -144,7 +144,7 @@ register("customer_spending_dist",
                SELECT {_spend_case()} AS b, count(customer_unique_id) AS customer_count, sum(monetary) AS total_revenue,
                       CAST(sum(monetary) AS DOUBLE) / count(monetary) AS avg_spend FROM rfm GROUP BY 1) c
              ON d.spend_bucket = c.b, (SELECT count(*) AS tc, sum(monetary) AS tr FROM rfm) t""",
-         RFM_CTE + "," + SPEND_DIM)(lambda c: cu.customer_spending_dist(c.spark, c.rfm, FIXTURE_SPEND_EDGES))
+         RFM_CTE + "," + SPEND_DIM)(lambda c: mart(c, "spend_dist"))
 
 register("high_value_customers", "threshold:d, customer_count:i, total_revenue:d, revenue_pct:d",
          """SELECT t.threshold, count(*) FILTER (WHERE r.monetary >= t.threshold) AS customer_count,
@@ -158,7 +158,7 @@ register("segment_spend_profile", "segment:s, avg_spend:d, total_rev:d, median_s
          """SELECT segment, CAST(sum(monetary) AS DOUBLE) / count(monetary) AS avg_spend, sum(monetary) AS total_rev,
                    quantile_cont(CAST(monetary AS DOUBLE), 0.5) AS median_spend,
                    quantile_cont(CAST(monetary AS DOUBLE), 0.9) AS p90_spend FROM rfm GROUP BY 1""",
-         RFM_CTE)(lambda c: cu.segment_spend_profile(c.rfm))
+         RFM_CTE)(lambda c: mart(c, "seg_spend"))
 
 register("customer_segment_detail",
          RFM_SPEC + ", customer_type:s, customer_state:s, customer_city:s",
@@ -172,4 +172,4 @@ register("top_decile_share", "n:i, k:i, threshold:d, top_sum:d, total_monetary:d
                      CAST(sum(monetary) FILTER (WHERE rk <= floor(n_all * 0.1)) AS DOUBLE) AS top_sum,
                      CAST(sum(monetary) AS DOUBLE) AS total_monetary
               FROM (SELECT monetary, row_number() OVER (ORDER BY monetary DESC) AS rk, count(*) OVER () AS n_all FROM rfm))""",
-         RFM_CTE)(lambda c: cu.top_decile_share(c.rfm))
+         RFM_CTE)(lambda c: mart(c, "top_decile"))

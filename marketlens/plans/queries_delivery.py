@@ -6,10 +6,8 @@ from ..operators import delivery as dl
 from .queries_core import BUCKET_DIM_CTE, DELAY_BUCKET_SQL
 from .registry import register
 
-# fixture: every seller has >= 50 delivered orders (~390 on average at sf0.01),
-# so the qualification threshold is raised to make the filter select
-FIXTURE_MIN_SELLER_ORDERS = 390
-DELIVERY_MIN_ORDERS = 50
+from .params import DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS
+from .shared import mart
 
 NAT_CTE = """
 nat AS (SELECT avg(is_late) * 100 AS nat_late_pct, avg(delivery_days) AS nat_avg_days,
@@ -32,12 +30,12 @@ register("delivery_overview",
                    avg(delivery_delay_days) AS avg_delay_days, quantile_cont(delivery_delay_days, 0.5) AS median_delay_days,
                    coalesce(sum(on_time), 0)::DOUBLE / NULLIF(count(*), 0) * 100 AS on_time_pct,
                    coalesce(sum(is_late), 0)::DOUBLE / NULLIF(count(*), 0) * 100 AS late_pct FROM del_valid""")(
-    lambda c: dl.delivery_overview(c.master))
+    lambda c: mart(c, "del_ov"))
 
 register("delay_bucket_counts", "delay_bucket:s, bucket_ord:i, order_count:i",
          f"""SELECT dd.delay_bucket, dd.bucket_ord, coalesce(c.n, 0) AS order_count FROM delay_dim dd LEFT JOIN (
                SELECT {DELAY_BUCKET_SQL.format(x='delivery_delay_days')} AS b, count(*) AS n FROM del_valid GROUP BY 1) c
-             ON dd.delay_bucket = c.b""", BUCKET_DIM_CTE)(lambda c: dl.delay_bucket_counts(c.spark, c.master))
+             ON dd.delay_bucket = c.b""", BUCKET_DIM_CTE)(lambda c: mart(c, "buckets"))
 
 register("delivery_over_time",
          "ym:s, order_count:i, on_time_count:i, late_count:i, avg_delivery_days:d, median_delivery_days:d, "
@@ -49,7 +47,7 @@ register("delivery_over_time",
                     coalesce(sum(on_time), 0)::DOUBLE / NULLIF(coalesce(sum(on_time), 0) + coalesce(sum(is_late), 0), 0) * 100 AS on_time_pct,
                     coalesce(sum(is_late), 0)::DOUBLE / NULLIF(coalesce(sum(on_time), 0) + coalesce(sum(is_late), 0), 0) * 100 AS late_pct
              FROM del_valid GROUP BY 1 HAVING count(order_id) >= {DELIVERY_MIN_ORDERS}""")(
-    lambda c: dl.delivery_over_time(c.master, DELIVERY_MIN_ORDERS))
+    lambda c: mart(c, "del_time"))
 
 STATE_ENRICHED_SPEC = ("customer_state:s, order_count:i, on_time_count:i, late_count:i, avg_delivery_days:d, "
                        "median_delivery_days:d, avg_delay_days:d, avg_review_score:d, p25_delivery_days:d, "
@@ -70,11 +68,11 @@ state_enriched AS (
         FROM del_valid GROUP BY 1) s, nat n)
 """
 register("delivery_by_state_enriched", STATE_ENRICHED_SPEC, "SELECT * FROM state_enriched", STATE_ENRICHED_CTE)(
-    lambda c: dl.delivery_by_state_enriched(c.master))
+    lambda c: mart(c, "del_state"))
 
 register("high_impact_states", STATE_ENRICHED_SPEC,
          "SELECT * FROM state_enriched WHERE late_pct > nat_late_pct AND NOT low_volume", STATE_ENRICHED_CTE)(
-    lambda c: dl.high_impact_states(c.master))
+    lambda c: dl.high_impact_states_of(mart(c, "del_state")))
 
 CAT_ENRICHED_CTE = NAT_CTE + """,
 cat_enriched AS (
@@ -90,7 +88,7 @@ CAT_ENRICHED_SPEC = ("product_category_name_english:s, order_count:i, avg_delive
                      "avg_delay_days:d, late_count:i, on_time_count:i, avg_review_score:d, late_pct:d, nat_late_pct:d, "
                      "late_vs_national:d, low_volume:b")
 register("delivery_by_category_enriched", CAT_ENRICHED_SPEC, "SELECT * FROM cat_enriched", CAT_ENRICHED_CTE)(
-    lambda c: dl.delivery_by_category_enriched(c.first_cat, c.master))
+    lambda c: mart(c, "del_cat"))
 
 SELLER_DEL_SPEC = ("seller_id:i, order_count:i, seller_state:s, seller_city:s, avg_delivery_days:d, "
                    "median_delivery_days:d, avg_delay_days:d, late_count:i, on_time_count:i, avg_review_score:d, late_pct:d")
@@ -99,7 +97,7 @@ register("seller_delivery_all", SELLER_DEL_SPEC, "SELECT * FROM seller_all", NAT
 
 register("seller_delivery_qualified", SELLER_DEL_SPEC,
          f"SELECT * FROM seller_all WHERE order_count >= {FIXTURE_MIN_SELLER_ORDERS}", NAT_CTE)(
-    lambda c: dl.seller_delivery_qualified(c.order_sellers, c.master, FIXTURE_MIN_SELLER_ORDERS))
+    lambda c: mart(c, "seller_del"))
 
 register("seller_best_worst",
          "list:s, seller_id:i, order_count:i, late_pct:d, avg_delivery_days:d, avg_review_score:d, seller_state:s",
@@ -107,8 +105,7 @@ register("seller_best_worst",
              UNION ALL SELECT * FROM (SELECT 'worst_late' AS list, * FROM q ORDER BY late_pct DESC NULLS LAST, seller_id LIMIT 10)
              UNION ALL SELECT * FROM (SELECT 'best_late' AS list, * FROM q ORDER BY late_pct ASC NULLS LAST, seller_id LIMIT 10)""",
          NAT_CTE + f", q AS (SELECT * FROM seller_all WHERE order_count >= {FIXTURE_MIN_SELLER_ORDERS})")(
-    lambda c: dl.seller_best_worst(
-             dl.seller_delivery_qualified(c.order_sellers, c.master, FIXTURE_MIN_SELLER_ORDERS)))
+    lambda c: dl.seller_best_worst(mart(c, "seller_del")))
 
 register("seller_delivery_by_state", "seller_state:s, seller_count:i, total_orders:i, avg_late_pct:d, avg_review_score:d",
          """SELECT seller_state, count(seller_id) AS seller_count, sum(order_count) AS total_orders,
@@ -125,7 +122,7 @@ register("review_by_delay_detailed",
                SELECT {DELAY_BUCKET_SQL.format(x='delivery_delay_days')} AS b, count(order_id) AS order_count,
                       avg(review_score) AS avg_review_score, {STARS}
                FROM del_valid WHERE review_score IS NOT NULL AND delivery_delay_days IS NOT NULL GROUP BY 1) c
-             ON dd.delay_bucket = c.b""", BUCKET_DIM_CTE)(lambda c: dl.review_by_delay_detailed(c.master))
+             ON dd.delay_bucket = c.b""", BUCKET_DIM_CTE)(lambda c: mart(c, "rev_delay"))
 
 register("review_by_state",
          "customer_state:s, review_count:i, avg_review_score:d, pct_1star:d, pct_5star:d, late_pct:d, review_vs_national:d",
@@ -134,7 +131,7 @@ register("review_by_state",
                      avg((review_score = 1)::INT) * 100 AS pct_1star, avg((review_score = 5)::INT) * 100 AS pct_5star,
                      avg(is_late) * 100 AS late_pct
               FROM del_valid WHERE review_score IS NOT NULL GROUP BY 1) s,
-            (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: dl.review_by_state(c.master))
+            (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: mart(c, "rev_state"))
 
 register("review_by_category",
          "product_category_name_english:s, review_count:i, avg_review_score:d, pct_1star:d, pct_5star:d, late_pct:d, "
@@ -145,4 +142,4 @@ register("review_by_category",
                      avg((d.review_score = 5)::INT) * 100 AS pct_5star, avg(d.is_late) * 100 AS late_pct,
                      avg(d.delivery_delay_days) AS avg_delay_days
               FROM first_cat fc JOIN del_valid d ON fc.order_id = d.order_id WHERE d.review_score IS NOT NULL GROUP BY 1) s,
-            (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: dl.review_by_category(c.first_cat, c.master))
+            (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: mart(c, "rev_cat"))

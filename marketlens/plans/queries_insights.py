@@ -8,53 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import customers as cu
-from ..operators import delivery as dl
 from ..operators import insights as ins
-from ..operators import marts as mt
 from ..operators import ml
-from ..session import ensure_checkpoint_dir
-from .queries_core import BUCKET_DIM_CTE, MONTH_MIN_ORDERS, MONTHLY_CTE
-from .queries_customers import FIXTURE_SPEND_EDGES, RFM_CTE  # noqa: F401
-from .queries_delivery import CAT_ENRICHED_CTE, DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS, STATE_ENRICHED_CTE
+from .queries_core import BUCKET_DIM_CTE, MONTHLY_CTE
+from .queries_customers import RFM_CTE
+from .queries_delivery import CAT_ENRICHED_CTE, STATE_ENRICHED_CTE
 from .registry import REGISTRY, register
 
-# fixture parameters: states are NATION_k; the "region" is nine of them
-FIXTURE_PARAMS = ins.InsightParams(
-    focus_state="NATION_0", risk_state="NATION_1",
-    region_states=[f"NATION_{k}" for k in range(9)], min_category_reviews=200)
-
-
-def evidence(c) -> dict:
-    if "evidence" in c.cache:
-        return c.cache["evidence"]
-    ensure_checkpoint_dir(c.spark)
-    m, full, fc, os_, rfm = c.master, c.full, c.first_cat, c.order_sellers, c.rfm
-    raw = {
-        "kpis": mt.topline_kpis(m),
-        "rfm": rfm,
-        "rfm_seg": cu.rfm_segment_summary(rfm),
-        "repeat": cu.repeat_vs_onetime(rfm, m),
-        "cust_geo": cu.customer_geography(m, rfm),
-        "spend": cu.spend_statistics(rfm).crossJoin(cu.top_decile_share(rfm).select("top_share_pct")),
-        "cat_perf": mt.category_performance(full, m, fc),
-        "monthly": mt.monthly_trends(m, MONTH_MIN_ORDERS),
-        "seller_perf": mt.seller_performance(full, m, os_),
-        "del_ov": dl.delivery_overview(m),
-        "buckets": dl.delay_bucket_counts(c.spark, m),
-        "del_state": dl.delivery_by_state_enriched(m),
-        "del_cat": dl.delivery_by_category_enriched(fc, m),
-        "del_time": dl.delivery_over_time(m, DELIVERY_MIN_ORDERS),
-        "seller_del": dl.seller_delivery_qualified(os_, m, FIXTURE_MIN_SELLER_ORDERS),
-        "rev_delay": dl.review_by_delay_detailed(m),
-        "rev_state": dl.review_by_state(m),
-        "rev_cat": dl.review_by_category(fc, m),
-    }
-    # small marts, each reused by several rules: computed once, lineage cut
-    ev = {k: (v if k == "rfm" else c._keep_eager(v)) for k, v in raw.items()}
-    c.cache["evidence"] = ev
-    return ev
-
+from .params import FIXTURE_PARAMS
+from .shared import evidence
 
 def _sql_of(name: str) -> str:
     return REGISTRY[name].sql

@@ -6,6 +6,7 @@ from ..operators import quality as qa
 from .contracts import MASTER, parse
 from .queries_customers import RFM_CTE
 from .registry import register
+from .shared import mart
 
 MASTER_COLS = [n for n, _ in parse(MASTER)]
 CHECK_SPEC = "check:s, value:d, expected:d, passed:b"
@@ -104,4 +105,6 @@ RECON_SQL = "\nUNION ALL\n".join([
          "(SELECT count(*) FROM delivered WHERE delivery_days IS NOT NULL)", None),
     _chk("category_order_totals_phase5_vs_phase3", "(SELECT count(*) FROM first_cat)", "(SELECT count(*) FROM first_cat)", None),
 ])
-register("reconciliations", CHECK_SPEC, RECON_SQL, RFM_CTE)(qa.reconciliations)
+register("reconciliations", CHECK_SPEC, RECON_SQL, RFM_CTE)(
+    lambda c: qa.reconciliations(c, {k: mart(c, k) for k in ("kpis", "cat_perf", "rfm_seg", "repeat", "del_ov",
+                                                             "delay_dist", "buckets", "del_by_cat3", "del_cat")}))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..operators import delivery as dl
 from ..operators import marts as mt
 from ..operators import serve as sv
-from .queries_delivery import FIXTURE_MIN_SELLER_ORDERS
-from .queries_insights import EVIDENCE_SQL, FIXTURE_PARAMS, evidence, evidence_ctes
+from .params import FIXTURE_PARAMS
+from .queries_insights import EVIDENCE_SQL, evidence_ctes
+from .shared import evidence, mart
 from .registry import REGISTRY, register
 from ..operators import insights as ins
 
@@ -34,7 +35,7 @@ register("serve_filters", "kind:s, value:s",
               UNION ALL SELECT 'segment', segment FROM ev_seg
               UNION ALL SELECT 'month_min', min(ym) FROM monthly
               UNION ALL SELECT 'month_max', max(ym) FROM monthly) WHERE value IS NOT NULL""", EV)(
-    lambda c: sv.serve_filters(evidence(c)["cat_perf"], mt.state_performance(c.master), evidence(c)["rfm_seg"],
+    lambda c: sv.serve_filters(evidence(c)["cat_perf"], mart(c, "state_perf"), evidence(c)["rfm_seg"],
                                evidence(c)["monthly"]))
 
 register("serve_kpis", REGISTRY["topline_kpis"].spec + ", _scope:s, _note:s",
