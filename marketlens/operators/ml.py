@@ -144,7 +144,9 @@ def preprocessing_stages() -> list:
         StandardScaler(inputCol="__num", outputCol="__num_scaled", withMean=True, withStd=True),
         StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=idx, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
+        # the indexer maps unseen/null levels to its last index; dropLast removes that
+        # slot, so they encode to all zeros while every known level keeps a slot
+        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
         VectorAssembler(inputCols=["__num_scaled", *ohe], outputCol="features"),
     ]
 
