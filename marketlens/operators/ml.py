@@ -259,7 +259,9 @@ BAND_ORDER = {"Low": 1, "Medium": 2, "High": 3}
 def risk_bands(scored: DataFrame, lo: float = 0.33, hi: float = 0.66) -> DataFrame:
     """Score tertiles of the test set: High >= p66, Medium >= p33, else Low;
     per band count, share, actual late %, mean score, thresholds."""
-    q = exact_quantiles(scored, "score", {"p33_threshold": lo, "p66_threshold": hi}).select(
+    # scores are probabilities in [0, 1]: linear buckets of width 2^-16
+    q = exact_quantiles(scored, "score", {"p33_threshold": lo, "p66_threshold": hi},
+                        bucket_fn=lambda v: F.floor(v * F.lit(65536.0)).cast("bigint")).select(
         "p33_threshold", "p66_threshold")
     s = with_scalars(scored, q)
     band = (F.when(F.col("score") >= F.col("p66_threshold"), "High")

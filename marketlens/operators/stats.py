@@ -22,13 +22,14 @@ from typing import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LOG_BUCKETS_PER_E = 64
+LOG_BUCKETS_PER_E = 1024
 
 
 def log_bucket(x: Column, k: int = LOG_BUCKETS_PER_E) -> Column:
     """Monotone non-decreasing bucket id of a number: sign(x)*floor(k*ln(1+|x|)).
     Buckets are a fixed relative width (about 1/k), so skewed money amounts
-    spread over many buckets while equal values always share one."""
+    spread over many buckets while equal values always share one. The number
+    of distinct buckets grows only with log(range): about 2k*ln(max|x|)."""
     d = x.cast("double")
     return (F.signum(d) * F.floor(F.log1p(F.abs(d)) * F.lit(float(k)))).cast("bigint")
 
@@ -115,7 +116,8 @@ def values_at_ranks(df: DataFrame, value: str | Column,
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
-                    keys: Sequence[str] = (), k: int = LOG_BUCKETS_PER_E) -> DataFrame:
+                    keys: Sequence[str] = (), k: int = LOG_BUCKETS_PER_E,
+                    bucket_fn: Callable[[Column], Column] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
     (position (n-1)p), per group of ``keys``; one column per name in
     ``probs``, plus ``n``. Distributed: see module docstring."""
@@ -123,7 +125,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     for name, p in probs.items():
         ranks[f"__lo_{name}"] = (lambda n, p=p: F.floor((n - 1) * F.lit(p)))
         ranks[f"__hi_{name}"] = (lambda n, p=p: F.ceil((n - 1) * F.lit(p)))
-    vals = values_at_ranks(df, value, ranks, keys, k)
+    vals = values_at_ranks(df, value, ranks, keys, k, bucket_fn)
     out = vals
     for name, p in probs.items():
         pos = (F.col("n") - 1) * F.lit(p)
