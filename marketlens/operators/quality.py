@@ -143,6 +143,10 @@ def reconciliations(ctx, marts: dict | None = None) -> DataFrame:
         "buckets": lambda: dl.delay_bucket_counts(ctx.spark, m),
         "del_by_cat3": lambda: mt.delivery_by_category(ctx.first_cat, m),
         "del_cat": lambda: dl.delivery_by_category_enriched(ctx.first_cat, m),
+        "del_state": lambda: dl.delivery_by_state_enriched(m),
+        "del_by_state3": lambda: mt.delivery_by_state(m),
+        "rev_delay": lambda: dl.review_by_delay_detailed(m),
+        "rev_vs_delay3": lambda: mt.review_vs_delay(ctx.spark, m),
     }
     for k, f in build.items():
         if k not in mk:
@@ -167,6 +171,12 @@ def reconciliations(ctx, marts: dict | None = None) -> DataFrame:
     kd = kpi.select(F.col("avg_delivery_days").alias("kd"), "on_time_delivery_pct", "late_delivery_pct",
                     "avg_order_value")
     t = 0.05
+    st = mk["del_state"].select("customer_state", F.col("late_pct").alias("l5")).join(
+        mk["del_by_state3"].select("customer_state", F.col("late_pct").alias("l3")), "customer_state") \
+        .agg(F.coalesce(F.max(F.abs(F.col("l5") - F.col("l3"))), F.lit(0.0)).alias("d"))
+    bs = mk["rev_delay"].select("delay_bucket", F.col("avg_review_score").alias("s5")).join(
+        mk["rev_vs_delay3"].select("delay_bucket", F.col("avg_review_score").alias("s3")), "delay_bucket") \
+        .agg(F.coalesce(F.max(F.abs(F.col("s5") - F.col("s3"))), F.lit(0.0)).alias("d"))
     return union_all([
         _check(k, "kpi_sales_item_vs_order", F.col("si"), F.col("s")),
         _check(k, "kpi_freight_item_vs_order", F.col("fi"), F.col("f")),
@@ -184,4 +194,6 @@ def reconciliations(ctx, marts: dict | None = None) -> DataFrame:
         _check(ov.crossJoin(kd), "delivery_avg_days_vs_kpi", F.col("avg_delivery_days"), F.col("kd"), t),
         _check(d5.crossJoin(d3), "delay_bucket_totals_phase5_vs_phase3", F.col("b5"), F.col("b3"), None),
         _check(c5.crossJoin(c3), "category_order_totals_phase5_vs_phase3", F.col("c5"), F.col("c3"), None),
+        _check(st, "state_late_pct_phase5_vs_phase3_max_diff", F.col("d"), F.lit(0.0), t),
+        _check(bs, "bucket_review_phase5_vs_phase3_max_diff", F.col("d"), F.lit(0.0), 0.001),
     ])

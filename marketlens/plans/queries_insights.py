@@ -200,3 +200,36 @@ register("validate_model_ranking", "check:s, value:d, expected:d, passed:b")(
         F.max(F.when(F.col("model") == "random_forest", F.col("roc_auc"))).alias("expected"))
     .select(F.lit("M1_lr_auc_above_rf").alias("check"), "value", "expected",
             F.coalesce(F.col("value") > F.col("expected"), F.lit(False)).alias("passed")))
+
+
+# Phase-level insight sets: the customer-mart and delivery-mart rule lists are
+# the same evidence under their phase ids.
+CUSTOMER_MART_IDS = {"C1_onetime_retention_pattern": "low_repeat_rate",
+                     "C2_champions_concentration": "champion_revenue_concentration",
+                     "C3_at_risk_dormant": "at_risk_segment",
+                     "C4_geographic_concentration": "geographic_concentration",
+                     "C5_spending_skew": "spending_concentration"}
+DELIVERY_MART_IDS = {"D1_conservative_estimates": "conservative_estimates",
+                     "D2_northeast_delivery_gap": "northeast_delivery_gap",
+                     "T1_delay_review_association": "delay_review_association",
+                     "D4_seller_delivery_concentration": "seller_delivery_variance"}
+
+
+def _phase_set(ids: dict):
+    def build(c):
+        ev = ins.insight_evidence(evidence(c), FIXTURE_PARAMS).where(F.col("insight_id").isin(list(ids)))
+        m = F.create_map(*[F.lit(x) for kv in ids.items() for x in kv])
+        return ev.select(m[F.col("insight_id")].alias("rule_id"), "metric", "value")
+    return build
+
+
+def _phase_sql(ids: dict) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ids.items())
+    inlist = ", ".join(f"'{k}'" for k in ids)
+    return f"SELECT CASE insight_id {cases} END AS rule_id, metric, value FROM ({EVIDENCE_SQL}) WHERE insight_id IN ({inlist})"
+
+
+register("insight_customer_mart_rules", "rule_id:s, metric:s, value:d", _phase_sql(CUSTOMER_MART_IDS),
+         evidence_ctes())(_phase_set(CUSTOMER_MART_IDS))
+register("insight_delivery_mart_rules", "rule_id:s, metric:s, value:d", _phase_sql(DELIVERY_MART_IDS),
+         evidence_ctes())(_phase_set(DELIVERY_MART_IDS))

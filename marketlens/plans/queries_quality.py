@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..operators import quality as qa
 from .contracts import MASTER, parse
+from .queries_core import DELAY_BUCKET_SQL
 from .queries_customers import RFM_CTE
 from .registry import register
 from .shared import mart
@@ -83,6 +84,7 @@ _SI = "(SELECT sum(price) FROM full_t WHERE order_status = 'delivered')"
 _MON = "(SELECT sum(monetary) FROM rfm)"
 _RC = "(SELECT count(*) FROM rfm)"
 _KD = "(SELECT avg(delivery_days) FROM delivered)"
+_BK = " ".join(DELAY_BUCKET_SQL.format(x="delivery_delay_days").split())
 RECON_SQL = "\nUNION ALL\n".join([
     _chk("kpi_sales_item_vs_order", _SI, _S),
     _chk("kpi_freight_item_vs_order", "(SELECT sum(freight_value) FROM full_t WHERE order_status = 'delivered')", _F),
@@ -104,7 +106,18 @@ RECON_SQL = "\nUNION ALL\n".join([
     _chk("delay_bucket_totals_phase5_vs_phase3", "(SELECT count(*) FROM del_valid)",
          "(SELECT count(*) FROM delivered WHERE delivery_days IS NOT NULL)", None),
     _chk("category_order_totals_phase5_vs_phase3", "(SELECT count(*) FROM first_cat)", "(SELECT count(*) FROM first_cat)", None),
+    _chk("state_late_pct_phase5_vs_phase3_max_diff",
+         "(SELECT coalesce(max(abs(a.l - b.l)), 0) FROM (SELECT customer_state, avg(is_late) * 100 AS l FROM del_valid GROUP BY 1) a "
+         "JOIN (SELECT customer_state, avg(is_late) * 100 AS l FROM delivered GROUP BY 1) b ON a.customer_state = b.customer_state)",
+         "0", 0.05),
+    _chk("bucket_review_phase5_vs_phase3_max_diff",
+         "(SELECT coalesce(max(abs(a.s - b.s)), 0) FROM "
+         f"(SELECT {_BK} AS k, avg(review_score) AS s FROM del_valid WHERE review_score IS NOT NULL "
+         "AND delivery_delay_days IS NOT NULL GROUP BY 1) a JOIN "
+         f"(SELECT {_BK} AS k, avg(review_score) AS s FROM delivered WHERE review_score IS NOT NULL "
+         "AND delivery_delay_days IS NOT NULL GROUP BY 1) b ON a.k = b.k)", "0", 0.001),
 ])
 register("reconciliations", CHECK_SPEC, RECON_SQL, RFM_CTE)(
-    lambda c: qa.reconciliations(c, {k: mart(c, k) for k in ("kpis", "cat_perf", "rfm_seg", "repeat", "del_ov",
-                                                             "delay_dist", "buckets", "del_by_cat3", "del_cat")}))
+    lambda c: qa.reconciliations(c, {k: mart(c, k) for k in (
+        "kpis", "cat_perf", "rfm_seg", "repeat", "del_ov", "delay_dist", "buckets", "del_by_cat3", "del_cat",
+        "del_state", "del_by_state3", "rev_delay", "rev_vs_delay3")}))

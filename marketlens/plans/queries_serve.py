@@ -12,6 +12,7 @@ from .queries_insights import EVIDENCE_SQL, evidence_ctes
 from .shared import evidence, mart
 from .registry import REGISTRY, register
 from ..operators import insights as ins
+from ..operators import ml
 
 MONTHS = ("1996-01", "1997-06")
 CATEGORIES = ["promo_goods", "standard_goods", "construction_large"]
@@ -92,8 +93,9 @@ register("serve_insights", "insight_id:s, category:s, type:s, metric:s, value:d"
     lambda c: sv.serve_insights(ins.insight_evidence(evidence(c), FIXTURE_PARAMS), "delivery", "risk"))
 
 register("serve_ml_importance", "feature:s, importance:d")(
-    lambda c: sv.serve_ml(__import__("marketlens.operators.ml", fromlist=["ml"]).feature_importance(c.spark, c.models),
-                          __import__("marketlens.operators.ml", fromlist=["ml"]).lr_coefficients(c.spark, c.models))[0])
+    lambda c: sv.serve_ml(ml.feature_importance(c.spark, c.models), ml.lr_coefficients(c.spark, c.models))[0])
+register("serve_ml_coefficients", "feature:s, coefficient:d, abs_coefficient:d, direction:s")(
+    lambda c: sv.serve_ml(ml.feature_importance(c.spark, c.models), ml.lr_coefficients(c.spark, c.models))[1])
 
 register("national_review_weighted", "national_review_weighted:d",
          """SELECT sum(avg_review_score * order_count) / NULLIF(sum(order_count), 0) AS national_review_weighted

@@ -17,6 +17,8 @@ BUILDERS = {
     "seller_perf": lambda c: mt.seller_performance(c.full, c.master, c.order_sellers),
     "delay_dist": lambda c: mt.delivery_delay_dist(c.spark, c.master),
     "del_by_cat3": lambda c: mt.delivery_by_category(c.first_cat, c.master),
+    "del_by_state3": lambda c: mt.delivery_by_state(c.master),
+    "rev_vs_delay3": lambda c: mt.review_vs_delay(c.spark, c.master),
     "rfm_seg": lambda c: cu.rfm_segment_summary(c.rfm),
     "repeat": lambda c: cu.repeat_vs_onetime(c.rfm, c.master),
     "cust_geo": lambda c: cu.customer_geography(c.master, c.rfm),
