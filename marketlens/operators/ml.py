@@ -81,7 +81,9 @@ def split_cutoff(ds: DataFrame, train_frac: float = 0.8) -> DataFrame:
 
 
 def time_split(ds: DataFrame, train_frac: float = 0.8) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cut = split_cutoff(ds, train_frac)
+    # the one-row cutoff feeds both sides: compute it once
+    cut = split_cutoff(ds, train_frac).persist()
+    cut.count()
     tagged = with_scalars(ds, cut.select("cutoff"))
     train = tagged.where(F.col("order_purchase_timestamp") < F.col("cutoff")).drop("cutoff")
     test = tagged.where(F.col("order_purchase_timestamp") >= F.col("cutoff")).drop("cutoff")
@@ -118,13 +120,14 @@ def with_weights(train: DataFrame) -> DataFrame:
 
 def mode_imputer(train: DataFrame, cols: list[str]) -> DataFrame:
     """One row holding each column's most frequent non-null training value
-    (ties to the smallest value)."""
-    rows = None
-    for c in cols:
-        m = (train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-                  .agg(F.min_by(F.col(c), F.struct((-F.col("__n")).alias("k"), F.col(c).alias("v"))).alias(f"__mode_{c}")))
-        rows = m if rows is None else rows.crossJoin(m)
-    return rows
+    (ties to the smallest value). All columns in one pass: the categorical
+    columns are unpivoted to (column, value) and counted together."""
+    long = train.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
+        .unpivot([], cols, "__col", "__val").where(F.col("__val").isNotNull())
+    counts = long.groupBy("__col", "__val").agg(F.count(F.lit(1)).alias("__n"))
+    modes = counts.groupBy("__col").agg(
+        F.min_by("__val", F.struct((-F.col("__n")).alias("k"), F.col("__val").alias("v"))).alias("__mode"))
+    return modes.agg(*[F.max(F.when(F.col("__col") == c, F.col("__mode"))).alias(f"__mode_{c}") for c in cols])
 
 
 def apply_modes(df: DataFrame, modes: DataFrame, cols: list[str]) -> DataFrame:
