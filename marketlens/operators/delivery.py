@@ -58,9 +58,9 @@ def delay_bucket_counts(spark: SparkSession, master: DataFrame) -> DataFrame:
 
 def delivery_overview_with_buckets(spark: SparkSession, master: DataFrame) -> DataFrame:
     """Overview row plus a map bucket -> count (the JSON document form)."""
+    ordered = F.sort_array(F.collect_list(F.struct("bucket_ord", "delay_bucket", "order_count")))   # 7 rows
     m = delay_bucket_counts(spark, master).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("bucket_ord", "delay_bucket", "order_count"))
-                                        ).transform(lambda s: F.struct(s["delay_bucket"], s["order_count"])))
+        F.map_from_entries(F.transform(ordered, lambda s: F.struct(s["delay_bucket"], s["order_count"])))
         .alias("delay_bucket_counts"))
     return delivery_overview(master).crossJoin(m)
 

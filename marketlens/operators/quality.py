@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .marts import del_valid, delivered, is_delivered
+from .marts import delivered, is_delivered
 
 TOLERANCE = 0.01
 

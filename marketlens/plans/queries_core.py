@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from ..operators import clean, facts, marts
+from ..operators import facts, marts
 from .contracts import MASTER
 from .registry import register
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions import SPEND_EDGES, SPEND_LABELS
+from ..functions import SPEND_LABELS
 from ..operators import customers as cu
 from ..operators import rfm as rf
 from .registry import register

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, ml, quality, rfm as rf
+from ..operators import ml, quality, rfm as rf
 from ..operators.marts import del_valid, delivered
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import SOURCE_FILES, load_raw_csv

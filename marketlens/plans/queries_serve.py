@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from ..operators import delivery as dl
-from ..operators import marts as mt
 from ..operators import serve as sv
 from .params import FIXTURE_PARAMS
 from .queries_insights import EVIDENCE_SQL, evidence_ctes
