@@ -4,7 +4,8 @@ fact tables, each defined once and materialised at most once.
 Materialisation: ``persist`` keeps the facts in executor memory/disk (lost
 blocks are recomputed from lineage); ``checkpoint`` writes them to the
 shared ``spark.checkpoint.dir`` and cuts the lineage, which is what a long
-cluster job should use; ``none`` keeps everything lazy.
+cluster job should use; ``none`` keeps everything lazy; ``auto`` (default)
+persists on a local master and checkpoints on a cluster.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from ..sources.fixtures import FIXTURE_SPELLING_FIXES, fixture_tables
 class MarketContext:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw: dict[str, DataFrame] | None = None, spelling_fixes: dict | None = None,
-                 materialize: str = "persist"):
+                 materialize: str = "auto"):
         if raw is None and sf_dir is None:
             raise ValueError("need sf_dir (testdata fixtures) or raw tables")
         self.spark = spark
@@ -30,6 +31,9 @@ class MarketContext:
         self._raw = raw
         self.spelling_fixes = (FIXTURE_SPELLING_FIXES if raw is None else None) \
             if spelling_fixes is None else spelling_fixes
+        if materialize == "auto":
+            master = spark.sparkContext.master or ""
+            materialize = "persist" if master.startswith("local") else "checkpoint"
         self.materialize = materialize
         self._held: list[DataFrame] = []
         self.cache: dict = {}
@@ -148,7 +152,7 @@ class MarketContext:
 _CONTEXTS: dict[tuple, MarketContext] = {}
 
 
-def get_context(spark: SparkSession, sf_dir: str, materialize: str = "persist") -> MarketContext:
+def get_context(spark: SparkSession, sf_dir: str, materialize: str = "auto") -> MarketContext:
     """One context per (session, dataset) so several queries share the facts."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
     ctx = _CONTEXTS.get(key)
