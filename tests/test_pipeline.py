@@ -23,3 +23,17 @@ def test_pipeline_writes_all_phases(spark):
     assert not failed, failed
     ids = {r.insight_id for r in spark.read.parquet(written["insights"]).select("insight_id").distinct().collect()}
     assert len(ids) == 16          # all rules except the two model insights (model skipped here)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="testdata not available")
+def test_checkpoint_materialisation_gives_same_results(spark):
+    from marketlens.operators import marts
+    from marketlens.plans.context import MarketContext
+    out = {}
+    for mode in ("persist", "checkpoint"):
+        ctx = MarketContext(spark, SF, materialize=mode)
+        df = marts.category_performance(ctx.full, ctx.master, ctx.first_cat)
+        out[mode] = sorted((r.product_category_name_english, float(r.product_sales_value), r.rank_by_sales)
+                           for r in df.collect())
+        ctx.release()
+    assert out["persist"] == out["checkpoint"] and out["persist"]
