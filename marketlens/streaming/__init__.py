@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed pipeline is batch only — no streams, watermarks, windows over
+event time or per-key state exist in it — so nothing is built here. Every
+mart is a function of the fact tables; a deployment that needs fresher marts
+re-runs the batch pipeline (``marketlens.plans.pipeline``) on new data.
+"""
