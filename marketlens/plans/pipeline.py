@@ -87,7 +87,7 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     marts_dir = os.path.join(out, "marts")
     for p in write_marts(marts, marts_dir):
         written[os.path.basename(p)] = p
-    rd = {name: spark.read.parquet(os.path.join(marts_dir, name)) for name in marts}
+    rd = {name: spark.read.schema(df.schema).parquet(os.path.join(marts_dir, name)) for name, df in marts.items()}
 
     kpis = mt.topline_kpis(master)
     written["kpis"] = write_json(kpis, os.path.join(out, "json", "kpis"))
