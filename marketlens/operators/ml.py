@@ -182,9 +182,12 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
     lr = LogisticRegression(featuresCol="features", labelCol=TARGET, weightCol="weight",
                             regParam=1.0 / (lr_c * max(n, 1)), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter)
+    # cacheNodeIds + a larger node budget per pass: the same forest with fewer
+    # passes over the training data (node ids checkpoint to spark.checkpoint.dir)
     rf = RandomForestClassifier(featuresCol="features", labelCol=TARGET, weightCol="weight",
                                 numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                featureSubsetStrategy="sqrt", seed=SEED)
+                                featureSubsetStrategy="sqrt", seed=SEED, cacheNodeIds=True,
+                                maxMemoryInMB=1024)
     # the preprocessing is deterministic given the training set, so it is
     # fitted once and shared by both models; features are assembled once
     pre = Pipeline(stages=preprocessing_stages()).fit(train)
