@@ -30,7 +30,7 @@ def _csv_roundtrip(c):
         df = c.raw[name]
         cols = [F.col(f.name).cast("string").alias(f.name) if f.name in df.columns
                 else F.lit(None).cast("string").alias(f.name) for f in SOURCE_SCHEMAS[name].fields]
-        df.select(*cols).coalesce(1).write.mode("overwrite").option("header", True) \
+        df.select(*cols).write.mode("overwrite").option("header", True) \
             .option("escape", '"').csv(f"{base}/{fname}")
     tables = load_raw_csv(c.spark, base)
     return quality.union_all([t.agg(F.count(F.lit(1)).alias("row_count"))

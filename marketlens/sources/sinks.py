@@ -28,7 +28,8 @@ def write_marts(marts: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
 
 
 def write_json(df: DataFrame, path: str) -> str:
-    """Few-row frames (KPI row, overview, insights) as one JSON-lines file."""
+    """Few-row frames only (KPI row, overview, insight records: bounded by
+    construction) as one JSON-lines file; large frames go through write_marts."""
     df.coalesce(1).write.mode("overwrite").json(path)
     return path
 
