@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import SPEND_EDGES, SPEND_LABELS, bucket_dimension, pct, right_closed_bucket, safe_div
 from .marts import delivered
-from .stats import exact_quantiles, top_k_sum, with_scalars
+from .stats import exact_quantiles, top_k_sum, with_scalars, attach
 
 REPEAT, ONE_TIME = "Repeat", "One-Time"
 
@@ -104,8 +104,8 @@ def state_overcount(master: DataFrame) -> DataFrame:
     distinct people. The per-state count is pre-deduplicated on (state, person)."""
     d = delivered(master)
     pairs = d.select("customer_state", "customer_unique_id").distinct()
-    return pairs.agg(F.count(F.lit(1)).alias("state_sum")).crossJoin(
-        d.agg(F.count_distinct("customer_unique_id").alias("distinct_customers"))) \
+    return pairs.agg(F.count(F.lit(1)).alias("state_sum")).transform(attach(
+        d.agg(F.count_distinct("customer_unique_id").alias("distinct_customers")))) \
         .withColumn("overcount", F.col("state_sum") - F.col("distinct_customers"))
 
 
@@ -115,7 +115,7 @@ SPEND_PROBS = {"median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 def spend_statistics(rfm: DataFrame) -> DataFrame:
     q = exact_quantiles(rfm, "monetary", SPEND_PROBS)
     m = rfm.agg(F.min("monetary").alias("min"), _mean("monetary").alias("mean"), F.max("monetary").alias("max"))
-    return q.crossJoin(m).select("n", "min", "median", "mean", "p75", "p90", "p95", "p99", "max")
+    return q.transform(attach(m)).select("n", "min", "median", "mean", "p75", "p90", "p95", "p99", "max")
 
 
 def customer_spending_dist(spark: SparkSession, rfm: DataFrame, edges=None, labels=None) -> DataFrame:
@@ -164,4 +164,4 @@ def top_decile_share(rfm: DataFrame, share: float = 0.1) -> DataFrame:
     """Revenue share of the floor(share * n) biggest spenders (exact with ties)."""
     top = top_k_sum(rfm, "monetary", lambda n: F.floor(n * F.lit(share)))
     tot = rfm.agg(F.sum("monetary").alias("total_monetary"))
-    return top.crossJoin(tot).withColumn("top_share_pct", pct(F.col("top_sum"), F.col("total_monetary")))
+    return top.transform(attach(tot)).withColumn("top_share_pct", pct(F.col("top_sum"), F.col("total_monetary")))

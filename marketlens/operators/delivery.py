@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import DELAY_EDGES, DELAY_LABELS, bucket_dimension, pct, right_closed_bucket
 from .marts import del_valid
-from .stats import with_scalars
+from .stats import with_scalars, attach
 
 MIN_SELLER_ORDERS = 50
 
@@ -62,7 +62,7 @@ def delivery_overview_with_buckets(spark: SparkSession, master: DataFrame) -> Da
     m = delay_bucket_counts(spark, master).agg(
         F.map_from_entries(F.transform(ordered, lambda s: F.struct(s["delay_bucket"], s["order_count"])))
         .alias("delay_bucket_counts"))
-    return delivery_overview(master).crossJoin(m)
+    return delivery_overview(master).transform(attach(m))
 
 
 def delivery_over_time(master: DataFrame, min_orders: int = 50) -> DataFrame:

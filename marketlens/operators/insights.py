@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .stats import attach
+
 from ..functions import pct
 
 RISK, OPPORTUNITY = "risk", "opportunity"
@@ -72,7 +74,7 @@ def _pick(df: DataFrame, cond: F.Column, prefix: str, cols: list[str]) -> DataFr
 
 
 def _cross(*frames: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.crossJoin(b), frames)
+    return reduce(lambda a, b: a.transform(attach(b)), frames)
 
 
 def customer_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
@@ -95,7 +97,7 @@ def customer_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
     focus = _pick(geo, F.col("customer_state") == p.focus_state, "f_", ["customer_pct", "revenue_pct"])
     top3 = geo.orderBy(F.col("order_count").desc(), F.col("customer_state")).limit(3) \
         .agg(F.sum("revenue_pct").alias("top3_revenue_pct"))
-    c4 = _emit(focus.crossJoin(top3), "C4_geographic_concentration", {
+    c4 = _emit(focus.transform(attach(top3)), "C4_geographic_concentration", {
         "focus_state_customer_pct": F.col("f_customer_pct"), "focus_state_revenue_pct": F.col("f_revenue_pct"),
         "top3_states_revenue_pct": F.col("top3_revenue_pct")})
     c5 = _emit(ev["spend"], "C5_spending_skew", {
@@ -108,13 +110,13 @@ def sales_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
     kp = ev["kpis"].select("total_product_sales")
     top = ev["cat_perf"].where(F.col("rank_by_sales") <= p.top_categories) \
         .agg(F.sum("product_sales_value").alias("top_sales"))
-    s1 = _emit(top.crossJoin(kp), "S1_category_concentration", {
+    s1 = _emit(top.transform(attach(kp)), "S1_category_concentration", {
         "top_categories_sales": F.col("top_sales"),
         "top_categories_sales_pct": pct(F.col("top_sales"), F.col("total_product_sales"))})
     sel = ev["seller_perf"].agg(
         F.sum(F.when(F.col("rank_by_sales") <= p.top_sellers, F.col("product_sales_value"))).alias("top_sales"),
         F.count(F.lit(1)).alias("sellers"))
-    s2 = _emit(sel.crossJoin(kp), "S2_seller_concentration", {
+    s2 = _emit(sel.transform(attach(kp)), "S2_seller_concentration", {
         "top_sellers_sales": F.col("top_sales"),
         "top_sellers_sales_pct": pct(F.col("top_sales"), F.col("total_product_sales")),
         "total_sellers": F.col("sellers")})
@@ -123,7 +125,7 @@ def sales_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
         F.min_by("product_sales_value", F.struct((-F.col("order_count")).alias("k"), F.col("ym"))).alias("peak_sales"))
     crisis = ev["del_time"].agg(F.count_if(F.col("late_pct") > p.crisis_late_pct).alias("crisis_months"),
                                 F.max("late_pct").alias("max_month_late_pct"))
-    s3 = _emit(peak.crossJoin(crisis), "S3_seasonality_and_crisis", {
+    s3 = _emit(peak.transform(attach(crisis)), "S3_seasonality_and_crisis", {
         "peak_month_orders": F.col("peak_order_count"), "peak_month_sales": F.col("peak_sales"),
         "months_above_late_threshold": F.col("crisis_months"), "max_month_late_pct": F.col("max_month_late_pct")})
     return [s1, s2, s3]
@@ -132,7 +134,7 @@ def sales_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
 def delivery_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
     ov = ev["del_ov"]
     e7 = _pick(ev["buckets"], F.col("delay_bucket") == "Early >7d", "", ["order_count"])
-    d1 = _emit(ov.crossJoin(e7), "D1_conservative_estimates", {
+    d1 = _emit(ov.transform(attach(e7)), "D1_conservative_estimates", {
         "early_over_7d_orders": F.col("order_count"), "delivered_orders": F.col("n_orders"),
         "early_over_7d_pct": pct(F.col("order_count"), F.col("n_orders")), "on_time_pct": F.col("on_time_pct")})
     st = ev["del_state"]
@@ -140,7 +142,7 @@ def delivery_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
         F.avg("late_pct").alias("region_late_pct"), F.sum("order_count").alias("region_orders"),
         F.avg("avg_delivery_days").alias("region_avg_days"))
     nat = ov.select(F.col("late_pct").alias("nat_late"), F.col("avg_delivery_days").alias("nat_days"))
-    d2 = _emit(reg.crossJoin(nat), "D2_northeast_delivery_gap", {
+    d2 = _emit(reg.transform(attach(nat)), "D2_northeast_delivery_gap", {
         "region_avg_late_pct": F.col("region_late_pct"), "region_orders": F.col("region_orders"),
         "region_avg_delivery_days": F.col("region_avg_days"), "national_late_pct": F.col("nat_late"),
         "national_avg_delivery_days": F.col("nat_days")})
@@ -148,16 +150,16 @@ def delivery_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
                ["order_count", "late_pct", "late_vs_national", "avg_delivery_days"])
     d3 = _emit(fs, "D3_rj_high_volume_risk", {c: F.col(c) for c in
                                               ["order_count", "late_pct", "late_vs_national", "avg_delivery_days"]})
-    sd = ev["seller_del"].crossJoin(nat)
+    sd = ev["seller_del"].transform(attach(nat))
     above = F.col("late_pct") > F.col("nat_late") * p.seller_late_factor
     sg = sd.agg(F.count(F.lit(1)).alias("qualified"), F.count_if(above).alias("above"),
                 F.sum(F.when(above, F.col("order_count"))).alias("above_orders"),
                 F.avg(F.when(above, F.col("avg_review_score"))).alias("above_review"))
-    d4 = _emit(sg.crossJoin(ev["kpis"].select("avg_review_score")), "D4_seller_delivery_concentration", {
+    d4 = _emit(sg.transform(attach(ev["kpis"].select("avg_review_score"))), "D4_seller_delivery_concentration", {
         "qualified_sellers": F.col("qualified"), "sellers_above_threshold": F.col("above"),
         "orders_of_sellers_above": F.col("above_orders"), "review_of_sellers_above": F.col("above_review"),
         "national_review": F.col("avg_review_score")})
-    cat = ev["del_cat"].crossJoin(nat.select("nat_late")).where(
+    cat = ev["del_cat"].transform(attach(nat.select("nat_late"))).where(
         (F.col("late_pct") > F.col("nat_late")) & ~F.col("low_volume"))
     top = cat.orderBy(F.col("late_pct").desc(), F.col("product_category_name_english")).limit(p.top_late_categories)
     cid, (cc, ct) = "D5_category_delivery_variance", _META["D5_category_delivery_variance"]
@@ -184,7 +186,7 @@ def satisfaction_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
                       F.min_by("pct_1star", lo).alias("low_1star"),
                       F.min_by("avg_review_score", hi).alias("high_review"), F.min_by("review_count", hi).alias("high_n"))
     nat = ev["kpis"].select("avg_review_score")
-    t2 = _emit(low_high(ev["rev_state"], "customer_state").crossJoin(nat), "T2_state_satisfaction_gap", {
+    t2 = _emit(low_high(ev["rev_state"], "customer_state").transform(attach(nat)), "T2_state_satisfaction_gap", {
         "lowest_state_review": F.col("low_review"), "lowest_state_reviews": F.col("low_n"),
         "lowest_state_late_pct": F.col("low_late"), "highest_state_review": F.col("high_review"),
         "national_review": F.col("avg_review_score")})
@@ -198,7 +200,7 @@ def satisfaction_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
 
 def ml_rules(metrics: DataFrame, split: DataFrame, importance: DataFrame) -> list[DataFrame]:
     lr = metrics.where(F.col("model") == "logistic_regression")
-    m1 = _emit(lr.crossJoin(split), "M1_lr_model_performance", {
+    m1 = _emit(lr.transform(attach(split)), "M1_lr_model_performance", {
         "recall": F.col("recall"), "precision": F.col("precision"), "f1": F.col("f1"), "roc_auc": F.col("roc_auc"),
         "true_positives": F.col("TP"), "false_negatives": F.col("FN"), "test_orders": F.col("test_orders"),
         "test_late_pct": F.col("test_late_pct"), "train_orders": F.col("train_orders")})
@@ -240,15 +242,15 @@ def validate_insights(ev: dict) -> DataFrame:
     e7 = _pick(rd, F.col("delay_bucket") == "Early >7d", "e7_", ["avg_review_score"])
     l47 = _pick(rd, F.col("delay_bucket") == "Late 4-7d", "l47_", ["avg_review_score"])
     seg = ev["rfm_seg"].agg(F.sum("total_revenue").alias("seg_rev"))
-    mono = e7.crossJoin(l47).select(
+    mono = e7.transform(attach(l47)).select(
         F.lit("T1_early_review_above_late_4_7d").alias("check"), F.col("e7_avg_review_score").cast("double").alias("value"),
         F.col("l47_avg_review_score").cast("double").alias("expected"),
         F.coalesce(F.col("e7_avg_review_score") > F.col("l47_avg_review_score"), F.lit(False)).alias("passed"))
     return union_all([
-        _check(ot.crossJoin(rf), "C1_onetime_pct_vs_rfm", F.col("ot"), F.col("ot_rfm"), 0.1),
-        _check(ev["del_ov"].crossJoin(kp.select("on_time_delivery_pct")), "D1_on_time_pct_vs_kpi",
+        _check(ot.transform(attach(rf)), "C1_onetime_pct_vs_rfm", F.col("ot"), F.col("ot_rfm"), 0.1),
+        _check(ev["del_ov"].transform(attach(kp.select("on_time_delivery_pct"))), "D1_on_time_pct_vs_kpi",
                F.col("on_time_pct"), F.col("on_time_delivery_pct"), 0.05),
         mono,
-        _check(seg.crossJoin(kp.select("total_order_value")), "segment_revenue_vs_kpi_order_value",
+        _check(seg.transform(attach(kp.select("total_order_value"))), "segment_revenue_vs_kpi_order_value",
                F.col("seg_rev"), F.col("total_order_value"), 1.0),
     ])

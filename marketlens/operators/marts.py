@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import DELAY_EDGES, DELAY_LABELS, bucket_dimension, pct, right_closed_bucket, safe_div
-from .stats import distributed_row_number, log_bucket, with_scalars
+from .stats import distributed_row_number, log_bucket, with_scalars, attach
 
 def is_delivered() -> F.Column:
     return F.col("order_status") == "delivered"
@@ -56,7 +56,7 @@ def topline_kpis(master: DataFrame) -> DataFrame:
         F.count(F.when(is_delivered(), F.col("review_score"))).alias("review_record_count"),
         F.count(F.when(is_delivered(), F.col("is_late"))).alias("delivery_record_count"))
     base = base.withColumn("avg_order_value", safe_div(F.col("total_order_value"), F.col("total_delivered_orders")))
-    return base.crossJoin(repeat_rate(master))
+    return base.transform(attach(repeat_rate(master)))
 
 
 def repeat_rate(master: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from ..functions import floor_days, hours_between, pct, safe_div, weekday_monday0
 from .marts import del_valid, is_delivered
-from .stats import exact_quantiles, values_at_ranks, with_scalars
+from .stats import exact_quantiles, values_at_ranks, with_scalars, attach
 
 # Model features and target.
 NUMERIC_FEATURES = ["days_to_estimated", "total_freight_value", "avg_weight_g", "avg_volume_cm3",
@@ -285,7 +285,7 @@ def band_lift(scored: DataFrame) -> DataFrame:
     bands = risk_bands(scored)
     base = scored.agg((F.avg("label") * 100).alias("base_late_pct"))
     high = bands.where(F.col("risk_band") == "High").select(F.col("actual_late_pct").alias("high_late_pct"))
-    return base.crossJoin(high).withColumn("lift", safe_div(F.col("high_late_pct"), F.col("base_late_pct")))
+    return base.transform(attach(high)).withColumn("lift", safe_div(F.col("high_late_pct"), F.col("base_late_pct")))
 
 
 def check_band_monotonic(bands: DataFrame) -> DataFrame:
@@ -334,7 +334,7 @@ def lr_coefficients(spark: SparkSession, tm: TrainedModels) -> DataFrame:
 def model_metrics(tm: TrainedModels) -> DataFrame:
     out = None
     for name, scored in (("logistic_regression", tm.lr_scored), ("random_forest", tm.rf_scored)):
-        m = classification_metrics(scored).crossJoin(roc_auc(scored).select("roc_auc")) \
+        m = classification_metrics(scored).transform(attach(roc_auc(scored).select("roc_auc"))) \
             .withColumn("model", F.lit(name))
         out = m if out is None else out.unionByName(m)
     return out

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .stats import attach
+
 from .marts import delivered, is_delivered
 
 TOLERANCE = 0.01
@@ -71,7 +73,7 @@ def orphan_check(child: DataFrame, child_col: str, parent: DataFrame, parent_col
     orphans = child.join(keys, child[child_col] == keys["__k"], "left_anti")
     o = orphans.agg(F.count(F.lit(1)).alias("orphans"))
     t = child.agg(F.count(F.lit(1)).alias("total"))
-    return o.crossJoin(t).select(F.lit(label).alias("relation"), "orphans", "total")
+    return o.transform(attach(t)).select(F.lit(label).alias("relation"), "orphans", "total")
 
 
 def check_referential_integrity(ctx) -> DataFrame:
@@ -94,10 +96,10 @@ def check_unique_key(df: DataFrame, key: str, name: str) -> DataFrame:
 def structural_checks(ctx) -> DataFrame:
     """Grain, row preservation, order validity, prices and master invariants."""
     m, full, orders, items = ctx.master, ctx.full, ctx.orders, ctx.items
-    rows = orders.agg(F.count(F.lit(1)).alias("o")).crossJoin(m.agg(F.count(F.lit(1)).alias("m")))
+    rows = orders.agg(F.count(F.lit(1)).alias("o")).transform(attach(m.agg(F.count(F.lit(1)).alias("m"))))
     no_items = m.select("order_id").join(items.select("order_id").distinct(), "order_id", "left_anti") \
         .agg(F.count(F.lit(1)).alias("e"))
-    grain = full.agg(F.count(F.lit(1)).alias("f")).crossJoin(items.agg(F.count(F.lit(1)).alias("i"))).crossJoin(no_items)
+    grain = full.agg(F.count(F.lit(1)).alias("f")).transform(attach(items.agg(F.count(F.lit(1)).alias("i")))).transform(attach(no_items))
     validity = orders.agg(
         F.count_if((F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNull()).alias("nd"),
         F.count_if(F.col("order_estimated_delivery_date") < F.col("order_purchase_timestamp")).alias("be"))
@@ -157,7 +159,7 @@ def reconciliations(ctx, marts: dict | None = None) -> DataFrame:
                         F.count("order_id").alias("n"), F.sum("order_value").alias("ov"))
     item_side = dfull.agg(F.sum("price").alias("si"), F.sum("freight_value").alias("fi"),
                           F.count_distinct("order_id").alias("ni"))
-    k = order_side.crossJoin(item_side)
+    k = order_side.transform(attach(item_side))
     cat = mk["cat_perf"].agg(F.sum("product_sales_value").alias("cs"))
     rfm = ctx.rfm.agg(F.sum("monetary").alias("mon"), F.count(F.lit(1)).alias("rc"))
     seg = mk["rfm_seg"].agg(F.sum("customer_count").alias("sc"), F.sum("total_revenue").alias("sr"))
@@ -181,19 +183,19 @@ def reconciliations(ctx, marts: dict | None = None) -> DataFrame:
         _check(k, "kpi_sales_item_vs_order", F.col("si"), F.col("s")),
         _check(k, "kpi_freight_item_vs_order", F.col("fi"), F.col("f")),
         _check(k, "kpi_delivered_orders_item_vs_order", F.col("ni"), F.col("n"), None),
-        _check(k.crossJoin(kd), "kpi_aov_recomputed",
+        _check(k.transform(attach(kd)), "kpi_aov_recomputed",
                F.try_divide(F.col("ov").cast("double"), F.col("n").cast("double")), F.col("avg_order_value")),
-        _check(cat.crossJoin(item_side), "category_sales_vs_items", F.col("cs"), F.col("si")),
-        _check(rfm.crossJoin(order_side), "rfm_monetary_vs_order_value", F.col("mon"), F.col("ov")),
-        _check(seg.crossJoin(rfm), "segment_customers_vs_rfm", F.col("sc"), F.col("rc"), None),
-        _check(seg.crossJoin(rfm), "segment_revenue_vs_rfm", F.col("sr"), F.col("mon")),
-        _check(typ.crossJoin(rfm), "type_customers_vs_rfm", F.col("tc"), F.col("rc"), None),
-        _check(typ.crossJoin(rfm), "type_revenue_vs_rfm", F.col("tr"), F.col("mon")),
-        _check(ov.crossJoin(kd), "delivery_on_time_pct_vs_kpi", F.col("on_time_pct"), F.col("on_time_delivery_pct"), t),
-        _check(ov.crossJoin(kd), "delivery_late_pct_vs_kpi", F.col("late_pct"), F.col("late_delivery_pct"), t),
-        _check(ov.crossJoin(kd), "delivery_avg_days_vs_kpi", F.col("avg_delivery_days"), F.col("kd"), t),
-        _check(d5.crossJoin(d3), "delay_bucket_totals_phase5_vs_phase3", F.col("b5"), F.col("b3"), None),
-        _check(c5.crossJoin(c3), "category_order_totals_phase5_vs_phase3", F.col("c5"), F.col("c3"), None),
+        _check(cat.transform(attach(item_side)), "category_sales_vs_items", F.col("cs"), F.col("si")),
+        _check(rfm.transform(attach(order_side)), "rfm_monetary_vs_order_value", F.col("mon"), F.col("ov")),
+        _check(seg.transform(attach(rfm)), "segment_customers_vs_rfm", F.col("sc"), F.col("rc"), None),
+        _check(seg.transform(attach(rfm)), "segment_revenue_vs_rfm", F.col("sr"), F.col("mon")),
+        _check(typ.transform(attach(rfm)), "type_customers_vs_rfm", F.col("tc"), F.col("rc"), None),
+        _check(typ.transform(attach(rfm)), "type_revenue_vs_rfm", F.col("tr"), F.col("mon")),
+        _check(ov.transform(attach(kd)), "delivery_on_time_pct_vs_kpi", F.col("on_time_pct"), F.col("on_time_delivery_pct"), t),
+        _check(ov.transform(attach(kd)), "delivery_late_pct_vs_kpi", F.col("late_pct"), F.col("late_delivery_pct"), t),
+        _check(ov.transform(attach(kd)), "delivery_avg_days_vs_kpi", F.col("avg_delivery_days"), F.col("kd"), t),
+        _check(d5.transform(attach(d3)), "delay_bucket_totals_phase5_vs_phase3", F.col("b5"), F.col("b3"), None),
+        _check(c5.transform(attach(c3)), "category_order_totals_phase5_vs_phase3", F.col("c5"), F.col("c3"), None),
         _check(st, "state_late_pct_phase5_vs_phase3_max_diff", F.col("d"), F.lit(0.0), t),
         _check(bs, "bucket_review_phase5_vs_phase3_max_diff", F.col("d"), F.lit(0.0), 0.001),
     ])

@@ -20,7 +20,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions import floor_days
 from .marts import delivered
-from .stats import distributed_row_number, exact_quantiles, log_bucket, prefix_bucket, with_scalars
+from .stats import distributed_row_number, exact_quantiles, log_bucket, prefix_bucket, with_scalars, attach
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
@@ -74,7 +74,7 @@ def customer_rfm(master: DataFrame) -> DataFrame:
     r_edges = base.agg(F.percentile("recency_days", F.array(*[F.lit(p) for p in QUINTILES])).alias("__re"),
                        F.count(F.lit(1)).alias("__n"))
     m_edges = exact_quantiles(base, "monetary", {f"__me{i}": p for i, p in enumerate(QUINTILES)}).drop("n")
-    stats = r_edges.crossJoin(m_edges)          # one row x one row
+    stats = r_edges.transform(attach(m_edges))          # one row x one row
     ranked = distributed_row_number(
         base, order_by=[F.col("frequency").asc(), F.col("customer_unique_id").asc()],
         buckets=[(F.col("frequency"), True), (_id_bucket(base, "customer_unique_id"), True)],

@@ -40,10 +40,19 @@ def prefix_bucket(s: Column, n: int = 3) -> Column:
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row of ``df``.
-    The right side is a global aggregate (exactly one row), so broadcasting
-    it is always safe."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a one-row frame (a global aggregate) to every row
+    of ``df`` as one scalar subquery: Spark runs the subquery once and inlines
+    its single value — no join, nothing but that row reaches the driver."""
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__scalars")).scalar()
+    return df.select("*", packed.alias("__scalars")) \
+             .select(*[F.col(f"`{c}`") for c in df.columns],
+                     *[F.col("__scalars").getField(c).alias(c) for c in cols])
+
+
+def attach(one_row: DataFrame):
+    """``df.transform(attach(one_row))`` == ``with_scalars(df, one_row)``."""
+    return lambda df: with_scalars(df, one_row)
 
 
 def distributed_row_number(df: DataFrame, order_by: Sequence[Column],
@@ -153,7 +162,7 @@ def top_k_sum(df: DataFrame, value: str, k_of_n: Callable[[Column], Column],
     if K:
         joined = base.join(thr, on=K, how="inner")
     else:
-        joined = base.crossJoin(F.broadcast(thr))  # one row
+        joined = with_scalars(base, thr)  # one row
     agg = joined.groupBy(*K, "n", "k", "threshold").agg(
         F.sum(F.when(F.col("__v") > F.col("threshold"), F.col("__v"))).alias("__gs"),
         F.count(F.when(F.col("__v") > F.col("threshold"), 1)).alias("__gc"))

@@ -11,6 +11,8 @@ phase files are in the analysed pipeline.
 
 from __future__ import annotations
 
+from ..operators.stats import attach
+
 import argparse
 import os
 
@@ -100,8 +102,8 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
 
     evidence = {"kpis": kpis, "rfm": customer_rfm, "rfm_seg": rd["rfm_segment_summary"],
                 "repeat": rd["repeat_vs_onetime"], "cust_geo": rd["customer_geography"],
-                "spend": cu.spend_statistics(customer_rfm).crossJoin(
-                    cu.top_decile_share(customer_rfm).select("top_share_pct")),
+                "spend": cu.spend_statistics(customer_rfm).transform(attach(
+                    cu.top_decile_share(customer_rfm).select("top_share_pct"))),
                 "cat_perf": rd["category_performance"], "monthly": rd["monthly_trends"],
                 "seller_perf": rd["seller_performance"], "del_ov": dl.delivery_overview(master),
                 "buckets": dl.delay_bucket_counts(spark, master), "del_state": rd["delivery_by_state_enriched"],

@@ -4,6 +4,8 @@ scope steps, RFM building blocks. Writes go under the session's
 
 from __future__ import annotations
 
+from ..operators.stats import attach
+
 import uuid
 
 from pyspark.sql import functions as F
@@ -109,7 +111,7 @@ def _edges(c):
     base = rf.rfm_base(c.master)
     r = base.agg(*[F.percentile("recency_days", F.lit(p)).alias(f"r{int(p * 100)}") for p in rf.QUINTILES])
     m = exact_quantiles(base, "monetary", {f"m{int(p * 100)}": p for p in rf.QUINTILES}).drop("n")
-    return r.crossJoin(m)
+    return r.transform(attach(m))
 
 
 register("rfm_quintile_edges", "r20:d, r40:d, r60:d, r80:d, m20:d, m40:d, m60:d, m80:d",

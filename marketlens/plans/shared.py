@@ -4,6 +4,8 @@ a reliable checkpoint, and then read by every consumer."""
 
 from __future__ import annotations
 
+from ..operators.stats import attach
+
 from ..operators import customers as cu
 from ..operators import delivery as dl
 from ..operators import marts as mt
@@ -51,5 +53,5 @@ def mart(c, name: str):
 def evidence(c) -> dict:
     ev = {k: mart(c, k) for k in EVIDENCE_KEYS}
     ev["rfm"] = c.rfm
-    ev["spend"] = mart(c, "spend_stats").crossJoin(mart(c, "top_decile").select("top_share_pct"))
+    ev["spend"] = mart(c, "spend_stats").transform(attach(mart(c, "top_decile").select("top_share_pct")))
     return ev
