@@ -19,17 +19,56 @@ register("profile_nulls", "table:s, column:s, null_count:i, row_count:i, null_pc
                  FROM master""" for c in MASTER_COLS))(
     lambda c: qa.profile_nulls(c.master.select(*MASTER_COLS), "orders_master"))
 
-_DUP_TABLES = {"orders": "fx_orders", "items": "fx_items", "payments": "fx_payments"}
-register("profile_exact_duplicates", "table:s, row_count:i, exact_duplicate_rows:i",
-         "\nUNION ALL\n".join(
-             f"""SELECT '{t}' AS "table", coalesce(sum(n), 0) AS row_count, coalesce(sum(n - 1), 0) AS exact_duplicate_rows
-                 FROM (SELECT count(*) AS n FROM {v} GROUP BY ALL)""".replace("GROUP BY ALL", f"GROUP BY {_cols}")
-             for t, v, _cols in [("orders", "fx_orders", "order_id, customer_id, order_status, order_purchase_timestamp, "
-                                  "order_approved_at, order_delivered_customer_date, order_estimated_delivery_date"),
-                                 ("items", "fx_items", "order_id, order_item_id, product_id, seller_id, price, freight_value"),
-                                 ("payments", "fx_payments", "order_id, payment_sequential, payment_type, "
-                                  "payment_installments, payment_value")]))(
-    lambda c: qa.union_all([qa.profile_exact_duplicates(c.raw[t], t) for t in _DUP_TABLES]))
+# the nine derived source tables: Spark column -> SQL expression over the fixture CTE
+SOURCE_COLUMNS = {
+    "customers": ("fx_customers", {"customer_id": "customer_id", "customer_unique_id": "customer_unique_id",
+                                   "customer_zip_code_prefix": "zip_raw", "customer_city": "customer_city",
+                                   "customer_state": "customer_state"}),
+    "orders": ("fx_orders", {c: c for c in ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                                            "order_approved_at", "order_delivered_customer_date",
+                                            "order_estimated_delivery_date"]}),
+    "items": ("fx_items", {c: c for c in ["order_id", "order_item_id", "product_id", "seller_id", "price",
+                                          "freight_value"]}),
+    "payments": ("fx_payments", {c: c for c in ["order_id", "payment_sequential", "payment_type",
+                                                "payment_installments", "payment_value"]}),
+    "reviews": ("fx_reviews", {c: c for c in ["review_id", "order_id", "review_score", "review_comment_message",
+                                              "review_creation_date"]}),
+    "products": ("fx_products", {c: c for c in ["product_id", "product_category_name", "product_weight_g",
+                                                "product_length_cm", "product_height_cm", "product_width_cm"]}),
+    "sellers": ("fx_sellers", {c: c for c in ["seller_id", "seller_city", "seller_state"]}),
+    "geolocation": ("fx_geolocation", {"geolocation_zip_code_prefix": "zip_raw", "geolocation_lat": "lat",
+                                       "geolocation_lng": "lng", "geolocation_city": "city",
+                                       "geolocation_state": "state"}),
+    "translation": ("fx_translation", {c: c for c in ["product_category_name", "product_category_name_english"]}),
+}
+
+
+def _null_sql() -> str:
+    parts = []
+    for t, (cte, cols) in SOURCE_COLUMNS.items():
+        for col, expr in cols.items():
+            parts.append(f"""SELECT '{t}' AS "table", '{col}' AS "column", count(*) FILTER (WHERE {expr} IS NULL) AS null_count,
+                                count(*) AS row_count, count(*) FILTER (WHERE {expr} IS NULL)::DOUBLE / count(*) * 100 AS null_pct
+                         FROM {cte}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+register("profile_nulls_sources", "table:s, column:s, null_count:i, row_count:i, null_pct:d", _null_sql())(
+    lambda c: qa.union_all([qa.profile_nulls(c.raw[t].select(*cols), t) for t, (_, cols) in SOURCE_COLUMNS.items()]))
+
+
+def _dup_sql() -> str:
+    parts = []
+    for t, (cte, cols) in SOURCE_COLUMNS.items():
+        keys = ", ".join(cols.values())
+        parts.append(f"""SELECT '{t}' AS "table", coalesce(sum(n), 0) AS row_count, coalesce(sum(n - 1), 0) AS exact_duplicate_rows
+                         FROM (SELECT count(*) AS n FROM {cte} GROUP BY {keys})""")
+    return "\nUNION ALL\n".join(parts)
+
+
+register("profile_exact_duplicates", "table:s, row_count:i, exact_duplicate_rows:i", _dup_sql())(
+    lambda c: qa.union_all([qa.profile_exact_duplicates(c.raw[t].select(*cols), t)
+                            for t, (_, cols) in SOURCE_COLUMNS.items()]))
 
 REL = [("orders.customer_id -> customers", "fx_orders", "customer_id", "customers_c", "customer_id"),
        ("items.order_id -> orders", "fx_items", "order_id", "fx_orders", "order_id"),
