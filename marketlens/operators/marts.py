@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import DELAY_EDGES, DELAY_LABELS, bucket_dimension, pct, right_closed_bucket, safe_div
-from .stats import distributed_row_number, log_bucket, with_scalars, attach
+from .stats import attach, distributed_row_number, log_bucket, prefix_bucket, with_scalars
 
 def is_delivered() -> F.Column:
     return F.col("order_status") == "delivered"
@@ -112,11 +112,17 @@ def _order_level(first_cat: DataFrame, master: DataFrame, key: str) -> DataFrame
 
 
 def rank_desc(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
-    """Dense positional rank by ``value`` descending, ties by ``tie``
-    ascending, computed without a single-partition window."""
+    """Positional rank by ``value`` descending, ties by ``tie`` ascending,
+    computed without a single-partition window. Buckets: value range, exact
+    value, then a prefix of the tie key, so even a third of the rows tied on
+    one value are ranked by many tasks."""
+    tie_type = df.schema[tie].dataType
+    from pyspark.sql.types import NumericType
+    tie_bucket = log_bucket(F.col(tie), 4096) if isinstance(tie_type, NumericType) else prefix_bucket(F.col(tie), 3)
     return distributed_row_number(
         df, order_by=[F.col(value).desc_nulls_last(), F.col(tie).asc()],
-        buckets=[(F.coalesce(log_bucket(F.col(value), 256), F.lit(-(1 << 62))), False)], out=out)
+        buckets=[(F.coalesce(log_bucket(F.col(value), 256), F.lit(-(1 << 62))), False),
+                 (F.col(value), False), (tie_bucket, True)], out=out)
 
 
 def category_performance(full: DataFrame, master: DataFrame, first_cat: DataFrame) -> DataFrame:

@@ -61,25 +61,40 @@ def distributed_row_number(df: DataFrame, order_by: Sequence[Column],
     """``row_number() over (partition by P order by order_by)`` without putting
     a whole partition (or the whole table) into one task.
 
-    ``buckets`` is a list of (expression, ascending) forming a coarsening of a
-    prefix of ``order_by`` (same directions): rows that compare lower in
-    ``order_by`` must never get a higher bucket tuple. ``order_by`` must be a
-    total order for a deterministic result.
+    ``buckets`` is a list of (expression, ascending) forming a coarsening of
+    ``order_by`` (same directions): rows that compare lower in ``order_by``
+    must never get a higher bucket tuple. ``order_by`` must be a total order
+    for a deterministic result.
+
+    Offsets are hierarchical: a running total over the first bucket level
+    (a small table: one row per distinct first-level bucket), then running
+    totals over the finer levels inside each first-level bucket. So a hot
+    group — many rows tied on the first level — can be split further by the
+    finer levels (e.g. exact value, then a prefix of the tie-break key).
     """
     P = list(partition_by)
     names = [f"__rb{i}" for i in range(len(buckets))]
     b = df
     for n, (expr, _) in zip(names, buckets):
         b = b.withColumn(n, expr)
-    counts = b.groupBy(*P, *names).agg(F.count(F.lit(1)).alias("__rbn"))
     border = [F.col(n).asc_nulls_first() if asc else F.col(n).desc_nulls_last()
               for n, (_, asc) in zip(names, buckets)]
-    w = (Window.partitionBy(*P) if P else Window).orderBy(*border) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__rbo", F.coalesce(F.sum("__rbn").over(w), F.lit(0))).drop("__rbn")
+    before = (Window.unboundedPreceding, -1)
+    counts = b.groupBy(*P, *names).agg(F.count(F.lit(1)).alias("__rbn"))
+    first = names[0]
+    top = counts.groupBy(*P, first).agg(F.sum("__rbn").alias("__t1"))
+    w1 = (Window.partitionBy(*P) if P else Window).orderBy(border[0]).rowsBetween(*before)
+    top = top.withColumn("__o1", F.coalesce(F.sum("__t1").over(w1), F.lit(0))).drop("__t1")
+    if len(names) > 1:
+        w2 = Window.partitionBy(*P, first).orderBy(*border[1:]).rowsBetween(*before)
+        counts = counts.withColumn("__o2", F.coalesce(F.sum("__rbn").over(w2), F.lit(0)))
+    else:
+        counts = counts.withColumn("__o2", F.lit(0))
+    offsets = counts.join(top, on=P + [first], how="inner") \
+        .select(*P, *names, (F.col("__o1") + F.col("__o2")).alias("__rbo"))
     joined = b.join(offsets, on=P + names, how="inner")
-    w2 = Window.partitionBy(*P, *names).orderBy(*order_by)
-    return (joined.withColumn(out, (F.row_number().over(w2) + F.col("__rbo")).cast("bigint"))
+    w3 = Window.partitionBy(*P, *names).orderBy(*order_by)
+    return (joined.withColumn(out, (F.row_number().over(w3) + F.col("__rbo")).cast("bigint"))
                   .drop(*names, "__rbo"))
 
 

@@ -76,3 +76,16 @@ def test_quantiles_independent_of_partition_count(spark):
         res.append(sorted(tuple(r) for r in exact_quantiles(df, "v", {"m": 0.5, "q": 0.75}, keys=["g"]).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert res[0] == res[1]
+
+
+def test_rank_with_a_hot_tie_group(spark):
+    """A third of the rows share one value: ranks still equal the global window."""
+    from marketlens.operators.marts import rank_desc
+    rng = np.random.default_rng(9)
+    n = 3000
+    vals = np.where(np.arange(n) < n // 3, 500.0, np.round(rng.lognormal(5, 1.5, n), 2))
+    df = spark.createDataFrame([(i * 7919 % 100003, float(v)) for i, v in enumerate(vals)], "k long, v double")
+    ours = rank_desc(df, "v", "k", "rk")
+    ref = df.withColumn("rk2", F.row_number().over(Window.orderBy(F.col("v").desc(), F.col("k"))))
+    joined = ours.join(ref, ["k", "v"])
+    assert joined.count() == n and joined.where(F.col("rk") != F.col("rk2")).count() == 0
