@@ -223,11 +223,70 @@ def insight_summary(evidence: DataFrame) -> DataFrame:
     return evidence.groupBy("category", "type").agg(F.count_distinct("insight_id").alias("insights"))
 
 
+# Fact sentences per insight: (template, metric names in placeholder order).
+# Numbers always come from the evidence rows; the wording is ours.
+FACT_TEMPLATES = {
+    "C1_onetime_retention_pattern": ("%.1f%% of customers (%.0f) placed exactly one delivered order; %.1f%% (%.0f) "
+                                     "placed two or more and bring %.1f%% of revenue.",
+                                     ["onetime_customer_pct", "onetime_customers", "repeat_customer_pct",
+                                      "repeat_customers", "repeat_revenue_pct"]),
+    "C2_champions_concentration": ("Champions: %.0f customers (%.1f%%) generate %.1f%% of revenue, average spend %.2f.",
+                                   ["customer_count", "customer_pct", "revenue_pct", "avg_spend"]),
+    "C3_at_risk_dormant": ("At Risk: %.0f customers (%.1f%%), average recency %.0f days, historical spend %.2f.",
+                           ["customer_count", "customer_pct", "avg_recency_days", "total_revenue"]),
+    "C4_geographic_concentration": ("The focus state holds %.1f%% of customers and %.1f%% of revenue; the top 3 "
+                                    "states hold %.1f%% of revenue.",
+                                    ["focus_state_customer_pct", "focus_state_revenue_pct", "top3_states_revenue_pct"]),
+    "C5_spending_skew": ("The top 10%% of customers by spend (>= %.0f) contribute %.1f%% of revenue; median spend "
+                         "%.2f vs mean %.2f.", ["p90_spend", "top_decile_revenue_pct", "median_spend", "mean_spend"]),
+    "S1_category_concentration": ("The top categories account for %.0f in product sales (%.1f%% of total).",
+                                  ["top_categories_sales", "top_categories_sales_pct"]),
+    "S2_seller_concentration": ("The top sellers generate %.0f (%.1f%% of product sales) out of %.0f sellers.",
+                                ["top_sellers_sales", "top_sellers_sales_pct", "total_sellers"]),
+    "S3_seasonality_and_crisis": ("Order volume peaked at %.0f orders (%.0f product sales); %.0f months exceeded the "
+                                  "late-delivery threshold, the worst at %.1f%%.",
+                                  ["peak_month_orders", "peak_month_sales", "months_above_late_threshold",
+                                   "max_month_late_pct"]),
+    "D1_conservative_estimates": ("%.0f of %.0f delivered orders (%.1f%%) arrived more than 7 days early; on-time "
+                                  "rate %.2f%%.", ["early_over_7d_orders", "delivered_orders", "early_over_7d_pct",
+                                                   "on_time_pct"]),
+    "D2_northeast_delivery_gap": ("Region states with enough volume average %.1f%% late (national %.1f%%) over %.0f "
+                                  "orders.", ["region_avg_late_pct", "national_late_pct", "region_orders"]),
+    "D3_rj_high_volume_risk": ("The risk state has %.0f delivered orders, %.1f%% late (%+.1f pp vs national), "
+                               "%.1f delivery days.", ["order_count", "late_pct", "late_vs_national",
+                                                       "avg_delivery_days"]),
+    "D4_seller_delivery_concentration": ("%.0f of %.0f qualified sellers are late well above the national rate; they "
+                                         "handled %.0f orders, review %.3f vs national %.3f.",
+                                         ["sellers_above_threshold", "qualified_sellers", "orders_of_sellers_above",
+                                          "review_of_sellers_above", "national_review"]),
+    "T1_delay_review_association": ("Orders more than 7 days early average %.3f stars; 4-7 days late %.3f; more than "
+                                    "14 days late %.3f.", ["early_over_7d_review", "late_4_7d_review",
+                                                            "late_over_14d_review"]),
+    "T2_state_satisfaction_gap": ("The lowest-rated state averages %.3f stars (%.0f reviews, %.1f%% late); the "
+                                  "highest %.3f.", ["lowest_state_review", "lowest_state_reviews",
+                                                    "lowest_state_late_pct", "highest_state_review"]),
+    "T3_category_satisfaction": ("The lowest-rated category averages %.3f stars (%.0f reviews, %.1f%% 1-star); the "
+                                 "highest %.3f.", ["lowest_category_review", "lowest_category_reviews",
+                                                   "lowest_category_1star_pct", "highest_category_review"]),
+    "M1_lr_model_performance": ("On %.0f held-out orders the logistic model reaches recall %.4f, precision %.4f, "
+                                "ROC-AUC %.4f.", ["test_orders", "recall", "precision", "roc_auc"]),
+}
+
+
 def insight_records(evidence: DataFrame) -> DataFrame:
-    """One presentation record per insight: its metrics rendered as text."""
-    return evidence.groupBy("insight_id", "category", "type").agg(
+    """One presentation record per insight: a fact sentence filled from its
+    metrics (a small map per insight, at most a dozen entries) and the
+    metrics rendered as text."""
+    g = evidence.groupBy("insight_id", "category", "type").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("__m"),
         F.array_join(F.sort_array(F.collect_list(F.format_string("%s=%.4f", F.col("metric"), F.col("value")))), "; ")
         .alias("metric_text"), F.count(F.lit(1)).alias("metrics"))
+    fact = None
+    for iid, (tmpl, names) in FACT_TEMPLATES.items():
+        text = F.format_string(tmpl, *[F.col("__m")[n] for n in names])
+        fact = F.when(F.col("insight_id") == iid, text) if fact is None else fact.when(F.col("insight_id") == iid, text)
+    fact = fact.otherwise(F.col("metric_text"))
+    return g.withColumn("fact", fact).drop("__m")
 
 
 def validate_insights(ev: dict) -> DataFrame:

@@ -192,7 +192,7 @@ def _all_insights(c):
 # including the two model insights: rows-only checks
 register("insights_all", EVIDENCE_SPEC)(_all_insights)
 register("insight_summary", "category:s, type:s, insights:i")(lambda c: ins.insight_summary(_all_insights(c)))
-register("insight_records", "insight_id:s, category:s, type:s, metric_text:s, metrics:i")(
+register("insight_records", "insight_id:s, category:s, type:s, metric_text:s, metrics:i, fact:s")(
     lambda c: ins.insight_records(_all_insights(c)))
 register("validate_model_ranking", "check:s, value:d, expected:d, passed:b")(
     lambda c: ml.model_metrics(c.models).agg(
