@@ -81,7 +81,7 @@ def customer_home(master: DataFrame) -> DataFrame:
 
 def customer_geography(master: DataFrame, rfm: DataFrame) -> DataFrame:
     d = delivered(master)
-    st = d.groupBy("customer_state").agg(
+    st = d.where(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(
         F.count("order_id").alias("order_count"),
         F.count_distinct("customer_unique_id").alias("customer_uid_count"),
         F.coalesce(F.sum("order_value"), F.lit(0)).alias("total_revenue"),
@@ -93,7 +93,7 @@ def customer_geography(master: DataFrame, rfm: DataFrame) -> DataFrame:
           .withColumn("revenue_pct", pct(F.col("total_revenue"), F.col("__tr"))).drop("__tu", "__tr"))
     rep = (rfm.where(F.col("frequency") >= 2).select("customer_unique_id")
               .join(customer_home(master), "customer_unique_id", "left")
-              .groupBy("customer_state").agg(F.count(F.lit(1)).alias("repeat_customer_count")))
+              .where(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(F.count(F.lit(1)).alias("repeat_customer_count")))
     st = st.join(rep, "customer_state", "left") \
            .withColumn("repeat_customer_count", F.coalesce(F.col("repeat_customer_count"), F.lit(0)))
     return st.withColumn("repeat_rate_pct", pct(F.col("repeat_customer_count"), F.col("customer_uid_count")))

@@ -81,7 +81,7 @@ def delivery_over_time(master: DataFrame, min_orders: int = 50) -> DataFrame:
 
 
 def delivery_by_state_enriched(master: DataFrame, low_volume: int = 200) -> DataFrame:
-    g = del_valid(master).groupBy("customer_state").agg(
+    g = del_valid(master).where(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(
         F.count("order_id").alias("order_count"),
         F.coalesce(F.sum("on_time"), F.lit(0)).alias("on_time_count"),
         F.coalesce(F.sum("is_late"), F.lit(0)).alias("late_count"),
@@ -114,7 +114,7 @@ def high_impact_states_of(state_enriched: DataFrame) -> DataFrame:
 def delivery_by_category_enriched(first_cat: DataFrame, master: DataFrame, low_volume: int = 100) -> DataFrame:
     dv = del_valid(master).select("order_id", "delivery_days", "delivery_delay_days", "is_late", "on_time",
                                   "review_score")
-    g = first_cat.join(dv, "order_id", "left").groupBy("product_category_name_english").agg(
+    g = first_cat.join(dv, "order_id", "left").where(F.col("product_category_name_english").isNotNull()).groupBy("product_category_name_english").agg(
         F.count("order_id").alias("order_count"),
         F.avg("delivery_days").alias("avg_delivery_days"),
         F.percentile("delivery_days", F.lit(0.5)).alias("median_delivery_days"),
@@ -169,7 +169,7 @@ def seller_delivery_by_state(order_sellers: DataFrame, master: DataFrame) -> Dat
     """Per seller state: sellers, their orders, mean of seller late % and of
     seller review means (a mean of means, as in the analysed pipeline)."""
     s = seller_delivery_all(order_sellers, master)
-    return s.groupBy("seller_state").agg(
+    return s.where(F.col("seller_state").isNotNull()).groupBy("seller_state").agg(
         F.count("seller_id").alias("seller_count"),
         F.sum("order_count").alias("total_orders"),
         F.avg("late_pct").alias("avg_late_pct"),
@@ -191,7 +191,7 @@ def review_by_delay_detailed(master: DataFrame) -> DataFrame:
 
 def review_by_state(master: DataFrame) -> DataFrame:
     df = del_valid(master).where(F.col("review_score").isNotNull())
-    g = df.groupBy("customer_state").agg(
+    g = df.where(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(
         F.count("review_score").alias("review_count"), F.avg("review_score").alias("avg_review_score"),
         _star_pct(1), _star_pct(5), (F.avg("is_late") * 100).alias("late_pct"))
     nat = df.agg(F.avg("review_score").alias("__nr"))
@@ -202,7 +202,7 @@ def review_by_category(first_cat: DataFrame, master: DataFrame, low_volume: int
     df = del_valid(master).where(F.col("review_score").isNotNull()) \
         .select("order_id", "review_score", "is_late", "delivery_delay_days")
     g = first_cat.select("order_id", "product_category_name_english").join(df, "order_id", "inner") \
-        .groupBy("product_category_name_english").agg(
+        .where(F.col("product_category_name_english").isNotNull()).groupBy("product_category_name_english").agg(
             F.count("review_score").alias("review_count"), F.avg("review_score").alias("avg_review_score"),
             _star_pct(1), _star_pct(5), (F.avg("is_late") * 100).alias("late_pct"),
             F.avg("delivery_delay_days").alias("avg_delay_days"))

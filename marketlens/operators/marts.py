@@ -3,7 +3,8 @@ review marts of the analytics phase.
 
 Conventions: revenue, delivery and review metrics use delivered orders only;
 order and customer counts use all statuses; customers are counted by
-``customer_unique_id``. Percentages are left unrounded (rounding is a
+``customer_unique_id``; rows whose dimension key (category, state) is null
+are left out of that dimension's mart, as a pandas ``groupby`` does. Percentages are left unrounded (rounding is a
 presentation concern and would make results depend on the rounding rule).
 """
 
@@ -103,7 +104,7 @@ def peak_month(monthly: DataFrame) -> DataFrame:
 def _order_level(first_cat: DataFrame, master: DataFrame, key: str) -> DataFrame:
     od = delivered(master).select("order_id", "review_score", "delivery_days", "is_late",
                                   "on_time", "delivery_delay_days")
-    return first_cat.join(od, "order_id", "left").groupBy(key).agg(
+    return first_cat.join(od, "order_id", "left").where(F.col(key).isNotNull()).groupBy(key).agg(
         F.avg("review_score").alias("avg_review_score"),
         F.avg("delivery_days").alias("avg_delivery_days"),
         F.coalesce(F.sum("is_late"), F.lit(0)).alias("late_count"),
@@ -129,7 +130,7 @@ def category_performance(full: DataFrame, master: DataFrame, first_cat: DataFram
     """Item-grain money and counts per English category, joined to
     order-grain review / delivery metrics by each order's first item."""
     items = full.where(is_delivered() & F.col("price").isNotNull())
-    fin = items.groupBy("product_category_name_english").agg(
+    fin = items.where(F.col("product_category_name_english").isNotNull()).groupBy("product_category_name_english").agg(
         F.sum("price").alias("product_sales_value"),
         F.sum("freight_value").alias("freight_value_total"),
         F.count("order_item_id").alias("item_count"),
@@ -146,7 +147,7 @@ def category_performance(full: DataFrame, master: DataFrame, first_cat: DataFram
 def state_performance(master: DataFrame) -> DataFrame:
     """Per customer state: all-order counts and delivered money, review,
     delivery and late share in one conditional aggregate."""
-    g = master.groupBy("customer_state").agg(
+    g = master.where(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(
         F.count("order_id").alias("order_count"),
         F.count_distinct("customer_unique_id").alias("customer_count"),
         F.count(F.when(is_delivered(), 1)).alias("__dc"),
@@ -208,7 +209,7 @@ def delivery_delay_dist(spark: SparkSession, master: DataFrame) -> DataFrame:
 
 
 def delivery_by_state(master: DataFrame) -> DataFrame:
-    return delivered(master).groupBy("customer_state").agg(
+    return delivered(master).where(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(
         F.count("order_id").alias("order_count"),
         F.avg("delivery_days").alias("avg_delivery_days"),
         F.avg("delivery_delay_days").alias("avg_delay_days"),
@@ -218,7 +219,7 @@ def delivery_by_state(master: DataFrame) -> DataFrame:
 
 def delivery_by_category(first_cat: DataFrame, master: DataFrame) -> DataFrame:
     od = delivered(master).select("order_id", "delivery_days", "delivery_delay_days", "is_late", "review_score")
-    return first_cat.join(od, "order_id", "left").groupBy("product_category_name_english").agg(
+    return first_cat.join(od, "order_id", "left").where(F.col("product_category_name_english").isNotNull()).groupBy("product_category_name_english").agg(
         F.count("order_id").alias("order_count"),
         F.avg("delivery_days").alias("avg_delivery_days"),
         F.avg("delivery_delay_days").alias("avg_delay_days"),

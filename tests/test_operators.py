@@ -158,3 +158,18 @@ def test_metrics_and_auc_against_brute_force(spark):
     pred = (s >= 0.5).astype(int)
     tp = int(((pred == 1) & (y == 1)).sum())
     assert m.TP == tp and abs(m.recall - tp / (y == 1).sum()) < 1e-12
+
+
+def test_null_dimension_keys_are_left_out(spark):
+    """An order whose customer row is missing has no state: like a pandas
+    groupby, the state marts leave it out instead of making a null group."""
+    orders, customers, items = _tiny_sources(spark)
+    customers = customers.where(F.col("customer_id") != 5)
+    empty_pay = spark.createDataFrame([], "order_id int, total_payment_value decimal(28,2), payment_installments int, "
+                                          "payment_type string, payment_methods_count bigint")
+    empty_rev = spark.createDataFrame([], "order_id int, review_score int, review_event_count bigint, "
+                                          "review_comment_message string, review_creation_date timestamp_ntz")
+    m = facts.orders_master(orders, customers, empty_pay, empty_rev, items)
+    states = [r.customer_state for r in marts.state_performance(m).collect()]
+    assert None not in states and sorted(states) == ["MG", "RJ", "SP"]
+    assert None not in [r.customer_state for r in delivery.delivery_by_state_enriched(m).collect()]
