@@ -143,3 +143,10 @@ register("review_by_category",
                      avg(d.delivery_delay_days) AS avg_delay_days
               FROM first_cat fc JOIN del_valid d ON fc.order_id = d.order_id WHERE d.review_score IS NOT NULL GROUP BY 1) s,
             (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: mart(c, "rev_cat"))
+
+# the overview document as served (scalar fields + a bucket -> count map): a
+# map column, so it is checked rows-only; its scalar part has the SQL oracle above
+register("delivery_overview_document",
+         "n_orders:i, on_time_count:i, late_count:i, avg_delivery_days:d, median_delivery_days:d, avg_delay_days:d, "
+         "median_delay_days:d, on_time_pct:d, late_pct:d, delay_bucket_counts:t")(
+    lambda c: dl.delivery_overview_with_buckets(c.spark, c.master))
