@@ -136,11 +136,11 @@ FROM (SELECT product_category_name_english, sum(price) AS product_sales_value, s
              sum(price) + sum(freight_value) AS order_value,
              CAST(sum(price) AS DOUBLE) / count(order_item_id) AS avg_item_price,
              CAST(sum(price) + sum(freight_value) AS DOUBLE) / count(DISTINCT order_id) AS avg_order_value
-      FROM full_t WHERE order_status = 'delivered' AND price IS NOT NULL GROUP BY 1) f
+      FROM full_t WHERE order_status = 'delivered' AND price IS NOT NULL AND product_category_name_english IS NOT NULL GROUP BY 1) f
 LEFT JOIN (SELECT fc.product_category_name_english, avg(d.review_score) AS avg_review_score,
                   avg(d.delivery_days) AS avg_delivery_days, coalesce(sum(d.is_late), 0) AS late_count,
                   coalesce(sum(d.on_time), 0) AS on_time_count, avg(d.delivery_delay_days) AS avg_delay_days
-           FROM first_cat fc LEFT JOIN delivered d ON fc.order_id = d.order_id GROUP BY 1) s
+           FROM first_cat fc LEFT JOIN delivered d ON fc.order_id = d.order_id WHERE fc.product_category_name_english IS NOT NULL GROUP BY 1) s
   ON f.product_category_name_english = s.product_category_name_english
 """
 register("category_performance", CAT_SPEC, CAT_SQL)(
@@ -154,14 +154,14 @@ SELECT a.customer_state, a.order_count, a.customer_count, d.product_sales_value,
        d.avg_order_value, d.avg_review_score, d.avg_delivery_days, d.late_count, d.on_time_count, d.avg_delay_days,
        d.late_count::DOUBLE / NULLIF(d.late_count + d.on_time_count, 0) * 100 AS late_pct
 FROM (SELECT customer_state, count(order_id) AS order_count, count(DISTINCT customer_unique_id) AS customer_count
-      FROM master GROUP BY 1) a
+      FROM master WHERE customer_state IS NOT NULL GROUP BY 1) a
 LEFT JOIN (SELECT customer_state, coalesce(sum(product_sales_value), 0) AS product_sales_value,
                   coalesce(sum(freight_value_total), 0) AS freight_value_total, coalesce(sum(order_value), 0) AS order_value,
                   CAST(sum(order_value) AS DOUBLE) / NULLIF(count(order_value), 0) AS avg_order_value,
                   avg(review_score) AS avg_review_score, avg(delivery_days) AS avg_delivery_days,
                   coalesce(sum(is_late), 0) AS late_count, coalesce(sum(on_time), 0) AS on_time_count,
                   avg(delivery_delay_days) AS avg_delay_days
-           FROM delivered GROUP BY 1) d ON a.customer_state IS NOT DISTINCT FROM d.customer_state
+           FROM delivered WHERE customer_state IS NOT NULL GROUP BY 1) d ON a.customer_state IS NOT DISTINCT FROM d.customer_state
 """
 register("state_performance", STATE_SPEC, STATE_SQL)(lambda c: mart(c, "state_perf"))
 
@@ -204,7 +204,7 @@ register("delivery_by_state",
          "customer_state:s, order_count:i, avg_delivery_days:d, avg_delay_days:d, late_pct:d, avg_review_score:d",
          """SELECT customer_state, count(order_id) AS order_count, avg(delivery_days) AS avg_delivery_days,
                    avg(delivery_delay_days) AS avg_delay_days, avg(is_late) * 100 AS late_pct,
-                   avg(review_score) AS avg_review_score FROM delivered GROUP BY 1""")(
+                   avg(review_score) AS avg_review_score FROM delivered WHERE customer_state IS NOT NULL GROUP BY 1""")(
     lambda c: marts.delivery_by_state(c.master))
 
 register("delivery_by_category",
@@ -212,7 +212,8 @@ register("delivery_by_category",
          """SELECT fc.product_category_name_english, count(fc.order_id) AS order_count, avg(d.delivery_days) AS avg_delivery_days,
                    avg(d.delivery_delay_days) AS avg_delay_days, avg(d.is_late) * 100 AS late_pct,
                    avg(d.review_score) AS avg_review_score
-            FROM first_cat fc LEFT JOIN delivered d ON fc.order_id = d.order_id GROUP BY 1""")(
+            FROM first_cat fc LEFT JOIN delivered d ON fc.order_id = d.order_id
+            WHERE fc.product_category_name_english IS NOT NULL GROUP BY 1""")(
     lambda c: mart(c, "del_by_cat3"))
 
 register("review_score_dist", "review_score:i, order_count:i, pct:d",

@@ -105,9 +105,9 @@ register("customer_geography",
                                coalesce(sum(order_value), 0) AS total_revenue,
                                CAST(sum(order_value) AS DOUBLE) / NULLIF(count(order_value), 0) AS avg_order_value,
                                avg(review_score) AS avg_review_score
-                        FROM delivered GROUP BY 1) s) g
+                        FROM delivered WHERE customer_state IS NOT NULL GROUP BY 1) s) g
             LEFT JOIN (SELECT h.customer_state, count(*) AS n FROM rfm JOIN home h USING (customer_unique_id)
-                       WHERE rfm.frequency >= 2 GROUP BY 1) r ON g.customer_state IS NOT DISTINCT FROM r.customer_state""",
+                       WHERE rfm.frequency >= 2 AND h.customer_state IS NOT NULL GROUP BY 1) r ON g.customer_state IS NOT DISTINCT FROM r.customer_state""",
          RFM_CTE)(lambda c: mart(c, "cust_geo"))
 
 register("state_overcount", "state_sum:i, distinct_customers:i, overcount:i",

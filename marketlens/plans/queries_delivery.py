@@ -65,7 +65,7 @@ state_enriched AS (
                coalesce(sum(on_time), 0)::DOUBLE / NULLIF(coalesce(sum(on_time), 0) + coalesce(sum(is_late), 0), 0) * 100 AS on_time_pct,
                coalesce(sum(is_late), 0)::DOUBLE / NULLIF(coalesce(sum(on_time), 0) + coalesce(sum(is_late), 0), 0) * 100 AS late_pct,
                count(order_id) < 200 AS low_volume
-        FROM del_valid GROUP BY 1) s, nat n)
+        FROM del_valid WHERE customer_state IS NOT NULL GROUP BY 1) s, nat n)
 """
 register("delivery_by_state_enriched", STATE_ENRICHED_SPEC, "SELECT * FROM state_enriched", STATE_ENRICHED_CTE)(
     lambda c: mart(c, "del_state"))
@@ -82,7 +82,8 @@ cat_enriched AS (
                coalesce(sum(d.is_late), 0) AS late_count, coalesce(sum(d.on_time), 0) AS on_time_count,
                avg(d.review_score) AS avg_review_score,
                coalesce(sum(d.is_late), 0)::DOUBLE / NULLIF(coalesce(sum(d.is_late), 0) + coalesce(sum(d.on_time), 0), 0) * 100 AS late_pct
-        FROM first_cat fc LEFT JOIN del_valid d ON fc.order_id = d.order_id GROUP BY 1) g, nat n)
+        FROM first_cat fc LEFT JOIN del_valid d ON fc.order_id = d.order_id
+        WHERE fc.product_category_name_english IS NOT NULL GROUP BY 1) g, nat n)
 """
 CAT_ENRICHED_SPEC = ("product_category_name_english:s, order_count:i, avg_delivery_days:d, median_delivery_days:d, "
                      "avg_delay_days:d, late_count:i, on_time_count:i, avg_review_score:d, late_pct:d, nat_late_pct:d, "
@@ -109,7 +110,8 @@ register("seller_best_worst",
 
 register("seller_delivery_by_state", "seller_state:s, seller_count:i, total_orders:i, avg_late_pct:d, avg_review_score:d",
          """SELECT seller_state, count(seller_id) AS seller_count, sum(order_count) AS total_orders,
-                   avg(late_pct) AS avg_late_pct, avg(avg_review_score) AS avg_review_score FROM seller_all GROUP BY 1""",
+                   avg(late_pct) AS avg_late_pct, avg(avg_review_score) AS avg_review_score FROM seller_all
+            WHERE seller_state IS NOT NULL GROUP BY 1""",
          NAT_CTE)(lambda c: dl.seller_delivery_by_state(c.order_sellers, c.master))
 
 STARS = ", ".join(f"avg((review_score = {k})::INT) * 100 AS pct_{k}star" for k in range(1, 6))
@@ -130,7 +132,7 @@ register("review_by_state",
               SELECT customer_state, count(review_score) AS review_count, avg(review_score) AS avg_review_score,
                      avg((review_score = 1)::INT) * 100 AS pct_1star, avg((review_score = 5)::INT) * 100 AS pct_5star,
                      avg(is_late) * 100 AS late_pct
-              FROM del_valid WHERE review_score IS NOT NULL GROUP BY 1) s,
+              FROM del_valid WHERE review_score IS NOT NULL AND customer_state IS NOT NULL GROUP BY 1) s,
             (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: mart(c, "rev_state"))
 
 register("review_by_category",
@@ -141,7 +143,8 @@ register("review_by_category",
                      avg(d.review_score) AS avg_review_score, avg((d.review_score = 1)::INT) * 100 AS pct_1star,
                      avg((d.review_score = 5)::INT) * 100 AS pct_5star, avg(d.is_late) * 100 AS late_pct,
                      avg(d.delivery_delay_days) AS avg_delay_days
-              FROM first_cat fc JOIN del_valid d ON fc.order_id = d.order_id WHERE d.review_score IS NOT NULL GROUP BY 1) s,
+              FROM first_cat fc JOIN del_valid d ON fc.order_id = d.order_id
+              WHERE d.review_score IS NOT NULL AND fc.product_category_name_english IS NOT NULL GROUP BY 1) s,
             (SELECT avg(review_score) AS nr FROM del_valid) n""")(lambda c: mart(c, "rev_cat"))
 
 # the overview document as served (scalar fields + a bucket -> count map): a
