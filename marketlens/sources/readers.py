@@ -10,24 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .schemas import SOURCE_SCHEMAS
 
-# Source file names of the nine marketplace tables.
-SOURCE_FILES = {
-    "customers": "olist_customers_dataset.csv",
-    "orders": "olist_orders_dataset.csv",
-    "items": "olist_order_items_dataset.csv",
-    "payments": "olist_order_payments_dataset.csv",
-    "reviews": "olist_order_reviews_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "translation": "product_category_name_translation.csv",
-}
-
-
-def load_raw_csv(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """The nine raw tables from CSV (header row, UTF-8), lazily."""
+# Default file of each table: ``<table>.csv`` in the raw folder. Real exports
+# with other names are read by passing ``files={table: file_name}``.
+SOURCE_FILES = {name: f"{name}.csv" for name in SOURCE_SCHEMAS}
+
+
+def load_raw_csv(spark: SparkSession, raw_dir: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The nine raw tables from CSV (header row, UTF-8), lazily. ``files``
+    maps table names to file (or folder) names inside ``raw_dir``."""
+    mapping = dict(SOURCE_FILES, **(files or {}))
     out = {}
-    for name, fname in SOURCE_FILES.items():
+    for name, fname in mapping.items():
         out[name] = (spark.read.schema(SOURCE_SCHEMAS[name])
                      .option("header", True)
                      .option("multiLine", True)
