@@ -4,15 +4,15 @@ The analysed pipeline ranks, takes quantiles and picks per-key rows on one
 machine. Here each of those is a plan that never places an unbounded group in
 one task:
 
-* ``distributed_row_number``: ``row_number()`` in a total order, computed as a
-  per-bucket offset (small count table, running sum) plus a ``row_number``
-  inside each order-preserving bucket.
+* ``distributed_row_number``: ``row_number()`` in a total order, computed as
+  hierarchical per-bucket offsets (small count tables, running sums) plus a
+  ``row_number`` inside each order-preserving bucket tuple.
 * ``values_at_ranks`` / ``exact_quantiles``: exact order statistics. Values are
   first collapsed to (value, multiplicity) pairs, grouped into logarithmic,
   order-preserving buckets, the buckets holding the wanted ranks are located
   from a small histogram, and only those buckets are ordered.
 * ``with_scalars``: one-row aggregates (national rates, totals, thresholds)
-  attached by a broadcast cross join of that single row, never collected.
+  attached as one scalar subquery; Spark runs it once and inlines the row.
 """
 
 from __future__ import annotations
