@@ -14,6 +14,7 @@ from __future__ import annotations
 from ..operators.stats import attach
 
 import argparse
+import json
 import os
 
 from pyspark.sql import SparkSession
@@ -40,9 +41,9 @@ def build_facts(ctx: MarketContext, out: str) -> dict[str, str]:
 
 
 def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str | None = None,
-        fixture: bool = True, train_model: bool = True) -> dict[str, str]:
+        fixture: bool = True, train_model: bool = True, csv_files: dict | None = None) -> dict[str, str]:
     """Run every phase; return the written paths by name."""
-    raw = load_raw_csv(spark, csv_dir) if csv_dir else None
+    raw = load_raw_csv(spark, csv_dir, csv_files) if csv_dir else None
     ctx = MarketContext(spark, sf_dir, raw=raw, materialize="none")
     written = build_facts(ctx, out)
 
@@ -134,11 +135,13 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--sf-dir")
     ap.add_argument("--csv-dir")
+    ap.add_argument("--csv-files", help='JSON map of table -> file name, e.g. {"orders": "orders_2024.csv"}')
     ap.add_argument("--no-model", action="store_true")
     a = ap.parse_args(argv)
     spark = get_spark()
+    files = json.loads(a.csv_files) if a.csv_files else None
     for name, path in run(spark, a.out, a.sf_dir, a.csv_dir, fixture=a.csv_dir is None,
-                          train_model=not a.no_model).items():
+                          train_model=not a.no_model, csv_files=files).items():
         print(f"{name}\t{path}")
 
 
