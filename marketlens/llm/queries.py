@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, sharding, simhash, urls
+from . import decontam, pii, pq, quality, sentencepiece, sharding, simhash, suffix, toxicity, urls
 from .common import table
 
 
@@ -15,6 +15,18 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(table(spark, sf_dir, "documents"))
 
@@ -23,13 +35,26 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op5_sharding, op6_benchmark_decontamination,
-                                    op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (
+        op1_url_filters, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_sentencepiece, op5_sharding,
+        op6_benchmark_decontamination, op7_toxicity, op8_pii, op9_quality_classifier, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
