@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, partitions_for, save
+from .common import connected_components, partitions_for, save, whole
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -51,15 +51,20 @@ def fingerprint(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per input row; fp is the fingerprint's 64 bits as
-    a long."""
+    """(doc_id, text_key, fp): one row per input row; fp is the fingerprint's 64
+    bits as a long, text_key tells the texts of rows with one doc_id apart."""
     def run(batches):
         for b in batches:
-            texts = b.column(1).cast(pa.large_binary()).to_pylist()
+            texts = b.column(2).cast(pa.large_binary()).to_pylist()
             fp = np.array([fingerprint(t or b"", shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), _text_key(), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, text_key long, fp long")
+
+
+def _text_key():
+    return F.xxhash64(whole(F.col("text").cast("string"))).alias("text_key")
 
 
 def _variants(batches):
@@ -172,6 +177,18 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, max_group: int =
     return keys.repartition(parts, "key").mapInArrow(_link(max_bits), "a long, b long")
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_key, fp), and for each fingerprint the ``root`` of
+    its group and the group's smallest doc_id."""
+    rows = save(fingerprints(docs, shingle))
+    nodes = save(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    comps = connected_components(fingerprint_links(nodes, max_bits))
+    label = save(nodes.join(comps, nodes["fp"] == comps["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")))
+    ids = label.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows, label.join(ids, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.
 
@@ -181,24 +198,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     are linked. A null doc_id gets a row and takes part, but is never a
     component's id (the id is null when no member has one). Extra columns are
     ignored."""
-    rows = save(fingerprints(docs, shingle))
-    nodes = save(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    comps = connected_components(fingerprint_links(nodes, max_bits))
-    label = nodes.join(comps, nodes["fp"] == comps["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    label = save(label)
-    ids = label.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = label.join(ids, "root").select("fp", "component_id")
+    rows, label = _grouped(docs, shingle, max_bits)
     return rows.join(label, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents that are their group's smallest doc_id; rows that share
-    that id stay together only if their text is the same, and then once.
-    Documents without an id are kept. Columns as in ``docs``."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    drop = found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*[F.col(c) for c in docs.columns])
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    """One row of each group: the one with the smallest doc_id (a null id comes
+    last), of several with that id the one with the smallest hash of its text.
+    Columns as in ``docs``."""
+    rows, label = _grouped(docs.select("doc_id", "text"), shingle, max_bits)
+    rows = rows.join(label, "fp").select("root", "doc_id", "text_key", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key").alias("rank"))
+    rows = save(rows)
+    best = rows.groupBy("root").agg(F.min("rank").alias("best"))
+    lost = rows.join(best, "root").where("rank <> best").select(
+        F.col("doc_id").alias("_i"), F.col("text_key").alias("_t")).distinct()
+    keyed = docs.withColumn("_text_key", _text_key())
+    kept = keyed.join(lost, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_text_key") == F.col("_t")), "left_anti")
+    again = rows.groupBy("doc_id", "text_key").count().where("count > 1")
+    if not again.isEmpty():  # rows alike in id and text: one of them
+        kept = kept.dropDuplicates(["doc_id", "_text_key"])
+    return kept.select(*docs.columns)
