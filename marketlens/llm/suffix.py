@@ -7,7 +7,10 @@ doc_id, so a string found in an earlier shard is in a smaller document.
 1. Anchors. In every window the smallest hash of its 24-byte substrings is its
    anchor; equal windows have equal anchors. Anchors that no second document
    has cannot lie in a repeated window, and their windows are left out of what
-   follows. This only spares work: no repeated window is lost.
+   follows. So are anchors whose windows are the same in every document that
+   has them, as inside a copied passage: there the first document keeps the
+   windows, and the others lose them. Both only spare work; what remains are
+   the windows at the edges of passages and in passages that vary.
 2. Each shard builds the suffix array of the remaining passages
    (Larsson-Sadakane refinement), takes common prefixes of neighbours by
    Kasai's scan, and so has its classes of equal windows, each with its
@@ -44,20 +47,18 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(27))
 
 
-def substring_hashes(a: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of all substrings of ``size`` bytes, by doubling."""
-    n = len(a) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
+def substring_hashes(a: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """64-bit hashes of all substrings of each size, by doubling."""
     part, length, power = a.astype(np.uint64) + np.uint64(1), 1, _BASE
-    out, done = None, 0
+    out, done = [None] * len(sizes), [0] * len(sizes)
     while True:
-        if size & length:
-            tail = part[size - done - length:][:n]  # the pieces from the right
-            out = tail if out is None else tail * np.uint64(pow(_BASE, done, 1 << 64)) + out
-            done += length
-        if length * 2 > size:
-            return _mix(out)
+        for k, size in enumerate(sizes):
+            if size & length:
+                tail = part[size - done[k] - length:][:max(0, len(a) - size + 1)]  # the pieces from the right
+                out[k] = tail if out[k] is None else tail * np.uint64(pow(_BASE, done[k], 1 << 64)) + out[k]
+                done[k] += length
+        if length * 2 > max(sizes):
+            return [_mix(x) for x in out]
         part = part[:-length] * np.uint64(power) + part[length:]
         power, length = power * power % (1 << 64), 2 * length
 
@@ -86,24 +87,30 @@ def _pieces(texts: list[bytes], window: int):
 
 
 def anchor_runs(texts: list[bytes], window: int = WINDOW):
-    """(text, start, length, anchor): maximal runs of window starts with one
-    anchor, for all windows of ``texts``."""
+    """(text, start, length, anchor, content): maximal runs of window starts
+    with one anchor, for all windows of ``texts``. ``content`` is a hash of the
+    run's bytes, 0 for a run so long that its first and last windows don't
+    cover it."""
+    width = window - GRAM + 1
     found = []
     for pieces in _pieces(texts, window):
         a = np.frombuffer(b"".join(p[2] for p in pieces), dtype=np.uint8)
         sizes = np.array([len(p[2]) for p in pieces])
         first = np.cumsum(sizes) - sizes
-        low = _sliding_min(substring_hashes(a, GRAM), window - GRAM + 1)
+        gram, string = substring_hashes(a, GRAM, window)
+        low = _sliding_min(gram, width)
         piece = np.repeat(np.arange(len(pieces)), sizes - window + 1)
         starts = np.arange(len(piece)) + np.repeat(first - (np.cumsum(sizes - window + 1) - (sizes - window + 1)), sizes - window + 1)
         low = low[starts]
         new = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (piece[1:] != piece[:-1])])
         text, offset = (np.array([p[k] for p in pieces]) for k in (0, 1))
-        k = piece[new]
-        found.append((text[k], offset[k] + starts[new] - first[k], np.diff(np.r_[new, len(low)]), low[new]))
+        k, length = piece[new], np.diff(np.r_[new, len(low)])
+        at = starts[new]
+        content = _mix(string[at] * np.uint64(_BASE) + string[at + length - 1] + length.astype(np.uint64)) >> np.uint64(16)
+        found.append((text[k], offset[k] + at - first[k], length, low[new], np.where(length <= width, np.maximum(content, 1), 0)))
     if not found:
-        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
-    return tuple(np.concatenate([f[k] for f in found]) for k in range(4))
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    return tuple(np.concatenate([f[k] for f in found]) for k in range(5))
 
 
 def _packed(a: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -228,46 +235,77 @@ def _rows(shard: int, buckets, blobs) -> pa.Table:
 _PACKED = "bucket int, shard int, data binary"
 
 
+CODE_BITS = 30
+CANDIDATE, FIRST, LATER = 0, 1, 2
+
+
+def _anchor_code(low: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 30 more bits; a chance collision only adds a candidate."""
+    n = np.uint64(buckets)
+    return (low % n) << np.uint64(CODE_BITS) | (low // n & np.uint64((1 << CODE_BITS) - 1))
+
+
 def _anchors(window: int, buckets: int):
+    """Of a shard, by bucket: each anchor with a mark if several documents have
+    it, and the content of its runs, 0 if they differ."""
     def run(table: pa.Table) -> pa.Table:
         texts, rank, *_ = _shard(table)
-        text, _, _, low = anchor_runs(texts, window)
+        text, _, _, low, content = anchor_runs(texts, window)
         code = _anchor_code(low, buckets)
         o = np.argsort(code, kind="stable")
-        code, r = code[o], rank[text[o]]
+        code, r, content = code[o], rank[text[o]], content[o]
         new = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.arange(0)
         if not len(new):
             return _rows(0, [], [])
         several = np.minimum.reduceat(r, new) != np.maximum.reduceat(r, new)
+        least, most = np.minimum.reduceat(content, new), np.maximum.reduceat(content, new)
+        content = np.where(least == most, most, 0)
         code = code[new]
-        bucket = (code >> np.uint64(31)).astype(np.int64)
-        value = ((code & np.uint64(0x7FFFFFFF)) << np.uint64(1) | several.astype(np.uint64)).astype(np.uint32)
+        bucket = (code >> np.uint64(CODE_BITS)).astype(np.int64)
+        value = ((code & np.uint64((1 << CODE_BITS) - 1)) << np.uint64(2) | several.astype(np.uint64)).astype(np.uint32)
         used, at = np.unique(bucket, return_index=True)
-        return _rows(table.column("shard")[0].as_py(), used, [x.tobytes() for x in np.split(value, at[1:])])
+        blobs = [v.tobytes() + _bytes(c, 6) for v, c in zip(np.split(value, at[1:]), np.split(content, at[1:]))]
+        return _rows(table.column("shard")[0].as_py(), used, blobs)
 
     return run
 
 
-def _anchor_code(low: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket and 31 more bits; a chance collision only adds a candidate."""
-    n = np.uint64(buckets)
-    return (low % n) << np.uint64(31) | (low // n & np.uint64(0x7FFFFFFF))
+def _bytes(x: np.ndarray, n: int) -> bytes:
+    """The n low bytes of each number."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :n]).tobytes()
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return np.pad(np.frombuffer(data, np.uint8).reshape(-1, n), ((0, 0), (0, 8 - n))).view(np.uint64).ravel()
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of each shard's anchors in a bucket those that a second document has."""
-    bucket, shards = table.column("bucket")[0].as_py(), table.column("shard").to_pylist()
-    lists = [np.frombuffer(x, np.uint32) for x in table.column("data").to_pylist()]
-    every = np.sort(np.concatenate(lists) >> np.uint32(1))
-    again = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]]] + [(x >> 1)[(x & 1) == 1] for x in lists]))
-    out = []
-    for x in lists:
-        x = x >> np.uint32(1)
-        at = np.searchsorted(again, x)
-        out.append(x[again[np.minimum(at, len(again) - 1)] == x].tobytes() if len(again) else b"")
-    keep = [k for k, x in enumerate(out) if x]
-    return pa.table({"bucket": pa.array([bucket] * len(keep), pa.int32()), "shard": pa.array([shards[k] for k in keep], pa.int32()),
-                     "data": pa.array([out[k] for k in keep], pa.binary())})
+    """Of each shard's anchors in a bucket those that a second document has:
+    candidates, or settled because all their runs are alike, with a mark if
+    this is the first shard that has them."""
+    bucket, shards = table.column("bucket")[0].as_py(), np.array(table.column("shard").to_pylist())
+    data = table.column("data").to_pylist()
+    turn = np.argsort(shards, kind="stable")
+    sizes = np.array([len(data[k]) // 10 for k in turn])
+    value = np.concatenate([np.frombuffer(data[k], np.uint32, len(data[k]) // 10) for k in turn])
+    content = np.concatenate([_numbers(data[k][len(data[k]) // 10 * 4:], 6) for k in turn])
+    owner = np.repeat(shards[turn], sizes)
+    o = np.argsort(value >> np.uint32(2), kind="stable")  # shards stay in order
+    value, content, owner = value[o], content[o], owner[o]
+    code = value >> np.uint32(2)
+    new = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    size = np.diff(np.r_[new, len(code)])
+    again = (size > 1) | (value[new] & np.uint32(1) == 1)
+    least, most = np.minimum.reduceat(content, new), np.maximum.reduceat(content, new)
+    settled = (least == most) & (most > 0)
+    kind = np.where(np.repeat(settled, size), LATER, CANDIDATE)
+    kind[new] = np.where(settled, FIRST, CANDIDATE)
+    keep = np.repeat(again, size)
+    out, owner = (code << np.uint32(2) | kind.astype(np.uint32))[keep], owner[keep]
+    o = np.argsort(owner, kind="stable")
+    used, at = np.unique(owner[o], return_index=True)
+    return pa.table({"bucket": pa.array([bucket] * len(used), pa.int32()), "shard": pa.array(used.tolist(), pa.int32()),
+                     "data": pa.array([x.tobytes() for x in np.split(out[o], at[1:])] if len(used) else [], pa.binary())})
 
 
 def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -290,19 +328,34 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 
 def _classes(window: int, anchor_buckets: int, buckets: int):
-    """Suffix array of a shard's passages: the hash of each class of equal
-    windows for its bucket; for the shard itself, in a bucket of its own, the
-    passages and the windows that a smaller document of the shard has."""
+    """Suffix array of a shard's candidate passages: the hash of each class of
+    equal windows for its bucket; for the shard itself, in a bucket of its own,
+    the passages and the windows known to go: settled ones, and those that a
+    smaller document of the shard has."""
     def run(table: pa.Table, found: pa.Table) -> pa.Table:
         if not table.num_rows or not found.num_rows:
             return _rows(0, [], [])
         shard = table.column("shard")[0].as_py()
         texts, rank, *_ = _shard(table)
-        codes = np.sort(np.concatenate([np.uint64(b) << np.uint64(31) | np.frombuffer(x, np.uint32).astype(np.uint64)
-                                        for b, x in zip(found.column("bucket").to_pylist(), found.column("data").to_pylist())]))
-        text, start, length, low = anchor_runs(texts, window)
-        keep = _member(codes, _anchor_code(low, anchor_buckets))
+        codes = [(np.uint64(b), np.frombuffer(x, np.uint32).astype(np.uint64))
+                 for b, x in zip(found.column("bucket").to_pylist(), found.column("data").to_pylist())]
+        kind = np.concatenate([x & np.uint64(3) for _, x in codes])
+        codes = np.concatenate([b << np.uint64(CODE_BITS) | x >> np.uint64(2) for b, x in codes])
+        text, start, length, low, _ = anchor_runs(texts, window)
+        low = _anchor_code(low, anchor_buckets)
+        gone = _member(np.sort(codes[kind == LATER]), low)
+        first = np.sort(codes[kind == FIRST])
+        mine = np.flatnonzero(_member(first, low))
+        if len(mine):  # the first shard: its smallest document keeps the windows
+            at, r = np.searchsorted(first, low[mine]), rank[text[mine]]
+            smallest = np.full(len(first), len(rank) + len(table))
+            np.minimum.at(smallest, at, r)
+            gone[mine[r > smallest[at]]] = True
+        gone = _passages(texts, text[gone], start[gone], length[gone], window)
+        keep = _member(np.sort(codes[kind == CANDIDATE]), low)
         text, start, length = _passages(texts, text[keep], start[keep], length[keep], window)
+        if not len(text):
+            return _rows(shard, [-1 - shard], [_pack(text, start, length, *gone)])
         a, left, passage = _joined(texts, text, start, length, window)
         order = suffix_array(a, left, window)
         order = order[left[order] >= window]
@@ -312,18 +365,20 @@ def _classes(window: int, anchor_buckets: int, buckets: int):
         owner = rank[text[passage[order]]]
         smallest = np.minimum.reduceat(owner, new)
         later = order[owner > np.repeat(smallest, size)]
-        value = np.sort(substring_hashes(a, window)[order[new]])
+        value = np.sort(substring_hashes(a, window)[0][order[new]])
         bucket = (value % np.uint64(buckets)).astype(np.int64)
         o = np.argsort(bucket, kind="stable")
         value, bucket = (value // np.uint64(buckets))[o], bucket[o]
         used, at = np.unique(bucket, return_index=True)
-        blobs = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes() for x in np.split(value, at[1:])]
+        blobs = [_bytes(x, 7) for x in np.split(value, at[1:])]
         mark = np.zeros(len(a) + 1, bool)
         mark[later] = True
         s, n = _true_runs(mark)
         first = np.cumsum(length + window - 1) - (length + window - 1)
         p = passage[s] if len(s) else s
-        return _rows(shard, [*used.tolist(), -1 - shard], [*blobs, _pack(text, start, length, text[p], start[p] + s - first[p], n)])
+        later = (text[p], start[p] + s - first[p], n)
+        later = [np.concatenate(x) for x in zip(gone, later)]
+        return _rows(shard, [*used.tolist(), -1 - shard], [*blobs, _pack(text, start, length, *later)])
 
     return run
 
@@ -341,8 +396,7 @@ def _seen_earlier(table: pa.Table) -> pa.Table:
     if bucket < 0:
         return table.select(["bucket", "shard", "data"])
     shards = np.array(table.column("shard").to_pylist())
-    lists = [np.frombuffer(x, np.uint8).reshape(-1, 7) for x in table.column("data").to_pylist()]
-    lists = [np.pad(x, ((0, 0), (0, 1))).view(np.uint64).ravel() for x in lists]
+    lists = [_numbers(x, 7) for x in table.column("data").to_pylist()]
     turn = np.argsort(shards, kind="stable")
     every = np.concatenate([lists[k] for k in turn])
     merged, first = np.unique(every, return_index=True)  # the first is of the smallest shard
@@ -374,9 +428,9 @@ def _cut(window: int, buckets: int, texts_too: bool):
         if own is not None:
             text, start, length, *later = own
             remove(*later)
-            if seen:
+            if seen and len(text):
                 a, left, passage = _joined(texts, text, start, length, window)
-                mark = _member(np.sort(np.concatenate(seen)), substring_hashes(a, window))
+                mark = _member(np.sort(np.concatenate(seen)), substring_hashes(a, window)[0])
                 mark &= (left >= window)[:len(mark)]
                 s, n = _true_runs(mark)
                 first = np.cumsum(length + window - 1) - (length + window - 1)
