@@ -30,7 +30,7 @@ COSINE = 0.9
 TRAIN_ROWS = 20_000  # the index is fitted on at most so many vectors
 SUBSPACES = 8
 CODEWORDS = 256
-MAX_LISTS = 256
+MAX_LISTS = 512
 MEMBERS = 2048   # vectors of a list in one block
 QUERIES = 8192   # queries of a block
 STEP = 256
@@ -98,32 +98,38 @@ class Index:
         return [((r := rest[:, dims]) ** 2).sum(1)[:, None].astype(np.float32) - (2 * r @ w.T).astype(np.float32)
                 + (w * w).sum(1).astype(np.float32) for dims, w in zip(self.dims, self.words)]
 
-    def links(self, queries: np.ndarray, members: np.ndarray, cell: int, cosine: float) -> np.ndarray:
-        """Boolean matrix of linked pairs of unit vectors."""
+    def links(self, queries: np.ndarray, members: np.ndarray, cell: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+        """Query and member of each linked pair of unit vectors."""
         codes, error = self.encode(members, cell)
         limit = ((self.reach + error + SLACK) ** 2).astype(np.float32)
-        out = np.zeros((len(queries), len(members)), bool)
+        rows, cols = [], []
         for i in range(0, len(queries), STEP):
             q = queries[i:i + STEP]
             d = np.zeros((len(q), len(members)), np.float32)
             for t, code in zip(self.tables(q, cell), codes):
-                d += t[:, code]
+                d += np.take(t, code, axis=1)
             near = d <= limit
             if near.mean() > 0.05:
-                out[i:i + STEP] = near & (q @ members.T >= cosine)
+                a, b = np.nonzero(near & (q @ members.T >= cosine))
             else:
                 a, b = np.nonzero(near)
                 ok = np.einsum("ij,ij->i", q[a], members[b]) >= cosine
-                out[i + a[ok], b[ok]] = True
-        return out
-
-
-def forest(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of a spanning forest of a bipartite link matrix."""
+                a, b = a[ok], b[ok]
+            rows.append((a + i).astype(np.int32))
+            cols.append(b.astype(np.int32))
+        return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.empty(0, np.int32), np.empty(0, np.int32))
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the bipartite links (a[i], b[i])."""
+    left, a = np.unique(a, return_inverse=True)
+    right, b = np.unique(b, return_inverse=True)
+    link = np.zeros((len(left), len(right)), bool)
+    link[a, b] = True
     across = np.ascontiguousarray(link.T)
-    rows, cols = link.any(1), link.any(0)
-    left, right = [], []
-    for start in np.flatnonzero(rows):
+    rows, cols = np.ones(len(left), bool), np.ones(len(right), bool)
+    out = ([], [])
+    for start in range(len(left)):
         if not rows[start]:
             continue
         rows[start] = False
@@ -133,12 +139,12 @@ def forest(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             free, own = (cols, link) if side == 0 else (rows, across)
             hit = np.flatnonzero(own[u] & free)
             free[hit] = False
-            left.append(np.full(len(hit), u) if side == 0 else hit)
-            right.append(hit if side == 0 else np.full(len(hit), u))
+            out[side].append(np.full(len(hit), u))
+            out[1 - side].append(hit)
             stack.extend((1 - side, v) for v in hit)
-    if not left:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
+    if not out[0]:
+        return left[:0], right[:0]
+    return left[np.concatenate(out[0])], right[np.concatenate(out[1])]
 
 
 def _matrix(column) -> np.ndarray:
@@ -188,26 +194,23 @@ def _block_task(blob: bytes, cosine: float):
         x = _unit(_matrix(table.column("x")))
         home = table.column("home").to_numpy()
         qi, mi = np.flatnonzero(~member), np.flatnonzero(member)
-        link = index.links(x[qi], x[mi], cell, cosine)
+        a, b = index.links(x[qi], x[mi], cell, cosine)
         # a query's pair with itself is none; of a pair that both lists see, the
         # smaller list has it
-        order = np.argsort(vec[mi], kind="stable")
-        at = order[np.minimum(np.searchsorted(vec[mi], vec[qi], sorter=order), max(len(mi) - 1, 0))] if len(mi) else qi * 0
-        if len(mi):
-            link[np.arange(len(qi)), at] &= vec[mi][at] != vec[qi]
         probes = np.unpackbits(np.frombuffer(b"".join(table.column("mask").to_pylist()), np.uint8).reshape(len(vec), -1), axis=1).astype(bool)
-        foreign = home[qi] != cell
-        for a in np.unique(home[qi][foreign]):
-            if a < cell:  # both lists see it if the member probes a
-                rows = np.flatnonzero(home[qi] == a)
-                link[np.ix_(rows, np.flatnonzero(probes[mi][:, a]))] = False
+        q, m = qi[a], mi[b]
+        q_home = home[q]
+        twice = (q_home < cell) & probes[m, q_home]
+        keep = (vec[q] != vec[m]) & ~twice
+        q, m = q[keep], m[keep]
         found = np.zeros(len(vec), np.int64)
-        found[qi] = link @ weight[mi]
-        found[mi] = link[foreign].T @ weight[qi][foreign]
-        a, b = forest(link)
+        np.add.at(found, q, weight[m])
+        across = home[q] != cell  # in its own list a pair is seen from both ends
+        np.add.at(found, m[across], weight[q[across]])
+        a, b = forest(q, m)
         some = found > 0
-        return pa.table({"vec": pa.array(np.r_[vec[some], vec[qi][a]], pa.int64()),
-                         "other": pa.array(np.r_[np.zeros(some.sum(), np.int64), vec[mi][b]], pa.int64(),
+        return pa.table({"vec": pa.array(np.r_[vec[some], vec[a]], pa.int64()),
+                         "other": pa.array(np.r_[np.zeros(some.sum(), np.int64), vec[b]], pa.int64(),
                                            mask=np.r_[np.ones(some.sum(), bool), np.zeros(len(a), bool)]),
                          "n": pa.array(np.r_[found[some], np.zeros(len(a), np.int64)], pa.int64())})
 
@@ -217,7 +220,7 @@ def _block_task(blob: bytes, cosine: float):
 def _links_of(reps: DataFrame, n: int, cosine: float, train_rows: int) -> DataFrame:
     """(vec, other, n) of representatives (vec, weight, x) of one dimension:
     counts, and links whose components are those of all links."""
-    lists = max(1, min(MAX_LISTS, round(math.sqrt(n) / 8)))
+    lists = max(1, min(MAX_LISTS, round(math.sqrt(n) / 2)))
     sample = reps.select("vec", "x").orderBy(F.xxhash64("vec"), "vec").limit(train_rows).withColumn("all", F.lit(0))
     blob = sample.groupBy("all").applyInArrow(_train_task(lists), "model binary").first()[0]
     placed = save(reps.mapInArrow(_probe_task(blob, cosine), "vec long, weight long, x array<float>, home int, probes array<int>, mask binary"))
