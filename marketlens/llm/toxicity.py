@@ -23,7 +23,7 @@ CATEGORIES = ("low_quality", "toxic", "severe")
 TRAIN_ROWS = 10_000  # models are fitted on at most so many labelled documents
 FOLDS = 3
 FEATURES = 300       # hashed features of a category
-PENALTY = 1e-5       # a single clear mark may decide
+PENALTY = 1e-3
 THRESHOLD = 0.5
 SEVERE_MARKS = 3
 

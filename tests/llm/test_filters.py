@@ -174,10 +174,10 @@ def truth():
 
 
 def test_toxicity_accuracy_on_unseen_documents(spark, truth):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 6000")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    got = {r["doc_id"]: r for r in toxicity.classify(docs, labels.where("doc_id % 3 <> 0"), train_rows=2000).collect()}
-    assert len(got) == 6000
+    got = {r["doc_id"]: r for r in toxicity.classify(docs, labels.where("doc_id % 3 <> 0")).collect()}
+    assert len(got) == 10_000
     held = [(truth[i][1] == 1, got[i]["toxic"]) for i in got if i in truth and i % 3 == 0]
     found, wrong = sum(y and p for y, p in held), sum(p and not y for y, p in held)
     assert found >= 0.85 * sum(y for y, _ in held) and wrong <= 0.01 * len(held)
