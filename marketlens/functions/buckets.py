@@ -15,7 +15,8 @@ DELAY_LABELS = ["Early >7d", "Early 3-7d", "Early 0-3d",
                 "Late 1-3d", "Late 4-7d", "Late 8-14d", "Late >14d"]
 
 # Customer spend bucket edges (currency units, right-closed) and labels.
-SPEND_EDGES = [0, 50, 100, 200, 300, 500, 1000, 2000, 999999]
+# The top bucket is open: its label has no upper bound.
+SPEND_EDGES = [0, 50, 100, 200, 300, 500, 1000, 2000, math.inf]
 SPEND_LABELS = ["R$0-50", "R$51-100", "R$101-200", "R$201-300",
                 "R$301-500", "R$501-1000", "R$1001-2000", "R$2000+"]
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import zero_pad
+from ..functions.coerce import coerce
+from ..sources.schemas import SOURCE_SCHEMAS
 
 # Misspelt English category names and their corrections.
 SPELLING_FIXES = {
@@ -18,10 +20,6 @@ SPELLING_FIXES = {
     "costruction_tools_tools": "construction_tools_tools",
 }
 
-ORDER_TIMESTAMPS = ["order_purchase_timestamp", "order_approved_at",
-                    "order_delivered_carrier_date", "order_delivered_customer_date",
-                    "order_estimated_delivery_date"]
-
 
 def strip_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
@@ -37,16 +35,12 @@ def dedupe_on(df: DataFrame, key: str) -> DataFrame:
               .select(key, *[F.col(f"__r.{c}").alias(c) for c in others]))
 
 
-def _coerce_timestamp(df: DataFrame, c: str) -> DataFrame:
-    if c in df.columns and isinstance(df.schema[c].dataType, StringType):
-        return df.withColumn(c, F.try_to_timestamp(F.col(c)).cast("timestamp_ntz"))
-    return df
-
-
-def _coerce_number(df: DataFrame, c: str, t: str) -> DataFrame:
-    if c in df.columns and isinstance(df.schema[c].dataType, StringType):
-        return df.withColumn(c, F.col(c).try_cast(t))
-    return df
+def _typed(df: DataFrame, table: str) -> DataFrame:
+    """Text columns of a source table that should be typed, coerced: frames
+    that did not come through the CSV reader may hold them as text."""
+    types = {f.name: f.dataType for f in SOURCE_SCHEMAS[table].fields if not isinstance(f.dataType, StringType)}
+    return df.withColumns({c: coerce(c, t) for c, t in types.items()
+                           if c in df.columns and isinstance(df.schema[c].dataType, StringType)})
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
@@ -56,15 +50,11 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
-    for c in ORDER_TIMESTAMPS:
-        df = _coerce_timestamp(df, c)
-    return dedupe_on(df, "order_id")
+    return dedupe_on(_typed(df, "orders"), "order_id")
 
 
 def clean_items(df: DataFrame) -> DataFrame:
-    df = _coerce_timestamp(df, "shipping_limit_date")
-    df = _coerce_number(df, "price", "decimal(18,2)")
-    return _coerce_number(df, "freight_value", "decimal(18,2)")
+    return _typed(df, "items")
 
 
 def clean_sellers(df: DataFrame) -> DataFrame:
@@ -89,8 +79,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     """Per order: total value, max installments, dominant payment type
     (most rows; ties to the type seen at the lowest payment_sequential, then
     by name) and number of payment rows."""
-    df = _coerce_number(payments, "payment_value", "decimal(18,2)")
-    df = _coerce_number(df, "payment_installments", "int")
+    df = _typed(payments, "payments")
     by_type = df.groupBy("order_id", "payment_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("payment_sequential").alias("first_seq"),
@@ -110,8 +99,7 @@ def reviews_latest_per_order(reviews: DataFrame) -> DataFrame:
     """Latest review per order: for each column the last non-null value in
     creation-date order (rows without a date sort last, ties by review_id),
     the last non-null comments, and the number of review rows."""
-    df = _coerce_timestamp(reviews, "review_creation_date")
-    df = _coerce_timestamp(df, "review_answer_timestamp")
+    df = _typed(reviews, "reviews")
     order_key = F.struct(F.col("review_creation_date").isNull().cast("int").alias("undated"),
                          F.col("review_creation_date").alias("d"), F.col("review_id").alias("rid"))
 
@@ -129,17 +117,17 @@ def geolocation_by_zip(geo: DataFrame) -> DataFrame:
     """One row per zero-padded zip: exact median latitude / longitude and the
     most frequent city and state (ties alphabetical)."""
     from .stats import exact_quantiles
-    g = geo.withColumn("zip", zero_pad(F.col("geolocation_zip_code_prefix")))
-    lat = exact_quantiles(g, "geolocation_lat", {"lat": 0.5}, keys=["zip"]).select("zip", "lat")
-    lng = exact_quantiles(g, "geolocation_lng", {"lng": 0.5}, keys=["zip"]).select("zip", "lng")
-
-    def mode(c: str, alias: str):
-        counts = g.groupBy("zip", c).agg(F.count(F.lit(1)).alias("n")).where(F.col(c).isNotNull())
-        return counts.groupBy("zip").agg(
-            F.min_by(F.col(c), F.struct((-F.col("n")).alias("nn"), F.col(c).alias("v"))).alias(alias))
-
-    zips = g.select("zip").distinct()
-    return (zips.join(lat, "zip", "left").join(lng, "zip", "left")
-                .join(mode("geolocation_city", "city"), "zip", "left")
-                .join(mode("geolocation_state", "state"), "zip", "left")
-                .withColumnRenamed("zip", "geolocation_zip_code_prefix"))
+    g = geo.select(zero_pad(F.col("geolocation_zip_code_prefix")).alias("zip"), F.col("geolocation_lat").alias("lat"),
+                   F.col("geolocation_lng").alias("lng"), F.col("geolocation_city").alias("city"),
+                   F.col("geolocation_state").alias("state"))
+    # both axes in one quantile call, both texts in one count
+    axes = g.unpivot(["zip"], ["lat", "lng"], "axis", "v")
+    med = exact_quantiles(axes, "v", {"m": 0.5}, keys=["zip", "axis"])
+    pick = lambda value, name, key: F.max(F.when(F.col(key) == name, F.col(value))).alias(name)
+    med = med.groupBy("zip").agg(pick("m", "lat", "axis"), pick("m", "lng", "axis"))
+    texts = g.unpivot(["zip"], ["city", "state"], "what", "v")
+    counts = texts.groupBy("zip", "what", "v").agg(F.count(F.lit(1)).alias("n"))
+    # null texts stay, so that every zip has a row; they are never the mode
+    modes = counts.groupBy("zip", "what").agg(F.min_by("v", F.when(F.col("v").isNotNull(), F.struct((-F.col("n")).alias("nn"), "v"))).alias("mode"))
+    modes = modes.groupBy("zip").agg(pick("mode", "city", "what"), pick("mode", "state", "what"))
+    return modes.join(med, "zip", "left").select(F.col("zip").alias("geolocation_zip_code_prefix"), "lat", "lng", "city", "state")

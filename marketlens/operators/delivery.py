@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import DELAY_EDGES, DELAY_LABELS, bucket_dimension, pct, right_closed_bucket
+from ..functions import DELAY_EDGES, DELAY_LABELS, bucket_dimension, pct, right_closed_bucket, safe_div
 from .marts import del_valid
 from .stats import with_scalars, attach
 
@@ -133,16 +133,24 @@ def seller_delivery_all(order_sellers: DataFrame, master: DataFrame) -> DataFram
     count in order_count with null timing)."""
     dv = del_valid(master).select("order_id", "delivery_days", "delivery_delay_days", "is_late", "on_time",
                                   "review_score")
-    g = order_sellers.join(dv, "order_id", "left").groupBy("seller_id").agg(
-        F.count("order_id").alias("order_count"),
+    # counted per seller and day number first: hash aggregation over all rows,
+    # and the median reads one row per day number with its frequency
+    days = order_sellers.join(dv, "order_id", "left").groupBy("seller_id", "delivery_days").agg(
+        F.count("order_id").alias("n"), F.min("seller_state").alias("seller_state"), F.min("seller_city").alias("seller_city"),
+        F.sum("delivery_delay_days").alias("delay"), F.count("delivery_delay_days").alias("delays"),
+        F.sum("is_late").alias("late"), F.sum("on_time").alias("ontime"),
+        F.sum("review_score").alias("score"), F.count("review_score").alias("scores"))
+    dated = F.when(F.col("delivery_days").isNotNull(), F.col("n"))
+    g = days.groupBy("seller_id").agg(
+        F.sum("n").alias("order_count"),
         F.min("seller_state").alias("seller_state"),
         F.min("seller_city").alias("seller_city"),
-        F.avg("delivery_days").alias("avg_delivery_days"),
-        F.percentile("delivery_days", F.lit(0.5)).alias("median_delivery_days"),
-        F.avg("delivery_delay_days").alias("avg_delay_days"),
-        F.coalesce(F.sum("is_late"), F.lit(0)).alias("late_count"),
-        F.coalesce(F.sum("on_time"), F.lit(0)).alias("on_time_count"),
-        F.avg("review_score").alias("avg_review_score"))
+        safe_div(F.sum(F.col("delivery_days") * F.col("n")), F.sum(dated)).alias("avg_delivery_days"),
+        F.percentile("delivery_days", F.lit(0.5), F.col("n")).alias("median_delivery_days"),
+        safe_div(F.sum("delay"), F.sum("delays")).alias("avg_delay_days"),
+        F.coalesce(F.sum("late"), F.lit(0)).alias("late_count"),
+        F.coalesce(F.sum("ontime"), F.lit(0)).alias("on_time_count"),
+        safe_div(F.sum("score"), F.sum("scores")).alias("avg_review_score"))
     return g.withColumn("late_pct", pct(F.col("late_count"), F.col("late_count") + F.col("on_time_count")))
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from ..functions import floor_days, hours_between, pct, safe_div, weekday_monday0
 from .marts import del_valid, is_delivered
-from .stats import exact_quantiles, values_at_ranks, with_scalars, attach
+from .stats import attach, exact_quantiles, values_at_ranks, with_range_bucket, with_scalars
 
 # Model features and target.
 NUMERIC_FEATURES = ["days_to_estimated", "total_freight_value", "avg_weight_g", "avg_volume_cm3",
@@ -130,6 +130,30 @@ def mode_imputer(train: DataFrame, cols: list[str]) -> DataFrame:
     return modes.agg(*[F.max(F.when(F.col("__col") == c, F.col("__mode"))).alias(f"__mode_{c}") for c in cols])
 
 
+def median_imputer(train: DataFrame, cols: list[str]) -> DataFrame:
+    """One row holding each numeric column's exact training median."""
+    long = train.select(*cols).unpivot([], cols, "__col", "__val")
+    med = exact_quantiles(long, "__val", {"__median": 0.5}, keys=["__col"])
+    return med.agg(*[F.max(F.when(F.col("__col") == c, F.col("__median"))).alias(f"__median_{c}") for c in cols])
+
+
+def apply_medians(df: DataFrame, medians: DataFrame, cols: list[str]) -> DataFrame:
+    out = with_scalars(df, medians)
+    for c in cols:
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__median_{c}"))).drop(f"__median_{c}")
+    return out
+
+
+def imputation_values(train: DataFrame) -> DataFrame:
+    """What missing values become: per feature the exact training median, or
+    the most frequent training value."""
+    med = median_imputer(train, NUMERIC_FEATURES).unpivot([], [f"__median_{c}" for c in NUMERIC_FEATURES], "feature", "median")
+    modes = mode_imputer(train, CATEGORICAL_FEATURES).unpivot([], [f"__mode_{c}" for c in CATEGORICAL_FEATURES], "feature", "mode")
+    med = med.select(F.regexp_replace("feature", "^__median_", "").alias("feature"), "median", F.lit(None).cast("string").alias("mode"))
+    return med.unionByName(modes.select(F.regexp_replace("feature", "^__mode_", "").alias("feature"),
+                                        F.lit(None).cast("double").alias("median"), "mode"))
+
+
 def apply_modes(df: DataFrame, modes: DataFrame, cols: list[str]) -> DataFrame:
     out = with_scalars(df, modes)
     for c in cols:
@@ -138,12 +162,10 @@ def apply_modes(df: DataFrame, modes: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def preprocessing_stages() -> list:
-    num_imputed = [f"{c}__imp" for c in NUMERIC_FEATURES]
     idx = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
     ohe = [f"{c}__ohe" for c in CATEGORICAL_FEATURES]
     return [
-        Imputer(strategy="median", inputCols=NUMERIC_FEATURES, outputCols=num_imputed),
-        VectorAssembler(inputCols=num_imputed, outputCol="__num"),
+        VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="__num"),
         StandardScaler(inputCol="__num", outputCol="__num_scaled", withMean=True, withStd=True),
         StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=idx, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
@@ -170,14 +192,22 @@ class TrainedModels:
     lr_scored: DataFrame
     rf_scored: DataFrame
 
+    def release(self) -> None:
+        self.test.unpersist()
+        self.cutoff.unpersist()
+
 
 def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_iter: int = 1000,
                  num_trees: int = 200, max_depth: int = 8, min_leaf: int = 20) -> TrainedModels:
     ensure_checkpoint_dir(ds.sparkSession)
     train, test, cut = time_split(_cast_numeric(ds), train_frac)
     modes = mode_imputer(train, CATEGORICAL_FEATURES)
-    train = apply_modes(with_weights(train), modes, CATEGORICAL_FEATURES).persist()
-    test = apply_modes(test, modes, CATEGORICAL_FEATURES).persist()
+    medians = median_imputer(train, NUMERIC_FEATURES)
+
+    def imputed(df):
+        return apply_medians(apply_modes(df, modes, CATEGORICAL_FEATURES), medians, NUMERIC_FEATURES)
+
+    train, test = imputed(with_weights(train)).persist(), imputed(test).persist()
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=TARGET, weightCol="weight",
                             regParam=1.0 / (lr_c * max(n, 1)), elasticNetParam=0.0,
@@ -204,11 +234,12 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
                           F.col("prediction").cast("int").alias("pred"))
         # reliable checkpoint in spark.checkpoint.dir: later evaluation plans
         # start from the written scores instead of the whole training lineage
-        kept = scored.persist()
-        out = kept.checkpoint(eager=True)
-        kept.unpersist()
-        return out
-    return TrainedModels(train, test, cut, lr_model, rf_model, score(lr_model), score(rf_model))
+        return scored.checkpoint(eager=True)
+
+    lr_scored, rf_scored = score(lr_model), score(rf_model)
+    train.unpersist()
+    xte.unpersist()
+    return TrainedModels(train, test, cut, lr_model, rf_model, lr_scored, rf_scored)
 
 
 # ---------------------------------------------------------------- evaluation over (label, score)
@@ -240,14 +271,15 @@ def classification_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFra
                                            F.col("precision") + F.col("recall"))))
 
 
-def roc_auc(scored: DataFrame, buckets: int = 4096) -> DataFrame:
+def roc_auc(scored: DataFrame, buckets: int = 256) -> DataFrame:
     """Exact ROC AUC with ties counted half: Σ_s pos_s (neg_below_s + neg_s / 2) / (P N).
     Scores are collapsed to distinct values; the running count of negatives
     is a per-bucket offset (small table) plus a running sum inside each
-    order-preserving score bucket."""
+    order-preserving score bucket, whose boundaries are taken from the
+    scores."""
     d = scored.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"),
                                     F.count_if(F.col("label") == 0).alias("neg"))
-    d = d.withColumn("__b", F.least(F.floor(F.col("score") * buckets), F.lit(buckets)).cast("bigint"))
+    d = with_range_bucket(d, "score", "__b", buckets)
     bt = d.groupBy("__b").agg(F.sum("neg").alias("__bn"))
     bt = bt.withColumn("__off", F.coalesce(F.sum("__bn").over(
         Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -46,6 +46,13 @@ def profile_nulls(df: DataFrame, table: str) -> DataFrame:
                        .alias("null_pct"))
 
 
+def null_totals(profile: DataFrame) -> DataFrame:
+    """Per table of a null profile: null cells, all cells and null %."""
+    return profile.groupBy("table").agg(
+        F.sum("null_count").alias("null_cells"), F.sum("row_count").alias("cells")).withColumn(
+        "null_pct", F.try_divide(F.col("null_cells").cast("double"), F.col("cells").cast("double")) * 100)
+
+
 def profile_exact_duplicates(df: DataFrame, table: str) -> DataFrame:
     """Rows equal to an earlier row (all columns), via a grouped count."""
     g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
@@ -59,10 +66,12 @@ def status_counts(orders: DataFrame) -> DataFrame:
 
 
 def category_cardinality(products: DataFrame) -> DataFrame:
-    return products.agg(
-        F.count_distinct("product_category_name").alias("distinct_categories_pt"),
-        F.count_distinct("product_category_name_english").alias("distinct_categories_en"),
-        F.count_if(F.col("product_category_name").isNull()).alias("missing_category_pt"))
+    # counted on the distinct pairs, so that two distinct counts expand no rows
+    pairs = products.groupBy("product_category_name", "product_category_name_english").agg(F.count(F.lit(1)).alias("__n"))
+    return pairs.agg(
+        F.size(F.collect_set("product_category_name")).cast("bigint").alias("distinct_categories_pt"),
+        F.size(F.collect_set("product_category_name_english")).cast("bigint").alias("distinct_categories_en"),
+        F.coalesce(F.sum(F.when(F.col("product_category_name").isNull(), F.col("__n"))), F.lit(0)).alias("missing_category_pt"))
 
 
 # ------------------------------------------------------------------ integrity
@@ -112,10 +121,8 @@ def structural_checks(ctx) -> DataFrame:
         check_unique_key(ctx.rfm, "customer_unique_id", "rfm_unique_customer"),
         _check(rows, "master_row_count_preserved", F.col("m"), F.col("o"), None),
         _check(grain, "full_rows_eq_items_plus_empty_orders", F.col("f"), F.col("i") + F.col("e"), None),
-        validity.select(F.lit("delivered_without_delivery_date").alias("check"), F.col("nd").cast("double").alias("value"),
-                        F.lit(None).cast("double").alias("expected"), F.lit(True).alias("passed")),
-        validity.select(F.lit("estimated_before_purchase").alias("check"), F.col("be").cast("double").alias("value"),
-                        F.lit(None).cast("double").alias("expected"), F.lit(True).alias("passed")),
+        _check(validity, "delivered_without_delivery_date", F.col("nd"), F.lit(0), None),
+        _check(validity, "estimated_before_purchase", F.col("be"), F.lit(0), None),
         _check(neg, "negative_price_items", F.col("neg"), F.lit(0), None),
         _check(inv, "order_value_eq_sales_plus_freight", F.col("ov"), F.lit(0), None),
         _check(inv, "is_late_only_when_delivered", F.col("il"), F.lit(0), None),

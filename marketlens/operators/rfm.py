@@ -16,15 +16,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ..functions import floor_days
 from .marts import delivered
-from .stats import distributed_row_number, exact_quantiles, log_bucket, prefix_bucket, with_scalars, attach
+from .stats import attach, distributed_row_number, exact_quantiles, with_range_bucket, with_scalars
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
-# RFM segment labels.
+# RFM segment labels, and in segment_of the score bounds of each.
 CHAMPIONS, LOYAL, NEW = "Champions", "Loyal Customers", "New Customers"
 POTENTIAL, AT_RISK, CANNOT_LOSE = "Potential Loyalists", "At Risk", "Cannot Lose Them"
 LOST, NEEDS_ATTENTION = "Lost / Inactive", "Needs Attention"
@@ -43,12 +42,6 @@ def rfm_base(master: DataFrame) -> DataFrame:
     return with_scalars(base, ref).withColumn("recency_days", floor_days("__ref", "last_purchase_date")).drop("__ref")
 
 
-def _id_bucket(df: DataFrame, c: str) -> F.Column:
-    if isinstance(df.schema[c].dataType, NumericType):
-        return log_bucket(F.col(c), 4096)
-    return prefix_bucket(F.col(c), 3)
-
-
 def _edges_score(x: F.Column, edges: list[F.Column]) -> F.Column:
     s = F.lit(1)
     for e in edges:
@@ -69,16 +62,18 @@ def segment_of(r: F.Column, f: F.Column, m: F.Column) -> F.Column:
              .otherwise(NEEDS_ATTENTION))
 
 
-def customer_rfm(master: DataFrame) -> DataFrame:
-    base = rfm_base(master)
+def customer_rfm(master: DataFrame, keep=lambda df: df) -> DataFrame:
+    """``keep`` materialises the base, which the edges, the ranks and the
+    result each read."""
+    base = keep(rfm_base(master))
     r_edges = base.agg(F.percentile("recency_days", F.array(*[F.lit(p) for p in QUINTILES])).alias("__re"),
                        F.count(F.lit(1)).alias("__n"))
     m_edges = exact_quantiles(base, "monetary", {f"__me{i}": p for i, p in enumerate(QUINTILES)}).drop("n")
     stats = r_edges.transform(attach(m_edges))          # one row x one row
     ranked = distributed_row_number(
-        base, order_by=[F.col("frequency").asc(), F.col("customer_unique_id").asc()],
-        buckets=[(F.col("frequency"), True), (_id_bucket(base, "customer_unique_id"), True)],
-        out="__frank")
+        with_range_bucket(base, "customer_unique_id", "__idb", 1024),
+        order_by=[F.col("frequency").asc(), F.col("customer_unique_id").asc()],
+        buckets=[(F.col("frequency"), True), (F.col("__idb"), True)], out="__frank").drop("__idb")
     s = with_scalars(ranked, stats)
     r_bin = _edges_score(F.col("recency_days"), [F.col("__re")[i] for i in range(4)])
     m_score = _edges_score(F.col("monetary"), [F.col(f"__me{i}") for i in range(4)])

@@ -17,7 +17,7 @@ one task:
 
 from __future__ import annotations
 
-from typing import Callable, Iterable, Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,11 +34,6 @@ def log_bucket(x: Column, k: int = LOG_BUCKETS_PER_E) -> Column:
     return (F.signum(d) * F.floor(F.log1p(F.abs(d)) * F.lit(float(k)))).cast("bigint")
 
 
-def prefix_bucket(s: Column, n: int = 3) -> Column:
-    """Order-preserving bucket of a string: its first ``n`` characters."""
-    return F.substring(s.cast("string"), 1, n)
-
-
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (a global aggregate) to every row
     of ``df`` as one scalar subquery: Spark runs the subquery once and inlines
@@ -55,6 +50,28 @@ def attach(one_row: DataFrame):
     return lambda df: with_scalars(df, one_row)
 
 
+SAMPLE_KEYS = 1024
+
+
+def with_range_bucket(df: DataFrame, key: str, out: str, buckets: int = 64) -> DataFrame:
+    """``df`` with an order-preserving bucket (0 .. buckets - 1) of ``key``,
+    whose boundaries are taken from the data: every one of SAMPLE_KEYS hash
+    classes of the distinct keys lends one key, and evenly spaced ones of
+    these, sorted, are the boundaries. So keys with a common prefix, or scores
+    in a narrow band, spread like any others. The sample is one row of at most
+    SAMPLE_KEYS keys; a null key is in bucket 0."""
+    c = F.col(f"`{key}`")
+    h = F.xxhash64(c)
+    picked = df.where(c.isNotNull()).groupBy(F.pmod(h, F.lit(SAMPLE_KEYS)).alias("__h")).agg(F.min_by(c, h).alias("__k"))
+    keys = picked.agg(F.sort_array(F.collect_set("__k")).alias("__s"))
+    n = F.size("__s")
+    bounds = keys.select(F.array_distinct(F.transform(
+        F.filter(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda i: n > 0),
+        lambda i: F.element_at(F.col("__s"), (F.floor(i * n / F.lit(buckets)) + 1).cast("int")))).alias("__bounds"))
+    found = F.size(F.filter("__bounds", lambda b: b <= c))
+    return with_scalars(df, bounds).withColumn(out, F.when(c.isNull(), F.lit(0)).otherwise(found)).drop("__bounds")
+
+
 def distributed_row_number(df: DataFrame, order_by: Sequence[Column],
                            buckets: Sequence[tuple[Column, bool]],
                            partition_by: Sequence[str] = (), out: str = "rn") -> DataFrame:
@@ -70,7 +87,7 @@ def distributed_row_number(df: DataFrame, order_by: Sequence[Column],
     (a small table: one row per distinct first-level bucket), then running
     totals over the finer levels inside each first-level bucket. So a hot
     group — many rows tied on the first level — can be split further by the
-    finer levels (e.g. exact value, then a prefix of the tie-break key).
+    finer levels (e.g. exact value, then a range of the tie-break key).
     """
     P = list(partition_by)
     names = [f"__rb{i}" for i in range(len(buckets))]
@@ -158,13 +175,6 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     return out.drop(*ranks.keys())
 
 
-def bounded_quantiles(values: Column, probs: Iterable[float]) -> list[Column]:
-    """Aggregate expressions for exact quantiles of a small-domain value (day
-    counts, scores): Spark's ``percentile`` keeps one counter per distinct
-    value, which is bounded here."""
-    return [F.percentile(values, F.lit(p)) for p in probs]
-
-
 def top_k_sum(df: DataFrame, value: str, k_of_n: Callable[[Column], Column],
               keys: Sequence[str] = ()) -> DataFrame:
     """Sum of the ``k`` largest values (k a function of the group size n),

@@ -1,11 +1,10 @@
 """A dataset context: the nine source tables, their cleaned forms and the
 fact tables, each defined once and materialised at most once.
 
-Materialisation: ``persist`` keeps the facts in executor memory/disk (lost
-blocks are recomputed from lineage); ``checkpoint`` writes them to the
-shared ``spark.checkpoint.dir`` and cuts the lineage, which is what a long
-cluster job should use; ``none`` keeps everything lazy; ``auto`` (default)
-persists on a local master and checkpoints on a cluster.
+Materialisation: ``checkpoint`` (the default, on any master) writes the facts
+to the shared ``spark.checkpoint.dir`` and cuts the lineage; ``persist`` keeps
+them in executor memory/disk (lost blocks are recomputed from lineage);
+``none`` keeps everything lazy.
 """
 
 from __future__ import annotations
@@ -23,7 +22,9 @@ from ..sources.fixtures import FIXTURE_SPELLING_FIXES, fixture_tables
 class MarketContext:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  raw: dict[str, DataFrame] | None = None, spelling_fixes: dict | None = None,
-                 materialize: str = "auto"):
+                 materialize: str = "checkpoint"):
+        if materialize not in ("checkpoint", "persist", "none"):
+            raise ValueError(f"unknown materialisation {materialize!r}")
         if raw is None and sf_dir is None:
             raise ValueError("need sf_dir (testdata fixtures) or raw tables")
         self.spark = spark
@@ -31,9 +32,6 @@ class MarketContext:
         self._raw = raw
         self.spelling_fixes = (FIXTURE_SPELLING_FIXES if raw is None else None) \
             if spelling_fixes is None else spelling_fixes
-        if materialize == "auto":
-            master = spark.sparkContext.master or ""
-            materialize = "persist" if master.startswith("local") else "checkpoint"
         self.materialize = materialize
         self._held: list[DataFrame] = []
         self.cache: dict = {}
@@ -50,18 +48,21 @@ class MarketContext:
 
     def _keep_eager(self, df: DataFrame) -> DataFrame:
         """Materialise now and cut the lineage: a reliable checkpoint in the
-        shared ``spark.checkpoint.dir``. The frame is persisted first so the
-        checkpoint write does not compute it a second time."""
+        shared ``spark.checkpoint.dir``."""
         ensure_checkpoint_dir(self.spark)
-        tmp = df.persist(StorageLevel.MEMORY_AND_DISK)
-        cp = tmp.checkpoint(eager=True)
-        tmp.unpersist()
-        return cp
+        return df.checkpoint(eager=True)
 
     def release(self) -> None:
         for df in self._held:
             df.unpersist()
         self._held.clear()
+        self.cache.clear()
+        if "models" in self.__dict__:
+            self.models.release()
+        if "split" in self.__dict__:
+            self.split[2].unpersist()
+        for name in [n for n, v in type(self).__dict__.items() if isinstance(v, cached_property)]:
+            self.__dict__.pop(name, None)
 
     # ---- sources ---------------------------------------------------------
     @cached_property
@@ -78,7 +79,7 @@ class MarketContext:
 
     @cached_property
     def items(self) -> DataFrame:
-        return clean.clean_items(self.raw["items"])
+        return self._keep(clean.clean_items(self.raw["items"]))
 
     @cached_property
     def payments_agg(self) -> DataFrame:
@@ -129,7 +130,7 @@ class MarketContext:
     @cached_property
     def rfm(self) -> DataFrame:
         from ..operators import rfm
-        return self._keep(rfm.customer_rfm(self.master))
+        return self._keep(rfm.customer_rfm(self.master, self._keep))
 
 
     # ---- ML --------------------------------------------------------------
@@ -149,13 +150,18 @@ class MarketContext:
         return ml.train_models(self.ml_dataset)
 
 
-_CONTEXTS: dict[tuple, MarketContext] = {}
+_LATEST: dict[tuple, MarketContext] = {}
 
 
-def get_context(spark: SparkSession, sf_dir: str, materialize: str = "auto") -> MarketContext:
-    """One context per (session, dataset) so several queries share the facts."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
-    ctx = _CONTEXTS.get(key)
+def get_context(spark: SparkSession, sf_dir: str, materialize: str = "checkpoint") -> MarketContext:
+    """The context of a session and dataset, so that several queries share the
+    facts. Only the latest one is kept: asking for another dataset releases it."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
+    ctx = _LATEST.get(key)
     if ctx is None:
-        ctx = _CONTEXTS[key] = MarketContext(spark, sf_dir, materialize=materialize)
+        for (app, *_), old in _LATEST.items():
+            if app == spark.sparkContext.applicationId:
+                old.release()
+        _LATEST.clear()
+        ctx = _LATEST[key] = MarketContext(spark, sf_dir, materialize=materialize)
     return ctx

@@ -33,10 +33,16 @@ from .params import FIXTURE_MIN_SELLER_ORDERS, FIXTURE_PARAMS, FIXTURE_SPEND_EDG
 
 
 def build_facts(ctx: MarketContext, out: str) -> dict[str, str]:
-    paths = {"orders_master": os.path.join(out, "facts", "orders_master"),
-             "orders_full": os.path.join(out, "facts", "orders_full")}
-    ctx.master.write.mode("overwrite").partitionBy("purchase_month_label").parquet(paths["orders_master"])
+    """Write the order fact, then the item fact from the written order fact.
+    A month's rows are rebalanced first, so a month is a few files of even
+    size, not one from every task."""
+    spark = ctx.spark
+    paths = {n: os.path.join(out, "facts", n) for n in ("orders_master", "orders_full")}
+    (ctx.master.hint("rebalance", "purchase_month_label").write.mode("overwrite")
+     .partitionBy("purchase_month_label").parquet(paths["orders_master"]))
+    ctx.__dict__["master"] = spark.read.parquet(paths["orders_master"])
     ctx.full.write.mode("overwrite").parquet(paths["orders_full"])
+    ctx.__dict__["full"] = spark.read.parquet(paths["orders_full"])
     return paths
 
 
@@ -44,15 +50,12 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
         fixture: bool = True, train_model: bool = True, csv_files: dict | None = None) -> dict[str, str]:
     """Run every phase; return the written paths by name."""
     raw = load_raw_csv(spark, csv_dir, csv_files) if csv_dir else None
-    ctx = MarketContext(spark, sf_dir, raw=raw, materialize="none")
-    written = build_facts(ctx, out)
-
-    # later phases read the written facts
-    master = spark.read.parquet(written["orders_master"])
-    full = spark.read.parquet(written["orders_full"])
+    # cleaned orders and items feed the facts and the checks: kept once
     fctx = MarketContext(spark, sf_dir, raw=raw, materialize="checkpoint")
-    fctx.__dict__["master"], fctx.__dict__["full"] = master, full     # reuse the written facts
-    customer_rfm = rfm.customer_rfm(master)
+    fctx.__dict__["orders"] = fctx._keep(fctx.orders)
+    written = build_facts(fctx, out)
+    master, full, keep = fctx.master, fctx.full, fctx._keep     # later phases read the written facts
+    customer_rfm = rfm.customer_rfm(master, keep)
     customer_rfm.write.mode("overwrite").parquet(os.path.join(out, "facts", "customer_rfm"))
     customer_rfm = spark.read.parquet(os.path.join(out, "facts", "customer_rfm"))
     fctx.__dict__["rfm"] = customer_rfm
@@ -63,9 +66,9 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     spend_edges = FIXTURE_SPEND_EDGES if fixture else None
     marts = {
         "monthly_trends": mt.monthly_trends(master, month_min),
-        "category_performance": mt.category_performance(full, master, first_cat),
+        "category_performance": mt.category_performance(full, master, first_cat, keep),
         "state_performance": mt.state_performance(master),
-        "seller_performance": mt.seller_performance(full, master, pairs),
+        "seller_performance": mt.seller_performance(full, master, pairs, keep),
         "delivery_delay_dist": mt.delivery_delay_dist(spark, master),
         "delivery_by_state": mt.delivery_by_state(master),
         "delivery_by_category": mt.delivery_by_category(first_cat, master),
@@ -114,19 +117,23 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     params = FIXTURE_PARAMS if fixture else ins.InsightParams()
     evidence_df = ins.insight_evidence(evidence, params)
     if train_model:
-        tm = ml.train_models(ml.ml_dataset(master, full))
+        dataset = fctx.ml_dataset
+        tm = ml.train_models(dataset)
         metrics = ml.model_metrics(tm)
         written["ml_metrics"] = write_marts({"ml_metrics": metrics}, os.path.join(out, "ml"))[0]
         written["ml_model"] = write_model(tm.rf, os.path.join(out, "ml", "model_random_forest"))
         fi = ml.feature_importance(spark, tm)
         write_marts({"ml_feature_importance": fi, "ml_lr_coefficients": ml.lr_coefficients(spark, tm),
                      "ml_risk_bands": ml.risk_bands(tm.rf_scored)}, os.path.join(out, "ml"))
-        split = ml.split_summary(ml.ml_dataset(master, full))
+        split = ml.split_summary(dataset)
         for e in ins.ml_rules(metrics, split, fi):
             evidence_df = evidence_df.unionByName(e)
     written["insights"] = write_marts({"insights": evidence_df}, os.path.join(out, "insights"))[0]
     ev = spark.read.parquet(written["insights"])
     written["insight_records"] = write_json(ins.insight_records(ev), os.path.join(out, "json", "insights"))
+    if train_model:
+        tm.release()
+    fctx.release()
     return written
 
 

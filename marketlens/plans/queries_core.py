@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import facts, marts
-from .contracts import MASTER
+from .contracts import MASTER, parse
 from .registry import register
 
 from .params import MONTH_MIN_ORDERS, MONTH_MIN_REVIEWS
@@ -48,9 +48,11 @@ ITEM_SPEC = ("order_id:i, order_item_id:i, product_id:i, seller_id:i, price:d, f
 register("item_enrich", ITEM_SPEC, "SELECT * FROM item_enrich")(
     lambda c: facts.item_enrich(c.items, c.products, c.sellers))
 
-FULL_SPEC = ("order_id:i, order_status:s, customer_unique_id:i, customer_state:s, purchase_month_label:s, "
-             "is_late:i, review_score:i, order_item_id:i, product_id:i, seller_id:i, price:d, freight_value:d, "
-             "product_category_name_english:s, seller_state:s, item_value:d, product_volume_cm3:d")
+# the whole order fact but its per-order money and count, then the whole item
+_ORDER_ONLY = {"product_sales_value", "freight_value_total", "order_value", "item_count"}
+FULL_SPEC = ", ".join(f"{n}:{k}" for n, k in parse(MASTER) if n not in _ORDER_ONLY) + ", " + ", ".join(
+    f"{n}:{k}" for n, k in parse(ITEM_SPEC) if n != "order_id") + \
+    ", product_length_cm:d, product_height_cm:d, product_width_cm:d"
 register("orders_full", FULL_SPEC, "SELECT * FROM full_t")(lambda c: c.full)
 
 register("first_item_category",

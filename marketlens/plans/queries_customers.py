@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from ..functions import SPEND_LABELS
 from ..operators import customers as cu
 from ..operators import rfm as rf
@@ -127,7 +129,8 @@ register("spend_statistics", "n:i, min:d, median:d, mean:d, p75:d, p90:d, p95:d,
 def _spend_case() -> str:
     e, parts = FIXTURE_SPEND_EDGES, []
     for i, lab in enumerate(SPEND_LABELS):
-        parts.append(f"WHEN monetary > {e[i]} AND monetary <= {e[i + 1]} THEN '{lab}'")
+        top = "" if math.isinf(e[i + 1]) else f" AND monetary <= {e[i + 1]}"
+        parts.append(f"WHEN monetary > {e[i]}{top} THEN '{lab}'")
     return "CASE " + " ".join(parts) + " END"
 
 

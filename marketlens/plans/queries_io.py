@@ -24,9 +24,34 @@ def _scratch(c, what: str) -> str:
     return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/marketlens-io/{what}-{uuid.uuid4().hex}"
 
 
+# Per table its columns, each with a kind (s text, n number, t time) and, where
+# the oracle's fixture names it otherwise, that name.
+RAW_COLUMNS = {
+    "customers": "customer_id:s customer_unique_id:s customer_zip_code_prefix:s:zip_raw customer_city:s customer_state:s",
+    "orders": "order_id:s customer_id:s order_status:s order_purchase_timestamp:t order_approved_at:t "
+              "order_delivered_customer_date:t order_estimated_delivery_date:t",
+    "items": "order_id:s order_item_id:n product_id:s seller_id:s price:n freight_value:n",
+    "payments": "order_id:s payment_sequential:n payment_type:s payment_installments:n payment_value:n",
+    "reviews": "review_id:s order_id:s review_score:n review_comment_message:s review_creation_date:t",
+    "products": "product_id:s product_category_name:s product_weight_g:n product_length_cm:n "
+                "product_height_cm:n product_width_cm:n",
+    "sellers": "seller_id:s seller_city:s seller_state:s",
+    "geolocation": "geolocation_zip_code_prefix:s:zip_raw geolocation_lat:n:lat geolocation_lng:n:lng "
+                   "geolocation_city:s:city geolocation_state:s:state",
+    "translation": "product_category_name:s product_category_name_english:s",
+}
+
+
+def _raw_columns(table: str):
+    for part in RAW_COLUMNS[table].split():
+        name, kind, *other = part.split(":")
+        yield name, kind, (other or [name])[0]
+
+
 def _csv_roundtrip(c):
     """Write the nine source tables as headed CSV in the source layout, read
-    them back through the schema-enforcing CSV reader, count rows per table."""
+    them back through the coercing CSV reader; per column the rows, the nulls
+    and a total (numbers summed, texts by length, times by millions of epoch seconds)."""
     base = _scratch(c, "raw-csv")
     for name, fname in SOURCE_FILES.items():
         df = c.raw[name]
@@ -34,18 +59,27 @@ def _csv_roundtrip(c):
                 else F.lit(None).cast("string").alias(f.name) for f in SOURCE_SCHEMAS[name].fields]
         df.select(*cols).write.mode("overwrite").option("header", True) \
             .option("escape", '"').csv(f"{base}/{fname}")
-    tables = load_raw_csv(c.spark, base)
-    return quality.union_all([t.agg(F.count(F.lit(1)).alias("row_count"))
-                              .select(F.lit(n).alias("table"), "row_count") for n, t in tables.items()])
-
-
-register("load_raw_tables", "table:s, row_count:i",
-         """SELECT 'customers' AS "table", count(*) AS row_count FROM fx_customers
-            UNION ALL SELECT 'orders', count(*) FROM fx_orders UNION ALL SELECT 'items', count(*) FROM fx_items
-            UNION ALL SELECT 'payments', count(*) FROM fx_payments UNION ALL SELECT 'reviews', count(*) FROM fx_reviews
-            UNION ALL SELECT 'products', count(*) FROM fx_products UNION ALL SELECT 'sellers', count(*) FROM fx_sellers
-            UNION ALL SELECT 'geolocation', count(*) FROM fx_geolocation
-            UNION ALL SELECT 'translation', count(*) FROM fx_translation""")(_csv_roundtrip)
+    parts = []
+    for name, df in load_raw_csv(c.spark, base).items():
+        measure = {"s": F.length, "n": lambda x: x, "t": lambda x: F.unix_seconds(x.cast("timestamp")) / 1e6}
+        stats = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*[
+            F.struct(F.lit(col).alias("column"), F.count_if(F.col(col).isNull()).alias("nulls"),
+                     F.sum(measure[kind](F.col(col))).cast("double").alias("total"))
+            for col, kind, _ in _raw_columns(name)]).alias("cols"))
+        parts.append(stats.select(F.lit(name).alias("table"), "rows", F.explode("cols").alias("x"))
+                     .select("table", "x.column", F.col("rows").alias("row_count"), "x.nulls", "x.total"))
+    return quality.union_all(parts)
+
+
+def _raw_sql() -> str:
+    measure = {"s": "sum(length(CAST({0} AS VARCHAR)))", "n": "sum({0})", "t": "sum(floor(epoch_us({0}) / 1e6) / 1e6)"}
+    return " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{col}' AS "column", count(*) AS row_count, count(*) - count({fx}) AS nulls,
+                   CAST({measure[kind].format(fx)} AS DOUBLE) AS total FROM fx_{t}"""
+        for t in RAW_COLUMNS for col, kind, fx in _raw_columns(t))
+
+
+register("load_raw_tables", "table:s, column:s, row_count:i, nulls:i, total:d", _raw_sql())(_csv_roundtrip)
 
 
 def _marts_roundtrip(c):

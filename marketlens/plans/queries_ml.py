@@ -72,6 +72,14 @@ register("time_split", "cutoff:t, train_orders:i, test_orders:i, train_late_pct:
                    avg(d.is_late) FILTER (WHERE d.order_purchase_timestamp < c.cutoff) * 100 AS train_late_pct,
                    avg(d.is_late) FILTER (WHERE d.order_purchase_timestamp >= c.cutoff) * 100 AS test_late_pct
             FROM ml_ds d, ml_cut c GROUP BY c.cutoff""", ML_CTE)(lambda c: ml.split_summary(c.ml_dataset))
+
+_NUM_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS median, CAST(NULL AS VARCHAR) AS mode FROM ml_train"
+                              for c in ml.NUMERIC_FEATURES)
+_CAT_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}', CAST(NULL AS DOUBLE), (SELECT {c} FROM ml_train WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"""
+    for c in ml.CATEGORICAL_FEATURES)
+register("ml_preprocess", "feature:s, median:d, mode:s", f"{_NUM_SQL} UNION ALL {_CAT_SQL}", ML_CTE)(
+    lambda c: ml.imputation_values(c.split[0]))
 register("class_weights", "is_late:i, class_count:i, weight:d",
          """SELECT is_late, count(*) AS class_count, (SELECT count(*) FROM ml_train) / (2.0 * count(*)) AS weight
             FROM ml_train GROUP BY 1""", ML_CTE)(lambda c: ml.class_weights(c.split[0]))

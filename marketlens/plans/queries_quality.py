@@ -32,10 +32,13 @@ SOURCE_COLUMNS = {
     "payments": ("fx_payments", {c: c for c in ["order_id", "payment_sequential", "payment_type",
                                                 "payment_installments", "payment_value"]}),
     "reviews": ("fx_reviews", {c: c for c in ["review_id", "order_id", "review_score", "review_comment_message",
-                                              "review_creation_date"]}),
+                                              "review_creation_date"]}
+                | {c: "CAST(NULL AS VARCHAR)" for c in ["review_comment_title", "review_answer_timestamp"]}),
     "products": ("fx_products", {c: c for c in ["product_id", "product_category_name", "product_weight_g",
-                                                "product_length_cm", "product_height_cm", "product_width_cm"]}),
-    "sellers": ("fx_sellers", {c: c for c in ["seller_id", "seller_city", "seller_state"]}),
+                                                "product_length_cm", "product_height_cm", "product_width_cm"]}
+                 | {"product_photos_qty": "CAST(NULL AS INT)"}),
+    "sellers": ("fx_sellers", {c: c for c in ["seller_id", "seller_city", "seller_state"]}
+                | {"seller_zip_code_prefix": "CAST(NULL AS VARCHAR)"}),
     "geolocation": ("fx_geolocation", {"geolocation_zip_code_prefix": "zip_raw", "geolocation_lat": "lat",
                                        "geolocation_lng": "lng", "geolocation_city": "city",
                                        "geolocation_state": "state"}),
@@ -56,6 +59,12 @@ def _null_sql() -> str:
 register("profile_nulls_sources", "table:s, column:s, null_count:i, row_count:i, null_pct:d", _null_sql())(
     lambda c: qa.union_all([qa.profile_nulls(c.raw[t].select(*cols), t) for t, (_, cols) in SOURCE_COLUMNS.items()]))
 
+register("profile_null_totals", "table:s, null_cells:i, cells:i, null_pct:d",
+         f"""SELECT "table", sum(null_count) AS null_cells, sum(row_count) AS cells,
+                    sum(null_count)::DOUBLE / sum(row_count) * 100 AS null_pct FROM ({_null_sql()}) GROUP BY 1""")(
+    lambda c: qa.null_totals(qa.union_all(
+        [qa.profile_nulls(c.raw[t].select(*cols), t) for t, (_, cols) in SOURCE_COLUMNS.items()])))
+
 
 def _dup_sql() -> str:
     parts = []
@@ -103,10 +112,10 @@ STRUCT_SQL = "\nUNION ALL\n".join([
     _chk("master_row_count_preserved", "(SELECT count(*) FROM master)", "(SELECT count(*) FROM fx_orders)", None),
     _chk("full_rows_eq_items_plus_empty_orders", "(SELECT count(*) FROM full_t)",
          "(SELECT count(*) FROM fx_items) + (SELECT count(*) FROM master WHERE order_id NOT IN (SELECT order_id FROM fx_items))", None),
-    "SELECT 'delivered_without_delivery_date', CAST((SELECT count(*) FROM fx_orders WHERE order_status = 'delivered' "
-    "AND order_delivered_customer_date IS NULL) AS DOUBLE), CAST(NULL AS DOUBLE), true",
-    "SELECT 'estimated_before_purchase', CAST((SELECT count(*) FROM fx_orders WHERE order_estimated_delivery_date "
-    "< order_purchase_timestamp) AS DOUBLE), CAST(NULL AS DOUBLE), true",
+    _chk("delivered_without_delivery_date",
+         "(SELECT count(*) FROM fx_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NULL)", "0", None),
+    _chk("estimated_before_purchase",
+         "(SELECT count(*) FROM fx_orders WHERE order_estimated_delivery_date < order_purchase_timestamp)", "0", None),
     _chk("negative_price_items", "(SELECT count(*) FROM fx_items WHERE price < 0)", "0", None),
     _chk("order_value_eq_sales_plus_freight",
          "(SELECT count(*) FROM master WHERE order_value <> product_sales_value + freight_value_total)", "0", None),

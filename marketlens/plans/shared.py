@@ -14,9 +14,9 @@ from .params import DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS, FIXTURE_SPEN
 BUILDERS = {
     "kpis": lambda c: mt.topline_kpis(c.master),
     "monthly": lambda c: mt.monthly_trends(c.master, MONTH_MIN_ORDERS),
-    "cat_perf": lambda c: mt.category_performance(c.full, c.master, c.first_cat),
+    "cat_perf": lambda c: mt.category_performance(c.full, c.master, c.first_cat, c._keep_eager),
     "state_perf": lambda c: mt.state_performance(c.master),
-    "seller_perf": lambda c: mt.seller_performance(c.full, c.master, c.order_sellers),
+    "seller_perf": lambda c: mt.seller_performance(c.full, c.master, c.order_sellers, c._keep_eager),
     "delay_dist": lambda c: mt.delivery_delay_dist(c.spark, c.master),
     "del_by_cat3": lambda c: mt.delivery_by_category(c.first_cat, c.master),
     "del_by_state3": lambda c: mt.delivery_by_state(c.master),

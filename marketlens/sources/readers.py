@@ -1,5 +1,7 @@
-"""Source readers. CSV files are read with explicit schemas; quoted multi-line
-review text needs ``multiLine`` and a doubled-quote escape. The CSV reader
+"""Source readers. CSV files are read as text by explicit schemas and coerced:
+a malformed number or date becomes null, the rest of its row stays. Only the
+review texts hold line breaks; their file is read with ``multiLine``, which
+cannot be split, and all others are split into many tasks. The CSV reader
 drops a UTF-8 byte-order mark by itself."""
 
 from __future__ import annotations
@@ -7,13 +9,18 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.coerce import coerce
 from .schemas import SOURCE_SCHEMAS
 
 # Default file of each table: ``<table>.csv`` in the raw folder. Real exports
 # with other names are read by passing ``files={table: file_name}``.
 SOURCE_FILES = {name: f"{name}.csv" for name in SOURCE_SCHEMAS}
 
+#: Tables whose quoted text holds line breaks.
+MULTI_LINE = {"reviews"}
+
 
 def load_raw_csv(spark: SparkSession, raw_dir: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The nine raw tables from CSV (header row, UTF-8), lazily. ``files``
@@ -21,20 +28,17 @@ def load_raw_csv(spark: SparkSession, raw_dir: str, files: dict[str, str] | None
     mapping = dict(SOURCE_FILES, **(files or {}))
     out = {}
     for name, fname in mapping.items():
-        out[name] = (spark.read.schema(SOURCE_SCHEMAS[name])
-                     .option("header", True)
-                     .option("multiLine", True)
-                     .option("escape", '"')
-                     .option("mode", "PERMISSIVE")
-                     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-                     .csv(os.path.join(raw_dir, fname)))
+        schema = SOURCE_SCHEMAS[name]
+        text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+        df = (spark.read.schema(text)
+              .option("header", True)
+              .option("multiLine", name in MULTI_LINE)
+              .option("escape", '"')
+              .option("mode", "PERMISSIVE")
+              .csv(os.path.join(raw_dir, fname)))
+        out[name] = df.select(*[coerce(f.name, f.dataType).alias(f.name) for f in schema.fields])
     return out
 
 
-def load_raw_parquet(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
-    """The nine tables from Parquet folders named after the tables."""
-    return {name: spark.read.parquet(os.path.join(base_dir, name)) for name in SOURCE_FILES}
-
-
 def read_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -5,7 +5,7 @@ from pyspark.sql.types import (DecimalType, DoubleType, IntegerType, StringType,
                                StructField, StructType, TimestampNTZType)
 
 S, I, D, T = StringType(), IntegerType(), DoubleType(), TimestampNTZType()
-MONEY = DecimalType(18, 2)
+MONEY = DecimalType(18, 4)   # one money scale from the files to the marts
 
 
 def _schema(*cols):
