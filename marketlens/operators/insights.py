@@ -47,8 +47,12 @@ _META = {i: (c, t) for i, c, t in CATALOG}
 
 @dataclass
 class InsightParams:
-    focus_state: str = "SP"                 # C4: the largest market
+    # Fixed values of the analysed market: its largest state, the region of D2
+    # and of the delivery phase rule (which lists one state more), a risk state.
+    focus_state: str = "SP"                 # C4
     region_states: list = field(default_factory=lambda: ["AL", "MA", "SE", "PI", "CE", "RN", "PB", "BA"])  # D2
+    phase_region_states: list = field(
+        default_factory=lambda: ["AL", "MA", "SE", "PI", "CE", "RN", "PB", "PE", "BA"])
     risk_state: str = "RJ"                  # D3
     top_categories: int = 5                 # S1
     top_sellers: int = 10                   # S2
@@ -191,25 +195,90 @@ def satisfaction_rules(ev: dict, p: InsightParams) -> list[DataFrame]:
         "lowest_state_late_pct": F.col("low_late"), "highest_state_review": F.col("high_review"),
         "national_review": F.col("avg_review_score")})
     rc = ev["rev_cat"].where(F.col("review_count") >= p.min_category_reviews)
-    t3 = _emit(low_high(rc, "product_category_name_english"), "T3_category_satisfaction", {
+    first = ev["cat_perf"].where(F.col("rank_by_sales") == 1).select("product_category_name_english")
+    top = ev["rev_cat"].join(first, "product_category_name_english", "left_semi")
+    top = _pick(top, F.lit(True), "top_", ["avg_review_score", "review_count", "pct_1star"])
+    t3 = _emit(low_high(rc, "product_category_name_english").transform(attach(top)).transform(attach(nat)), "T3_category_satisfaction", {
+        "top_revenue_category_review": F.col("top_avg_review_score"),
+        "top_revenue_category_reviews": F.col("top_review_count"),
+        "top_revenue_category_1star_pct": F.col("top_pct_1star"), "national_review": F.col("avg_review_score"),
         "lowest_category_review": F.col("low_review"), "lowest_category_reviews": F.col("low_n"),
         "lowest_category_late_pct": F.col("low_late"), "lowest_category_1star_pct": F.col("low_1star"),
         "highest_category_review": F.col("high_review"), "highest_category_reviews": F.col("high_n")})
     return [t1, t2, t3]
 
 
-def ml_rules(metrics: DataFrame, split: DataFrame, importance: DataFrame) -> list[DataFrame]:
+def ml_rules(metrics: DataFrame, split: DataFrame, importance: DataFrame, coefficients: DataFrame) -> list[DataFrame]:
     lr = metrics.where(F.col("model") == "logistic_regression")
-    m1 = _emit(lr.transform(attach(split)), "M1_lr_model_performance", {
+    forest = _pick(metrics, F.col("model") == "random_forest", "forest_", ["roc_auc"])
+    m1 = _emit(lr.transform(attach(split)).transform(attach(forest)), "M1_lr_model_performance", {
+        "accuracy": F.col("accuracy"), "forest_roc_auc": F.col("forest_roc_auc"), "false_positives": F.col("FP"),
+        "true_negatives": F.col("TN"), "train_late_pct": F.col("train_late_pct"),
         "recall": F.col("recall"), "precision": F.col("precision"), "f1": F.col("f1"), "roc_auc": F.col("roc_auc"),
         "true_positives": F.col("TP"), "false_negatives": F.col("FN"), "test_orders": F.col("test_orders"),
         "test_late_pct": F.col("test_late_pct"), "train_orders": F.col("train_orders")})
     cid, (cc, ct) = "M2_predictive_features", _META["M2_predictive_features"]
     top3 = importance.orderBy(F.col("importance").desc(), F.col("feature")).limit(3)
-    m2 = top3.select(F.lit(cid).alias("insight_id"), F.lit(cc).alias("category"), F.lit(ct).alias("type"),
-                     F.concat(F.lit("importance:"), F.col("feature")).alias("metric"),
-                     F.col("importance").cast("double").alias("value"))
-    return [m1, m2]
+    strong = coefficients.orderBy(F.col("abs_coefficient").desc(), F.col("feature")).limit(3)
+    m2 = [df.select(F.lit(cid).alias("insight_id"), F.lit(cc).alias("category"), F.lit(ct).alias("type"),
+                    F.concat(F.lit(f"{name}:"), F.col("feature")).alias("metric"),
+                    F.col(name).cast("double").alias("value"))
+          for df, name in ((top3, "importance"), (strong, "coefficient"))]
+    return [m1, *m2]
+
+
+def _rule(one_row: DataFrame, rule_id: str, metrics: dict[str, F.Column]) -> DataFrame:
+    wide = one_row.select(*[e.cast("double").alias(m) for m, e in metrics.items()])
+    return wide.unpivot([], list(metrics), "metric", "value").select(F.lit(rule_id).alias("rule_id"), "metric", "value")
+
+
+def customer_phase_rules(repeat: DataFrame, segments: DataFrame, geography: DataFrame, spend: DataFrame,
+                         focus_state: str) -> DataFrame:
+    """The customer phase's own rules, long rows (rule_id, metric, value)."""
+    by_type = _cross(*[_pick(repeat, F.col("customer_type") == t, f"{k}_", ["customer_count", "customer_pct", "revenue_pct", "avg_spend"])
+                       for k, t in (("onetime", "One-Time"), ("repeat", "Repeat"))])
+    rules = [_rule(by_type, "low_repeat_rate", {c: F.col(c) for c in by_type.columns if c != "onetime_revenue_pct"})]
+    measures = ["customer_count", "customer_pct", "total_revenue", "avg_spend", "avg_frequency", "avg_recency_days"]
+    for rule_id, segment, more in (("champion_revenue_concentration", "Champions", ["revenue_pct"]), ("at_risk_segment", "At Risk", [])):
+        row = _pick(segments, F.col("segment") == segment, "", measures + more)
+        rules.append(_rule(row, rule_id, {c: F.col(c) for c in row.columns}))
+    focus = _pick(geography, F.col("customer_state") == focus_state, "focus_", ["customer_pct", "revenue_pct"])
+    top = geography.orderBy(F.col("order_count").desc(), F.col("customer_state")).limit(3).agg(F.sum("total_revenue").alias("top3"))
+    total = geography.agg(F.sum("total_revenue").alias("total"))
+    rules.append(_rule(_cross(focus, top, total), "geographic_concentration", {
+        "focus_customer_pct": F.col("focus_customer_pct"), "focus_revenue_pct": F.col("focus_revenue_pct"),
+        "top3_revenue_pct": pct(F.col("top3"), F.col("total"))}))
+    rules.append(_rule(spend, "spending_concentration", {
+        "p90_threshold": F.col("p90"), "top_decile_revenue_pct": F.col("top_share_pct"), "median_spend": F.col("median"),
+        "mean_spend": F.col("mean")}))
+    return reduce(lambda a, b: a.unionByName(b), rules)
+
+
+def delivery_phase_rules(overview: DataFrame, buckets: DataFrame, states: DataFrame, review_delay: DataFrame,
+                         sellers: DataFrame, dated: DataFrame, region_states: list, late_factor: float = 1.5) -> DataFrame:
+    """The delivery phase's own rules, with a region of their own. ``dated``:
+    the delivered orders with a delivery date, whose mean review is the
+    national one of this phase."""
+    early = _pick(buckets, F.col("delay_bucket") == "Early >7d", "early_", ["order_count"])
+    rules = [_rule(_cross(overview, early), "conservative_estimates", {
+        "early_over_7d_pct": pct(F.coalesce("early_order_count", F.lit(0)), F.col("n_orders")), "on_time_pct": F.col("on_time_pct")})]
+    nat = overview.select(F.col("late_pct").alias("national_late_pct"), F.col("avg_delivery_days").alias("national_days"))
+    region = states.where(F.col("customer_state").isin(region_states) & ~F.col("low_volume")).transform(attach(nat)).agg(
+        F.avg("late_pct").alias("region_late_pct"), F.avg("avg_delivery_days").alias("region_days"),
+        F.sum("order_count").alias("region_orders"),
+        F.count_if(F.col("late_pct") > 2 * F.col("national_late_pct")).alias("states_over_twice_national"))
+    rules.append(_rule(_cross(region, nat), "northeast_delivery_gap", {
+        c: F.col(c) for c in ("region_late_pct", "national_late_pct", "region_days", "national_days", "region_orders",
+                              "states_over_twice_national")}))
+    picks = _cross(*[_pick(review_delay, F.col("delay_bucket") == b, f"{k}_", ["avg_review_score", "order_count"])
+                     for k, b in (("early_over_7d", "Early >7d"), ("late_4_7d", "Late 4-7d"), ("late_over_14d", "Late >14d"))])
+    rules.append(_rule(picks, "delay_review_association", {c: F.col(c) for c in picks.columns}))
+    above = sellers.transform(attach(nat)).where(F.col("late_pct") > F.col("national_late_pct") * late_factor).agg(
+        F.count(F.lit(1)).alias("sellers"), F.coalesce(F.sum("order_count"), F.lit(0)).alias("orders"),
+        F.avg("avg_review_score").alias("review"))
+    mean = dated.agg(F.avg("review_score").alias("national_review"))
+    rules.append(_rule(_cross(above, mean), "seller_delivery_variance", {c: F.col(c) for c in ("sellers", "orders", "review", "national_review")}))
+    return reduce(lambda a, b: a.unionByName(b), rules)
 
 
 def insight_evidence(ev: dict, p: InsightParams | None = None) -> DataFrame:
@@ -273,19 +342,67 @@ FACT_TEMPLATES = {
 }
 
 
+# Per insight: reading, recommendation, source mart, qualification. Our wording;
+# numbers stand in the fact and the metrics only.
+INSIGHT_TEXTS = {
+    "C1_onetime_retention_pattern": ("Revenue rests on first purchases.", "Follow up after a first order and watch the repeat share.",
+                                     "repeat_vs_onetime", "Delivered orders; the window may hide later purchases."),
+    "C2_champions_concentration": ("A small, recent and frequent group spends most.", "Watch service levels of this group apart from the rest.",
+                                   "rfm_segment_summary", "Segments are relative to this customer base."),
+    "C3_at_risk_dormant": ("Formerly good customers have gone quiet.", "Run a measured win-back offer for them.",
+                           "rfm_segment_summary", "Recency counts from the last delivered purchase in the data."),
+    "C4_geographic_concentration": ("Demand sits in a few states.", "Weigh local supply and logistics for states that lag.",
+                                    "customer_geography", "A person who moved counts in each state."),
+    "C5_spending_skew": ("A minority of spenders carries much of the revenue.", "Offer a tier for the top spenders and track their churn.",
+                         "spend_statistics", "Spend is the sum over delivered orders."),
+    "S1_category_concentration": ("A handful of categories brings much of the sales.", "Secure stock and sellers of these categories first.",
+                                  "category_performance", "Product sales without freight."),
+    "S2_seller_concentration": ("Sales depend on a few sellers more than on most.", "Agree service levels with the largest sellers.",
+                                "seller_performance", "Ranked by product sales of delivered orders."),
+    "S3_seasonality_and_crisis": ("Peaks and weak months of delivery stand out.", "Plan capacity for peaks and review the months above the threshold.",
+                                  "monthly_trends, delivery_over_time", "Months with few orders are left out."),
+    "D1_conservative_estimates": ("Promised dates are cautious.", "Test tighter delivery windows.", "delivery_overview",
+                                  "Whole days, rounded towards earlier."),
+    "D2_northeast_delivery_gap": ("The region waits longer and more often in vain.", "Check seller and carrier coverage of its states.",
+                                  "delivery_by_state_enriched", "Mean over its states with enough orders, not weighted."),
+    "D3_rj_high_volume_risk": ("A large state is late more often than the nation.", "Review routes and carriers into this state.",
+                               "delivery_by_state_enriched", "Compared with the national late share."),
+    "D4_seller_delivery_concentration": ("Lateness clusters at some sellers.", "Set targets for the sellers above the threshold.",
+                                         "seller_delivery_qualified", "Sellers with enough delivered orders only."),
+    "D5_category_delivery_variance": ("Some categories are late beyond the average.", "Look at weight, size and routes of these categories.",
+                                      "delivery_by_category_enriched", "An order counts for its first item's category."),
+    "T1_delay_review_association": ("Scores fall as deliveries slip.", "Treat the late buckets as an early warning.",
+                                    "review_by_delay_detailed", "An association, not a cause."),
+    "T2_state_satisfaction_gap": ("States differ in satisfaction, and lateness goes along.", "Start with the lowest-rated state.",
+                                  "review_by_state", "Latest review of each order."),
+    "T3_category_satisfaction": ("One category draws the weakest reviews.", "Read its one-star reviews for delivery and product faults.",
+                                 "review_by_category", "Categories with enough reviews; first item's category."),
+    "M1_lr_model_performance": ("The linear model ranks risk usefully but raises many alarms.", "Use scores to order checks, not to decide.",
+                                "ml_model_metrics", "Tested on later orders than it was trained on."),
+    "M2_predictive_features": ("A few features carry most of the signal.", "Collect these features early and reliably.",
+                               "ml_feature_importance, ml_lr_coefficients", "Importance is not a cause."),
+}
+
+
 def insight_records(evidence: DataFrame) -> DataFrame:
     """One presentation record per insight: a fact sentence filled from its
-    metrics (a small map per insight, at most a dozen entries) and the
-    metrics rendered as text."""
+    metrics (a small map per insight, at most a dozen entries), the metrics
+    rendered as text, a reading, a recommendation, the source mart and a
+    qualification."""
     g = evidence.groupBy("insight_id", "category", "type").agg(
         F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("__m"),
-        F.array_join(F.sort_array(F.collect_list(F.format_string("%s=%.4f", F.col("metric"), F.col("value")))), "; ")
+        F.array_join(F.sort_array(F.collect_list(F.concat(
+            "metric", F.lit("="), F.when(F.col("value").isNull(), "n/a").otherwise(F.format_string("%.4f", F.col("value")))))), "; ")
         .alias("metric_text"), F.count(F.lit(1)).alias("metrics"))
     fact = None
     for iid, (tmpl, names) in FACT_TEMPLATES.items():
-        text = F.format_string(tmpl, *[F.col("__m")[n] for n in names])
+        known = reduce(lambda a, b: a & b, [F.col("__m")[n].isNotNull() for n in names])
+        text = F.when(known, F.format_string(tmpl, *[F.col("__m")[n] for n in names])).otherwise(F.col("metric_text"))
         fact = F.when(F.col("insight_id") == iid, text) if fact is None else fact.when(F.col("insight_id") == iid, text)
     fact = fact.otherwise(F.col("metric_text"))
+    for k, name in enumerate(("insight", "recommendation", "source", "qualification")):
+        text = F.create_map(*[F.lit(x) for iid, texts in INSIGHT_TEXTS.items() for x in (iid, texts[k])])
+        g = g.withColumn(name, text[F.col("insight_id")])
     return g.withColumn("fact", fact).drop("__m")
 
 

@@ -14,4 +14,4 @@ FIXTURE_SPEND_EDGES = [e * 1000 for e in SPEND_EDGES]   # fixture spend runs ~48
 # states are NATION_k in the fixture; the "region" is nine of them
 FIXTURE_PARAMS = InsightParams(
     focus_state="NATION_0", risk_state="NATION_1",
-    region_states=[f"NATION_{k}" for k in range(9)], min_category_reviews=200)
+    region_states=[f"NATION_{k}" for k in range(9)], phase_region_states=[f"NATION_{k}" for k in range(10)], min_category_reviews=200)

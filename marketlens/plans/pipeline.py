@@ -122,11 +122,11 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
         metrics = ml.model_metrics(tm)
         written["ml_metrics"] = write_marts({"ml_metrics": metrics}, os.path.join(out, "ml"))[0]
         written["ml_model"] = write_model(tm.rf, os.path.join(out, "ml", "model_random_forest"))
-        fi = ml.feature_importance(spark, tm)
-        write_marts({"ml_feature_importance": fi, "ml_lr_coefficients": ml.lr_coefficients(spark, tm),
+        fi, lrc = ml.feature_importance(spark, tm), ml.lr_coefficients(spark, tm)
+        write_marts({"ml_feature_importance": fi, "ml_lr_coefficients": lrc,
                      "ml_risk_bands": ml.risk_bands(tm.rf_scored)}, os.path.join(out, "ml"))
         split = ml.split_summary(dataset)
-        for e in ins.ml_rules(metrics, split, fi):
+        for e in ins.ml_rules(metrics, split, fi, lrc):
             evidence_df = evidence_df.unionByName(e)
     written["insights"] = write_marts({"insights": evidence_df}, os.path.join(out, "insights"))[0]
     ev = spark.read.parquet(written["insights"])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import delivery as dl
 from .queries_core import BUCKET_DIM_CTE, DELAY_BUCKET_SQL
-from .registry import register
+from .registry import REGISTRY, register
 
 from .params import DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS
 from .shared import mart
@@ -149,7 +151,13 @@ register("review_by_category",
 
 # the overview document as served (scalar fields + a bucket -> count map): a
 # map column, so it is checked rows-only; its scalar part has the SQL oracle above
-register("delivery_overview_document",
-         "n_orders:i, on_time_count:i, late_count:i, avg_delivery_days:d, median_delivery_days:d, avg_delay_days:d, "
-         "median_delay_days:d, on_time_pct:d, late_pct:d, delay_bucket_counts:t")(
-    lambda c: dl.delivery_overview_with_buckets(c.spark, c.master))
+def _overview_document(c):
+    """The document with its bucket counts as ordered text."""
+    pairs = F.transform(F.map_entries("delay_bucket_counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return dl.delivery_overview_with_buckets(c.spark, c.master).withColumn("delay_bucket_counts", F.array_join(pairs, "; "))
+
+
+register("delivery_overview_document", REGISTRY["delivery_overview"].spec + ", delay_bucket_counts:s",
+         f"""SELECT o.*, (SELECT string_agg(delay_bucket || '=' || order_count, '; ' ORDER BY bucket_ord)
+                          FROM ({REGISTRY["delay_bucket_counts"].sql})) AS delay_bucket_counts
+             FROM ({REGISTRY["delivery_overview"].sql}) o""", REGISTRY["delay_bucket_counts"].extra_ctes)(_overview_document)

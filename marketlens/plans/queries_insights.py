@@ -141,6 +141,11 @@ def _evidence_sql(p: ins.InsightParams) -> str:
     lo_c = f"SELECT {{c}} FROM ev_rcat {w} ORDER BY avg_review_score, product_category_name_english LIMIT 1"
     hi_c = f"SELECT {{c}} FROM ev_rcat {w} ORDER BY avg_review_score DESC, product_category_name_english LIMIT 1"
     rows += [
+        *[_row("T3_category_satisfaction", m, f"""SELECT max({col}) FROM ev_rcat WHERE product_category_name_english IN
+                  (SELECT product_category_name_english FROM ev_cat WHERE rank_by_sales = 1)""")
+          for m, col in (("top_revenue_category_review", "avg_review_score"), ("top_revenue_category_reviews", "review_count"),
+                         ("top_revenue_category_1star_pct", "pct_1star"))],
+        _row("T3_category_satisfaction", "national_review", "SELECT avg_review_score FROM ev_kpis"),
         _row("T3_category_satisfaction", "lowest_category_review", lo_c.format(c="avg_review_score")),
         _row("T3_category_satisfaction", "lowest_category_reviews", lo_c.format(c="review_count")),
         _row("T3_category_satisfaction", "lowest_category_late_pct", lo_c.format(c="late_pct")),
@@ -182,7 +187,7 @@ register("validate_insights", "check:s, value:d, expected:d, passed:b",
 def _all_insights(c):
     tm = c.models
     split = ml.split_summary(c.ml_dataset)
-    extra = ins.ml_rules(ml.model_metrics(tm), split, ml.feature_importance(c.spark, tm))
+    extra = ins.ml_rules(ml.model_metrics(tm), split, ml.feature_importance(c.spark, tm), ml.lr_coefficients(c.spark, tm))
     out = ins.insight_evidence(evidence(c), FIXTURE_PARAMS)
     for e in extra:
         out = out.unionByName(e)
@@ -191,9 +196,38 @@ def _all_insights(c):
 
 # including the two model insights: rows-only checks
 register("insights_all", EVIDENCE_SPEC)(_all_insights)
-register("insight_summary", "category:s, type:s, insights:i")(lambda c: ins.insight_summary(_all_insights(c)))
-register("insight_records", "insight_id:s, category:s, type:s, metric_text:s, metrics:i, fact:s")(
-    lambda c: ins.insight_records(_all_insights(c)))
+register("insight_summary", "category:s, type:s, insights:i",
+         "SELECT category, type, count(*) AS insights FROM (VALUES "
+         + ", ".join(f"('{i}', '{cat}', '{typ}')" for i, cat, typ in ins.CATALOG) + ") t(id, category, type) GROUP BY 1, 2")(
+    lambda c: ins.insight_summary(_all_insights(c)))
+RECORD_SPEC = ("insight_id:s, category:s, type:s, metric_text:s, metrics:i, fact:s, insight:s, recommendation:s, "
+               "source:s, qualification:s")
+register("insight_records", RECORD_SPEC)(lambda c: ins.insight_records(_all_insights(c)))
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _records_sql() -> str:
+    """The records of the rules that need no model, as SQL text functions."""
+    facts, texts = [], []
+    for iid, (template, names) in ins.FACT_TEMPLATES.items():
+        values = ", ".join(f"max(value) FILTER (WHERE metric = '{n}')" for n in names)
+        facts.append(f"WHEN '{iid}' THEN printf({_text(template)}, {values})")
+    for k, name in enumerate(("insight", "recommendation", "source", "qualification")):
+        cases = " ".join(f"WHEN '{iid}' THEN {_text(t[k])}" for iid, t in ins.INSIGHT_TEXTS.items())
+        texts.append(f"CASE insight_id {cases} END AS {name}")
+    return f"""SELECT insight_id, category, type, metric_text, metrics, coalesce(fact, metric_text) AS fact, {', '.join(texts)}
+               FROM (SELECT insight_id, category, type, count(*) AS metrics,
+                            string_agg(metric || '=' || coalesce(printf('%.4f', value), 'n/a'), '; '
+                                       ORDER BY metric || '=' || coalesce(printf('%.4f', value), 'n/a')) AS metric_text,
+                            CASE insight_id {' '.join(facts)} END AS fact
+                     FROM ({EVIDENCE_SQL}) GROUP BY 1, 2, 3)"""
+
+
+register("insight_records_rules", RECORD_SPEC, _records_sql(), evidence_ctes())(
+    lambda c: ins.insight_records(ins.insight_evidence(evidence(c), FIXTURE_PARAMS)))
 register("validate_model_ranking", "check:s, value:d, expected:d, passed:b")(
     lambda c: ml.model_metrics(c.models).agg(
         F.max(F.when(F.col("model") == "logistic_regression", F.col("roc_auc"))).alias("value"),
@@ -202,34 +236,55 @@ register("validate_model_ranking", "check:s, value:d, expected:d, passed:b")(
             F.coalesce(F.col("value") > F.col("expected"), F.lit(False)).alias("passed")))
 
 
-# Phase-level insight sets: the customer-mart and delivery-mart rule lists are
-# the same evidence under their phase ids.
-CUSTOMER_MART_IDS = {"C1_onetime_retention_pattern": "low_repeat_rate",
-                     "C2_champions_concentration": "champion_revenue_concentration",
-                     "C3_at_risk_dormant": "at_risk_segment",
-                     "C4_geographic_concentration": "geographic_concentration",
-                     "C5_spending_skew": "spending_concentration"}
-DELIVERY_MART_IDS = {"D1_conservative_estimates": "conservative_estimates",
-                     "D2_northeast_delivery_gap": "northeast_delivery_gap",
-                     "T1_delay_review_association": "delay_review_association",
-                     "D4_seller_delivery_concentration": "seller_delivery_variance"}
+# The rules of the customer and of the delivery phase, over their own marts.
+def _metric(rule: str, metric: str, expr: str) -> str:
+    return f"SELECT '{rule}' AS rule_id, '{metric}' AS metric, CAST(({expr}) AS DOUBLE) AS value"
 
 
-def _phase_set(ids: dict):
-    def build(c):
-        ev = ins.insight_evidence(evidence(c), FIXTURE_PARAMS).where(F.col("insight_id").isin(list(ids)))
-        m = F.create_map(*[F.lit(x) for kv in ids.items() for x in kv])
-        return ev.select(m[F.col("insight_id")].alias("rule_id"), "metric", "value")
-    return build
+def _customer_phase_sql() -> str:
+    rows = [_metric("low_repeat_rate", f"{k}_{c}", f"SELECT max({c}) FROM ev_repeat WHERE customer_type = '{t}'")
+            for k, t in (("onetime", "One-Time"), ("repeat", "Repeat"))
+            for c in ("customer_count", "customer_pct", "revenue_pct", "avg_spend") if (k, c) != ("onetime", "revenue_pct")]
+    for rule, segment, more in (("champion_revenue_concentration", "Champions", ["revenue_pct"]), ("at_risk_segment", "At Risk", [])):
+        rows += [_metric(rule, c, f"SELECT max({c}) FROM ev_seg WHERE segment = '{segment}'")
+                 for c in ["customer_count", "customer_pct", "total_revenue", "avg_spend", "avg_frequency", "avg_recency_days", *more]]
+    rows += [_metric("geographic_concentration", f"focus_{c}", f"SELECT max({c}) FROM ev_geo WHERE customer_state = '{FIXTURE_PARAMS.focus_state}'")
+             for c in ("customer_pct", "revenue_pct")]
+    rows.append(_metric("geographic_concentration", "top3_revenue_pct",
+                        """SELECT CAST(sum(total_revenue) AS DOUBLE) / (SELECT CAST(sum(total_revenue) AS DOUBLE) FROM ev_geo) * 100
+                           FROM (SELECT total_revenue FROM ev_geo ORDER BY order_count DESC, customer_state LIMIT 3)"""))
+    rows += [_metric("spending_concentration", m, f"SELECT {c} FROM ev_spend") for m, c in (
+        ("p90_threshold", "p90"), ("top_decile_revenue_pct", "top_share_pct"), ("median_spend", "median"), ("mean_spend", "mean"))]
+    return "\nUNION ALL\n".join(rows)
 
 
-def _phase_sql(ids: dict) -> str:
-    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ids.items())
-    inlist = ", ".join(f"'{k}'" for k in ids)
-    return f"SELECT CASE insight_id {cases} END AS rule_id, metric, value FROM ({EVIDENCE_SQL}) WHERE insight_id IN ({inlist})"
+def _delivery_phase_sql() -> str:
+    p = FIXTURE_PARAMS
+    region = "FROM state_enriched WHERE customer_state IN (" + ", ".join(f"'{s}'" for s in p.phase_region_states) + ") AND NOT low_volume"
+    above = f"FROM ev_sellerq WHERE late_pct > (SELECT late_pct FROM ev_ov) * {p.seller_late_factor}"
+    rows = [
+        _metric("conservative_estimates", "early_over_7d_pct",
+                "SELECT coalesce((SELECT max(order_count) FROM ev_buckets WHERE delay_bucket = 'Early >7d'), 0)::DOUBLE / n_orders * 100 FROM ev_ov"),
+        _metric("conservative_estimates", "on_time_pct", "SELECT on_time_pct FROM ev_ov"),
+        _metric("northeast_delivery_gap", "region_late_pct", f"SELECT avg(late_pct) {region}"),
+        _metric("northeast_delivery_gap", "national_late_pct", "SELECT late_pct FROM ev_ov"),
+        _metric("northeast_delivery_gap", "region_days", f"SELECT avg(avg_delivery_days) {region}"),
+        _metric("northeast_delivery_gap", "national_days", "SELECT avg_delivery_days FROM ev_ov"),
+        _metric("northeast_delivery_gap", "region_orders", f"SELECT sum(order_count) {region}"),
+        _metric("northeast_delivery_gap", "states_over_twice_national", f"SELECT count(*) {region} AND late_pct > 2 * (SELECT late_pct FROM ev_ov)"),
+        _metric("seller_delivery_variance", "sellers", f"SELECT count(*) {above}"),
+        _metric("seller_delivery_variance", "orders", f"SELECT coalesce(sum(order_count), 0) {above}"),
+        _metric("seller_delivery_variance", "review", f"SELECT avg(avg_review_score) {above}"),
+        _metric("seller_delivery_variance", "national_review", "SELECT avg(review_score) FROM del_valid"),
+    ]
+    rows += [_metric("delay_review_association", f"{k}_{c}", f"SELECT max({c}) FROM ev_rdelay WHERE delay_bucket = '{b}'")
+             for k, b in (("early_over_7d", "Early >7d"), ("late_4_7d", "Late 4-7d"), ("late_over_14d", "Late >14d"))
+             for c in ("avg_review_score", "order_count")]
+    return "\nUNION ALL\n".join(rows)
 
 
-register("insight_customer_mart_rules", "rule_id:s, metric:s, value:d", _phase_sql(CUSTOMER_MART_IDS),
-         evidence_ctes())(_phase_set(CUSTOMER_MART_IDS))
-register("insight_delivery_mart_rules", "rule_id:s, metric:s, value:d", _phase_sql(DELIVERY_MART_IDS),
-         evidence_ctes())(_phase_set(DELIVERY_MART_IDS))
+register("insight_customer_mart_rules", "rule_id:s, metric:s, value:d", _customer_phase_sql(), evidence_ctes())(
+    lambda c: ins.customer_phase_rules(*[evidence(c)[k] for k in ("repeat", "rfm_seg", "cust_geo", "spend")], FIXTURE_PARAMS.focus_state))
+register("insight_delivery_mart_rules", "rule_id:s, metric:s, value:d", _delivery_phase_sql(), evidence_ctes())(
+    lambda c: ins.delivery_phase_rules(*[evidence(c)[k] for k in ("del_ov", "buckets", "del_state", "rev_delay", "seller_del")],
+                                       c.del_valid, FIXTURE_PARAMS.phase_region_states, FIXTURE_PARAMS.seller_late_factor))

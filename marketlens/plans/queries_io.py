@@ -16,6 +16,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.readers import SOURCE_FILES, load_raw_csv
 from ..sources.schemas import SOURCE_SCHEMAS
 from ..sources.sinks import write_json, write_marts, write_model
+from .queries_insights import evidence_ctes
 from .registry import REGISTRY, register
 from .shared import mart
 
@@ -94,6 +95,31 @@ register("write_marts", REGISTRY["monthly_trends"].spec, REGISTRY["monthly_trend
          REGISTRY["monthly_trends"].extra_ctes)(_marts_roundtrip)
 
 
+# marts written and read back: mart -> the oracle's table
+WRITTEN = {"kpis": "ev_kpis", "monthly": "monthly", "cat_perf": "ev_cat", "seller_perf": "ev_seller", "rfm_seg": "ev_seg",
+           "repeat": "ev_repeat", "cust_geo": "ev_geo", "del_ov": "ev_ov", "buckets": "ev_buckets", "del_time": "ev_deltime",
+           "del_state": "state_enriched", "del_cat": "cat_enriched", "seller_del": "ev_sellerq", "rev_delay": "ev_rdelay",
+           "rev_state": "ev_rstate", "rev_cat": "ev_rcat", "spend_stats": "ev_spend"}
+
+
+def _all_marts_roundtrip(c):
+    """Per mart the rows read back, and the rows that the write changed."""
+    path = _scratch(c, "marts-all")
+    own = {name: mart(c, name) for name in WRITTEN}
+    write_marts(own, path)
+    parts = []
+    for name, df in own.items():
+        back = c.spark.read.schema(df.schema).parquet(f"{path}/{name}")
+        differ = df.exceptAll(back).unionByName(back.exceptAll(df)).agg(F.count(F.lit(1)).alias("differing"))
+        parts.append(back.agg(F.count(F.lit(1)).alias("rows")).transform(attach(differ)).select(F.lit(name).alias("mart"), "rows", "differing"))
+    return quality.union_all(parts)
+
+
+register("write_marts_all", "mart:s, rows:i, differing:i",
+         " UNION ALL ".join(f"SELECT '{m}' AS mart, count(*) AS rows, 0 AS differing FROM {t}" for m, t in WRITTEN.items()),
+         evidence_ctes())(_all_marts_roundtrip)
+
+
 def _json_roundtrip(c):
     path = _scratch(c, "kpis-json")
     write_json(mart(c, "kpis"), path)

@@ -9,7 +9,7 @@ from ..operators.stats import attach
 from ..operators import customers as cu
 from ..operators import delivery as dl
 from ..operators import marts as mt
-from .params import DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS, FIXTURE_SPEND_EDGES, MONTH_MIN_ORDERS
+from .params import DELIVERY_MIN_ORDERS, FIXTURE_MIN_SELLER_ORDERS, FIXTURE_SPEND_EDGES, MONTH_MIN_ORDERS, MONTH_MIN_REVIEWS
 
 BUILDERS = {
     "kpis": lambda c: mt.topline_kpis(c.master),
@@ -36,6 +36,8 @@ BUILDERS = {
     "seller_del": lambda c: dl.seller_delivery_qualified(c.order_sellers, c.master, FIXTURE_MIN_SELLER_ORDERS),
     "rev_delay": lambda c: dl.review_by_delay_detailed(c.master),
     "rev_state": lambda c: dl.review_by_state(c.master),
+    "review_scores": lambda c: mt.review_score_dist(c.master),
+    "sat_time": lambda c: mt.satisfaction_over_time(c.master, MONTH_MIN_REVIEWS),
     "rev_cat": lambda c: dl.review_by_category(c.first_cat, c.master),
 }
 
