@@ -11,7 +11,6 @@ operators/  the analytics: cleaning, fact tables, RFM, marts, delivery and
             satisfaction analyses, quality checks, ML, insight rules, serving.
 plans/      wiring: a per-dataset context that builds and reuses the facts,
             the query registry and the output contracts used by the SQL oracle.
-streaming/  (empty by design: the analysed system has no streams)
 """
 
 __version__ = "0.1.0"

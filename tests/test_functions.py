@@ -70,3 +70,23 @@ def test_late_severity_bands(spark):
     df = spark.createDataFrame([(16.0,), (12.0,), (8.0,), (5.0,)], "p double")
     got = [r.s for r in df.select(late_severity(F.col("p"), F.lit(6.77)).alias("s")).collect()]
     assert got == ["high", "medium", "above_national", "normal"]
+
+
+def test_spend_above_every_edge_falls_in_the_top_bucket(spark):
+    from marketlens.operators.customers import customer_spending_dist
+    rfm = spark.createDataFrame([("a", 10.0), ("b", 1500.0), ("c", 1_200_000.0), ("d", 9e12)], "customer_unique_id string, monetary double")
+    got = {r.spend_bucket: r for r in customer_spending_dist(spark, rfm).collect()}
+    assert got["R$2000+"].customer_count == 2 and got["R$2000+"].total_revenue == 1_200_000.0 + 9e12
+    assert abs(sum(r.customer_pct for r in got.values()) - 100) < 1e-9 and abs(sum(r.revenue_pct for r in got.values()) - 100) < 1e-9
+
+
+def test_checkpoint_dir_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from marketlens.session import ensure_checkpoint_dir
+    unset = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: unset, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=unset))

@@ -3,6 +3,7 @@ leading zeros kept by the explicit schema, unparseable values coerced."""
 
 import os
 import tempfile
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -42,3 +43,35 @@ def test_csv_reader_quirks(spark):
     zips = [r.z for r in clean.clean_customers(t["customers"]).orderBy("customer_id")
             .select(F.col("customer_zip_code_prefix").alias("z")).collect()]
     assert zips == ["01037", "01037"]
+
+
+def test_malformed_values_become_null_and_money_keeps_its_scale(spark):
+    d = tempfile.mkdtemp(prefix="marketlens-csv-")
+    for name, schema in SOURCE_SCHEMAS.items():
+        _write(d, name, ",".join(schema.fieldNames()) + "\n")
+    _write(d, "items", "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+                       "o1,1,p1,s1,2018-01-01 10:00:00,10.1234,0.0001\no1,2.0,p1,s1,soon,ten,5\no2,1.5,p1,s1,,7, 2.5 \n")
+    _write(d, "orders", ",".join(SOURCE_SCHEMAS["orders"].fieldNames()) + "\n"
+                        "o1,c1,delivered,2018-01-01 10:00:00,never,,2018-13-45 00:00:00,2018-02-01 00:00:00\n")
+    t = load_raw_csv(spark, d)
+    items = clean.clean_items(t["items"]).collect()
+    assert [(r.order_item_id, r.price, r.freight_value, r.shipping_limit_date is None) for r in items] == [
+        (1, Decimal("10.1234"), Decimal("0.0001"), False), (2, None, Decimal("5.0000"), True), (None, Decimal("7.0000"), Decimal("2.5000"), True)]
+    o = clean.clean_orders(t["orders"]).collect()[0]
+    assert o.order_approved_at is None and o.order_delivered_customer_date is None and o.order_purchase_timestamp.year == 2018
+
+
+def test_one_file_is_read_in_several_partitions(spark):
+    d = tempfile.mkdtemp(prefix="marketlens-csv-")
+    for name, schema in SOURCE_SCHEMAS.items():
+        _write(d, name, ",".join(schema.fieldNames()) + "\n")
+    _write(d, "payments", "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+           + "".join(f"o{i},1,card,1,{i}.25\n" for i in range(200_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500k")
+    try:
+        t = load_raw_csv(spark, d)
+        assert t["payments"].rdd.getNumPartitions() > 1
+        assert t["payments"].count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.stats import (distributed_row_number, exact_quantiles, log_bucket, top_k_sum,
-                                        values_at_ranks)
+                                        values_at_ranks, with_range_bucket)
 
 
 def _values(seed=7, n=3000):
@@ -89,3 +89,33 @@ def test_rank_with_a_hot_tie_group(spark):
     ref = df.withColumn("rk2", F.row_number().over(Window.orderBy(F.col("v").desc(), F.col("k"))))
     joined = ours.join(ref, ["k", "v"])
     assert joined.count() == n and joined.where(F.col("rk") != F.col("rk2")).count() == 0
+
+
+def test_range_buckets_spread_common_prefixes_and_bunched_scores(spark):
+    ids = spark.range(100_000).selectExpr("concat('CUST', lpad(id, 9, '0')) as k")
+    scores = spark.range(100_000).selectExpr("0.5 + id * 1e-9 as k")
+    for df in (ids, scores):
+        got = with_range_bucket(df, "k", "b", 64)
+        sizes = [r["count"] for r in got.groupBy("b").count().collect()]
+        assert len(sizes) > 32 and max(sizes) < 10_000
+        w = Window.orderBy("k")
+        assert got.select((F.col("b") < F.lag("b").over(w)).alias("down")).where("down").count() == 0
+    few = spark.createDataFrame([(None,), ("a",), ("a",), ("b",)], "k string")
+    assert with_range_bucket(few, "k", "b").count() == 4 and with_range_bucket(few.limit(0), "k", "b").count() == 0
+
+
+def test_rank_with_all_rows_tied_on_the_value(spark):
+    from marketlens.operators.marts import rank_desc
+    df = spark.range(20_000).selectExpr("concat('CUST', lpad(id, 9, '0')) as k", "1.0 as v")
+    got = rank_desc(df, "v", "k", "r").orderBy("k").collect()
+    assert [r["r"] for r in got] == list(range(1, 20_001))
+
+
+def test_roc_auc_of_bunched_scores(spark):
+    from marketlens.operators.ml import roc_auc
+    rng = np.random.default_rng(3)
+    s = 0.7 + rng.integers(0, 400, 3000) * 1e-8
+    y = (rng.random(3000) < 0.3 + (s - 0.7) * 1e5).astype(int)
+    got = roc_auc(spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "score double, label int")).first()
+    diff = s[y == 1][:, None] - s[y == 0][None]
+    assert abs(got["roc_auc"] - ((diff > 0).mean() + (diff == 0).mean() / 2)) < 1e-9
