@@ -223,7 +223,8 @@ def _links_of(reps: DataFrame, n: int, cosine: float, train_rows: int) -> DataFr
     lists = max(1, min(MAX_LISTS, round(math.sqrt(n) / 2)))
     sample = reps.select("vec", "x").orderBy(F.xxhash64("vec"), "vec").limit(train_rows).withColumn("all", F.lit(0))
     blob = sample.groupBy("all").applyInArrow(_train_task(lists), "model binary").first()[0]
-    placed = save(reps.mapInArrow(_probe_task(blob, cosine), "vec long, weight long, x array<float>, home int, probes array<int>, mask binary"))
+    kind = reps.schema["x"].dataType.simpleString()
+    placed = save(reps.mapInArrow(_probe_task(blob, cosine), f"vec long, weight long, x {kind}, home int, probes array<int>, mask binary"))
     size = {r["home"]: r["n"] for r in placed.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
     asked = {r["p"]: r["n"] for r in placed.select(F.explode("probes").alias("p")).groupBy("p").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # MAX_LISTS rows each at most
@@ -253,8 +254,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, train_rows: int
     dimensions do not link; rows without a vec_id link with nothing and have a
     null component. Every repeated row counts as a vector. An empty table gives
     no rows. Extra columns are ignored."""
-    x = F.col("embedding").cast("array<float>")
-    limit = F.lit(float("inf")).cast("float")
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    x = F.col("embedding").cast(f"array<{kind}>")
+    limit = F.lit(float("inf")).cast(kind)
     good = F.col("vec_id").isNotNull() & F.coalesce(
         F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < limit)) & F.exists(x, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"), good.alias("good"))

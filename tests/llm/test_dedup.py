@@ -207,6 +207,13 @@ def test_vectors_query_repeated_rows_and_empty(spark):
     assert pq.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_vectors_in_double_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.9 + 1e-9, 0.19 ** 0.5]), (3, [0.9 - 1e-9, 0.19 ** 0.5]), (4, [1e-300, 0.0]), (5, [1e300, 1e280])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in pq.near_duplicates(df).collect()}
+    assert got == {1: 3, 2: 4, 3: 1, 4: 3, 5: 3}  # 3 is too far from the first axis by a billionth
+
+
 def pq_row(vec, n, component, kept):
     from pyspark.sql import Row
     return Row(vec_id=vec, n_links=n, component_id=component, kept=kept)
