@@ -28,6 +28,7 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))  # first bit, number of bits
 VARIANTS = 64
 SMALL_GROUP = 16
 MAX_GROUP = 200_000
+MAX_HOT_VARIANTS = 100_000
 
 
 def fingerprint(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -81,6 +82,24 @@ def _variants(batches):
                 [pa.array(part.ravel()), pa.array(np.repeat(fp[i:i + 4096].view(np.int64), VARIANTS))], ["key", "fp"])
 
 
+def _often(least: int):
+    """Variants that ``least`` or more fingerprints of a task share."""
+    def run(batches):
+        parts = [b.column(0).to_numpy(zero_copy_only=False) for b in batches]
+        if not parts:
+            return
+        fp = np.concatenate(parts).view(np.uint64)
+        for lo, bits in SEGMENTS:
+            value = (fp >> np.uint64(lo)) & np.uint64((1 << bits) - 1)
+            for i in range(bits):
+                key, n = np.unique(value & ~np.uint64(1 << i), return_counts=True)
+                many = n >= least
+                yield pa.RecordBatch.from_arrays([pa.array(key[many].astype(np.int64) | ((lo + i) << 22)),
+                                                  pa.array(n[many].astype(np.int64))], ["key", "n"])
+
+    return run
+
+
 def _first_variant(x: np.ndarray) -> np.ndarray:
     """The first variant that two fingerprints share, given their XOR."""
     out = np.full(len(x), -1, dtype=np.int64)
@@ -165,15 +184,21 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, max_group: int =
     keys = fps.select("fp").mapInArrow(_variants, "key long, fp long")
     parts = partitions_for(spark, n * VARIANTS, 2_000_000)
     if n > max_group:
-        limit = max(max_group, math.ceil(n * VARIANTS / 100_000))  # at most 100,000 hot variants
-        hot = keys.groupBy("key").count().where(F.col("count") > limit).select(
-            "key", F.ceil(F.col("count") / limit).cast("int").alias("blocks"))
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                           lambda j: F.least(own, j) * 1000 + F.greatest(own, j) + 1)
-        keys = keys.join(F.broadcast(hot), "key", "left").select(
-            F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(pair)).alias("pair"), "key", "fp"
-        ).select((F.col("key") + F.shiftleft(F.col("pair").cast("long"), 28)).alias("key"), "fp")
+        limit = max(max_group, math.ceil(n * VARIANTS / 100_000))
+        tasks = fps.rdd.getNumPartitions()
+        share = max(1, limit // tasks)  # a variant beyond the limit reaches this in some task
+        often = fps.select("fp").mapInArrow(_often(share), "key long, n long").groupBy("key").agg(
+            F.sum("n").alias("n"), F.count(F.lit(1)).alias("seen"))
+        most = F.col("n") + (tasks - F.col("seen")) * share
+        hot = save(often.select("key", F.ceil(most / limit).cast("int").alias("blocks")).where("blocks > 1"))
+        if hot.count() <= MAX_HOT_VARIANTS:  # else joined by a shuffle
+            hot = F.broadcast(hot)
+        blocks, zero = F.col("blocks").cast("long"), F.lit(0).cast("long")
+        own = F.pmod(F.xxhash64("fp"), blocks)
+        pair = F.transform(F.sequence(zero, blocks - 1), lambda j: F.least(own, j) * 100_000 + F.greatest(own, j) + 1)
+        keys = keys.join(hot, "key", "left").select(
+            F.explode(F.when(F.col("blocks").isNull(), F.array(zero)).otherwise(pair)).alias("pair"), "key", "fp"
+        ).select((F.col("key") + F.shiftleft("pair", 28)).alias("key"), "fp")
     return keys.repartition(parts, "key").mapInArrow(_link(max_bits), "a long, b long")
 
 
