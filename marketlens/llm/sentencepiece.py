@@ -6,7 +6,8 @@ the exact cost of what is still to come, so an A* search pops segmentations in
 order of their scores.
 
 No piece crosses the start of a word (spaces are written as U+2581 and stand
-first in pieces), so the lattice falls apart into words: their forward and
+first in pieces) or joins a letter to most punctuation, which is read off the
+vocabulary, so the lattice falls apart into words: their forward and
 backward scores are computed for many distinct words at once and kept in a
 bounded table. The best segmentation of a text joins its words' best ones; the
 others differ in few words, those whose second-best segmentation costs least,
@@ -23,7 +24,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from itertools import chain
+from array import array
 from operator import itemgetter
 
 import numpy as np
@@ -34,10 +35,12 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NBEST = 3
-CACHE = 150_000     # words whose best segmentation is kept, twice
+CACHE = 250_000     # words whose best segmentation is kept, twice
 LONG_WORD = 48      # longer words go through the search by themselves
 BLOCK = 1024        # words searched at once
 BYTE_LOSS = 10.0    # a byte piece scores so much less than the rarest piece
+MARKS = ",.;:!?|\n"   # where a word may end, if no piece of the model joins them to a letter
+LETTER = "[A-Za-z\u00c0-\u024f]"
 _WORD = re.compile(f"{SPACE}*+[^{SPACE}]*+")
 
 
@@ -70,6 +73,10 @@ class Vocabulary:
         for b, i in self.byte_id.items():
             self.bytes_of[i] = bytes([b])
         byte_ids = set(self.byte_id.values())
+        joined = {p[i:i + 2] for p in self.score for i in range(len(p) - 1)}
+        apart = [c for c in MARKS if not any(re.match(LETTER, x) and x[1] == c for x in joined)]
+        ahead = "" if any(x[0] == "\n" and re.match(LETTER, x[1]) for x in joined) else f"|(?<=\n)(?={LETTER})"
+        self.cut = re.compile(f"(?<={LETTER})(?=[{re.escape(''.join(apart))}]){ahead}") if apart else None
         self.space_of = [None if i in byte_ids else p.replace(SPACE, " ") for i, p in enumerate(self.pieces)]
         self._index()
 
@@ -88,6 +95,14 @@ class Vocabulary:
         self.hash_id = np.array([by_hash[h][1] for h in self.hashes.tolist()])
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[self._slot(self.hashes)] = True
+        starts = set()  # hashes of all beginnings of pieces
+        for p in self.score:
+            h = 0
+            for c in p:
+                h = (h * int(self.base) + ord(c) + 1) % (1 << 64)
+                starts.add(h)
+        self.beginnings = np.zeros(1 << 20, bool)
+        self.beginnings[self._slot(np.array(sorted(starts), np.uint64))] = True
         byte_len = np.ones(0x110000, np.int8)
         byte_len[0x80:] = 2
         byte_len[0x800:] = 3
@@ -166,19 +181,27 @@ class Vocabulary:
         most, every = min(self.longest, width), np.arange(m)
         score = np.full((most, width, m), -np.inf)  # of the piece from a position, by its length
         piece = np.full((most, width, m), -1, np.int32)
-        h = np.zeros((width, m), np.uint64)
-        unit = code.astype(np.uint64) + np.uint64(1)
+        unit = code.ravel().astype(np.uint64) + np.uint64(1)
         seen = [set() for _ in range(most + 1)]  # positions with a piece of each length
         seen[1].update(range(width))
+        # a position goes on to the next length while its characters begin a piece
+        live = np.flatnonzero(inside.ravel())
+        h, known = np.zeros(len(live), np.uint64), inside.ravel()
         for n in range(1, most + 1):
-            h = h[:width - n + 1] * self.base + unit[n - 1:]
-            r, c = np.nonzero(self.bitmap[self._slot(h)] & inside[n - 1:])
-            if not len(r):
+            if n > 1:
+                live, h = live[live < (width - n + 1) * m], h[live < (width - n + 1) * m]
+                on = known[live + (n - 1) * m]
+                live, h = live[on], h[on]
+            h = h * self.base + unit[live + (n - 1) * m]
+            slot = self._slot(h)
+            on = self.beginnings[slot]
+            live, h, slot = live[on], h[on], slot[on]
+            own = np.flatnonzero(self.bitmap[slot])
+            at = np.minimum(np.searchsorted(self.hashes, h[own]), len(self.hashes) - 1)
+            ok = self.hashes[at] == h[own]
+            at, (r, c) = at[ok], np.divmod(live[own[ok]], m)
+            if not len(at):
                 continue
-            own = h[r, c]
-            at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
-            ok = self.hashes[at] == own
-            at, r, c = at[ok], r[ok], c[ok]
             score[n - 1, r, c] = self.hash_score[at]
             piece[n - 1, r, c] = self.hash_id[at]
             seen[n].update(np.unique(r).tolist())
@@ -231,33 +254,30 @@ class Vocabulary:
             out[w] = (t, tuple(int(i) for i in reversed(ids[k])), t - float(through[k]))
 
 
-_SCORE, _LOSS = itemgetter(0), itemgetter(2)
+_SCORE, _IDS, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
 
 
 class Segmentations:
-    """The n best of one text: they share all words but a few."""
+    """The n best of one text: they share all words but a few. ``spelt``: do the
+    pieces spell the words, and the words the text?"""
 
-    def __init__(self, words, best, options, ways):
-        self.words, self.best, self.options, self.ways = words, best, options, ways
+    def __init__(self, best, options, ways, spelt: bool):
+        self.best, self.options, self.ways, self.spelt = best, options, ways, spelt
         self.scores = [s for s, _ in ways]
 
-    def ids(self, rank: int = 0) -> list[int]:
+    def packed(self, rank: int = 0) -> bytes:
+        """Piece ids as 4-byte integers."""
         parts = list(self.best)
         for (k, o), j in zip(self.options.items(), self.ways[rank][1]):
             parts[k] = o[j][1]
-        return list(chain.from_iterable(parts))
+        return b"".join(parts)
+
+    def ids(self, rank: int = 0) -> list[int]:
+        return np.frombuffer(self.packed(rank), np.int32).tolist()
 
     def sizes(self) -> list[int]:
         own = sum(map(len, self.best)) - sum(len(self.best[k]) for k in self.options)
-        return [own + sum(len(o[j][1]) for o, j in zip(self.options.values(), c)) for _, c in self.ways]
-
-    def round_trip(self, text: str, vocabulary: Vocabulary) -> bool:
-        """Do all decode to the text? Whole for the best; the others differ
-        from it in the words searched, whose segmentations must spell them."""
-        if decode(self.ids(), vocabulary) != text:
-            return False
-        used = {(k, j) for _, c in self.ways for k, j in zip(self.options, c)}
-        return all(spell(self.options[k][j][1], vocabulary) == self.words[k].replace(SPACE, " ") for k, j in used)
+        return [(own + sum(len(o[j][1]) for o, j in zip(self.options.values(), c))) // 4 for _, c in self.ways]
 
 
 class Encoder:
@@ -268,8 +288,14 @@ class Encoder:
         self.new: dict = {}
         self.old: dict = {}
         self.more: dict = {}
+        self.wrong: set[str] = set()
+        self._piece = vocabulary.pieces.__getitem__
 
     def _words(self, text: str) -> list[str]:
+        if "  " not in text and SPACE not in text and "\0" not in text and not text.startswith(" "):
+            if self.v.cut:  # words also end where no piece joins two characters
+                text = self.v.cut.sub("\0", text)
+            return (SPACE + text.replace(" ", "\0" + SPACE)).split("\0")
         # the mark itself is spelt in bytes, so it can't be taken for a space
         parts = (" " + text).split(SPACE)
         words: list[str] = []
@@ -279,19 +305,24 @@ class Encoder:
             words.extend(w for w in _WORD.findall(part.replace(" ", SPACE)) if w)
         return words
 
-    def _learn(self, words) -> None:
+    def _pack(self, word: str, ids) -> bytes:
+        """The ids as bytes; a word that they don't spell is noted."""
+        if "".join(map(self._piece, ids)) != word and spell(ids, self.v) != (word.replace(SPACE, " ") or SPACE):
+            self.wrong.add(word)
+        return array("i", ids).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
         new, old = self.new, self.old
         missing = []
-        for w in set(words):
-            if w not in new:
-                if w in old:
-                    new[w] = old[w]
-                else:
-                    missing.append(w)
+        for w in words - new.keys():
+            if w in old:
+                new[w] = old[w]
+            else:
+                missing.append(w)
         missing.sort()
         for i in range(0, len(missing), 8192):
             part = missing[i:i + 8192]
-            new.update(zip(part, self.v.best_of(part)))
+            new.update((w, (score, self._pack(w, ids), loss)) for w, (score, ids, loss) in zip(part, self.v.best_of(part)))
 
     def _trim(self) -> None:
         if len(self.new) >= CACHE:
@@ -306,13 +337,13 @@ class Encoder:
             flat.update(ws)
         flat.discard("")
         self._learn(flat)
-        self.new[""] = (3 * self.v.floor, tuple(int(self.v.id_of_byte[b]) for b in SPACE.encode()), math.inf)
-        out = [self._text(ws) for ws in split]
+        self.new[""] = (3 * self.v.floor, self._pack("", [int(self.v.id_of_byte[b]) for b in SPACE.encode()]), math.inf)
+        out = [self._text(t, ws) for t, ws in zip(texts, split)]
         self._trim()
         return out
 
-    def _text(self, words: list[str]) -> Segmentations:
-        found = [self.new[w] for w in words]
+    def _text(self, text: str, words: list[str]) -> Segmentations:
+        found = list(map(self.new.__getitem__, words))
         total = math.fsum(map(_SCORE, found))
         # a segmentation of rank k differs from the best in words among the
         # k - 1 that lose least by their second-best
@@ -322,12 +353,16 @@ class Encoder:
         ways: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
         for o in options.values():
             ways = heapq.nsmallest(self.n, ((x + o[0][0] - s, c + (j,)) for x, c in ways for j, (s, _) in enumerate(o)))
-        return Segmentations(words, [f[1] for f in found], options, [(total - x, c) for x, c in ways])
+        # a mark of the text is the empty word
+        whole = "".join(words) if SPACE not in text else "".join(w.replace(SPACE, " ") or SPACE for w in words)
+        spelt = whole == (SPACE + text.replace(" ", SPACE) if SPACE not in text else " " + text)
+        spelt = spelt and (not self.wrong or self.wrong.isdisjoint(words))
+        return Segmentations(list(map(_IDS, found)), options, [(total - x, c) for x, c in ways], spelt)
 
     def _more(self, word: str):
         hit = self.more.get(word)
         if hit is None:
-            hit = self.more[word] = self.v.n_best(word, self.n)
+            hit = self.more[word] = [(score, self._pack(word, ids)) for score, ids in self.v.n_best(word, self.n)]
         return hit
 
 
@@ -372,10 +407,12 @@ def _task(model: bytes, n: int, names, at: int):
                     end += 1
                 own = texts[start:end]
                 found = encoder(own)
-                best = pa.array([f.ids() for f in found], pa.list_(pa.int32()))
+                blobs = [f.packed() for f in found]
+                ends = np.cumsum([0, *(len(x) // 4 for x in blobs)], dtype=np.int32)
+                best = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
                 scores = pa.array([f.scores for f in found], pa.list_(pa.float64()))
                 sizes = pa.array([f.sizes() for f in found], pa.list_(pa.int32()))
-                back = pa.array([f.round_trip(t, encoder.v) for t, f in zip(own, found)])
+                back = pa.array([f.spelt for f in found])
                 part = b.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, best, scores, sizes, back], [*names, *NEW])
                 start = end
@@ -389,8 +426,8 @@ NEW = ("ids", "nbest_scores", "nbest_sizes", "round_trip")
 def encode(docs: DataFrame, model_path: str = MODEL_PATH, n: int = NBEST) -> DataFrame:
     """(doc_id, ids, nbest_scores, nbest_sizes, round_trip), one row per input
     row: piece ids of the best segmentation, scores and piece counts of the
-    ``n`` best (fewer if there are fewer), and whether all of them decode to the
-    text. Null texts count as empty, which have the one segmentation of the
+    ``n`` best (fewer if there are fewer), and whether the pieces
+    of all of them spell the text. Null texts count as empty, which have the one segmentation of the
     space that is put before every text; a null doc_id keeps its row. Extra
     columns are ignored. The model file is read on the driver; its size is that
     of one vocabulary."""
