@@ -258,25 +258,28 @@ def find(text: str, model, confident: float = CONFIDENT):
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_tokens: int = TRAIN_TOKENS) -> dict[str, np.ndarray]:
     """Weights from at most ``train_docs`` documents that have candidates,
-    chosen by a hash; each lends a passage of at most ``train_tokens``
-    candidate tokens to the sample."""
+    chosen by a hash; each lends its first ``train_tokens`` candidate tokens to
+    the sample, with the plain words between them left out."""
     def cut(batches):
         for b in batches:
             out = []
-            for t in b.column(0).to_pylist():
-                at = None
+            for t in b.column(1).to_pylist():
+                parts, end = [], 0
                 for k, m in enumerate(_TOKEN.finditer(t)):
-                    at = at or m.start()
-                    if k + 1 == train_tokens:
-                        t = t[at:m.end()]
+                    if k == train_tokens:
                         break
-                out.append(t)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
+                    gap = t[end:m.start()]  # plain words only part the tokens
+                    parts += [gap if len(gap) <= 3 or gap.isspace() else " x ", m.group()]
+                    end = m.end()
+                out.append("".join(parts))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["h", "text"])
 
     some = docs.select(whole(F.col("text").cast("string")).alias("text")).where(F.col("text").rlike("[0-9@+]"))
-    few = some.withColumn("h", F.xxhash64("text")).where(  # a share first, so that the sort stays small
-        F.pmod("h", F.lit(max(1, some.count() // (4 * train_docs)))) == 0).orderBy("h").limit(train_docs).select("text")
-    blob = train_once(few.mapInArrow(cut, "text string"), lambda t: train(
+    # a share of the rows and their tokens only, so that what is sorted stays small
+    share = some.select(F.xxhash64("text").alias("h"), "text").where(
+        F.pmod("h", F.lit(max(1, some.count() // (2 * train_docs)))) == 0)
+    few = share.mapInArrow(cut, "h long, text string").orderBy("h", "text").limit(train_docs).select("text")
+    blob = train_once(few, lambda t: train(
         [f for x in sorted(t.column("text").to_pylist()) if len((f := Field(x, base_spans(x))).label)]))
     return unpack(blob) if blob else train([])
 
