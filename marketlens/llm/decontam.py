@@ -4,8 +4,8 @@ A seed is a fixed mask over consecutive tokens; the ignored positions may
 differ between the benchmark and a document. Each mask is a product of gaps, so
 its hashes come from pairwise combinations of shifted hash arrays, all in
 built-in functions. Benchmark and document hashes are equality-joined; around
-every hit the texts are compared along the hit's diagonal, and substitutions
-are tolerated where enough tokens agree on either side.
+every hit the texts are compared along the hit's diagonal for the stretch with
+the most equal tokens among those whose share of equal tokens is high enough.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ MASKS = ((1, 3, 7), (1, 3, 5))
 MIN_MATCHED = 13    # tokens that must agree in the verified overlap,
 MIN_SHARE = 0.8     # or this share of the item if that is fewer
 MIN_ITEM = 5        # items with fewer tokens match nothing
-PENALTY = 4         # a substitution must be outweighed by this many equal tokens
+PENALTY = 4         # equal tokens that each substitution asks for: MIN_SHARE as odds
 BROADCAST_SEEDS = 200_000
 
 
@@ -65,6 +65,43 @@ def _dense(n: int) -> tuple[int, ...]:
     return tuple(out)
 
 
+def _breaks(equal: Column) -> Column:
+    """Places of the substitutions, between -1 and the length."""
+    places = F.array_compact(F.transform(equal, lambda e, i: F.when(~e, i)))
+    return F.concat(F.array(F.lit(-1)), places, F.array(F.size(equal)))
+
+
+def _best_stretch(breaks: Column) -> Column:
+    """(bm, bn, bf): equal tokens, length and first place of the stretch with
+    the most equal tokens among all that agree in MIN_SHARE; of those the
+    shortest, then the first.
+
+    A stretch from behind break r to before break q has q - r - 1 substitutions
+    and agrees enough exactly if break_r - 5 r <= break_q - 5 q + PENALTY. With
+    the ends sorted by these numbers the first r so far is the best for q."""
+    def ends(side: int, beside: int):
+        def end(b, i):
+            key = b - (PENALTY + 1) * i + PENALTY * side
+            # only next to an equal token
+            return F.when(F.abs(F.get(breaks, i + beside) - b) > 1,
+                          F.struct(key.alias("key"), F.lit(side).alias("side"), i.alias("i"), b.alias("b")))
+        return F.array_compact(F.transform(breaks, end))
+
+    zero = F.struct(F.lit(2 ** 31 - 1).alias("r"), *[F.lit(0).alias(x) for x in ("b", "bm", "bn", "bf")])
+
+    def step(a, e):
+        opens = (e["side"] == 0) & (e["i"] < a["r"])
+        n, f = e["b"] - a["b"] - 1, a["b"] + 1
+        m = n - (e["i"] - a["r"] - 1)
+        better = (e["side"] == 1) & (a["r"] < e["i"]) & (
+            (m > a["bm"]) | ((m == a["bm"]) & ((n < a["bn"]) | ((n == a["bn"]) & (f < a["bf"])))))
+        return F.struct(F.when(opens, e["i"]).otherwise(a["r"]).alias("r"), F.when(opens, e["b"]).otherwise(a["b"]).alias("b"),
+                        F.when(better, m).otherwise(a["bm"]).alias("bm"), F.when(better, n).otherwise(a["bn"]).alias("bn"),
+                        F.when(better, f).otherwise(a["bf"]).alias("bf"))
+
+    return F.aggregate(F.array_sort(F.concat(ends(0, 1), ends(1, -1))), zero, step)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, min_matched: int = MIN_MATCHED) -> DataFrame:
     """(doc_id, item_id, matched, aligned, item_tokens, first_token): one row per
     document and benchmark item that overlap.
@@ -117,22 +154,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, min_matched
         F.slice("item", F.col("skip") + 1, F.size("item")).alias("item"),
         F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.size("item") - F.col("skip")).alias("own"))
     equal = F.zip_with("item", "own", lambda a, b: F.coalesce(a == b, F.lit(False)))
-    # best stretch: +1 for equal tokens, -PENALTY for a substitution
-    zero = F.struct(*[F.lit(0).alias(x) for x in ("i", "s", "m", "f", "best", "bm", "bf", "bn")])
-
-    def step(a, eq):
-        fresh = a["s"] <= 0
-        s = F.when(fresh, 0).otherwise(a["s"]) + F.when(eq, 1).otherwise(-PENALTY)
-        m = F.when(fresh, 0).otherwise(a["m"]) + F.when(eq, 1).otherwise(0)
-        f = F.when(fresh, a["i"]).otherwise(a["f"])
-        better = s > a["best"]
-        return F.struct((a["i"] + 1).alias("i"), s.alias("s"), m.alias("m"), f.alias("f"),
-                        F.when(better, s).otherwise(a["best"]).alias("best"),
-                        F.when(better, m).otherwise(a["bm"]).alias("bm"),
-                        F.when(better, f).otherwise(a["bf"]).alias("bf"),
-                        F.when(better, a["i"] + 1 - f).otherwise(a["bn"]).alias("bn"))
-
-    hits = hits.select("doc_id", "item_id", "start", "skip", "item_tokens", F.aggregate(equal, zero, step).alias("r"))
+    hits = hits.select("doc_id", "item_id", "start", "skip", "item_tokens", _breaks(equal).alias("breaks"))
+    hits = hits.select("doc_id", "item_id", "start", "skip", "item_tokens", _best_stretch(F.col("breaks")).alias("r"))
     need = F.least(F.lit(min_matched), F.ceil(F.col("item_tokens") * MIN_SHARE).cast("int"))
     # filtered after grouping, so that the comparison stays out of the join
     return hits.groupBy("doc_id", "item_id", "item_tokens").agg(

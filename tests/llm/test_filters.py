@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import decontam, queries, sharding, toxicity, urls
 from marketlens.llm import quality as quality_mod
@@ -128,6 +129,32 @@ def test_decontamination_tolerates_substitutions_only(spark):
     assert decontam.contaminated(d.limit(0), b).collect() == [] and decontam.contaminated(d, b.limit(0)).collect() == []
 
 
+def plain_stretch(equal):
+    """Most equal tokens, shortest, first, of all stretches that agree in 80 %."""
+    found = [(sum(equal[a:b]), a - b, -a) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if 5 * sum(equal[a:b]) >= 4 * (b - a)]
+    m, n, f = max(found, default=(0, 0, 0))
+    return (m, -n, -f) if m else (0, 0, 0)
+
+
+def test_best_stretch_against_all_stretches(spark):
+    rnd = random.Random(11)
+    rows = [[rnd.random() < rnd.choice((0.3, 0.7, 0.8, 0.9)) for _ in range(rnd.randint(0, 45))] for _ in range(600)]
+    rows.append([k not in (5, 10) for k in range(15)])  # 13 of 15
+    rows.append([k % 5 != 4 for k in range(59)])        # 48 of 59
+    df = spark.createDataFrame(list(enumerate(rows)), "k int, equal array<boolean>")
+    df = df.select("k", decontam._breaks(F.col("equal")).alias("b")).select("k", decontam._best_stretch(F.col("b")).alias("r"))
+    for k, r in df.collect():
+        assert (r["bm"], r["bn"], r["bf"]) == plain_stretch(rows[k]), rows[k]
+
+
+def test_decontamination_of_a_short_item_with_substitutions(spark):
+    item = [f"w{k}" for k in range(15)]
+    doc = ["zzz" if k in (5, 10) else w for k, w in enumerate(item)]
+    d = spark.createDataFrame([(1, "before it " + " ".join(doc) + " after")], "doc_id long, text string")
+    b = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    assert [tuple(r) for r in decontam.contaminated(d, b).collect()] == [(1, 7, 13, 15, 15, 2)]
+
+
 def test_sharding(spark):
     rows = [(i, None if i % 50 == 0 else "é" * (i % 7)) for i in range(1003)] + [(5, "again"), (5, "again"), (None, "x"), (7, "y" * 200_000)]
     df = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id long, text string, shard int")
