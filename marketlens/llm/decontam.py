@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 from .common import whole
 
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
-#: Gaps of each mask: offsets are all sums of subsets, so (1, 3, 7) reads
-#: positions 0 1 3 4 7 8 10 11 and ignores 2 5 6 9.
-MASKS = ((1, 3, 7), (1, 3, 5))
+#: (gaps of a mask, the highest need of items that are sought by it). Offsets
+#: are all sums of subsets of the gaps, so (1, 3) reads positions 0 1 3 4.
+#: Together they hit every overlap that counts. With m equal tokens and at most
+#: m / 4 substitutions the longest run of equal tokens has 4 or more from m = 13
+#: on. For m of 5 to 12 without a run of 4, some run of 2 or 3 lies next to
+#: another one, with one substitution between them; for m = 4 also 3 in a row do.
+MASKS = (((1, 2), None), ((1, 3), 12), ((1, 1), 4))
 MIN_MATCHED = 13    # tokens that must agree in the verified overlap,
 MIN_SHARE = 0.8     # or this share of the item if that is fewer
 MIN_ITEM = 5        # items with fewer tokens match nothing
@@ -36,10 +40,6 @@ def _combine(x: Column, gap: int) -> Column:
     return F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, F.lit(1 + gap), n), lambda a, b: F.xxhash64(a, b))
 
 
-def _span(mask: tuple[int, ...]) -> int:
-    return sum(mask) + 1
-
-
 def _with_seeds(df: DataFrame, masks) -> DataFrame:
     """Adds ``seed_0``, ``seed_1`` ...: for each mask the hashes by position.
     Masks that begin alike share the work."""
@@ -54,17 +54,6 @@ def _with_seeds(df: DataFrame, masks) -> DataFrame:
     return df
 
 
-def _dense(n: int) -> tuple[int, ...]:
-    """Gaps of a mask that reads n consecutive tokens, for short items: n is
-    split as 1 + the gaps, so overlapping positions are read twice."""
-    out, have = [], 1
-    while have < n:
-        step = min(have, n - have)
-        out.append(step)
-        have += step
-    return tuple(out)
-
-
 def _breaks(equal: Column) -> Column:
     """Places of the substitutions, between -1 and the length."""
     places = F.array_compact(F.transform(equal, lambda e, i: F.when(~e, i)))
@@ -102,36 +91,36 @@ def _best_stretch(breaks: Column) -> Column:
     return F.aggregate(F.array_sort(F.concat(ends(0, 1), ends(1, -1))), zero, step)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, min_matched: int = MIN_MATCHED) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_MATCHED) -> DataFrame:
     """(doc_id, item_id, matched, aligned, item_tokens, first_token): one row per
     document and benchmark item that overlap.
 
     ``aligned`` tokens of the item, starting at token ``first_token`` of the
     document, agree in ``matched`` tokens; substitutions inside are tolerated,
     insertions end an overlap. An overlap counts from ``min_matched`` equal
-    tokens, or 80 % of an item that is shorter than that asks for. Items shorter
-    than a mask are sought by all their tokens in a row; items of fewer than 5
-    tokens and null or empty texts match nothing. A null doc_id keeps its row.
+    tokens (5 or more), or 80 % of an item that is shorter than that asks for,
+    if at least 80 % of its tokens agree; every such overlap is found. Items of
+    fewer than 5 tokens and null or empty texts match nothing. A null doc_id keeps its row.
     Rows with the same doc_id and text give one row. Extra columns are
     ignored."""
     items = benchmark.select("item_id", tokens(F.col("text").cast("string")).alias("item")).where(
         F.size("item") >= MIN_ITEM).dropDuplicates()
-    shortest = min(map(_span, masks))
-    lengths = [r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n") < shortest).distinct().collect()]
-    all_masks = [*masks, *map(_dense, sorted(lengths))]  # fewer than `shortest` more
+    need = F.least(F.lit(min_matched), F.ceil(F.size("item") * MIN_SHARE).cast("int"))
+    least, n = items.agg(F.min(need), F.coalesce(F.sum(F.size("item")), F.lit(0))).first()
+    masks = [(gaps, top) for gaps, top in MASKS if top is None or (least is not None and least <= top)]
 
     # From the explosion to the join everything is generated code (no
     # higher-order function, whose operators take whole rows): the arrays are
     # carried by reference and copied for hits only.
     def seeds(df: DataFrame, *keep: str) -> DataFrame:
-        df = _with_seeds(df, all_masks)
-        sizes = [f"n{k}" for k in range(len(all_masks))]
+        df = _with_seeds(df, [gaps for gaps, _ in masks])
+        sizes = [f"n{k}" for k in range(len(masks))]
         df = df.select(*keep, *[F.size(f"mask{k}").alias(n) for k, n in enumerate(sizes)],
-                       F.concat(*[F.col(f"mask{k}") for k in range(len(all_masks))]).alias("seeds"))
+                       F.concat(*[F.col(f"mask{k}") for k in range(len(masks))]).alias("seeds"))
         # the outer form: else the optimiser infers a filter on the size of the
         # hash array, and computes all of it once more, nested, to push it down
         df = df.select(*keep, *sizes, F.posexplode_outer("seeds").alias("at", "seed"))
-        mask, at, total = F.lit(len(all_masks) - 1), F.col("at"), F.lit(0)
+        mask, at, total = F.lit(len(masks) - 1), F.col("at"), F.lit(0)
         for k, n in reversed(list(enumerate(sizes[:-1]))):
             before = sum((F.col(x) for x in sizes[:k]), F.lit(0))
             mask = F.when(F.col("at") < before + F.col(n), F.lit(k)).otherwise(mask)
@@ -139,10 +128,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, min_matched
             total = total + F.when(mask > k, F.col(n)).otherwise(0)
         return df.select(*keep, "seed", mask.alias("mask"), (at - total).alias("at"))
 
-    bench = seeds(items.withColumn("words", F.col("item")), "item_id", "item").where("seed is not null").select(
+    sought = F.lit(True)
+    for k, (_, top) in enumerate(masks):
+        if top is not None:
+            sought = sought & ((F.col("mask") != k) | (need <= top))
+    bench = seeds(items.withColumn("words", F.col("item")), "item_id", "item").where(F.col("seed").isNotNull() & sought).select(
         "item_id", "item", "seed", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"))
-    n = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0] * len(all_masks)
-    if n <= BROADCAST_SEEDS:  # the bound: so many rows, each with one item's tokens
+    if n * len(masks) <= BROADCAST_SEEDS:  # the bound: so many rows, each with one item's tokens
         bench = F.broadcast(bench)
     words = docs.select("doc_id", tokens(F.col("text").cast("string")).alias("words"))
     hits = seeds(words, "doc_id", "words").join(bench, "seed").where("mask = item_mask")

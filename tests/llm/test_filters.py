@@ -155,6 +155,45 @@ def test_decontamination_of_a_short_item_with_substitutions(spark):
     assert [tuple(r) for r in decontam.contaminated(d, b).collect()] == [(1, 7, 13, 15, 15, 2)]
 
 
+def test_seeds_hit_every_overlap_that_counts():
+    for n in range(decontam.MIN_ITEM, 19):
+        need = min(decontam.MIN_MATCHED, -(-8 * n // 10))
+        equal = np.arange(2 ** n)[:, None] >> np.arange(n) & 1 == 1
+        sums = np.concatenate([np.zeros((len(equal), 1), int), equal.cumsum(1)], axis=1)
+        counts = np.zeros(len(equal), bool)
+        for a in range(n):
+            for b in range(a + 1, n + 1):
+                m = sums[:, b] - sums[:, a]
+                counts |= (m >= need) & (5 * m >= 4 * (b - a))
+        hit = np.zeros(len(equal), bool)
+        for gaps, top in decontam.MASKS:
+            if top is None or need <= top:
+                at = {0}
+                for g in gaps:
+                    at |= {x + g for x in at}
+                for s in range(n - max(at)):
+                    hit |= equal[:, [s + x for x in at]].all(1)
+        assert counts.any() and not (counts & ~hit).any(), n
+
+
+def test_decontamination_against_brute_force(spark):
+    rnd = random.Random(17)
+    items = [[f"i{j}w{k}" for k in range(n)] for j, n in enumerate([*range(3, 26), 59])]
+    docs, want = [], {}
+    for j, item in enumerate(items):
+        for q in (0.1, 0.2, 0.3, 0):
+            for t in range(8):
+                equal = [rnd.random() >= q for _ in item] if q else [(k + t) % (5 + t % 3) > 0 for k in range(len(item))]
+                m, n, f = plain_stretch(equal)
+                if len(item) >= 5 and m >= min(13, -(-8 * len(item) // 10)):
+                    want[len(docs), j] = (m, n, len(item), 3 + f)
+                docs.append((len(docs), "x y z " + " ".join(w if e else "other" for w, e in zip(item, equal)) + " x y"))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in decontam.contaminated(d, b).collect()}
+    assert len(want) > 200 and got == want
+
+
 def test_sharding(spark):
     rows = [(i, None if i % 50 == 0 else "é" * (i % 7)) for i in range(1003)] + [(5, "again"), (5, "again"), (None, "x"), (7, "y" * 200_000)]
     df = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id long, text string, shard int")
