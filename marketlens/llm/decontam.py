@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole
+from .common import save, whole
 
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 #: (gaps of a mask, the highest need of items that are sought by it). Offsets
@@ -27,7 +27,8 @@ MIN_MATCHED = 13    # tokens that must agree in the verified overlap,
 MIN_SHARE = 0.8     # or this share of the item if that is fewer
 MIN_ITEM = 5        # items with fewer tokens match nothing
 PENALTY = 4         # equal tokens that each substitution asks for: MIN_SHARE as odds
-BROADCAST_SEEDS = 200_000
+ROW_BYTES = 64      # at most, of a seed or hit in a broadcast table
+BROADCAST_BYTES = 16 << 20
 
 
 def tokens(text: Column) -> Column:
@@ -103,15 +104,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
     fewer than 5 tokens and null or empty texts match nothing. A null doc_id keeps its row.
     Rows with the same doc_id and text give one row. Extra columns are
     ignored."""
-    items = benchmark.select("item_id", tokens(F.col("text").cast("string")).alias("item")).where(
-        F.size("item") >= MIN_ITEM).dropDuplicates()
     need = F.least(F.lit(min_matched), F.ceil(F.size("item") * MIN_SHARE).cast("int"))
-    least, n = items.agg(F.min(need), F.coalesce(F.sum(F.size("item")), F.lit(0))).first()
+    items = benchmark.select("item_id", tokens(F.col("text").cast("string")).alias("item")).where(
+        F.size("item") >= MIN_ITEM).dropDuplicates().select(
+        F.xxhash64("item_id", "item").alias("item_key"), "item_id", "item", F.size("item").alias("item_tokens"), need.alias("need"))
+    least, n, chars = items.agg(F.min("need"), F.coalesce(F.sum("item_tokens"), F.lit(0)),
+                                F.coalesce(F.sum(F.octet_length(F.array_join("item", ""))), F.lit(0))).first()
     masks = [(gaps, top) for gaps, top in MASKS if top is None or (least is not None and least <= top)]
 
+    def bounded(df: DataFrame, n_bytes: int) -> DataFrame:
+        return F.broadcast(df) if n_bytes <= BROADCAST_BYTES else df
+
     # From the explosion to the join everything is generated code (no
-    # higher-order function, whose operators take whole rows): the arrays are
-    # carried by reference and copied for hits only.
+    # higher-order function, whose operators take whole rows). Keys, places and
+    # hashes alone are joined; texts come back for the distinct diagonals. Keys
+    # are hashes: a clash adds a diagonal that the comparison turns down.
     def seeds(df: DataFrame, *keep: str) -> DataFrame:
         df = _with_seeds(df, [gaps for gaps, _ in masks])
         sizes = [f"n{k}" for k in range(len(masks))]
@@ -131,29 +138,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
     sought = F.lit(True)
     for k, (_, top) in enumerate(masks):
         if top is not None:
-            sought = sought & ((F.col("mask") != k) | (need <= top))
-    bench = seeds(items.withColumn("words", F.col("item")), "item_id", "item").where(F.col("seed").isNotNull() & sought).select(
-        "item_id", "item", "seed", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"))
-    if n * len(masks) <= BROADCAST_SEEDS:  # the bound: so many rows, each with one item's tokens
-        bench = F.broadcast(bench)
-    words = docs.select("doc_id", tokens(F.col("text").cast("string")).alias("words"))
-    hits = seeds(words, "doc_id", "words").join(bench, "seed").where("mask = item_mask")
+            sought = sought & ((F.col("mask") != k) | (F.col("need") <= top))
+    bench = seeds(items.withColumn("words", F.col("item")), "item_key", "item_tokens", "need").where(
+        F.col("seed").isNotNull() & sought).select(
+        "item_key", "item_tokens", "seed", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"))
+    keyed = docs.select("doc_id", whole(F.col("text").cast("string")).alias("text"))
+    keyed = keyed.select(F.xxhash64("doc_id", "text").alias("doc_key"), "doc_id", "text")
+    own = seeds(keyed.select("doc_key", tokens(F.col("text")).alias("words")), "doc_key")
     # the item's first token lies at `start` of the document, which may be before it
-    hits = hits.withColumn("start", F.col("at") - F.col("item_at"))
-    cut = F.greatest(-F.col("start"), F.lit(0))
-    hits = hits.withColumn("skip", cut).select(
-        "doc_id", "item_id", "start", "skip", F.size("item").alias("item_tokens"),
-        F.slice("item", F.col("skip") + 1, F.size("item")).alias("item"),
-        F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.size("item") - F.col("skip")).alias("own"))
+    hits = save(own.join(bounded(bench, n * len(masks) * ROW_BYTES), "seed").where("mask = item_mask").select(
+        "doc_key", "item_key", "item_tokens", (F.col("at") - F.col("item_at")).alias("start")).distinct())
+    hit_bytes = hits.count() * ROW_BYTES
+    texts = keyed.join(bounded(hits.select("doc_key").distinct(), hit_bytes), "doc_key", "left_semi").select(
+        "doc_key", "doc_id", tokens(F.col("text")).alias("words"))
+    skip = F.greatest(-F.col("start"), F.lit(0))
+    hits = texts.join(bounded(hits, hit_bytes), "doc_key").select(
+        "doc_id", "item_key", "start", skip.alias("skip"),
+        F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("item_tokens") - skip).alias("own"))
+    hits = hits.join(bounded(items, 32 * n + chars), "item_key").withColumn(
+        "item", F.slice("item", F.col("skip") + 1, F.col("item_tokens")))
     equal = F.zip_with("item", "own", lambda a, b: F.coalesce(a == b, F.lit(False)))
-    hits = hits.select("doc_id", "item_id", "start", "skip", "item_tokens", _breaks(equal).alias("breaks"))
-    hits = hits.select("doc_id", "item_id", "start", "skip", "item_tokens", _best_stretch(F.col("breaks")).alias("r"))
-    need = F.least(F.lit(min_matched), F.ceil(F.col("item_tokens") * MIN_SHARE).cast("int"))
+    hits = hits.select("doc_id", "item_id", "item_tokens", "need", "start", "skip", _breaks(equal).alias("breaks"))
+    hits = hits.select("doc_id", "item_id", "item_tokens", "need", "start", "skip", _best_stretch(F.col("breaks")).alias("r"))
     # filtered after grouping, so that the comparison stays out of the join
-    return hits.groupBy("doc_id", "item_id", "item_tokens").agg(
+    return hits.groupBy("doc_id", "item_id", "item_tokens", "need").agg(
         F.max(F.struct(F.col("r.bm").alias("matched"), (-F.col("r.bn")).alias("n"),
                        (-(F.col("start") + F.col("skip") + F.col("r.bf"))).alias("f"))).alias("x")
-    ).where(F.col("x.matched") >= need).select(
+    ).where(F.col("x.matched") >= F.col("need")).select(
         "doc_id", "item_id", F.col("x.matched").alias("matched"), (-F.col("x.n")).alias("aligned"),
         "item_tokens", (-F.col("x.f")).alias("first_token"))
 

@@ -194,6 +194,29 @@ def test_decontamination_against_brute_force(spark):
     assert len(want) > 200 and got == want
 
 
+def test_decontamination_joins_narrow_rows(spark, monkeypatch):
+    """Neither texts nor items travel with the seeds, and the result is the
+    same when nothing is broadcast."""
+    rnd = random.Random(5)
+    items = [[f"i{j}w{k}" for k in range(n)] for j, n in enumerate([5, 9, 15, 30, 3000])]
+    docs = [(k, " ".join(rnd.choices("abcdefgh", k=2000) + items[k % 5] + rnd.choices("abcdefgh", k=2000))) for k in range(20)]
+    d = spark.createDataFrame(docs + docs[:2], "doc_id long, text string")
+    b = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id long, text string")
+    saved = []
+    monkeypatch.setattr(decontam, "save", lambda df, save=decontam.save: saved.append(df) or save(df))
+    want = sorted(map(tuple, decontam.contaminated(d, b).collect()))
+    assert want == sorted((k, k % 5, len(items[k % 5]), len(items[k % 5]), len(items[k % 5]), 2000) for k in range(20))
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", -1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, decontam.contaminated(d, b).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for df in saved:
+        assert {kind for _, kind in df.dtypes} == {"bigint", "int"} and df.count() == df.distinct().count() == 20
+
+
 def test_sharding(spark):
     rows = [(i, None if i % 50 == 0 else "é" * (i % 7)) for i in range(1003)] + [(5, "again"), (5, "again"), (None, "x"), (7, "y" * 200_000)]
     df = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id long, text string, shard int")
