@@ -3,7 +3,7 @@
 Stated patterns give the base spans. A document's candidate tokens (those with
 a digit, `@` or `+`) are the nodes of the field: neighbours form the chain, and
 occurrences of the same or a similar token, however far apart, are joined by
-skip edges. Tokens in base spans are observed; loopy message passing carries
+skip edges to the one before and to the nearest observed ones. Tokens in base spans are observed; loopy message passing carries
 their labels along both kinds of edges to the others, so a number that a
 pattern finds once is found wherever it returns. Weights are learnt by
 pseudo-likelihood from a bounded sample of the corpus itself, with the base
@@ -27,7 +27,8 @@ KINDS = ("email", "ip", "card", "phone")  # the order of equal starts
 LABELS = len(KINDS) + 1                   # 0: none
 TRAIN_DOCS = 20_000  # documents the weights are learnt from at most
 TRAIN_TOKENS = 200   # candidate tokens of one document that the sample holds
-ROUNDS = 6           # of message passing
+ROUNDS = 200         # of message passing at most, as loops may keep it from standing still
+STILL = 1e-3         # largest change of a log message in the last round
 CONSISTENT = 8.0     # least log potential of one label on two similar tokens
 CONFIDENT = 0.9      # marginal from which a token that no pattern found counts
 
@@ -134,14 +135,27 @@ class Field:
                 self.label[i:j] = KINDS.index(kind) + 1
                 if j - i > 1 and len(digits := "".join(c for c in text[a:b] if "0" <= c <= "9")) >= 7:
                     whole_key[i] = digits
-        edges, last = [], {}
+        edges, alike = [], {}
         for i in range(n):
             if i and text[self.end[i - 1]:self.start[i]].isspace():
                 edges.append((i - 1, i, 0))
-            for key in [*_keys(tokens[i]), *([whole_key[i]] if i in whole_key else [])]:
-                if key in last and last[key] != i - 1:
-                    edges.append((last[key], i, 1))
-                last[key] = i
+            for key in dict.fromkeys([*_keys(tokens[i]), *([whole_key[i]] if i in whole_key else [])]):
+                alike.setdefault(key, []).append(i)
+        label = self.label.tolist()
+        for group in alike.values():
+            edges += [(a, b, 1) for a, b in zip(group, group[1:])]
+            # and to the nearest observed ones, so that no label fades on the way
+            before = after = None
+            for k, i in enumerate(group):
+                if before is not None and before != group[k - 1]:
+                    edges.append((before, i, 1))
+                before = i if label[i] else before
+            for k in range(len(group) - 1, -1, -1):
+                i = group[k]
+                if label[i]:
+                    after = i
+                elif after is not None and after != group[k + 1]:
+                    edges.append((i, after, 1))
         self.edges = np.array(edges, np.int64).reshape(-1, 3)
 
 
@@ -197,8 +211,8 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def marginals(field: Field, model, rounds: int = ROUNDS) -> np.ndarray:
-    """Loopy sum-product messages in logarithms, damped by half; observed
-    tokens keep their labels."""
+    """Loopy sum-product messages in logarithms, damped by half, until they
+    stand still; observed tokens keep their labels."""
     n = len(field.label)
     local = np.zeros((n, LABELS))
     for i, s in enumerate(field.shape):
@@ -216,7 +230,10 @@ def marginals(field: Field, model, rounds: int = ROUNDS) -> np.ndarray:
             total = local.copy()
             np.add.at(total, dst, msg)
             out = _log_sum((total[src] - msg[back])[:, :, None] + pot, 1)
-            msg = 0.5 * msg + 0.5 * (out - _log_sum(out, 1)[:, None])
+            change = 0.5 * (out - _log_sum(out, 1)[:, None] - msg)
+            msg += change
+            if np.abs(change).max() < STILL:
+                break
         np.add.at(local, dst, msg)
     return np.exp(local - _log_sum(local, 1)[:, None])
 

@@ -48,6 +48,16 @@ def test_field_carries_labels_to_similar_tokens():
     assert pii.find("no such data 12345 12345", pii.train([])) == ([], [])
 
 
+def test_field_carries_labels_to_every_return():
+    again, plain = "4111.1111.1111.1111", "card 4111 1111 1111 1111 now"
+    for parts in ([plain] + [again] * 50, [again] * 50 + [plain], [again] * 25 + [plain] + [again] * 25):
+        for sep in (" then ", " ", " 17 x2 "):
+            text = sep.join(["Pay", *parts, "ok"])
+            base, spans = pii.find(text, pii.train([]))
+            assert len(base) == 1
+            assert again not in pii.mask(text, spans) and pii.mask(text, spans).endswith(sep + "ok"), (sep, pii.mask(text, spans))
+
+
 def test_pii_query(spark):
     docs = dict(duckdb.sql(f"select doc_id, text from '{SF}/documents.parquet'").fetchall())
     got = queries.op8_pii(spark, SF).collect()
