@@ -41,7 +41,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of the best segmentation, scores and sizes of the n best."""
+    """Piece ids, scores and sizes of the n best segmentations."""
     return sentencepiece.encode(docs)
 
 

@@ -29,6 +29,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -394,9 +395,16 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def _task(model: bytes, n: int, names, at: int):
+def spellings(vocabulary: Vocabulary) -> pa.Array:
+    """What each piece stands for, in bytes; those of a text spell it when put
+    one after the other."""
+    return pa.array([b if s is None else s.encode() for s, b in zip(vocabulary.space_of, vocabulary.bytes_of)], pa.large_binary())
+
+
+def _task(model: bytes, n: int, at: int):
     def run(batches):
-        encoder = Encoder(Vocabulary(model), n)
+        vocabulary = Vocabulary(model)
+        encoder, spelling = Encoder(vocabulary, n), spellings(vocabulary)
         for b in batches:
             start = 0
             texts = [t or "" for t in b.column(at).to_pylist()]
@@ -407,34 +415,40 @@ def _task(model: bytes, n: int, names, at: int):
                     end += 1
                 own = texts[start:end]
                 found = encoder(own)
-                blobs = [f.packed() for f in found]
-                ends = np.cumsum([0, *(len(x) // 4 for x in blobs)], dtype=np.int32)
-                best = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
+                ways = np.array([len(f.scores) for f in found])
+                blobs = [f.packed(k) for f in found for k in range(len(f.scores))]
+                ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in blobs)], dtype=np.int32))
+                first = np.cumsum([0, *ways], dtype=np.int32)
+                ids = pa.array(np.frombuffer(b"".join(blobs), np.int32))
+                nbest = pa.ListArray.from_arrays(pa.array(first), pa.ListArray.from_arrays(ends, ids))
+                # all of them are decoded, and compared with the text
+                texts_back = pc.binary_join(pa.ListArray.from_arrays(ends, spelling.take(ids)), pa.scalar(b"", pa.large_binary()))
+                asked = pa.array([b" " + t.encode() for t in own], pa.large_binary()).take(pa.array(np.repeat(np.arange(len(own)), ways)))
+                back = pa.array(np.logical_and.reduceat(pc.equal(texts_back, asked).to_numpy(zero_copy_only=False), first[:-1]))
                 scores = pa.array([f.scores for f in found], pa.list_(pa.float64()))
                 sizes = pa.array([f.sizes() for f in found], pa.list_(pa.int32()))
-                back = pa.array([f.spelt for f in found])
                 part = b.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, best, scores, sizes, back], [*names, *NEW])
+                yield pa.RecordBatch.from_arrays([part.column(0), nbest, scores, sizes, back], ["doc_id", *NEW])
                 start = end
 
     return run
 
 
-NEW = ("ids", "nbest_scores", "nbest_sizes", "round_trip")
+NEW = ("nbest_ids", "nbest_scores", "nbest_sizes", "round_trip")
 
 
 def encode(docs: DataFrame, model_path: str = MODEL_PATH, n: int = NBEST) -> DataFrame:
-    """(doc_id, ids, nbest_scores, nbest_sizes, round_trip), one row per input
-    row: piece ids of the best segmentation, scores and piece counts of the
-    ``n`` best (fewer if there are fewer), and whether the pieces
-    of all of them spell the text. Null texts count as empty, which have the one segmentation of the
+    """(doc_id, ids, nbest_ids, nbest_scores, nbest_sizes, round_trip), one row
+    per input row: piece ids of the best segmentation; ids, scores and piece
+    counts of the ``n`` best (fewer if there are fewer); and whether each of
+    them, decoded, is the text. Null texts count as empty, which have the one segmentation of the
     space that is put before every text; a null doc_id keeps its row. Extra
     columns are ignored. The model file is read on the driver; its size is that
     of one vocabulary."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    out = rows.mapInArrow(_task(read_model(model_path), n, ["doc_id", "text"], 1),
-                          "doc_id long, text string, ids array<int>, nbest_scores array<double>, nbest_sizes array<int>, round_trip boolean")
-    return out.drop("text")
+    out = rows.mapInArrow(_task(read_model(model_path), n, 1),
+                          "doc_id long, nbest_ids array<array<int>>, nbest_scores array<double>, nbest_sizes array<int>, round_trip boolean")
+    return out.select("doc_id", F.get("nbest_ids", F.lit(0)).alias("ids"), *NEW)
 
 
 def decode_documents(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:

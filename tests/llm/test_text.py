@@ -140,6 +140,37 @@ def test_sentencepiece_query_decodes_to_the_texts(spark):
     assert sorted(map(tuple, sentencepiece.decode_documents(got).collect())) == docs
 
 
+def test_sentencepiece_gives_all_segmentations(spark, vocabulary):
+    texts = ["the rain in", "", " a ▁ \x00 \U0001f600", "é, x", None, "日本 the\nrest"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sentencepiece.encode(docs).collect():
+        t = texts[r["doc_id"]] or ""
+        ways = [list(w) for w in r["nbest_ids"]]
+        want = sentencepiece.Encoder(vocabulary, 3)([t])[0]
+        assert ways == [want.ids(k) for k in range(len(want.scores))] and ways[0] == list(r["ids"])
+        assert list(map(len, ways)) == list(r["nbest_sizes"]) and len(ways) == len(r["nbest_scores"])
+        assert all(sentencepiece.decode(w, vocabulary) == t for w in ways) and r["round_trip"]
+
+
+def test_sentencepiece_round_trip_is_that_of_the_decoded_ids(vocabulary):
+    """One wrong piece in any rank is noticed."""
+    import pyarrow as pa
+
+    model = sentencepiece.read_model(sentencepiece.MODEL_PATH)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["the rain in", "fine"])], ["doc_id", "text"])
+    for rank in range(3):
+        packed = sentencepiece.Segmentations.packed
+
+        def wrong(self, k=0, packed=packed, rank=rank):
+            ids = packed(self, k)
+            return ids[:-4] if k == rank and len(self.best) == 3 else ids
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(sentencepiece.Segmentations, "packed", wrong)
+            [out] = sentencepiece._task(model, 3, 1)([batch])
+        assert out.column("round_trip").to_pylist() == [False, True]
+
+
 def test_sentencepiece_edges(spark, vocabulary):
     docs = spark.createDataFrame([(1, None, 1), (1, "", 1), (None, " a ▁ \x00 \U0001f600", 1), (2, "long " * 50_000, 1)], "doc_id long, text string, ids int")
     rows = sentencepiece.encode(docs).collect()
