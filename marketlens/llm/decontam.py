@@ -170,14 +170,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents; a document without an id is
-    dropped with all others without one only if it overlaps itself."""
+    """``docs`` without the contaminated documents. Rows are judged by their own
+    text, also where they share a doc_id or have none."""
     keyed = docs.withColumn("_text_key", F.xxhash64(whole(F.col("text").cast("string"))))
-    # rows without an id are told apart by their text
-    own = keyed.select(F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("_text_key")).alias("t")).alias("doc_id"), "text")
+    own = keyed.select(F.struct("doc_id", F.col("_text_key").alias("t")).alias("doc_id"), "text")
     bad = contaminated(own, benchmark).select(F.col("doc_id.doc_id").alias("_i"), F.col("doc_id.t").alias("_t")).distinct()
-    named = keyed.join(bad.where("_i is not null"), F.col("doc_id") == F.col("_i"), "left_anti")
-    no_id = bad.where("_i is null").select("_t")
-    clean = named.where("doc_id is not null").unionByName(
-        named.where("doc_id is null").join(no_id, F.col("_text_key") == F.col("_t"), "left_anti"))
+    clean = keyed.join(bad, (F.col("_text_key") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_i")), "left_anti")
     return clean.select(*docs.columns)

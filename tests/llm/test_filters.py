@@ -217,6 +217,14 @@ def test_decontamination_joins_narrow_rows(spark, monkeypatch):
         assert {kind for _, kind in df.dtypes} == {"bigint", "int"} and df.count() == df.distinct().count() == 20
 
 
+def test_decontaminate_judges_rows_by_their_own_text(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    d = spark.createDataFrame([(i, t) for i in (1, None) for t in ("clean", item, "so " + item, None)] + [(2, item)], "doc_id long, text string")
+    b = spark.createDataFrame([(7, item)], "item_id long, text string")
+    left = decontam.decontaminate(d, b).collect()
+    assert sorted(map(str, left)) == sorted(map(str, d.where("text is null or text = 'clean'").collect()))
+
+
 def test_sharding(spark):
     rows = [(i, None if i % 50 == 0 else "é" * (i % 7)) for i in range(1003)] + [(5, "again"), (5, "again"), (None, "x"), (7, "y" * 200_000)]
     df = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id long, text string, shard int")
