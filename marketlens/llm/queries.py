@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, pii, pq, quality, sentencepiece, sharding, simhash, suffix, toxicity, urls, whitening
+from . import align, bpe, decontam, pii, pq, quality, sentencepiece, sharding, simhash, suffix, toxicity, urls, whitening
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link_statistics(align.align(table(spark, sf_dir, "documents")))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), packed=True))
 
@@ -63,7 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_url_filters, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_sentencepiece, op5_sharding,
         op6_benchmark_decontamination, op7_toxicity, op8_pii, op9_quality_classifier, op10_simhash_near_dedup,
-        op11_embedding_whitening, op13_bpe)}
+        op11_embedding_whitening, op12_tokenizer_alignment, op13_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
