@@ -49,17 +49,30 @@ def _raw_columns(table: str):
         yield name, kind, (other or [name])[0]
 
 
-def _csv_roundtrip(c):
-    """Write the nine source tables as headed CSV in the source layout, read
-    them back through the coercing CSV reader; per column the rows, the nulls
-    and a total (numbers summed, texts by length, times by millions of epoch seconds)."""
+# review titles of the written files: line breaks, quotes and delimiters, from the data
+TITLE = F.when(F.col("review_id") % 3 == 0, F.concat(F.lit('No. '), F.col("review_id"), F.lit(',\n"order" '), F.col("order_id"), F.lit("\n\nend")))
+TITLE_SQL = """CASE WHEN review_id % 3 = 0 THEN concat('No. ', review_id, ',' || chr(10) || '"order" ', order_id, chr(10) || chr(10) || 'end') END"""
+
+
+def _write_csv(c) -> str:
+    """The nine source tables as headed CSV in the source layout; their folder."""
     base = _scratch(c, "raw-csv")
     for name, fname in SOURCE_FILES.items():
         df = c.raw[name]
+        if name == "reviews":
+            df = df.withColumn("review_comment_title", TITLE)
         cols = [F.col(f.name).cast("string").alias(f.name) if f.name in df.columns
                 else F.lit(None).cast("string").alias(f.name) for f in SOURCE_SCHEMAS[name].fields]
         df.select(*cols).write.mode("overwrite").option("header", True) \
             .option("escape", '"').csv(f"{base}/{fname}")
+    return base
+
+
+def _csv_roundtrip(c):
+    """The source tables written and read back through the coercing CSV reader;
+    per column the rows, the nulls and a total (numbers summed, texts by length,
+    times by millions of epoch seconds)."""
+    base = _write_csv(c)
     parts = []
     for name, df in load_raw_csv(c.spark, base).items():
         measure = {"s": F.length, "n": lambda x: x, "t": lambda x: F.unix_seconds(x.cast("timestamp")) / 1e6}
@@ -83,6 +96,35 @@ def _raw_sql() -> str:
 register("load_raw_tables", "table:s, column:s, row_count:i, nulls:i, total:d", _raw_sql())(_csv_roundtrip)
 
 
+def _csv_rows(c):
+    """Every row read back, as one text: cells joined, numbers in millionths,
+    times in epoch seconds, ~ for null."""
+    cell = {"s": lambda x: x, "n": lambda x: F.round(x.cast("double") * 1e6).cast("long").cast("string"),
+            "t": lambda x: F.unix_seconds(x.cast("timestamp")).cast("string")}
+    parts = []
+    for name, df in load_raw_csv(c.spark, _write_csv(c)).items():
+        cells = [cell[kind](F.col(col)) for col, kind, _ in _row_columns(name)]
+        parts.append(df.select(F.lit(name).alias("table"), F.concat_ws("|", *[F.coalesce(x, F.lit("~")) for x in cells]).alias("row")))
+    return quality.union_all(parts)
+
+
+def _row_columns(table: str):
+    yield from _raw_columns(table)
+    if table == "reviews":
+        yield "review_comment_title", "s", TITLE_SQL
+
+
+def _rows_sql() -> str:
+    cell = {"s": "CAST({0} AS VARCHAR)", "n": "CAST(CAST(round(CAST({0} AS DOUBLE) * 1e6) AS BIGINT) AS VARCHAR)",
+            "t": "CAST(CAST(floor(epoch_us({0}) / 1e6) AS BIGINT) AS VARCHAR)"}
+    return " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", concat_ws('|', {', '.join(f"coalesce({cell[kind].format(fx)}, '~')" for _, kind, fx in _row_columns(t))}) AS "row"
+            FROM fx_{t}""" for t in RAW_COLUMNS)
+
+
+register("load_raw_rows", "table:s, row:s", _rows_sql())(_csv_rows)
+
+
 def _marts_roundtrip(c):
     path = _scratch(c, "marts")
     df = mart(c, "monthly")

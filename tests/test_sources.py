@@ -2,12 +2,19 @@
 leading zeros kept by the explicit schema, unparseable values coerced."""
 
 import os
+import random
 import tempfile
+from contextlib import contextmanager
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from marketlens.operators import clean
+from marketlens.sources import multiline
 from marketlens.sources.readers import SOURCE_FILES, load_raw_csv
 from marketlens.sources.schemas import SOURCE_SCHEMAS
 
@@ -75,3 +82,68 @@ def test_one_file_is_read_in_several_partitions(spark):
         assert t["payments"].count() == 200_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+ABC = StructType([StructField(c, StringType()) for c in "abc"])
+
+
+@contextmanager
+def split_bytes(spark, size):
+    """Scans split files into pieces of ``size`` bytes."""
+    own = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "32"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _unsplit(spark, path):
+    df = spark.read.schema(ABC).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _split(spark, path):
+    return sorted(map(tuple, multiline.read_multiline_csv(spark, path, ABC).collect()), key=repr)
+
+
+def _cell(rnd, stray):
+    kind = rnd.random()
+    t = "".join(rnd.choices(["a", "é", " ", "x", "\n", '"', ",", "7"], k=rnd.randint(0, 14)))
+    if kind < 0.25:
+        return ""
+    if kind < 0.7:
+        return '"' + t.replace('"', '""') + '"'
+    t = t.replace("\n", "").replace(",", "")
+    return t.lstrip('"') if stray else t.replace('"', "")  # a quote inside an unquoted cell is a letter
+
+
+@pytest.mark.parametrize("size, eol, stray", [(61, "\n", True), (61, "\r\n", False), (300, "\r\n", True)])
+def test_split_csv_equals_the_unsplit_read(spark, size, eol, stray):
+    rnd = random.Random(size)
+    d = tempfile.mkdtemp(prefix="marketlens-csv-")
+    for k in range(2):
+        with open(f"{d}/{k}.csv", "w", newline="", encoding="utf-8-sig") as f:
+            f.write("a,b,c" + eol + "".join(",".join(_cell(rnd, stray) for _ in range(3)) + eol for _ in range(60)))
+    with split_bytes(spark, size):
+        assert spark.read.text(d).rdd.getNumPartitions() > 8
+        assert _split(spark, d) == _unsplit(spark, d)
+
+
+def test_split_csv_edges(spark, monkeypatch):
+    long = "line one\nline \"\"two\"\",\n" * 300    # over many splits
+    files = {"header": "a,b,c", "header_eol": "a,b,c\n", "no_last_eol": "a,b,c\n1,2,3\n4,\"5\n5\",6",
+             "blank": "a,b,c\n\n1,2,3\n   \n\n4,5,6\n", "long": f'a,b,c\n1,"{long}",3\n4,5,6\n7,"{long}","{long}"\n',
+             "short": "a,b,c\n1\n1,2\n1,2,3,4\n", "open": 'a,b,c\n1,2,3\n4,"5\n6,7,8', "quoted": 'a,b,c\n"","x ""y""","\n"\n"a"b,"c" d,e"f\n'}
+    d = tempfile.mkdtemp(prefix="marketlens-csv-")
+    for name, text in files.items():
+        with open(f"{d}/{name}.csv", "w", newline="", encoding="utf-8") as f:
+            f.write(text)
+    want = _unsplit(spark, d)
+    for bound in (multiline.BROADCAST, -1):   # states broadcast, and joined by a shuffle
+        monkeypatch.setattr(multiline, "BROADCAST", bound)
+        with split_bytes(spark, 128):
+            assert _split(spark, d) == want
