@@ -31,7 +31,7 @@ from .bpe import byte_letters
 from .common import save
 
 A_MODEL, B_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SIZE = 1_000_000       # characters cut at once, a longer text by itself
+SIZE = 300_000         # bytes cut at once, a longer text by itself
 PAIRS = 4_000_000      # links expanded at once
 FREQUENT = 400_000     # id pairs whose counts are broadcast, at most
 
@@ -167,14 +167,15 @@ def _align_task(a_blob: bytes, b_blob: bytes):
         a, b = ByteTokens(a_blob), Pieces(b_blob)
         tables = _table(a.spelling), _table(b.spelling)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            length = pc.binary_length(batch.column(1)).to_pylist()
             start = 0
-            while start < len(texts):
+            while start < batch.num_rows:
                 end, size = start, 0
-                while end < len(texts) and (end == start or size + len(texts[end]) <= SIZE):
-                    size += len(texts[end])
+                while end < batch.num_rows and (end == start or size + length[end] <= SIZE):
+                    size += length[end]
                     end += 1
-                flat_a, n_a, flat_b, n_b, per_a, per_b, n_groups = cut(texts[start:end], a, b, tables)
+                texts = batch.column(1).slice(start, end - start).to_pylist()
+                flat_a, n_a, flat_b, n_b, per_a, per_b, n_groups = cut(texts, a, b, tables)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, end - start), _lists(flat_a, n_a), _lists(flat_b, n_b), _lists(per_a, n_groups), _lists(per_b, n_groups)],
                     ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
@@ -188,6 +189,14 @@ def _read(path: str) -> bytes:
         return f.read()
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def _models(a_path: str | None, b_path: str | None) -> tuple[bytes, bytes]:
+    return _read(a_path or public_tokenizers.path(A_MODEL)), _read(b_path or public_tokenizers.path(B_MODEL))
+
+
 def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """(doc_id, a_ids, b_ids, a_sizes, b_sizes), one row per input row: the ids of
     A over a space and the text, those of B over the text, and how many tokens of
@@ -195,8 +204,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
     either tokenizer does not spell byte by byte have empty lists. A null or
     repeated doc_id keeps its row; extra columns are ignored; long texts are cut
     whole, by themselves. The two model files are read on the driver."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_align_task(_read(a_path or public_tokenizers.path(A_MODEL)), _read(b_path or public_tokenizers.path(B_MODEL))), ALIGNED)
+    return _rows(docs).mapInArrow(_align_task(*_models(a_path, b_path)), ALIGNED)
 
 
 def _distinct(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -244,12 +252,11 @@ def linked(doc: np.ndarray, group_a, ids_a, group_b, ids_b) -> tuple[np.ndarray,
 PROFILE = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
 
 
-def _profile_task(n_ids: int):
+def _profile_task():
     """Digests and distinct pairs of aligned documents."""
 
     def run(batches):
-        marks = [",", "|", ";", ""]
-        words = pa.array([str(i) + m for i in range(n_ids) for m in marks], pa.large_string())
+        marks, words = [",", "|", ";", ""], pa.array([], pa.large_string())
         for batch in batches:
             start = 0
             lengths = [pc.list_value_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(1, 5)]
@@ -263,6 +270,9 @@ def _profile_task(n_ids: int):
                 n_a, n_b, n_groups = (x[start:end] for x in lengths[:3])
                 doc = np.repeat(np.arange(end - start), n_groups)
                 group_a, group_b = np.repeat(np.arange(len(per_a)), per_a), np.repeat(np.arange(len(per_b)), per_b)
+                known, top = len(words) // 4, int(max(ids_a.max(initial=0), ids_b.max(initial=0)))
+                if top >= known:
+                    words = pa.array([str(i) + m for i in range(max(top + 1, 1 << 16)) for m in marks], pa.large_string())
                 # all tokens, by group, A before B; each with the mark that follows it
                 place_a = np.arange(len(ids_a)) + _starts(per_b)[group_a]
                 place_b = np.arange(len(ids_b)) + np.cumsum(per_a)[group_b]
@@ -307,15 +317,18 @@ def _floor(counts: DataFrame) -> int:
     return 1 << k if k < 63 else (1 << 63) - 1
 
 
-def link_statistics(aligned: DataFrame, n_ids: int = 1 << 16) -> DataFrame:
+def link_statistics(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), one
-    row per row of ``align``: tokens, groups and links; links whose id pair no
-    other of its A id is held by more documents; the sum of the pairs' document
-    counts over the links; SHA-256 of the groups' ids. A document without tokens
-    has zeros and an empty sum. ``n_ids``: ids of both are smaller."""
-    spark = aligned.sparkSession
+    row per input row, of the groups that ``align`` gives: tokens, groups and
+    links; links whose id pair no other of its A id is held by more documents; the
+    sum of the pairs' document counts over the links; SHA-256 of the groups' ids.
+    A document without tokens has zeros and an empty sum."""
+    spark = docs.sparkSession
     out = f"{ensure_checkpoint_dir(spark)}/align-{uuid.uuid4().hex}"
-    aligned.mapInArrow(_profile_task(n_ids), PROFILE).withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(out)
+    cut_up, profile = _align_task(*_models(a_path, b_path)), _profile_task()
+    # one task function after the other in one worker: the tokens never leave it
+    rows = _rows(docs).mapInArrow(lambda batches: profile(cut_up(batches)), PROFILE)
+    rows.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(out)
     profiles = spark.read.parquet(out)
     counts = link_counts(profiles)
     floor = _floor(counts)

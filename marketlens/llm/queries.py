@@ -56,7 +56,7 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align.link_statistics(align.align(table(spark, sf_dir, "documents")))
+    return align.link_statistics(table(spark, sf_dir, "documents"))
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,7 +86,7 @@ def test_groups_of_odd_texts(spark, plain):
         ends_a, ends_b = np.cumsum([0, *r["a_sizes"]]), np.cumsum([0, *r["b_sizes"]])
         own = [(r["a_ids"][ends_a[k]:ends_a[k + 1]], r["b_ids"][ends_b[k]:ends_b[k + 1]]) for k in range(len(r["a_sizes"]))]
         assert own == want, t[:80]
-    stats = {r["doc_id"]: tuple(r)[1:] for r in align.link_statistics(align.align(docs)).collect()}
+    stats = {r["doc_id"]: tuple(r)[1:] for r in align.link_statistics(docs).collect()}
     assert [stats[i] for i in range(len(texts))] == plain[1](texts)
 
 
@@ -109,7 +109,7 @@ def test_bounds_change_nothing(spark, plain, monkeypatch):
     for frequent, pairs in ((0, 5), (3, 1), (10 ** 6, 10 ** 6)):
         monkeypatch.setattr(align, "FREQUENT", frequent)
         monkeypatch.setattr(align, "PAIRS", pairs)
-        got = {r["doc_id"]: tuple(r)[1:] for r in align.link_statistics(align.align(docs)).collect()}
+        got = {r["doc_id"]: tuple(r)[1:] for r in align.link_statistics(docs).collect()}
         assert [got[k] for k in range(len(texts))] == want
 
 
@@ -128,8 +128,8 @@ def test_linked_in_small_blocks(monkeypatch):
 def test_edges(spark, plain):
     rows = [(1, None, 7), (2, "", 7), (None, "Hello you", 7), (2, "Hello you", 7), (2, "Hello you", 7), (3, "word " * 40_000, 7), (4, "▁ no", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, row int").selectExpr("*", "1 as pairs", "2 as a_ids")
-    got = align.link_statistics(align.align(docs)).collect()
+    got = align.link_statistics(docs).collect()
     want = plain[1]([t for _, t, _ in rows])
     assert sorted((r["doc_id"] or 0, *tuple(r)[1:]) for r in got) == sorted((d or 0, *w) for (d, _, _), w in zip(rows, want))
     assert all(tuple(r)[1:] == (0, 0, 0, 0, 0, 0, "") for r in got if r["doc_id"] in (1, 4))
-    assert align.link_statistics(align.align(docs.where("false"))).count() == 0
+    assert align.link_statistics(docs.where("false")).count() == 0
