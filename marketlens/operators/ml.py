@@ -184,7 +184,8 @@ def _cast_numeric(df: DataFrame) -> DataFrame:
 
 @dataclass
 class TrainedModels:
-    train: DataFrame
+    train: DataFrame            # imputed
+    train_features: DataFrame   # assembled, with label and weight
     test: DataFrame
     cutoff: DataFrame
     lr: PipelineModel
@@ -193,7 +194,6 @@ class TrainedModels:
     rf_scored: DataFrame
 
     def release(self) -> None:
-        self.test.unpersist()
         self.cutoff.unpersist()
 
 
@@ -207,7 +207,8 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
     def imputed(df):
         return apply_medians(apply_modes(df, modes, CATEGORICAL_FEATURES), medians, NUMERIC_FEATURES)
 
-    train, test = imputed(with_weights(train)).persist(), imputed(test).persist()
+    # written once each: a lost executor costs no second imputation
+    train, test = imputed(with_weights(train)).checkpoint(), imputed(test).checkpoint()
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=TARGET, weightCol="weight",
                             regParam=1.0 / (lr_c * max(n, 1)), elasticNetParam=0.0,
@@ -221,7 +222,8 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
     # the preprocessing is deterministic given the training set, so it is
     # fitted once and shared by both models; features are assembled once
     pre = Pipeline(stages=preprocessing_stages()).fit(train)
-    xtr = pre.transform(train).select("order_id", "features", TARGET, "weight").persist()
+    features = pre.transform(train).select("order_id", "features", TARGET, "weight")
+    xtr = features.persist()
     lr_model = PipelineModel(stages=list(pre.stages) + [lr.fit(xtr)])
     rf_model = PipelineModel(stages=list(pre.stages) + [rf.fit(xtr)])
     xtr.unpersist()
@@ -237,9 +239,8 @@ def train_models(ds: DataFrame, train_frac: float = 0.8, lr_c: float = 1.0, max_
         return scored.checkpoint(eager=True)
 
     lr_scored, rf_scored = score(lr_model), score(rf_model)
-    train.unpersist()
     xte.unpersist()
-    return TrainedModels(train, test, cut, lr_model, rf_model, lr_scored, rf_scored)
+    return TrainedModels(train, features, test, cut, lr_model, rf_model, lr_scored, rf_scored)
 
 
 # ---------------------------------------------------------------- evaluation over (label, score)

@@ -66,12 +66,14 @@ def status_counts(orders: DataFrame) -> DataFrame:
 
 
 def category_cardinality(products: DataFrame) -> DataFrame:
-    # counted on the distinct pairs, so that two distinct counts expand no rows
-    pairs = products.groupBy("product_category_name", "product_category_name_english").agg(F.count(F.lit(1)).alias("__n"))
-    return pairs.agg(
-        F.size(F.collect_set("product_category_name")).cast("bigint").alias("distinct_categories_pt"),
-        F.size(F.collect_set("product_category_name_english")).cast("bigint").alias("distinct_categories_en"),
-        F.coalesce(F.sum(F.when(F.col("product_category_name").isNull(), F.col("__n"))), F.lit(0)).alias("missing_category_pt"))
+    """Distinct categories in both languages, by grouping: every value is one
+    row of a shuffled count, no task holds all of them."""
+    names = ["product_category_name", "product_category_name_english"]
+    long = products.select(*[F.col(c).cast("string").alias(c) for c in names]).unpivot([], names, "__col", "__val")
+    values = long.groupBy("__col", "__val").agg(F.count(F.lit(1)).alias("__n"))
+    known, pt = F.col("__val").isNotNull(), F.col("__col") == names[0]
+    return values.agg(F.count_if(known & pt).alias("distinct_categories_pt"), F.count_if(known & ~pt).alias("distinct_categories_en"),
+                      F.coalesce(F.sum(F.when(~known & pt, F.col("__n"))), F.lit(0)).alias("missing_category_pt"))
 
 
 # ------------------------------------------------------------------ integrity

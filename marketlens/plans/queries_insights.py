@@ -196,10 +196,13 @@ def _all_insights(c):
 
 # including the two model insights: rows-only checks
 register("insights_all", EVIDENCE_SPEC)(_all_insights)
+# the rules' insights counted where they are computed; the two of the model are stated
+_MODEL_INSIGHTS = ", ".join(f"('{i}', '{cat}', '{typ}')" for i, cat, typ in ins.CATALOG if i.startswith("M"))
 register("insight_summary", "category:s, type:s, insights:i",
-         "SELECT category, type, count(*) AS insights FROM (VALUES "
-         + ", ".join(f"('{i}', '{cat}', '{typ}')" for i, cat, typ in ins.CATALOG) + ") t(id, category, type) GROUP BY 1, 2")(
-    lambda c: ins.insight_summary(_all_insights(c)))
+         f"""SELECT category, type, count(DISTINCT insight_id) AS insights FROM (
+               SELECT insight_id, category, type FROM ({EVIDENCE_SQL}) e
+               UNION ALL SELECT * FROM (VALUES {_MODEL_INSIGHTS}) t(insight_id, category, type)) GROUP BY 1, 2""",
+         evidence_ctes())(lambda c: ins.insight_summary(_all_insights(c)))
 RECORD_SPEC = ("insight_id:s, category:s, type:s, metric_text:s, metrics:i, fact:s, insight:s, recommendation:s, "
                "source:s, qualification:s")
 register("insight_records", RECORD_SPEC)(lambda c: ins.insight_records(_all_insights(c)))

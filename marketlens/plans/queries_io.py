@@ -17,6 +17,7 @@ from ..sources.readers import SOURCE_FILES, load_raw_csv
 from ..sources.schemas import SOURCE_SCHEMAS
 from ..sources.sinks import write_json, write_marts, write_model
 from .queries_insights import evidence_ctes
+from .queries_ml import ML_CTE
 from .registry import REGISTRY, register
 from .shared import mart
 
@@ -185,7 +186,7 @@ def _model_roundtrip(c):
                                      F.count_if(F.col("p1") != F.col("p2")).alias("mismatches"))
 
 
-register("write_model_artifacts", "scored:i, mismatches:i")(_model_roundtrip)
+register("write_model_artifacts", "scored:i, mismatches:i", "SELECT count(*) AS scored, 0 AS mismatches FROM ml_test", ML_CTE)(_model_roundtrip)
 
 register("clean_orders",
          "order_id:i, customer_id:i, order_status:s, order_purchase_timestamp:t, order_approved_at:t, "

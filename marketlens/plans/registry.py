@@ -46,5 +46,5 @@ def register(name: str, spec: str, sql: str | None = None, extra_ctes: str = "")
 
 def load_all() -> dict[str, Query]:
     from . import queries_core, queries_customers, queries_delivery, queries_quality  # noqa: F401
-    from . import queries_serve, queries_ml, queries_insights, queries_io  # noqa: F401
+    from . import queries_serve, queries_ml, queries_insights, queries_io, queries_model_checks  # noqa: F401
     return REGISTRY
