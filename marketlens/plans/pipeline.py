@@ -26,6 +26,7 @@ from ..operators import insights as ins
 from ..operators import marts as mt
 from ..operators import ml, quality, rfm
 from ..session import get_spark
+from ..sources.manifest import read_table
 from ..sources.readers import load_raw_csv
 from ..sources.sinks import write_json, write_marts, write_model
 from .context import MarketContext
@@ -36,13 +37,13 @@ def build_facts(ctx: MarketContext, out: str) -> dict[str, str]:
     """Write the order fact, then the item fact from the written order fact.
     A month's rows are rebalanced first, so a month is a few files of even
     size, not one from every task."""
-    spark = ctx.spark
-    paths = {n: os.path.join(out, "facts", n) for n in ("orders_master", "orders_full")}
-    (ctx.master.hint("rebalance", "purchase_month_label").write.mode("overwrite")
-     .partitionBy("purchase_month_label").parquet(paths["orders_master"]))
-    ctx.__dict__["master"] = spark.read.parquet(paths["orders_master"])
-    ctx.full.write.mode("overwrite").parquet(paths["orders_full"])
-    ctx.__dict__["full"] = spark.read.parquet(paths["orders_full"])
+    root = os.path.join(out, "facts")
+    by_month = {"orders_master": "purchase_month_label"}
+    paths = {}
+    for name, df, attr in (("orders_master", lambda: ctx.master.hint("rebalance", "purchase_month_label"), "master"),
+                           ("orders_full", lambda: ctx.full, "full")):
+        paths[name], = write_marts({name: df()}, root, partition_by=by_month)
+        ctx.__dict__[attr] = read_table(ctx.spark, root, name)
     return paths
 
 
@@ -56,8 +57,8 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     written = build_facts(fctx, out)
     master, full, keep = fctx.master, fctx.full, fctx._keep     # later phases read the written facts
     customer_rfm = rfm.customer_rfm(master, keep)
-    customer_rfm.write.mode("overwrite").parquet(os.path.join(out, "facts", "customer_rfm"))
-    customer_rfm = spark.read.parquet(os.path.join(out, "facts", "customer_rfm"))
+    write_marts({"customer_rfm": customer_rfm}, os.path.join(out, "facts"))
+    customer_rfm = read_table(spark, os.path.join(out, "facts"), "customer_rfm")
     fctx.__dict__["rfm"] = customer_rfm
     first_cat, pairs = fctx.first_cat, fctx.order_sellers
 
@@ -93,7 +94,7 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     marts_dir = os.path.join(out, "marts")
     for p in write_marts(marts, marts_dir):
         written[os.path.basename(p)] = p
-    rd = {name: spark.read.schema(df.schema).parquet(os.path.join(marts_dir, name)) for name, df in marts.items()}
+    rd = {name: read_table(spark, marts_dir, name, df.schema) for name, df in marts.items()}
 
     kpis = mt.topline_kpis(master)
     written["kpis"] = write_json(kpis, os.path.join(out, "json", "kpis"))

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..operators import ml, quality, rfm as rf
 from ..operators.marts import del_valid, delivered
+from ..sources.processed import load_processed
 from ..session import ensure_checkpoint_dir
+from ..sources.manifest import read_table
 from ..sources.readers import SOURCE_FILES, load_raw_csv
 from ..sources.schemas import SOURCE_SCHEMAS
 from ..sources.sinks import write_json, write_marts, write_model
@@ -129,9 +131,8 @@ register("load_raw_rows", "table:s, row:s", _rows_sql())(_csv_rows)
 def _marts_roundtrip(c):
     path = _scratch(c, "marts")
     df = mart(c, "monthly")
-    write_marts({"monthly_trends": df}, path, partition_by={"monthly_trends": ["ym"]})
-    # explicit schema: an empty mart writes no data files to infer it from
-    return c.spark.read.schema(df.schema).parquet(f"{path}/monthly_trends")
+    write_marts({"monthly_trends": df}, path, partition_by={"monthly_trends": "ym"})
+    return read_table(c.spark, path, "monthly_trends", df.schema)
 
 
 register("write_marts", REGISTRY["monthly_trends"].spec, REGISTRY["monthly_trends"].sql,
@@ -152,7 +153,7 @@ def _all_marts_roundtrip(c):
     write_marts(own, path)
     parts = []
     for name, df in own.items():
-        back = c.spark.read.schema(df.schema).parquet(f"{path}/{name}")
+        back = read_table(c.spark, path, name, df.schema)
         differ = df.exceptAll(back).unionByName(back.exceptAll(df)).agg(F.count(F.lit(1)).alias("differing"))
         parts.append(back.agg(F.count(F.lit(1)).alias("rows")).transform(attach(differ)).select(F.lit(name).alias("mart"), "rows", "differing"))
     return quality.union_all(parts)
@@ -163,6 +164,25 @@ register("write_marts_all", "mart:s, rows:i, differing:i",
          evidence_ctes())(_all_marts_roundtrip)
 
 
+#: Months of the processed scope that the query loads.
+LOAD_MONTHS = ("1996-03", "1996-09")
+
+
+def _load_processed(c):
+    """The order fact written by month, one half of its months written again
+    later, and the delivered orders of some months read through the manifest."""
+    path, month = _scratch(c, "processed"), "purchase_month_label"
+    write_marts({"orders_master": c.master}, path, partition_by={"orders_master": month})
+    later = c.master.where(F.col("purchase_month") % 2 == 0)
+    write_marts({"orders_master": later}, path, partition_by={"orders_master": month}, replace_parts=True)
+    return load_processed(c.spark, path, c.master.schema, *LOAD_MONTHS)
+
+
+register("load_processed", "order_id:i, purchase_month_label:s, order_purchase_timestamp:t, order_value:d, is_late:i, delivery_days:i",
+         f"""SELECT order_id, purchase_month_label, order_purchase_timestamp, order_value, is_late, delivery_days
+             FROM delivered WHERE purchase_month_label BETWEEN '{LOAD_MONTHS[0]}' AND '{LOAD_MONTHS[1]}'""")(_load_processed)
+
+
 def _json_roundtrip(c):
     path = _scratch(c, "kpis-json")
     write_json(mart(c, "kpis"), path)

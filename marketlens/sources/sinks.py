@@ -1,30 +1,23 @@
-"""Sinks: marts as Parquet (or CSV), small result frames as JSON, fitted
+"""Sinks: marts as Parquet (or CSV) committed as a set, small result frames as JSON, fitted
 models through the ML writer."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 
+from .manifest import commit
+
 
 def write_marts(marts: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
-                partition_by: dict[str, list[str]] | None = None) -> list[str]:
-    """Write each mart to ``out_dir/<name>``; facts may be partitioned (e.g. by
-    month label) so monthly filters prune files."""
-    paths = []
-    for name, df in marts.items():
-        path = os.path.join(out_dir, name)
-        w = df.write.mode("overwrite")
-        parts = (partition_by or {}).get(name)
-        if parts:
-            w = w.partitionBy(*parts)
-        if fmt == "csv":
-            w.option("header", True).csv(path)
-        else:
-            w.format(fmt).save(path)
-        paths.append(path)
-    return paths
+                partition_by: dict[str, str] | None = None, replace_parts: bool = False) -> list[str]:
+    """Write the marts as one commit of the set in ``out_dir`` (``manifest``):
+    readers see all of them or the former ones. Facts may be partitioned (e.g. by
+    month label) so monthly filters prune files, and with ``replace_parts`` only
+    the months written are replaced. Returns the folders, named like the marts."""
+    if not marts:
+        return []
+    spark = next(iter(marts.values())).sparkSession
+    return list(commit(spark, out_dir, marts, fmt, partition_by, replace_parts).values())
 
 
 def write_json(df: DataFrame, path: str) -> str:
