@@ -31,6 +31,18 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put after it until no column of ``df``
+    is called so (in any case, as Spark compares names)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 #: At most this many nodes or keys are treated as hot, so the table of hot
 #: keys, which is broadcast, has a fixed bound.
 MAX_HOT = 10_000

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, whole
+from .common import save, unused, whole
 
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 #: (gaps of a mask, the highest need of items that are sought by it). Offsets
@@ -171,9 +171,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents. Rows are judged by their own
-    text, also where they share a doc_id or have none."""
-    keyed = docs.withColumn("_text_key", F.xxhash64(whole(F.col("text").cast("string"))))
-    own = keyed.select(F.struct("doc_id", F.col("_text_key").alias("t")).alias("doc_id"), "text")
-    bad = contaminated(own, benchmark).select(F.col("doc_id.doc_id").alias("_i"), F.col("doc_id.t").alias("_t")).distinct()
-    clean = keyed.join(bad, (F.col("_text_key") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_i")), "left_anti")
-    return clean.select(*docs.columns)
+    text, also where they share a doc_id or have none. Other columns stay as they
+    are, whatever their names."""
+    key, i, t = unused(docs, "_text_key", "_i", "_t")
+    keyed = docs.withColumn(key, F.xxhash64(whole(F.col("text").cast("string"))))
+    own = keyed.select(F.struct("doc_id", F.col(key).alias("t")).alias("doc_id"), "text")
+    bad = contaminated(own, benchmark).select(F.col("doc_id.doc_id").alias(i), F.col("doc_id.t").alias(t)).distinct()
+    clean = keyed.join(bad, (F.col(key) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(i)), "left_anti")
+    return clean.drop(key)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, partitions_for, save, whole
+from .common import connected_components, partitions_for, save, unused, whole
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -231,17 +231,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group: the one with the smallest doc_id (a null id comes
     last), of several with that id the one with the smallest hash of its text.
-    Columns as in ``docs``."""
+    Columns as in ``docs``, whatever their names."""
     rows, label = _grouped(docs.select("doc_id", "text"), shingle, max_bits)
     rows = rows.join(label, "fp").select("root", "doc_id", "text_key", F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key").alias("rank"))
     rows = save(rows)
     best = rows.groupBy("root").agg(F.min("rank").alias("best"))
+    key, i, t = unused(docs, "_text_key", "_i", "_t")
     lost = rows.join(best, "root").where("rank <> best").select(
-        F.col("doc_id").alias("_i"), F.col("text_key").alias("_t")).distinct()
-    keyed = docs.withColumn("_text_key", _text_key())
-    kept = keyed.join(lost, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_text_key") == F.col("_t")), "left_anti")
+        F.col("doc_id").alias(i), F.col("text_key").alias(t)).distinct()
+    keyed = docs.withColumn(key, _text_key())
+    kept = keyed.join(lost, F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(t)), "left_anti")
     again = rows.groupBy("doc_id", "text_key").count().where("count > 1")
     if not again.isEmpty():  # rows alike in id and text: one of them
-        kept = kept.dropDuplicates(["doc_id", "_text_key"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["doc_id", key])
+    return kept.drop(key)
