@@ -26,7 +26,6 @@ from .toxicity import train_once, unpack
 KINDS = ("email", "ip", "card", "phone")  # the order of equal starts
 LABELS = len(KINDS) + 1                   # 0: none
 TRAIN_DOCS = 20_000  # documents the weights are learnt from at most
-TRAIN_TOKENS = 200   # candidate tokens of one document that the sample holds
 ROUNDS = 200         # of message passing at most, as loops may keep it from standing still
 STILL = 1e-3         # largest change of a log message in the last round
 CONSISTENT = 8.0     # least log potential of one label on two similar tokens
@@ -125,7 +124,7 @@ class Field:
             self.end.append(m.end())
             tokens.append(m.group())
         n = len(tokens)
-        self.shape = [_shape(t[:200]) for t in tokens]
+        self.shape = [_shape(t) for t in tokens]
         self.label = np.zeros(n, np.int64)
         whole_key = {}  # a span of several tokens is similar by all its digits
         if n and spans:
@@ -273,18 +272,16 @@ def find(text: str, model, confident: float = CONFIDENT):
     return base, sorted([*base, *added], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_tokens: int = TRAIN_TOKENS) -> dict[str, np.ndarray]:
+def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
     """Weights from at most ``train_docs`` documents that have candidates,
-    chosen by a hash; each lends its first ``train_tokens`` candidate tokens to
-    the sample, with the plain words between them left out."""
+    chosen by a hash; each lends all its candidate tokens to the sample, with
+    the plain words between them left out."""
     def cut(batches):
         for b in batches:
             out = []
             for t in b.column(1).to_pylist():
                 parts, end = [], 0
-                for k, m in enumerate(_TOKEN.finditer(t)):
-                    if k == train_tokens:
-                        break
+                for m in _TOKEN.finditer(t):
                     gap = t[end:m.start()]  # plain words only part the tokens
                     parts += [gap if len(gap) <= 3 or gap.isspace() else " x ", m.group()]
                     end = m.end()
