@@ -22,39 +22,62 @@ SHARDS = 16
 SEED = 20240607
 BLOCK_ROWS = 20_000
 MAX_BLOCKS = 4096  # bounds the matrix: MAX_BLOCKS x shards numbers
+COPIES = 10_000    # rows alike that one task numbers
+
+
+def hypergeometric(rng, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` places drawn without replacement from ``good`` + ``bad``
+    are good ones, by inversion: the probabilities are built up from the most
+    likely count by their exact ratios, 40 standard deviations to each side,
+    beyond which nothing is left in double precision. One law for all sizes."""
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    total = good + bad
+    share = good / total
+    spread = math.sqrt(max(n * share * (1 - share) * (total - n) / max(1, total - 1), 0.0))
+    reach = int(40 * spread) + 40
+    mode = min(max((n + 1) * (good + 1) // (total + 2), low), high)
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)  # p(k + 1) / p(k)
+    ratio = (good - k) / (k + 1) * ((n - k) / (bad - n + k + 1))
+    up = np.cumprod(ratio[mode - first:])
+    down = np.cumprod(1 / ratio[:mode - first][::-1])[::-1]
+    chance = np.cumsum(np.concatenate([down, [1.0], up]))
+    return first + int(np.searchsorted(chance, rng.random() * chance[-1], "right"))
 
 
 def communication_matrix(block_rows: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """Rows that block i sends to shard j; row sums are ``block_rows``, column
-    sums differ by one at most."""
+    sums differ by one at most. Each block draws from the shards' open places
+    without replacement: one hypergeometric count a shard, given those before."""
     total = int(block_rows.sum())
-    left = np.full(shards, total // shards, dtype=np.int64)
-    left[:total % shards] += 1
+    left = [total // shards + (j < total % shards) for j in range(shards)]
     rng = np.random.default_rng(seed)
     rng.shuffle(left)
     out = np.zeros((len(block_rows), shards), dtype=np.int64)
-    for i, n in enumerate(block_rows):
-        # "marginals" needs no array of the population's size
-        out[i] = rng.multivariate_hypergeometric(left, int(n), method="marginals") if total < 10 ** 9 else _split(rng, left, int(n))
-        left -= out[i]
+    for i, n in enumerate(map(int, block_rows)):
+        rest = sum(left)
+        for j in range(shards):
+            rest -= left[j]
+            out[i, j] = hypergeometric(rng, left[j], rest, n)
+            n -= int(out[i, j])
+        left = [a - int(b) for a, b in zip(left, out[i])]
     return out
 
 
-def _split(rng, left: np.ndarray, n: int) -> np.ndarray:
-    """Draws beyond numpy's limit of 10**9 places: halve the shards, draw how
-    many rows go to each half by its share, refine. The half's count uses the
-    normal limit of the hypergeometric law, exact sums are kept."""
-    if len(left) == 1:
-        return np.array([n], dtype=np.int64)
-    h = len(left) // 2
-    a, b = int(left[:h].sum()), int(left[h:].sum())
-    if a + b < 10 ** 9:
-        k = int(rng.hypergeometric(a, b, n)) if n else 0
-    else:
-        p = a / (a + b)
-        var = n * p * (1 - p) * (a + b - n) / max(1, a + b - 1)
-        k = int(np.clip(round(rng.normal(n * p, math.sqrt(max(var, 0)))), max(0, n - b), min(n, a)))
-    return np.concatenate([_split(rng, left[:h], k), _split(rng, left[h:], n - k)])
+def _copies(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``copy``, the number of each among the rows alike. Rows alike
+    are interchangeable, so they are counted and written out again, a hot one
+    by many tasks."""
+    spark = rows.sparkSession
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES}")))
+    chunks = counted.select(*key, "n", chunk.alias("chunk"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(parts, F.xxhash64("chunk", *key))
+    first = F.col("chunk") * COPIES
+    return chunks.select(*key, F.explode(F.sequence(first, F.least(first + COPIES, F.col("n")) - 1)).alias("copy"))
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -62,16 +85,18 @@ def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED)
     input row. ``size``: UTF-8 bytes of the text (null: none) plus 1. The law is
     `rows`: shard sizes differ by one row at most; ``slot`` counts from 0
     without gaps in each shard. Deterministic for a table and seed, whatever
-    its partitions; rows alike in doc_id and text are interchangeable. An empty
-    table gives no rows."""
+    its partitions. Rows alike in doc_id and text are interchangeable; each copy
+    draws its own place. A null doc_id is a value like any other; extra columns
+    are ignored. An empty table gives no rows."""
     spark = docs.sparkSession
     text = whole(F.col("text").cast("string"))
     row = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                       F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows = save(row)
+    key = ["doc_id", "size", "text_crc32"]
+    rows = save(_copies(row, key))
+    key = [*key, "copy"]
     n = rows.count()
     blocks = min(MAX_BLOCKS, max(1, math.ceil(n / BLOCK_ROWS)))
-    key = ["doc_id", "size", "text_crc32"]
 
     def draw(k: int):
         return F.xxhash64(F.lit(seed * 31 + k), *key)

@@ -1,6 +1,7 @@
 """URL filter, decontamination, sharding, toxicity, quality against plain
 versions."""
 
+import math
 import random
 import re
 import zlib
@@ -322,3 +323,36 @@ def test_bradley_terry_orders_pairs():
     s = quality_mod.scores(dense, [np.empty(0, np.int64)] * n, model)
     wins = (s[good == 1][:, None] > s[good == 0][None]).mean()
     assert wins > 0.95 and abs((s >= 0.5).mean() - good.mean()) < 0.01
+
+
+def test_equal_rows_spread_over_all_shards(spark, monkeypatch):
+    """A tenth of the rows is one row: each copy has a place of its own."""
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(sharding, "COPIES", 64)
+    df = spark.range(20_000).selectExpr("if(id % 10 = 0, null, id) as doc_id", "if(id % 10 = 0, 'copy', cast(id as string)) as text", "id as copy")
+    got = sharding.shuffle_into_shards(df, 16, seed=2).collect()
+    assert len(got) == 20_000 and sorted(Counter(r["shard"] for r in got).values()) == [1250] * 16
+    copies = [r for r in got if r["doc_id"] is None]
+    assert len(copies) == 2000
+    table = np.zeros((16, 10))
+    for r in copies:  # shard against tenth of the slots
+        table[r["shard"], r["slot"] * 10 // 1250] += 1
+    expected = 2000 / table.size
+    assert ((table - expected) ** 2 / expected).sum() < 230  # 159 degrees of freedom: beyond 1 in 5,000
+    again = sharding.shuffle_into_shards(df.repartition(3), 16, seed=2).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
+def test_hypergeometric_law():
+    """The drawn counts follow the exact probabilities, at any size."""
+    rng = np.random.default_rng(5)
+    for good, bad, n in ((5, 7, 4), (1, 30, 12), (40, 3, 20), (10, 10, 20), (0, 5, 3)):
+        draws = Counter(sharding.hypergeometric(rng, good, bad, n) for _ in range(4000))
+        for k in range(max(0, n - bad), min(n, good) + 1):
+            p = math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n)
+            assert abs(draws[k] - 4000 * p) < 5 * math.sqrt(4000 * p * (1 - p)) + 1e-9, (good, bad, n, k)
+        assert sum(draws.values()) == 4000
+    good, bad, n = 10 ** 11, 3 * 10 ** 11, 10 ** 8  # beyond numpy's limit
+    draws = np.array([sharding.hypergeometric(rng, good, bad, n) for _ in range(300)])
+    mean, sd = n / 4, math.sqrt(n * 3 / 16 * (good + bad - n) / (good + bad - 1))
+    assert abs(draws.mean() - mean) < 5 * sd / math.sqrt(300) and 0.8 < draws.std() / sd < 1.2

@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marketlens.llm import decontam, pii, queries, sentencepiece
@@ -216,3 +217,32 @@ def test_pipeline_edges(spark):
         for _, stage in corpus_pipeline.STAGES:
             df = stage(spark, df, SF).checkpoint()
         assert df.count() == most
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that the stages could use themselves stay with their values."""
+    item = duckdb.sql(f"select text from '{SF}/benchmark.parquet' where length(text) > 100 order by item_id limit 1").fetchall()[0][0]
+    rows = [(1, "one clean text of some words", "en", "s", 5), (2, "one clean text of some words", "en", "s", 5), (None, "another clean text", "en", "s", 5),
+            (3, "see " + item, "en", "s", 5), (4, "write to x@y.zz now", "en", "s", 5)]
+    names = ["_text_key", "_i", "_T", "root", "fp", "best", "rank", "spans", "base", "no_id", "text_key", "label", "item_id", "words", "_text_key_"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").select(
+        "*", *[F.concat(F.lit(n + " of "), F.coalesce("doc_id", F.lit(0))).alias(n) for n in names])
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(r[n] == f"{n} of {r['doc_id'] or 0}" for r in got for n in names), name
+        kept.append(sorted(r["doc_id"] or 0 for r in got))
+    assert kept == [[0, 1, 2, 3, 4], [0, 1, 3, 4], [0, 1, 2, 4], [0, 1, 2, 3, 4]]
+    name, stage = corpus_pipeline.STAGES[-1]
+    assert sorted(r["doc_id"] or 0 for r in stage(spark, docs, SF).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_training_reads_whole_documents(spark):
+    """Candidates late in a long text shape the weights like early ones."""
+    late = "pay 4111 1111 1111 1111 or 4111.1111.1111.1111 by x@y.zz "
+    docs = [(k, "n 12 x " * 300 + late * 3 if k % 2 else "plain 7 words") for k in range(40)]
+    whole = pii.fit(spark.createDataFrame(docs, "doc_id long, text string"))
+    cut = pii.fit(spark.createDataFrame([(k, t[:1000]) for k, t in docs], "doc_id long, text string"))
+    assert any(abs(whole[k] - cut[k]).max() > 1e-3 for k in whole if whole[k].dtype.kind == "f")
