@@ -18,11 +18,13 @@ from .common import save, unused, whole
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 #: (gaps of a mask, the highest need of items that are sought by it). Offsets
 #: are all sums of subsets of the gaps, so (1, 3) reads positions 0 1 3 4.
-#: Together they hit every overlap that counts. With m equal tokens and at most
-#: m / 4 substitutions the longest run of equal tokens has 4 or more from m = 13
-#: on. For m of 5 to 12 without a run of 4, some run of 2 or 3 lies next to
-#: another one, with one substitution between them; for m = 4 also 3 in a row do.
-MASKS = (((1, 2), None), ((1, 3), 12), ((1, 1), 4))
+#: All of them ignore positions: 0 1 3 4 and 0 2 3 5 are sought for every item,
+#: 0 1 4 5 for items of 10 tokens or fewer. Together they hit every overlap that
+#: counts, from 5 equal tokens on (the first alone does from 10 on; tests try all
+#: patterns up to 18 tokens, and patterns of any length by dynamic programming).
+#: Items of 5 tokens need 4, which may lie in a row: no mask with an ignored
+#: position fits into that, so three tokens in a row are sought for them besides.
+MASKS = (((1, 3), None), ((2, 3), None), ((1, 4), 8), ((1, 1), 4))
 MIN_MATCHED = 13    # tokens that must agree in the verified overlap,
 MIN_SHARE = 0.8     # or this share of the item if that is fewer
 MIN_ITEM = 5        # items with fewer tokens match nothing

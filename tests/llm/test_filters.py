@@ -177,6 +177,39 @@ def test_seeds_hit_every_overlap_that_counts():
         assert counts.any() and not (counts & ~hit).any(), n
 
 
+def offsets(gaps):
+    at = {0}
+    for g in gaps:
+        at |= {x + g for x in at}
+    return sorted(at)
+
+
+@pytest.mark.parametrize("need", range(4, 14))
+def test_no_pattern_of_any_length_avoids_the_seeds(need):
+    """Grows all patterns that no mask hits, place by place, keeping for their
+    last places and their equal tokens the fewest substitutions (as equal tokens
+    less four a substitution): none comes to count as an overlap."""
+    masks = [offsets(gaps) for gaps, top in decontam.MASKS if top is None or need <= top]
+    if need > 4:  # without the supplement for items of five tokens every mask ignores a position
+        assert len(masks) >= 2 and all(m[-1] + 1 > len(m) for m in masks)
+    wide = (1 << max(m[-1] for m in masks) + 1) - 1
+    best = {(0, 0): 0}
+    new = dict(best)
+    while new:
+        grown = {}
+        for (last, m), score in new.items():
+            for equal in (0, 1):
+                now = (last << 1 | equal) & wide
+                if equal and any(all(now >> (k[-1] - x) & 1 for x in k) for k in masks):
+                    continue  # hit
+                then = score + (1 if equal else -4)
+                state = (now, min(need, m + equal))
+                assert not (equal and state[1] == need and then >= 0), (need, bin(now))
+                if then >= -4 * need and then > best.get(state, -10 ** 9):
+                    best[state] = grown[state] = then
+        new = grown
+
+
 def test_decontamination_against_brute_force(spark):
     rnd = random.Random(17)
     items = [[f"i{j}w{k}" for k in range(n)] for j, n in enumerate([*range(3, 26), 59])]
