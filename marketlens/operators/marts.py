@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import DELAY_EDGES, DELAY_LABELS, bucket_dimension, pct, right_closed_bucket, safe_div
-from .stats import attach, distributed_row_number, log_bucket, with_range_bucket, with_scalars
+from .stats import attach, range_row_number, with_scalars
 
 def is_delivered() -> F.Column:
     return F.col("order_status") == "delivered"
@@ -113,18 +113,13 @@ def _order_level(first_cat: DataFrame, master: DataFrame, key: str) -> DataFrame
 
 
 def rank_desc(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
-    """Positional rank by ``value`` descending, ties by ``tie`` ascending,
-    computed without a single-partition window. Buckets: value range, exact
-    value, then a range of the tie key, so even a third of the rows tied on
-    one value are ranked by many tasks. The ranking reads its input several
-    times: pass a materialised frame."""
-    return distributed_row_number(
-        with_range_bucket(df, tie, "__tie"), order_by=[F.col(value).desc_nulls_last(), F.col(tie).asc()],
-        buckets=[(F.coalesce(log_bucket(F.col(value), 256), F.lit(-(1 << 62))), False),
-                 (F.col(value), False), (F.col("__tie"), True)], out=out).drop("__tie")
-
-
-def category_performance(full: DataFrame, master: DataFrame, first_cat: DataFrame, keep=lambda df: df) -> DataFrame:
+    """Positional rank by ``value`` descending, ties by ``tie`` ascending, from
+    places in ranges: even a third of the rows tied on one value are ranked by
+    many tasks."""
+    return range_row_number(df, [F.col(value).desc_nulls_last(), F.col(tie).asc()], out)
+
+
+def category_performance(full: DataFrame, master: DataFrame, first_cat: DataFrame) -> DataFrame:
     """Item-grain money and counts per English category, joined to
     order-grain review / delivery metrics by each order's first item."""
     items = full.where(is_delivered() & F.col("price").isNotNull())
@@ -138,7 +133,7 @@ def category_performance(full: DataFrame, master: DataFrame, first_cat: DataFram
               .withColumn("avg_order_value", safe_div(F.col("order_value"), F.col("order_count"))))
     sat = _order_level(first_cat, master, "product_category_name_english") \
         .withColumn("late_pct", _late_pct())
-    cat = keep(fin.join(sat, "product_category_name_english", "left"))
+    cat = fin.join(sat, "product_category_name_english", "left")
     return rank_desc(cat, "product_sales_value", "product_category_name_english", "rank_by_sales")
 
 
@@ -164,7 +159,7 @@ def state_performance(master: DataFrame) -> DataFrame:
     return g.withColumn("late_pct", _late_pct()).drop("__dc")
 
 
-def seller_performance(full: DataFrame, master: DataFrame, order_sellers: DataFrame, keep=lambda df: df) -> DataFrame:
+def seller_performance(full: DataFrame, master: DataFrame, order_sellers: DataFrame) -> DataFrame:
     """Per seller: item-grain money and counts, location, and order-grain
     satisfaction over the seller's distinct delivered orders; ranked by sales."""
     items = full.where(is_delivered() & F.col("seller_id").isNotNull())
@@ -182,7 +177,7 @@ def seller_performance(full: DataFrame, master: DataFrame, order_sellers: DataFr
         F.coalesce(F.sum("is_late"), F.lit(0)).alias("late_count"),
         F.coalesce(F.sum("on_time"), F.lit(0)).alias("on_time_count")) \
         .withColumn("late_pct", _late_pct())
-    s = keep(fin.join(sat, "seller_id", "left"))
+    s = fin.join(sat, "seller_id", "left")
     return rank_desc(s, "product_sales_value", "seller_id", "rank_by_sales")
 
 

@@ -74,8 +74,7 @@ def split_cutoff(ds: DataFrame, train_frac: float = 0.8) -> DataFrame:
     """One row: the cutoff timestamp and the dataset size."""
     micros = F.timestamp_diff("MICROSECOND", _epoch(), F.col("order_purchase_timestamp"))
     cut = values_at_ranks(ds.select(micros.alias("__us")), "__us",
-                          {"__cut": lambda n: F.floor(n * F.lit(train_frac))},
-                          bucket_fn=lambda v: F.floor(v / F.lit(3.6e9)).cast("bigint"))
+                          {"__cut": lambda n: F.floor(n * F.lit(train_frac))})
     return cut.select(F.timestamp_add("MICROSECOND", F.col("__cut").cast("bigint"), _epoch()).alias("cutoff"),
                       F.col("n").alias("n_orders"))
 
@@ -298,10 +297,7 @@ BAND_ORDER = {"Low": 1, "Medium": 2, "High": 3}
 def risk_bands(scored: DataFrame, lo: float = 0.33, hi: float = 0.66) -> DataFrame:
     """Score tertiles of the test set: High >= p66, Medium >= p33, else Low;
     per band count, share, actual late %, mean score, thresholds."""
-    # scores are probabilities in [0, 1]: linear buckets of width 2^-16
-    q = exact_quantiles(scored, "score", {"p33_threshold": lo, "p66_threshold": hi},
-                        bucket_fn=lambda v: F.floor(v * F.lit(65536.0)).cast("bigint")).select(
-        "p33_threshold", "p66_threshold")
+    q = exact_quantiles(scored, "score", {"p33_threshold": lo, "p66_threshold": hi}).select("p33_threshold", "p66_threshold")
     s = with_scalars(scored, q)
     band = (F.when(F.col("score") >= F.col("p66_threshold"), "High")
              .when(F.col("score") >= F.col("p33_threshold"), "Medium").otherwise("Low"))

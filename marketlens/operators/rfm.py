@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import floor_days
 from .marts import delivered
-from .stats import attach, distributed_row_number, exact_quantiles, with_range_bucket, with_scalars
+from .stats import attach, exact_quantiles, range_row_number, with_scalars
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
@@ -62,19 +62,15 @@ def segment_of(r: F.Column, f: F.Column, m: F.Column) -> F.Column:
              .otherwise(NEEDS_ATTENTION))
 
 
-def customer_rfm(master: DataFrame, keep=lambda df: df) -> DataFrame:
-    """``keep`` materialises the base, which the edges, the ranks and the
-    result each read."""
-    base = keep(rfm_base(master))
+def customer_rfm(master: DataFrame) -> DataFrame:
+    """The base is laid out once in the order of the frequency rank; the edges
+    and the result read that layout."""
+    base = range_row_number(rfm_base(master), [F.col("frequency").asc(), F.col("customer_unique_id").asc()], "__frank")
     r_edges = base.agg(F.percentile("recency_days", F.array(*[F.lit(p) for p in QUINTILES])).alias("__re"),
                        F.count(F.lit(1)).alias("__n"))
     m_edges = exact_quantiles(base, "monetary", {f"__me{i}": p for i, p in enumerate(QUINTILES)}).drop("n")
     stats = r_edges.transform(attach(m_edges))          # one row x one row
-    ranked = distributed_row_number(
-        with_range_bucket(base, "customer_unique_id", "__idb", 1024),
-        order_by=[F.col("frequency").asc(), F.col("customer_unique_id").asc()],
-        buckets=[(F.col("frequency"), True), (F.col("__idb"), True)], out="__frank").drop("__idb")
-    s = with_scalars(ranked, stats)
+    s = with_scalars(base, stats)
     r_bin = _edges_score(F.col("recency_days"), [F.col("__re")[i] for i in range(4)])
     m_score = _edges_score(F.col("monetary"), [F.col(f"__me{i}") for i in range(4)])
     n = F.col("__n")

@@ -2,15 +2,15 @@
 
 The analysed pipeline ranks, takes quantiles and picks per-key rows on one
 machine. Here each of those is a plan that never places an unbounded group in
-one task:
+one task. Ranges are taken from the data: rows are dealt to partitions by ranges
+whose bounds Spark samples, so bunched values and common prefixes spread like
+any others, and the layout is materialised before it is counted.
 
-* ``distributed_row_number``: ``row_number()`` in a total order, computed as
-  hierarchical per-bucket offsets (small count tables, running sums) plus a
-  ``row_number`` inside each order-preserving bucket tuple.
+* ``range_row_number``: ``row_number()`` in a total order: a row's place in its
+  range plus the rows of the ranges before.
 * ``values_at_ranks`` / ``exact_quantiles``: exact order statistics. Values are
-  first collapsed to (value, multiplicity) pairs, grouped into logarithmic,
-  order-preserving buckets, the buckets holding the wanted ranks are located
-  from a small histogram, and only those buckets are ordered.
+  first collapsed to (value, multiplicity) pairs, the ranges that hold the wanted
+  ranks are found from one count a range, and only those are put in order.
 * ``with_scalars``: one-row aggregates (national rates, totals, thresholds)
   attached as one scalar subquery; Spark runs it once and inlines the row.
 """
@@ -22,16 +22,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LOG_BUCKETS_PER_E = 1024
-
-
-def log_bucket(x: Column, k: int = LOG_BUCKETS_PER_E) -> Column:
-    """Monotone non-decreasing bucket id of a number: sign(x)*floor(k*ln(1+|x|)).
-    Buckets are a fixed relative width (about 1/k), so skewed money amounts
-    spread over many buckets while equal values always share one. The number
-    of distinct buckets grows only with log(range): about 2k*ln(max|x|)."""
-    d = x.cast("double")
-    return (F.signum(d) * F.floor(F.log1p(F.abs(d)) * F.lit(float(k)))).cast("bigint")
+from ..session import ensure_checkpoint_dir
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -72,66 +63,49 @@ def with_range_bucket(df: DataFrame, key: str, out: str, buckets: int = 64) -> D
     return with_scalars(df, bounds).withColumn(out, F.when(c.isNull(), F.lit(0)).otherwise(found)).drop("__bounds")
 
 
-def distributed_row_number(df: DataFrame, order_by: Sequence[Column],
-                           buckets: Sequence[tuple[Column, bool]],
-                           partition_by: Sequence[str] = (), out: str = "rn") -> DataFrame:
-    """``row_number() over (partition by P order by order_by)`` without putting
-    a whole partition (or the whole table) into one task.
+def _laid_by_range(df: DataFrame, order_by: Sequence[Column | str], ordered: bool) -> DataFrame:
+    """``df`` dealt to partitions by ranges of ``order_by``, and materialised (a
+    reliable checkpoint) so that the layout stands still."""
+    ensure_checkpoint_dir(df.sparkSession)
+    laid = df.repartitionByRange(*order_by)
+    return (laid.sortWithinPartitions(*order_by) if ordered else laid).checkpoint()
 
-    ``buckets`` is a list of (expression, ascending) forming a coarsening of
-    ``order_by`` (same directions): rows that compare lower in ``order_by``
-    must never get a higher bucket tuple. ``order_by`` must be a total order
-    for a deterministic result.
 
-    Offsets are hierarchical: a running total over the first bucket level
-    (a small table: one row per distinct first-level bucket), then running
-    totals over the finer levels inside each first-level bucket. So a hot
-    group — many rows tied on the first level — can be split further by the
-    finer levels (e.g. exact value, then a range of the tie-break key).
-    """
-    P = list(partition_by)
-    names = [f"__rb{i}" for i in range(len(buckets))]
-    b = df
-    for n, (expr, _) in zip(names, buckets):
-        b = b.withColumn(n, expr)
-    border = [F.col(n).asc_nulls_first() if asc else F.col(n).desc_nulls_last()
-              for n, (_, asc) in zip(names, buckets)]
-    before = (Window.unboundedPreceding, -1)
-    counts = b.groupBy(*P, *names).agg(F.count(F.lit(1)).alias("__rbn"))
-    first = names[0]
-    top = counts.groupBy(*P, first).agg(F.sum("__rbn").alias("__t1"))
-    w1 = (Window.partitionBy(*P) if P else Window).orderBy(border[0]).rowsBetween(*before)
-    top = top.withColumn("__o1", F.coalesce(F.sum("__t1").over(w1), F.lit(0))).drop("__t1")
-    if len(names) > 1:
-        w2 = Window.partitionBy(*P, first).orderBy(*border[1:]).rowsBetween(*before)
-        counts = counts.withColumn("__o2", F.coalesce(F.sum("__rbn").over(w2), F.lit(0)))
-    else:
-        counts = counts.withColumn("__o2", F.lit(0))
-    offsets = counts.join(top, on=P + [first], how="inner") \
-        .select(*P, *names, (F.col("__o1") + F.col("__o2")).alias("__rbo"))
-    joined = b.join(offsets, on=P + names, how="inner")
-    w3 = Window.partitionBy(*P, *names).orderBy(*order_by)
-    return (joined.withColumn(out, (F.row_number().over(w3) + F.col("__rbo")).cast("bigint"))
-                  .drop(*names, "__rbo"))
+def range_row_number(df: DataFrame, order_by: Sequence[Column], out: str = "rn") -> DataFrame:
+    """``row_number() over (order by order_by)`` with one exchange of the rows.
+
+    The rows are sorted inside ranges of ``order_by``. A row's number is its
+    place in its range plus the rows of the ranges before; only that table, one
+    row a range, is counted, summed and broadcast. ``order_by`` must be a total
+    order: then ties on its first column, however many, lie in many ranges."""
+    # the id is the partition's number, then 33 bits of the row's place in it
+    own = _laid_by_range(df, order_by, True).withColumn("__id", F.monotonically_increasing_id())
+    own = own.withColumn("__part", F.shiftright("__id", 33))
+    counts = own.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return own.join(F.broadcast(offsets), "__part").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + place + 1).cast("bigint").alias(out))
 
 
 def values_at_ranks(df: DataFrame, value: str | Column,
                     ranks: dict[str, Callable[[Column], Column]],
-                    keys: Sequence[str] = (), k: int = LOG_BUCKETS_PER_E,
-                    bucket_fn: Callable[[Column], Column] | None = None) -> DataFrame:
+                    keys: Sequence[str] = ()) -> DataFrame:
     """Exact value at 0-based ascending ranks, per group of ``keys``.
 
     ``ranks`` maps an output name to a function of the group size ``n`` (a
-    Column) giving the rank. Returns ``keys``, ``n`` and one double column per
-    rank name. Nulls are ignored. Ranks outside [0, n) give null (a group
+    Column) giving the rank. The distinct values of each group are laid out by
+    range; a task orders one range of one group at most, however the values are
+    bunched. Returns ``keys``, ``n`` and one double column per rank name. Nulls are ignored. Ranks outside [0, n) give null (a group
     whose wanted ranks are all out of range has no row).
     """
     K = list(keys)
     vcol = F.col(value) if isinstance(value, str) else value
     v = df.select(*K, vcol.cast("double").alias("__v")).where(F.col("__v").isNotNull())
     # distinct values with multiplicity: hot values collapse in the map-side combine
-    c = v.groupBy(*K, "__v").agg(F.count(F.lit(1)).alias("__c")) \
-         .withColumn("__b", bucket_fn(F.col("__v")) if bucket_fn else log_bucket(F.col("__v"), k))
+    c = v.groupBy(*K, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    c = _laid_by_range(c, [*K, "__v"], False).withColumn("__b", F.spark_partition_id())
     hist = c.groupBy(*K, "__b").agg(F.sum("__c").alias("__bc"))
     wk = Window.partitionBy(*K) if K else Window.partitionBy()
     hist = (hist.withColumn("__hi", F.sum("__bc").over(wk.orderBy("__b")
@@ -157,8 +131,7 @@ def values_at_ranks(df: DataFrame, value: str | Column,
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
-                    keys: Sequence[str] = (), k: int = LOG_BUCKETS_PER_E,
-                    bucket_fn: Callable[[Column], Column] | None = None) -> DataFrame:
+                    keys: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
     (position (n-1)p), per group of ``keys``; one column per name in
     ``probs``, plus ``n``. Distributed: see module docstring."""
@@ -166,7 +139,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     for name, p in probs.items():
         ranks[f"__lo_{name}"] = (lambda n, p=p: F.floor((n - 1) * F.lit(p)))
         ranks[f"__hi_{name}"] = (lambda n, p=p: F.ceil((n - 1) * F.lit(p)))
-    vals = values_at_ranks(df, value, ranks, keys, k, bucket_fn)
+    vals = values_at_ranks(df, value, ranks, keys)
     out = vals
     for name, p in probs.items():
         pos = (F.col("n") - 1) * F.lit(p)

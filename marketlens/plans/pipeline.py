@@ -55,8 +55,8 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     fctx = MarketContext(spark, sf_dir, raw=raw, materialize="checkpoint")
     fctx.__dict__["orders"] = fctx._keep(fctx.orders)
     written = build_facts(fctx, out)
-    master, full, keep = fctx.master, fctx.full, fctx._keep     # later phases read the written facts
-    customer_rfm = rfm.customer_rfm(master, keep)
+    master, full = fctx.master, fctx.full     # later phases read the written facts
+    customer_rfm = rfm.customer_rfm(master)
     write_marts({"customer_rfm": customer_rfm}, os.path.join(out, "facts"))
     customer_rfm = read_table(spark, os.path.join(out, "facts"), "customer_rfm")
     fctx.__dict__["rfm"] = customer_rfm
@@ -67,9 +67,9 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, csv_dir: str |
     spend_edges = FIXTURE_SPEND_EDGES if fixture else None
     marts = {
         "monthly_trends": mt.monthly_trends(master, month_min),
-        "category_performance": mt.category_performance(full, master, first_cat, keep),
+        "category_performance": mt.category_performance(full, master, first_cat),
         "state_performance": mt.state_performance(master),
-        "seller_performance": mt.seller_performance(full, master, pairs, keep),
+        "seller_performance": mt.seller_performance(full, master, pairs),
         "delivery_delay_dist": mt.delivery_delay_dist(spark, master),
         "delivery_by_state": mt.delivery_by_state(master),
         "delivery_by_category": mt.delivery_by_category(first_cat, master),

@@ -52,18 +52,21 @@ def _raw_columns(table: str):
         yield name, kind, (other or [name])[0]
 
 
-# review titles of the written files: line breaks, quotes and delimiters, from the data
-TITLE = F.when(F.col("review_id") % 3 == 0, F.concat(F.lit('No. '), F.col("review_id"), F.lit(',\n"order" '), F.col("order_id"), F.lit("\n\nend")))
 TITLE_SQL = """CASE WHEN review_id % 3 = 0 THEN concat('No. ', review_id, ',' || chr(10) || '"order" ', order_id, chr(10) || chr(10) || 'end') END"""
 
 
+def _title():
+    """Review titles of the written files: line breaks, quotes and delimiters, from the data."""
+    return F.when(F.col("review_id") % 3 == 0, F.concat(F.lit("No. "), F.col("review_id"), F.lit(',\n"order" '), F.col("order_id"), F.lit("\n\nend")))
+
+
 def _write_csv(c) -> str:
     """The nine source tables as headed CSV in the source layout; their folder."""
     base = _scratch(c, "raw-csv")
     for name, fname in SOURCE_FILES.items():
         df = c.raw[name]
         if name == "reviews":
-            df = df.withColumn("review_comment_title", TITLE)
+            df = df.withColumn("review_comment_title", _title())
         cols = [F.col(f.name).cast("string").alias(f.name) if f.name in df.columns
                 else F.lit(None).cast("string").alias(f.name) for f in SOURCE_SCHEMAS[name].fields]
         df.select(*cols).write.mode("overwrite").option("header", True) \

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marketlens.operators.stats import distributed_row_number, exact_quantiles, log_bucket
+from marketlens.operators.stats import exact_quantiles, range_row_number
 
 values = st.lists(st.tuples(st.integers(0, 2), st.one_of(st.integers(-1000, 1000).map(float),
                                                           st.floats(-1e6, 1e6, allow_nan=False, width=32))),
@@ -28,9 +28,8 @@ def test_exact_quantile_property(spark, data, p):
 
 @SETTINGS
 @given(values)
-def test_distributed_row_number_property(spark, data):
+def test_range_row_number_property(spark, data):
     df = spark.createDataFrame([(i, g, float(v)) for i, (g, v) in enumerate(data)], "id int, g int, v double")
-    ours = distributed_row_number(df, order_by=[F.col("v").asc(), F.col("id").asc()],
-                                  buckets=[(log_bucket(F.col("v"), 8), True)], partition_by=["g"])
-    ref = df.withColumn("rn2", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
+    ours = range_row_number(df, [F.col("g").asc(), F.col("v").asc(), F.col("id").asc()])
+    ref = df.withColumn("rn2", F.row_number().over(Window.orderBy("g", "v", "id")))
     assert ours.join(ref, ["id", "g", "v"]).where(F.col("rn") != F.col("rn2")).count() == 0

@@ -5,8 +5,8 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marketlens.operators.stats import (distributed_row_number, exact_quantiles, log_bucket, top_k_sum,
-                                        values_at_ranks, with_range_bucket)
+from marketlens.operators import stats
+from marketlens.operators.stats import exact_quantiles, range_row_number, top_k_sum, values_at_ranks, with_range_bucket
 
 
 def _values(seed=7, n=3000):
@@ -17,13 +17,6 @@ def _values(seed=7, n=3000):
     return [(int(a), float(round(b, 2))) for a, b in zip(g, v)]
 
 
-def test_log_bucket_is_monotone(spark):
-    xs = sorted(set(x for _, x in _values()))
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    b = [r.b for r in df.select(log_bucket(F.col("x")).alias("b")).orderBy("x").collect()]
-    assert all(b[i] <= b[i + 1] for i in range(len(b) - 1))
-
-
 def test_exact_quantiles_match_numpy_linear(spark):
     data = _values()
     df = spark.createDataFrame(data, "g int, v double")
@@ -48,15 +41,45 @@ def test_values_at_ranks(spark):
     assert (r.first, r.last, r.mid, r.n) == (s[0], s[-1], s[len(s) // 2], len(s))
 
 
-def test_distributed_row_number_equals_global_window(spark):
+def test_range_row_number_equals_global_window(spark):
     data = _values(11, 2000)
-    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id int, g int, v double")
-    ours = distributed_row_number(df, order_by=[F.col("v").desc(), F.col("id").asc()],
-                                  buckets=[(log_bucket(F.col("v")), False)], partition_by=["g"], out="rn")
-    ref = df.withColumn("rn2", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))))
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)] + [(-1, 0, None)], "id int, g int, v double").repartition(7)
+    ours = range_row_number(df, [F.col("v").desc_nulls_last(), F.col("id").asc()])
+    ref = df.withColumn("rn2", F.row_number().over(Window.orderBy(F.col("v").desc_nulls_last(), F.col("id"))))
     joined = ours.join(ref.select("id", "rn2"), "id")
+    assert ours.columns == ["id", "g", "v", "rn"] and joined.count() == len(data) + 1
     assert joined.where(F.col("rn") != F.col("rn2")).count() == 0
-    assert joined.count() == len(data)
+    assert range_row_number(df.limit(0), [F.col("id")]).count() == 0
+
+
+BUNCHED = {"a narrow band": "1e6 + id * 5e-6", "a band beside far values": "case when id % 1000 = 0 then id * 1e9 else 7e5 + id * 1e-7 end",
+           "powers": "pow(1.0001, id % 50000) + id * 1e-9"}
+
+
+def test_bunched_values_are_spread(spark):
+    """200,000 distinct values of nearly the same size: no range, so no task
+    that orders one, holds more than a few hundredths of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    laid, plain = [], stats._laid_by_range
+
+    def spy(*a):
+        laid.append(plain(*a))
+        return laid[-1]
+
+    try:
+        stats._laid_by_range = spy
+        for name, expr in BUNCHED.items():
+            df = spark.range(200_000).selectExpr(f"cast({expr} as double) as v")
+            got = exact_quantiles(df, "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}).first()
+            want = np.percentile(np.array([r["v"] for r in df.collect()]), [10, 50, 99])
+            assert np.allclose([got["p10"], got["p50"], got["p99"]], want, rtol=1e-12, atol=0), name
+            sizes = [r["count"] for r in laid[-1].groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) > 48 and max(sizes) < 200_000 / 16, (name, max(sizes))
+    finally:
+        stats._laid_by_range = plain
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_top_k_sum_with_ties(spark):
