@@ -38,7 +38,8 @@ SPACE = "▁"
 NBEST = 3
 CACHE = 250_000     # words whose best segmentation is kept, twice
 LONG_WORD = 48      # longer words go through the search by themselves
-BLOCK = 1024        # words searched at once
+BLOCK = 2048        # words of like length searched at once
+LEARNT = 16384      # new words searched before they are stored
 BYTE_LOSS = 10.0    # a byte piece scores so much less than the rarest piece
 MARKS = ",.;:!?|\n"   # where a word may end, if no piece of the model joins them to a letter
 LETTER = "[A-Za-z\u00c0-\u024f]"
@@ -158,14 +159,18 @@ class Vocabulary:
     def best_of(self, words: list[str]) -> list[tuple[float, tuple[int, ...], float]]:
         """(score, ids, loss of the second-best) for each word; infinite loss
         where there is one segmentation only."""
+        return [(score, tuple(np.frombuffer(ids, np.int32).tolist()), loss) for score, ids, loss in self.best_packed(words)]
+
+    def best_packed(self, words: list[str]) -> list[tuple[float, bytes, float]]:
+        """The same with the ids as 4-byte integers."""
         out: list = [None] * len(words)
         groups: dict[int, list[int]] = {}
         for k, w in enumerate(words):
             if len(w) > LONG_WORD:
                 two = self.n_best(w, 2)
-                out[k] = (two[0][0], two[0][1], two[0][0] - two[1][0] if len(two) > 1 else math.inf)
+                out[k] = (two[0][0], pack(two[0][1]), two[0][0] - two[1][0] if len(two) > 1 else math.inf)
             else:
-                groups.setdefault(-(-len(w) // 6) * 6, []).append(k)
+                groups.setdefault(-(-len(w) // 4) * 4, []).append(k)
         for width, which in groups.items():
             for i in range(0, len(which), BLOCK):
                 part = which[i:i + BLOCK]
@@ -242,17 +247,31 @@ class Vocabulary:
             x = fore[:width - n + 1] + rest[n - 1, :width - n + 1]
             x += back[n:]
             np.maximum(through, x.max(0), out=through)
-        ids: list[list[int]] = [[] for _ in range(m)]
-        for r, s, n in path:
-            got = piece[n - 1, s, r]
-            for k, i, p in zip(r.tolist(), got.tolist(), s.tolist()):
-                if i >= 0:
-                    ids[k].append(i)
-                else:
-                    ids[k].extend(self.id_of_byte[b] for b in reversed(words[k][p].encode()))
-        for k, w in enumerate(which):
-            t = float(total[k])
-            out[w] = (t, tuple(int(i) for i in reversed(ids[k])), t - float(through[k]))
+        # the edges of all words in a row, from the start of each
+        own, start, n = (np.concatenate(x) for x in zip(*path))
+        turn = np.repeat(np.arange(len(path)), [len(r) for r, _, _ in path])
+        order = np.lexsort((-turn, own))
+        own, start = own[order], start[order]
+        ids = piece[n[order] - 1, start, own].astype("<i4")
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):  # a character without a piece: its bytes' pieces
+            spelt = [self.id_of_byte[list(words[k][p].encode())] for k, p in zip(own[lost].tolist(), start[lost].tolist())]
+            each = np.ones(len(ids), np.int64)
+            each[lost] = [len(x) for x in spelt]
+            at = np.cumsum(each) - each
+            wide = np.repeat(ids, each)
+            for i, x in zip(at[lost].tolist(), spelt):
+                wide[i:i + len(x)] = x
+            ids, own = wide, np.repeat(own, each)
+        stops = np.searchsorted(own, every, "right").tolist()
+        blob, loss = ids.tobytes(), (total - through).tolist()
+        for k, w, t, i, j in zip(range(m), which, total.tolist(), [0, *stops], stops):
+            out[w] = (t, blob[4 * i:4 * j], loss[k])
+
+
+def pack(ids) -> bytes:
+    """Piece ids as 4-byte integers."""
+    return array("i", ids).tobytes()
 
 
 _SCORE, _IDS, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
@@ -290,7 +309,7 @@ class Encoder:
         self.old: dict = {}
         self.more: dict = {}
         self.wrong: set[str] = set()
-        self._piece = vocabulary.pieces.__getitem__
+        self._spelling = pa.array(vocabulary.pieces, pa.large_string())
 
     def _words(self, text: str) -> list[str]:
         if "  " not in text and SPACE not in text and "\0" not in text and not text.startswith(" "):
@@ -306,11 +325,15 @@ class Encoder:
             words.extend(w for w in _WORD.findall(part.replace(" ", SPACE)) if w)
         return words
 
-    def _pack(self, word: str, ids) -> bytes:
-        """The ids as bytes; a word that they don't spell is noted."""
-        if "".join(map(self._piece, ids)) != word and spell(ids, self.v) != (word.replace(SPACE, " ") or SPACE):
-            self.wrong.add(word)
-        return array("i", ids).tobytes()
+    def _check(self, words: list[str], blobs: list[bytes]) -> None:
+        """Notes the words that their pieces don't spell."""
+        ids = np.frombuffer(b"".join(blobs), np.int32)
+        at = np.cumsum([0, *(len(x) // 4 for x in blobs)], dtype=np.int64)
+        spelt = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at), self._spelling.take(pa.array(ids))), pa.scalar("", pa.large_string()))
+        same = pc.equal(spelt, pa.array(words, pa.large_string())).to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(~same).tolist():  # byte pieces, mostly
+            if spell(ids[at[k]:at[k + 1]].tolist(), self.v) != (words[k].replace(SPACE, " ") or SPACE):
+                self.wrong.add(words[k])
 
     def _learn(self, words: set[str]) -> None:
         new, old = self.new, self.old
@@ -321,9 +344,11 @@ class Encoder:
             else:
                 missing.append(w)
         missing.sort()
-        for i in range(0, len(missing), 8192):
-            part = missing[i:i + 8192]
-            new.update((w, (score, self._pack(w, ids), loss)) for w, (score, ids, loss) in zip(part, self.v.best_of(part)))
+        for i in range(0, len(missing), LEARNT):
+            part = missing[i:i + LEARNT]
+            found = self.v.best_packed(part)
+            self._check(part, [ids for _, ids, _ in found])
+            new.update(zip(part, found))
 
     def _trim(self) -> None:
         if len(self.new) >= CACHE:
@@ -338,7 +363,8 @@ class Encoder:
             flat.update(ws)
         flat.discard("")
         self._learn(flat)
-        self.new[""] = (3 * self.v.floor, self._pack("", [int(self.v.id_of_byte[b]) for b in SPACE.encode()]), math.inf)
+        mark = pack([int(self.v.id_of_byte[b]) for b in SPACE.encode()])
+        self.new[""] = (3 * self.v.floor, mark, math.inf)
         out = [self._text(t, ws) for t, ws in zip(texts, split)]
         self._trim()
         return out
@@ -363,7 +389,10 @@ class Encoder:
     def _more(self, word: str):
         hit = self.more.get(word)
         if hit is None:
-            hit = self.more[word] = [(score, self._pack(word, ids)) for score, ids in self.v.n_best(word, self.n)]
+            found = self.v.n_best(word, self.n)
+            if any("".join([self.v.pieces[i] for i in ids]) != word and spell(ids, self.v) != (word.replace(SPACE, " ") or SPACE) for _, ids in found):
+                self.wrong.add(word)
+            hit = self.more[word] = [(score, pack(ids)) for score, ids in found]
         return hit
 
 
