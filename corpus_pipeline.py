@@ -41,7 +41,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids, scores and sizes of the n best segmentations."""
+    """Piece ids, scores and sizes of the n best segmentations, by doc_id; the
+    other columns of the documents end here."""
     return sentencepiece.encode(docs)
 
 
