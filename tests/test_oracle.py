@@ -10,7 +10,6 @@ import pytest
 
 SF_DIR = os.environ.get("MARKETLENS_ORACLE_SF", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SKIP = {"serve_ml_importance"}
 
 
 def _norm(v):
@@ -46,8 +45,7 @@ def ducks():
 
 def _names():
     import __spark_entry__ as entry
-    names = [n for n in entry.oracle_sql() if n not in SKIP]
-    return sorted(names, key=lambda n: (n in LARGER, n))  # the larger data last: one dataset is kept at a time
+    return sorted(entry.oracle_sql(), key=lambda n: (n in LARGER, n))  # the larger data last: one dataset is kept at a time
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="testdata not available")
