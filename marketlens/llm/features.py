@@ -80,32 +80,3 @@ def columns(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 150, intercept: bool = True) -> np.ndarray:
-    """Weights (the last is the intercept) of a linear model by accelerated
-    gradient descent on the mean logistic loss with an L2 penalty. Columns are
-    brought to one scale first, so that rare marks are learnt as fast as
-    common ones."""
-    x = np.asarray(x, np.float32)
-    scale = 1 / np.maximum(x.std(0), 0.02) if len(x) else np.ones(x.shape[1])
-    x = x * scale.astype(np.float32)
-    if intercept:
-        scale = np.r_[scale, 1.0]
-        x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
-    n, d = x.shape
-    w, v = np.zeros(d), np.zeros(d)
-    if not n or not d:
-        return w * scale
-    u = np.ones(d) / np.sqrt(d)
-    for _ in range(15):
-        u = x.T @ (x @ u.astype(np.float32))
-        u /= max(np.linalg.norm(u), 1e-12)
-    step = 1 / (0.25 * float(np.square(x @ u.astype(np.float32)).sum()) * 1.05 / n + penalty)
-    t = 1.0
-    for _ in range(rounds):
-        g = x.T @ (sigmoid(x @ v.astype(np.float32)) - y).astype(np.float32) / n + penalty * v
-        w, before = v - step * g, w
-        t, old = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        v = w + (old - 1) / t * (w - before)
-    return w * scale

@@ -4,23 +4,24 @@ The categories are predicted in order: ``low_quality`` (label quality = 0),
 ``toxic`` (label toxic = 1), ``severe`` (toxic, with several of the features
 that mark toxic documents most). Each is a logistic model on text features and
 on the probabilities of the categories before it. For training, those are out
-of fold: predicted by models that have not seen the row.
+of fold: predicted by models that have not seen the row. All labelled documents
+train, in blocks spread over Spark's tasks.
 """
 
 from __future__ import annotations
 
 import io
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import features
+from . import features, learn
 from .common import whole
 
 CATEGORIES = ("low_quality", "toxic", "severe")
-TRAIN_ROWS = 10_000  # models are fitted on at most so many labelled documents
 FOLDS = 3
 FEATURES = 300       # hashed features of a category
 PENALTY = 1e-3
@@ -33,38 +34,86 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p)).astype(np.float32)[:, None]
 
 
-def train(dense: np.ndarray, rows: list[np.ndarray], quality: np.ndarray, toxic: np.ndarray) -> dict[str, np.ndarray]:
+def untrained() -> dict[str, np.ndarray]:
+    """The model without any label: nothing belongs to a category."""
+    model = {"chosen": np.empty(0, np.int64), "mean": np.zeros(features.N_DENSE), "std": np.ones(features.N_DENSE)}
+    for i, name in enumerate(CATEGORIES):
+        model[name] = np.r_[np.zeros(features.N_DENSE + i), -10.0]
+    return model
+
+
+def _losses(x: np.ndarray, y: np.ndarray, used: np.ndarray, w: np.ndarray) -> list:
+    """Of the models in the columns of ``w``: logistic loss, its gradient and the
+    number of rows, over the rows that ``used`` gives to each."""
+    s = np.clip(x @ w, -40, 40)
+    gap = (features.sigmoid(s) - y[:, None]) * used
+    return [((np.log1p(np.exp(s)) - y[:, None] * s) * used).sum(0), x.T @ gap, used.sum(0).astype(np.float64)]
+
+
+def _chain(block: dict, model: dict, folded: list[np.ndarray]) -> np.ndarray:
+    """The inputs of the category after those of ``folded``, whose columns are the
+    models of the whole and of each row set without one fold."""
+    x = np.c_[learn.matrix(block, model), np.ones(len(block["fold"]), np.float32)]
+    for w in folded:
+        out = features.sigmoid(np.take_along_axis(x @ w, block["fold"][:, None] + 1, 1)[:, 0])
+        x = np.concatenate([x[:, :-1], _logit(out), x[:, -1:]], axis=1)
+    return x
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
     """The chain's models. A category that the rows do not show keeps its rate
     as a constant."""
-    n = len(rows)
-    marks = features.select(rows, toxic, 40)
-    more = features.columns(rows, marks)
-    lift = more[toxic == 1].mean(0) > more[toxic == 0].mean(0) if 0 < toxic.sum() < n else np.zeros(len(marks), bool)
-    severe = ((toxic == 1) & (more[:, lift].sum(1) >= SEVERE_MARKS)).astype(int)
-    labels = {"low_quality": (quality == 0).astype(int), "toxic": toxic, "severe": severe}
-    chosen = np.unique(np.concatenate([features.select(rows, y, FEATURES) for y in labels.values()]))
-    mean, std = (dense.mean(0), dense.std(0) + 1e-6) if n else (np.zeros(features.N_DENSE), np.ones(features.N_DENSE))
-    model = {"chosen": chosen, "mean": mean, "std": std}
-    x = _inputs(dense, rows, model)
-    fold = np.random.default_rng(5).permutation(n) % FOLDS
+    rows = learn.labelled(docs, labels)
+    low, toxic = F.col("quality") == 0, F.col("toxic") == 1
+    n, n_low, n_toxic = rows.agg(F.count(F.lit(1)), F.count_if(low), F.count_if(toxic)).first()
+    if not n:
+        return untrained()
+    counts = learn.shares(rows, low_quality=low, toxic=toxic)
+    marks = learn.select(counts, "toxic", n, n_toxic, 40)
+    lift = [r["id"] for r in marks if 0 < n_toxic < n and r["one"] / n_toxic > (r["n"] - r["one"]) / (n - n_toxic)]
+    many = F.size(F.array_intersect("ids", F.array(*[F.lit(i) for i in lift]))) >= SEVERE_MARKS if lift else F.lit(False)
+    rows = rows.select("h", "dense", "ids", F.pmod(F.xxhash64("h"), F.lit(FOLDS)).cast("int").alias("fold"),
+                       low.cast("int").alias("low_quality"), F.col("toxic").cast("int").alias("toxic"), (toxic & many).cast("int").alias("severe"))
+    counts = learn.shares(rows, **{c: F.col(c) == 1 for c in CATEGORIES})
+    positive = dict(zip(CATEGORIES, rows.agg(*[F.count_if(F.col(c) == 1) for c in CATEGORIES]).first()))
+    best = {r["id"]: r["n"] for c in CATEGORIES for r in learn.select(counts, c, n, positive[c], FEATURES)}
+    model = {"chosen": np.array(sorted(best), np.int64)}
+    blocks = math.ceil(n / learn.BLOCK)
+    packed = learn.pack(rows.withColumn("block", F.pmod("h", F.lit(blocks)).cast("long")), ["fold", *CATEGORIES], model["chosen"], blocks)
+    model |= learn.moments(packed)
+    scale = np.r_[learn.scales([best[i] for i in model["chosen"]], n), 1.0][:, None]
+    folded: list[np.ndarray] = []
     for name in CATEGORIES:
-        y = labels[name]
-        w = np.zeros(x.shape[1] + 1)
-        out = np.full(n, y.mean() if n else 0.0)
-        if 0 < y.sum() < n:
-            w = features.fit_logistic(x, y, PENALTY)
-            for f in range(FOLDS):
-                part = features.fit_logistic(x[fold != f], y[fold != f], PENALTY)
-                out[fold == f] = features.sigmoid(x[fold == f] @ part[:-1] + part[-1])
-        elif n:
-            w[-1] = _logit(np.array([y.mean()]))[0, 0]
+        w = np.zeros((len(scale), 1 + FOLDS))
+        if 0 < positive[name] < n:
+            w = _category(packed, model, folded, name, scale)
         else:
-            w[-1] = -10.0
-        model[name] = w
-        x = np.concatenate([x, _logit(out)], axis=1)
+            w[-1] = _logit(np.array([positive[name] / n]))[0, 0]
+        model[name] = w[:, 0]
+        folded = [*folded, w]
+        scale = np.insert(scale, -1, 1.0, axis=0)
     return model
 
 
+def _category(packed: DataFrame, model: dict, folded: list[np.ndarray], name: str, scale: np.ndarray) -> np.ndarray:
+    """The weights of one category's models, all fitted in the same passes."""
+    shape = (len(scale), 1 + FOLDS)
+
+    def loss(v):
+        v = v.reshape(shape)
+        w = v * scale
+
+        def task(block):
+            used = np.c_[np.ones(len(block["fold"]), bool), block["fold"][:, None] != np.arange(FOLDS)]
+            return _losses(_chain(block, model, folded), block[name], used, w)
+
+        f, g, rows = learn.total(packed, task)
+        rows = np.maximum(rows, 1)
+        return (f / rows).sum() + PENALTY / 2 * np.square(v).sum(), (g * scale / rows + PENALTY * v).ravel()
+
+    return learn.minimise(loss, np.zeros(shape[0] * shape[1])).reshape(shape) * scale
+
+
 def _inputs(dense: np.ndarray, rows: list[np.ndarray], model) -> np.ndarray:
     z = np.clip((dense - model["mean"]) / model["std"], -5, 5).astype(np.float32)
     return np.concatenate([z, features.columns(rows, model["chosen"])], axis=1)
@@ -79,31 +128,6 @@ def predict(dense: np.ndarray, rows: list[np.ndarray], model) -> dict[str, np.nd
     return out
 
 
-def text_features(batches):
-    """mapInArrow: all columns but the last, the text, and its features."""
-    hasher = features.Hasher()
-    for b in batches:
-        texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-        dense = pa.array([features.densities(t) for t in texts], pa.list_(pa.float64()))
-        ids = pa.array([hasher(t) for t in texts], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], dense, ids], [*b.schema.names[:-1], "dense", "ids"])
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(doc_id, quality, toxic, dense, ids) of at most ``most`` labelled
-    documents, chosen by a hash of the doc_id. Null labels do not count; of
-    several labels of a document the smallest quality and largest toxicity
-    hold."""
-    known = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(
-        F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
-    have = docs.select("doc_id").where("doc_id is not null").distinct()
-    few = known.join(have, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", whole(F.col("text").cast("string")).alias("text")).join(F.broadcast(few), "doc_id")
-    rows = rows.select("doc_id", "quality", "toxic", "text").mapInArrow(
-        text_features, "doc_id long, quality int, toxic int, dense array<double>, ids array<long>")
-    return rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("ids")).limit(most)
-
-
 def train_once(sample: DataFrame, task) -> bytes:
     """One task fits the model on the bounded sample; its packed arrays."""
     def run(table: pa.Table) -> pa.Table:
@@ -119,20 +143,6 @@ def unpack(blob: bytes) -> dict[str, np.ndarray]:
     return dict(np.load(io.BytesIO(blob)))
 
 
-def sample_arrays(table: pa.Table):
-    table = table.sort_by("doc_id")
-    dense = np.array(table.column("dense").to_pylist(), np.float64).reshape(-1, features.N_DENSE)
-    rows = [np.asarray(r, np.int64) for r in table.column("ids").to_pylist()]
-    return dense, rows, *(table.column(k).to_numpy().astype(int) for k in ("quality", "toxic"))
-
-
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
-    blob = train_once(labelled_sample(docs, labels, train_rows), lambda t: train(*sample_arrays(t)))
-    if not blob:
-        return train(np.zeros((0, features.N_DENSE)), [], np.zeros(0, int), np.zeros(0, int))
-    return unpack(blob)
-
-
 def score(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, toxic, p_low_quality, p_toxic, p_severe), one row per input row:
     ``toxic`` where its probability reaches ``threshold``. Null texts count as
@@ -153,10 +163,10 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = THRE
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text").cast("string")).alias("text")).mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Fit on the labelled documents and score all; see ``score``. Without any
     label nothing is toxic."""
-    return score(docs, fit(docs, labels, train_rows), threshold)
+    return score(docs, fit(docs, labels), threshold)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

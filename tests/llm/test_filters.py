@@ -389,3 +389,27 @@ def test_hypergeometric_law():
     draws = np.array([sharding.hypergeometric(rng, good, bad, n) for _ in range(300)])
     mean, sd = n / 4, math.sqrt(n * 3 / 16 * (good + bad - n) / (good + bad - 1))
     assert abs(draws.mean() - mean) < 5 * sd / math.sqrt(300) and 0.8 < draws.std() / sd < 1.2
+
+
+def test_quality_learns_from_every_labelled_document(spark):
+    """A word that only documents beyond any 10,000 in hash order hold."""
+    n, late = 10_400, 400
+    ids = spark.range(4 * n).where("crc32(cast(cast(id as string) as binary)) % 3 <> 1").limit(n)
+    order = [r[0] for r in ids.selectExpr("id", "xxhash64(id) as h").orderBy("h").collect()]
+    rows = [(i, f"word{k % 7} common", int(k % 2)) for k, i in enumerate(order[:-late])]
+    rows += [(i, f"word{k % 7} zebra", 0) for k, i in enumerate(order[-late:])]
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(-1, "word1 zebra"), (-2, "word1 common")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in quality_mod.rank(docs, labels).where("doc_id < 0").collect()}
+    assert got[-1] < 0.1 < got[-2]
+
+
+def test_toxicity_learns_from_every_labelled_document(spark):
+    n, late = 10_600, 600
+    order = [r[0] for r in spark.range(n).selectExpr("id", "xxhash64(id) as h").orderBy("h").collect()]
+    rows = [(i, f"word{k % 7} common", 0) for k, i in enumerate(order[:-late])]
+    rows += [(i, f"word{k % 7} zebra", 1) for k, i in enumerate(order[-late:])]
+    labels = spark.createDataFrame([(i, 1, t) for i, _, t in rows], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(-1, "word1 zebra"), (-2, "word1 common")], "doc_id long, text string")
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.classify(docs, labels).where("doc_id < 0").collect()}
+    assert got == {-1: True, -2: False}
