@@ -38,3 +38,19 @@ def test_tables_go_with_their_context(spark):
     assert spark.catalog.tableExists(name) and rows > 0
     ctx.release()
     assert not spark.catalog.tableExists(name)
+
+
+def test_items_are_written_without_their_order(spark):
+    """The item-level fact repeats no column of its order on disk."""
+    ctx = get_context(spark, SF)
+    assert ctx.full.count() > 0
+    wide = [t for t in ctx._tables if {"order_status", "seller_state"} <= set(spark.table(t).columns)]
+    assert wide == []
+
+
+def test_a_model_is_fitted_when_read(spark):
+    from marketlens.operators import ml
+    ctx = get_context(spark, SF)
+    tm = ml.train_models(ctx.ml_dataset, num_trees=2, max_depth=2)
+    assert ml.lr_coefficients(spark, tm).count() > 0 and "rf" not in tm.__dict__
+    assert ml.risk_bands(tm.rf_scored).count() > 0 and "lr_scored" not in tm.__dict__
