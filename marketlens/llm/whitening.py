@@ -62,7 +62,7 @@ class Squares:
     two of them, exact."""
 
     def __init__(self, d: int):
-        self.hi, self.lo = np.zeros((d, d), np.int64), np.zeros((d, d), np.int64)
+        self.hi, self.lo = np.zeros((d, d), object), np.zeros((d, d), np.int64)  # hi: Python integers
 
     def add(self, y: np.ndarray) -> None:
         most = 2 * int(np.abs(y).max(initial=0))
@@ -84,7 +84,7 @@ class Squares:
 
     def _put(self, i: int, hi, lo: np.ndarray) -> None:
         total = self.lo[i, i:] + lo
-        self.hi[i, i:] += hi + (total >> LIMB)
+        self.hi[i, i:] += (hi + (total >> LIMB)).astype(object)
         self.lo[i, i:] = total & ((1 << LIMB) - 1)
 
 
@@ -96,7 +96,7 @@ def _square_batches(batches):
             for i in range(d):
                 yield pa.RecordBatch.from_pydict({
                     "d": pa.array(np.full(d - i, d, np.int32)), "i": pa.array(np.full(d - i, i, np.int32)),
-                    "j": pa.array(np.arange(i, d, dtype=np.int32)), "hi": pa.array(s.hi[i, i:]), "lo": pa.array(s.lo[i, i:])})
+                    "j": pa.array(np.arange(i, d, dtype=np.int32)), "hi": pa.array([Decimal(x) for x in s.hi[i, i:]], pa.decimal128(38, 0)), "lo": pa.array(s.lo[i, i:])})
         held.clear()
 
     for b in batches:
@@ -215,8 +215,8 @@ def fit(rows: DataFrame) -> tuple[DataFrame, int]:
     size = 8 * (COMPONENTS + 8) * sums.count()
     centres = sums.groupBy("d").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "c"))), lambda p: p["c"]).alias("centre"))
     near = _attach(rows, centres, size).select("d", F.zip_with("x", "centre", lambda x, c: x - c).alias("y"))
-    squares = near.mapInArrow(_square_batches, "d int, i int, j int, hi long, lo long").groupBy("d", "i", "j").agg(
-        F.sum(F.col("hi").cast("decimal(38,0)")).alias("hi"), F.sum(F.col("lo").cast("decimal(38,0)")).alias("lo"))
+    squares = near.mapInArrow(_square_batches, "d int, i int, j int, hi decimal(38,0), lo long").groupBy("d", "i", "j").agg(
+        F.sum("hi").alias("hi"), F.sum(F.col("lo").cast("decimal(38,0)")).alias("lo"))
     zero = F.lit(0).cast("decimal(38,0)")
     parts = squares.unionByName(sums.select("d", "i", F.lit(-1).alias("j"), F.col("s").alias("hi"), F.col("n").cast("decimal(38,0)").alias("lo"))
                                 ).unionByName(sums.select("d", "i", F.lit(-2).alias("j"), F.col("c").cast("decimal(38,0)").alias("hi"), zero.alias("lo")))
