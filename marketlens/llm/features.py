@@ -32,23 +32,28 @@ N_DENSE = len(densities(""))
 
 
 class Hasher:
-    """Distinct hashed features of a text; words seen before are looked up."""
+    """Distinct hashed features of a text, or those of them that are in ``only``;
+    words seen before are looked up."""
 
-    def __init__(self):
+    def __init__(self, only: np.ndarray | None = None):
         self.known: dict[str, tuple[int, ...]] = {}
+        self.only = None if only is None else set(only.tolist())
 
-    def _word(self, w: str) -> tuple[int, ...]:
-        if len(self.known) >= CACHE:
-            self.known.clear()
+    def _word(self, w: str) -> None:
         parts = [w] + [f"{n}:{w[:n]}" for n in PREFIXES if len(w) >= n]
-        out = self.known[w] = tuple(zlib.crc32(p.encode()) >> (32 - BITS) for p in parts)
-        return out
+        ids = [zlib.crc32(p.encode()) >> (32 - BITS) for p in parts]
+        self.known[w] = tuple(ids if self.only is None else self.only.intersection(ids))
 
     def __call__(self, text: str) -> np.ndarray:
-        ids: set[int] = set()
+        words = set(_WORD.findall(text.lower()))
         known = self.known
-        for w in set(_WORD.findall(text.lower())):
-            ids.update(known.get(w) or self._word(w))
+        new = words.difference(known)
+        if new and len(known) + len(new) > CACHE:
+            known.clear()
+            new = words
+        for w in new:
+            self._word(w)
+        ids = set().union(*map(known.__getitem__, words))
         return np.fromiter(ids, np.int64, len(ids))
 
 
@@ -68,13 +73,13 @@ def select(rows: list[np.ndarray], label: np.ndarray, most: int) -> np.ndarray:
 
 
 def columns(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    """0/1 matrix of the chosen features."""
-    place = np.full(1 << BITS, -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
+    """0/1 matrix of the chosen features, which are in order."""
     out = np.zeros((len(rows), len(chosen)), np.float32)
-    for i, r in enumerate(rows):
-        at = place[r]
-        out[i, at[at >= 0]] = 1
+    if rows and len(chosen):
+        ids, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        at = np.minimum(np.searchsorted(chosen, ids), len(chosen) - 1)
+        held = chosen[at] == ids
+        out[owner[held], at[held]] = 1
     return out
 
 

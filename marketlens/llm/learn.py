@@ -51,9 +51,9 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def shares(rows: DataFrame, **labels: Column) -> DataFrame:
     """(id, n, one column a label): the rows that hold each hashed feature, and
-    those of them with the label."""
+    those of them with the label; written, as it is read once a label."""
     each = rows.select(F.explode("ids").alias("id"), *[c.cast("int").alias(k) for k, c in labels.items()])
-    return each.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in labels])
+    return save(each.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in labels]))
 
 
 def select(counts: DataFrame, label: str, rows: int, positive: int, most: int) -> list:
@@ -99,8 +99,8 @@ def pack(rows: DataFrame, marks: list[str], chosen: np.ndarray, blocks: int) ->
 def matrix(block: dict, model: dict) -> np.ndarray:
     """Standardised densities and 0/1 columns of the chosen features."""
     n, d = len(block["dense"]), features.N_DENSE
-    x = np.zeros((n, d + len(model["chosen"])), np.float32)
-    x[:, :d] = np.clip((block["dense"] - model["mean"]) / model["std"], -5, 5)
+    x = np.zeros((n, d + len(model["chosen"])))   # of 32-bit values, as doubles: weights are doubles
+    x[:, :d] = np.clip((block["dense"] - model["mean"]) / model["std"], -5, 5).astype(np.float32)
     x[np.repeat(np.arange(n), np.diff(block["ends"], prepend=0)), d + block["at"]] = 1
     return x
 

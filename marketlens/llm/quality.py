@@ -127,7 +127,7 @@ def rank(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, seen)
 
     def run(batches):
-        hasher = features.Hasher()
+        hasher = features.Hasher(model["chosen"])
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)

@@ -53,7 +53,7 @@ def _losses(x: np.ndarray, y: np.ndarray, used: np.ndarray, w: np.ndarray) -> li
 def _chain(block: dict, model: dict, folded: list[np.ndarray]) -> np.ndarray:
     """The inputs of the category after those of ``folded``, whose columns are the
     models of the whole and of each row set without one fold."""
-    x = np.c_[learn.matrix(block, model), np.ones(len(block["fold"]), np.float32)]
+    x = np.c_[learn.matrix(block, model), np.ones(len(block["fold"]))]
     for w in folded:
         out = features.sigmoid(np.take_along_axis(x @ w, block["fold"][:, None] + 1, 1)[:, 0])
         x = np.concatenate([x[:, :-1], _logit(out), x[:, -1:]], axis=1)
@@ -148,7 +148,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = THRE
     ``toxic`` where its probability reaches ``threshold``. Null texts count as
     empty; a null doc_id keeps its row. Extra columns are ignored."""
     def run(batches):
-        hasher = features.Hasher()
+        hasher = features.Hasher(model["chosen"])
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)
@@ -180,7 +180,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     at = names.index("text")
 
     def run(batches):
-        hasher = features.Hasher()
+        hasher = features.Hasher(model["chosen"])
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)

@@ -413,3 +413,22 @@ def test_toxicity_learns_from_every_labelled_document(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(-1, "word1 zebra"), (-2, "word1 common")], "doc_id long, text string")
     got = {r["doc_id"]: r["toxic"] for r in toxicity.classify(docs, labels).where("doc_id < 0").collect()}
     assert got == {-1: True, -2: False}
+
+
+def test_scoring_looks_up_the_chosen_features_only():
+    from marketlens.llm import features
+    texts = ["", "Alpha beta gamma-delta ALPHA", "beta 123 \u00e9t\u00e9 alphabet", "x " * 50 + "gamma", "zzz"]
+    every = [features.Hasher()(t) for t in texts]
+    chosen = np.unique(np.concatenate(every))[::3]
+    few = [features.Hasher(chosen)(t) for t in texts]
+    assert all(set(f) == set(e) & set(chosen) for f, e in zip(few, every))
+    want = np.array([np.isin(chosen, e) for e in every], np.float32)
+    assert (features.columns(few, chosen) == want).all() and (features.columns(every, chosen) == want).all()
+
+
+def test_feature_counts_are_written_once(spark):
+    from marketlens.llm import learn
+    rows = spark.createDataFrame([([1, 2], 1), ([2], 0)], "ids array<int>, y int")
+    counts = learn.shares(rows, y=F.col("y") == 1)
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, counts.collect())) == [(1, 1, 1), (2, 2, 1)]
