@@ -58,3 +58,35 @@ def test_a_model_is_fitted_when_read(spark):
     tm = ml.train_models(ctx.ml_dataset, num_trees=2, max_depth=2)
     assert ml.lr_coefficients(spark, tm).count() > 0 and "rf" not in tm.__dict__
     assert ml.risk_bands(tm.rf_scored).count() > 0 and "lr_scored" not in tm.__dict__
+
+
+def test_partitions_of_the_facts_follow_the_items(spark, monkeypatch):
+    """More items: more buckets, so that a task's rows fit its memory; same rows,
+    payments without an order included."""
+    from marketlens.plans import context
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    raw = dict(context.MarketContext(spark, SF).raw)
+    lost = raw["payments"].limit(3).withColumn("order_id", F.lit(None).cast("bigint"))
+    raw["payments"] = raw["payments"].unionByName(lost)
+    few = context.MarketContext(spark, raw=raw, spelling_fixes=context.FIXTURE_SPELLING_FIXES)
+    want, paid = few.master, few.payments_agg
+    assert few.partitions == own and spark.conf.get(context.INITIAL_PARTITIONS, None) is None
+    monkeypatch.setattr(context, "ITEMS_EACH", 250)
+    ctx = context.MarketContext(spark, raw=raw, spelling_fixes=context.FIXTURE_SPELLING_FIXES)
+    try:
+        rows = ctx.master
+        assert ctx.partitions > own and spark.conf.get(context.INITIAL_PARTITIONS) == str(ctx.partitions)
+        buckets = {r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {ctx._tables[-1]}").where("col_name = 'Num Buckets'").collect()}
+        assert buckets == {str(ctx.partitions)}
+        assert rows.exceptAll(want).isEmpty() and rows.count() == want.count()
+        assert ctx.payments_agg.exceptAll(paid).isEmpty() and ctx.payments_agg.where("order_id is null").count() == 1
+        assert "Exchange" not in _plan(facts.items_per_order(ctx.items))
+        assert ctx.full.exceptAll(few.full).isEmpty() and ctx.full.columns == few.full.columns
+        attributes = ctx.item_attributes
+        monkeypatch.setattr(context, "FEW_SELLERS", 0)
+        del ctx.__dict__["item_attributes"]
+        assert ctx.item_attributes.exceptAll(attributes).isEmpty() and ctx.item_attributes.count() == attributes.count()
+    finally:
+        ctx.release()
+        few.release()
+    assert spark.conf.get(context.INITIAL_PARTITIONS, None) is None
