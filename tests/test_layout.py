@@ -90,3 +90,24 @@ def test_partitions_of_the_facts_follow_the_items(spark, monkeypatch):
         ctx.release()
         few.release()
     assert spark.conf.get(context.INITIAL_PARTITIONS, None) is None
+
+
+def test_a_fit_has_tasks_for_the_cores(spark, monkeypatch):
+    """However many partitions the facts have: every task of a fit sends all nodes'
+    statistics. All rows are fitted, and a task has FIT_ROWS rows at most."""
+    from marketlens.operators import ml
+    ds = get_context(spark, SF).ml_dataset.repartition(40, "order_id")
+    own = ml.FIT_TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    tm = ml.train_models(ds, num_trees=2, max_depth=2)
+    assert tm.train_features.rdd.getNumPartitions() > own == tm.fit_tasks
+    seen = []
+    fit = ml.LogisticRegression.fit
+
+    def spied(self, rows):
+        seen.append((rows.rdd.getNumPartitions(), rows.count()))
+        return fit(self, rows)
+
+    monkeypatch.setattr(ml.LogisticRegression, "fit", spied)
+    assert tm.lr is not None and seen == [(own, tm.train.count())]
+    monkeypatch.setattr(ml, "FIT_ROWS", 10)
+    assert ml.fit_tasks(spark, 1_001) == 101
