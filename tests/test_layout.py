@@ -111,3 +111,39 @@ def test_a_fit_has_tasks_for_the_cores(spark, monkeypatch):
     assert tm.lr is not None and seen == [(own, tm.train.count())]
     monkeypatch.setattr(ml, "FIT_ROWS", 10)
     assert ml.fit_tasks(spark, 1_001) == 101
+
+
+def test_first_items_and_seller_pairs_join_without_exchange(spark):
+    ctx = get_context(spark, SF)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (ctx.first_cat, ctx.order_sellers):
+            plan = _plan(df.join(ctx.master.select("order_id", "review_score"), "order_id", "left"))
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_keys_of_many_items_go_to_the_products(spark, monkeypatch):
+    """Same rows as the plain joins, items without a product, products that come
+    twice and items that come twice included."""
+    from marketlens.plans import context
+    raw = dict(context.MarketContext(spark, SF).raw)
+    some = raw["items"].where("order_item_id = 1")
+    raw["items"] = raw["items"].unionByName(some).unionByName(some.withColumn("product_id", F.lit(None).cast("bigint")))
+    raw["products"] = raw["products"].unionByName(raw["products"].where("product_id % 5 = 0").withColumn("product_weight_g", F.lit(1.5)))
+    want = context.MarketContext(spark, raw=raw, materialize="none").full
+    monkeypatch.setattr(context, "ITEMS_EACH", 250)
+    monkeypatch.setattr(context, "FEW_ITEMS", 0)
+    sent, join = [], facts.with_products
+    monkeypatch.setattr(context.facts, "with_products", lambda df, p: sent.append(df.columns) or join(df, p))
+    ctx = context.MarketContext(spark, raw=raw)
+    before = spark.conf.get(context.CO_PARTITION)
+    try:
+        got = ctx.full
+        assert sent == [["order_id", "product_id"]] and spark.conf.get(context.CO_PARTITION) == before
+        assert got.columns == want.columns and got.count() == want.count()
+        assert got.exceptAll(want).isEmpty() and want.where("product_id is null and price is not null").count() > 0
+    finally:
+        ctx.release()
