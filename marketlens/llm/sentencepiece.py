@@ -25,7 +25,6 @@ import heapq
 import math
 import re
 from array import array
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +35,18 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NBEST = 3
-CACHE = 250_000     # words whose best segmentation is kept, twice
+CACHE = 150_000     # words whose best segmentation is kept, twice
 LONG_WORD = 48      # longer words go through the search by themselves
 BLOCK = 2048        # words of like length searched at once
 LEARNT = 16384      # new words searched before they are stored
 BYTE_LOSS = 10.0    # a byte piece scores so much less than the rarest piece
 MARKS = ",.;:!?|\n"   # where a word may end, if no piece of the model joins them to a letter
 LETTER = "[A-Za-z\u00c0-\u024f]"
+TOGETHER = 500_000   # characters of texts searched at once
+FINE = 1 << 20      # scores are summed in multiples of its inverse, and the rest by itself
 _WORD = re.compile(f"{SPACE}*+[^{SPACE}]*+")
+_LETTER = np.array([bool(re.match("[A-Za-z]", chr(b))) for b in range(256)])  # bytes of LETTER
+_LEADS = np.isin(np.arange(256), np.arange(0xC3, 0xC9))  # any that follows makes a LETTER; behind 0xC9 up to 0x8F
 
 
 class Vocabulary:
@@ -79,6 +82,9 @@ class Vocabulary:
         apart = [c for c in MARKS if not any(re.match(LETTER, x) and x[1] == c for x in joined)]
         ahead = "" if any(x[0] == "\n" and re.match(LETTER, x[1]) for x in joined) else f"|(?<=\n)(?={LETTER})"
         self.cut = re.compile(f"(?<={LETTER})(?=[{re.escape(''.join(apart))}]){ahead}") if apart else None
+        self.ends_word = np.zeros(256, bool)  # the same for bytes
+        self.ends_word[list("".join(apart).encode())] = True
+        self.cuts_lines = bool(apart and ahead)
         self.space_of = [None if i in byte_ids else p.replace(SPACE, " ") for i, p in enumerate(self.pieces)]
         self._index()
 
@@ -274,29 +280,31 @@ def pack(ids) -> bytes:
     return array("i", ids).tobytes()
 
 
-_SCORE, _IDS, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
-
-
 class Segmentations:
-    """The n best of one text: they share all words but a few. ``spelt``: do the
-    pieces spell the words, and the words the text?"""
+    """The n best of one text: they share all words but a few. ``best``: the
+    packed ids of each word; ``spelt``: do the pieces spell the words, and the
+    words the text?"""
 
-    def __init__(self, best, options, ways, spelt: bool):
+    def __init__(self, best: pa.LargeBinaryArray, options, ways, spelt: bool):
         self.best, self.options, self.ways, self.spelt = best, options, ways, spelt
         self.scores = [s for s, _ in ways]
+        _, ends, data = best.buffers()
+        self._ends = np.frombuffer(ends, np.int64, len(best) + 1, 8 * best.offset)
+        self._data = memoryview(data) if data else b""
 
     def packed(self, rank: int = 0) -> bytes:
         """Piece ids as 4-byte integers."""
-        parts = list(self.best)
+        parts, at = [], self._ends[0]
         for (k, o), j in zip(self.options.items(), self.ways[rank][1]):
-            parts[k] = o[j][1]
-        return b"".join(parts)
+            parts += [self._data[at:self._ends[k]], o[j][1]]
+            at = self._ends[k + 1]
+        return b"".join([*parts, self._data[at:self._ends[-1]]])
 
     def ids(self, rank: int = 0) -> list[int]:
         return np.frombuffer(self.packed(rank), np.int32).tolist()
 
     def sizes(self) -> list[int]:
-        own = sum(map(len, self.best)) - sum(len(self.best[k]) for k in self.options)
+        own = int(self._ends[-1] - self._ends[0]) - sum(int(self._ends[k + 1] - self._ends[k]) for k in self.options)
         return [(own + sum(len(o[j][1]) for o, j in zip(self.options.values(), c))) // 4 for _, c in self.ways]
 
 
@@ -311,8 +319,13 @@ class Encoder:
         self.wrong: set[str] = set()
         self._spelling = pa.array(vocabulary.pieces, pa.large_string())
 
+    @staticmethod
+    def _plain(text: str) -> bool:
+        """Does every space, and nothing else, stand for a mark?"""
+        return "  " not in text and SPACE not in text and "\0" not in text and not text.startswith(" ")
+
     def _words(self, text: str) -> list[str]:
-        if "  " not in text and SPACE not in text and "\0" not in text and not text.startswith(" "):
+        if self._plain(text):
             if self.v.cut:  # words also end where no piece joins two characters
                 text = self.v.cut.sub("\0", text)
             return (SPACE + text.replace(" ", "\0" + SPACE)).split("\0")
@@ -325,6 +338,31 @@ class Encoder:
             words.extend(w for w in _WORD.findall(part.replace(" ", SPACE)) if w)
         return words
 
+    def _plain_words(self, texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """The words of plain texts, with spaces for their marks, and the number
+        of words before each text; cuts as ``_words`` does, on bytes."""
+        blobs = [b" " + t.encode() for t in texts]
+        blob = b"".join(blobs)
+        data = np.frombuffer(blob, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)))
+        found = self.v.ends_word.copy()
+        found[[32, 10]] = True
+        at = np.flatnonzero(found[data])
+        kind = data[at]
+        start = np.zeros(len(data), bool)
+        start[at[kind == 32]] = True
+        mark = at[self.v.ends_word[kind]]
+        one, two = data[mark - 1], data[mark - 2]  # a mark stands behind a space at least
+        start[mark[_LETTER[one] | (one >= 0x80) & (_LEADS[two] | (two == 0xC9) & (one <= 0x8F))]] = True
+        if self.v.cuts_lines:
+            line = at[kind == 10] + 1
+            line = line[line < len(data)]
+            one, two = data[line], data[np.minimum(line + 1, len(data) - 1)]
+            start[line[_LETTER[one] | _LEADS[one] | (one == 0xC9) & (two <= 0x8F)]] = True
+        starts = np.flatnonzero(start)
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(blob))
+        return words, np.r_[0, np.searchsorted(starts, ends)]
+
     def _check(self, words: list[str], blobs: list[bytes]) -> None:
         """Notes the words that their pieces don't spell."""
         ids = np.frombuffer(b"".join(blobs), np.int32)
@@ -335,19 +373,21 @@ class Encoder:
             if spell(ids[at[k]:at[k + 1]].tolist(), self.v) != (words[k].replace(SPACE, " ") or SPACE):
                 self.wrong.add(words[k])
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         new, old = self.new, self.old
         missing = []
-        for w in words - new.keys():
-            if w in old:
-                new[w] = old[w]
-            else:
-                missing.append(w)
+        for w in words:
+            if w not in new:
+                if w in old:
+                    new[w] = old[w]
+                else:
+                    missing.append(w)
         missing.sort()
         for i in range(0, len(missing), LEARNT):
             part = missing[i:i + LEARNT]
-            found = self.v.best_packed(part)
-            self._check(part, [ids for _, ids, _ in found])
+            marked = [w.replace(" ", SPACE) for w in part]
+            found = self.v.best_packed(marked)
+            self._check(marked, [ids for _, ids, _ in found])
             new.update(zip(part, found))
 
     def _trim(self) -> None:
@@ -357,34 +397,56 @@ class Encoder:
             self.more = {}
 
     def __call__(self, texts: list[str]) -> list[Segmentations]:
-        split = [self._words(t) for t in texts]
-        flat: set[str] = set()
-        for ws in split:
-            flat.update(ws)
-        flat.discard("")
-        self._learn(flat)
-        mark = pack([int(self.v.id_of_byte[b]) for b in SPACE.encode()])
-        self.new[""] = (3 * self.v.floor, mark, math.inf)
-        out = [self._text(t, ws) for t, ws in zip(texts, split)]
+        out: list = [None] * len(texts)
+        plain = [i for i, t in enumerate(texts) if self._plain(t)]
+        other = sorted(set(range(len(texts))).difference(plain))
+        if plain:
+            words, first = self._plain_words([texts[i] for i in plain])
+            for i, found in zip(plain, self._texts(words, first, [True] * len(plain))):
+                out[i] = found
+        if other:
+            split = [self._words(texts[i]) for i in other]
+            first = np.cumsum([0, *map(len, split)], dtype=np.int64)
+            spelt = [self._spelt(texts[i], ws) for i, ws in zip(other, split)]
+            for i, found in zip(other, self._texts(pa.array([w for ws in split for w in ws], pa.large_string()), first, spelt)):
+                out[i] = found
         self._trim()
         return out
 
-    def _text(self, text: str, words: list[str]) -> Segmentations:
-        found = list(map(self.new.__getitem__, words))
-        total = math.fsum(map(_SCORE, found))
-        # a segmentation of rank k differs from the best in words among the
-        # k - 1 that lose least by their second-best
-        loss = np.fromiter(map(_LOSS, found), np.float64, len(found))
-        few = np.argpartition(loss, self.n - 2)[:self.n - 1] if 1 < self.n <= len(loss) else np.arange(len(loss) * (self.n > 1))
-        options = {k: self._more(words[k]) for k in sorted(few.tolist()) if loss[k] < math.inf}
-        ways: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for o in options.values():
-            ways = heapq.nsmallest(self.n, ((x + o[0][0] - s, c + (j,)) for x, c in ways for j, (s, _) in enumerate(o)))
-        # a mark of the text is the empty word
+    @staticmethod
+    def _spelt(text: str, words: list[str]) -> bool:
+        """Do the words spell the text? A mark of the text is the empty word."""
         whole = "".join(words) if SPACE not in text else "".join(w.replace(SPACE, " ") or SPACE for w in words)
-        spelt = whole == (SPACE + text.replace(" ", SPACE) if SPACE not in text else " " + text)
-        spelt = spelt and (not self.wrong or self.wrong.isdisjoint(words))
-        return Segmentations(list(map(_IDS, found)), options, [(total - x, c) for x, c in ways], spelt)
+        return whole == (SPACE + text.replace(" ", SPACE) if SPACE not in text else " " + text)
+
+    def _texts(self, words: pa.LargeStringArray, first: np.ndarray, spelt: list[bool]):
+        """The segmentations of texts whose words lie one after the other, each
+        text's from ``first`` on; every distinct word is looked up once."""
+        coded = words.dictionary_encode()
+        own, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        self._learn([w for w in own if w])
+        self.new[""] = (3 * self.v.floor, pack([int(self.v.id_of_byte[b]) for b in SPACE.encode()]), math.inf)
+        score, best, losses = zip(*map(self.new.__getitem__, own))
+        score, losses = np.array(score), np.array(losses)[at]
+        best = pa.array(best, pa.large_binary()).take(coded.indices)
+        # summed in two parts without rounding, so that the order does not matter
+        coarse = np.round(score * FINE) / FINE
+        total = (np.add.reduceat(coarse[at], first[:-1]) + np.add.reduceat((score - coarse)[at], first[:-1])).tolist()
+        if self.wrong:
+            wrong = np.array([w.replace(" ", SPACE) in self.wrong for w in own])[at]
+            spelt = (np.array(spelt) & ~np.logical_or.reduceat(wrong, first[:-1])).tolist()
+        ends = first.tolist()
+        for i, j, t, s in zip(ends, ends[1:], total, spelt):
+            # a segmentation of rank k differs from the best in words among the
+            # k - 1 that lose least by their second-best
+            loss = losses[i:j]
+            few = np.argpartition(loss, self.n - 2)[:self.n - 1] if 1 < self.n <= len(loss) else np.arange(len(loss) * (self.n > 1))
+            names = {k: own[at[i + k]].replace(" ", SPACE) for k in sorted(few.tolist()) if loss[k] < math.inf}
+            options = {k: self._more(w) for k, w in names.items()}
+            ways: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+            for o in options.values():
+                ways = heapq.nsmallest(self.n, ((x + o[0][0] - y, c + (k,)) for x, c in ways for k, (y, _) in enumerate(o)))
+            yield Segmentations(best.slice(i, j - i), options, [(t - x, c) for x, c in ways], s and self.wrong.isdisjoint(names.values()))
 
     def _more(self, word: str):
         hit = self.more.get(word)
@@ -431,15 +493,16 @@ def spellings(vocabulary: Vocabulary) -> pa.Array:
 
 
 def _task(model: bytes, n: int, at: int):
+    vocabulary = Vocabulary(model)  # once, not in every task
+
     def run(batches):
-        vocabulary = Vocabulary(model)
         encoder, spelling = Encoder(vocabulary, n), spellings(vocabulary)
         for b in batches:
             start = 0
             texts = [t or "" for t in b.column(at).to_pylist()]
             while start < b.num_rows:  # by size, so that long texts come alone
                 end, size = start, 0
-                while end < b.num_rows and (end == start or size < 500_000):
+                while end < b.num_rows and (end == start or size < TOGETHER):
                     size += len(texts[end])
                     end += 1
                 own = texts[start:end]

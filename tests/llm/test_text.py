@@ -172,6 +172,39 @@ def test_sentencepiece_round_trip_is_that_of_the_decoded_ids(vocabulary):
         assert out.column("round_trip").to_pylist() == [False, True]
 
 
+def test_sentencepiece_looks_up_distinct_words_once(vocabulary):
+    """Not every occurrence; and the vocabulary is not built in every task."""
+    import pyarrow as pa
+
+    class Table(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    encoder = sentencepiece.Encoder(vocabulary, 3)
+    encoder.new = Table()
+    encoder(["the rain in the rain " * 40 + "end"] * 20)
+    assert encoder.new.asked <= 8
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["the rain"])], ["doc_id", "text"])
+    run = sentencepiece._task(sentencepiece.read_model(sentencepiece.MODEL_PATH), 3, 1)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(sentencepiece, "Vocabulary", None)
+        assert [list(run([batch]))[0].num_rows for _ in range(2)] == [1, 1]
+
+
+def test_words_are_cut_alike_on_bytes_and_characters(vocabulary):
+    rnd = random.Random(7)
+    bits = ["th", "e", " a", "É", "\u024f", "\u0250", "\u00d7", "\u0200", "\u00bf", "日", "\U0001f600", ".", ",", "|", "!", "\n", ".\nT", "0"]
+    texts = [t for t in ("".join(rnd.choices(bits, k=rnd.randint(0, 25))) for _ in range(2000)) if sentencepiece.Encoder._plain(t)]
+    encoder = sentencepiece.Encoder(vocabulary, 3)
+    words, first = encoder._plain_words(texts)
+    words = [w.replace(" ", sentencepiece.SPACE) for w in words.to_pylist()]
+    assert [words[i:j] for i, j in zip(first, first[1:])] == [encoder._words(t) for t in texts]
+
+
 def test_sentencepiece_edges(spark, vocabulary):
     docs = spark.createDataFrame([(1, None, 1), (1, "", 1), (None, " a ▁ \x00 \U0001f600", 1), (2, "long " * 50_000, 1)], "doc_id long, text string, ids int")
     rows = sentencepiece.encode(docs).collect()
