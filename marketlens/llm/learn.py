@@ -31,7 +31,7 @@ def text_features(batches):
     for b in batches:
         texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
         dense = pa.array([features.densities(t) for t in texts], pa.list_(pa.float64()))
-        ids = pa.array([hasher(t).astype(np.int32) for t in texts], pa.list_(pa.int32()))
+        ids = pa.array([x.astype(np.int32) for x in hasher.many(texts)], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], dense, ids], [*b.schema.names[:-1], "dense", "ids"])
 
 
@@ -87,7 +87,7 @@ def pack(rows: DataFrame, marks: list[str], chosen: np.ndarray, blocks: int) ->
         at = table.column("at").chunk(0)
         dense = table.column("dense").chunk(0).flatten().to_numpy().reshape(-1, features.N_DENSE)
         ends = np.cumsum(np.fromiter((len(x) for x in at), np.int64, len(at)))
-        data = {"dense": dense, "ends": ends, "at": np.searchsorted(chosen, at.flatten().to_numpy())}
+        data = {"dense": dense, "ends": ends, "at": np.searchsorted(chosen, at.flatten().to_numpy()).astype(np.int32)}
         data |= {k: table.column(k).to_numpy() for k in marks}
         return pa.table({"block": table.column("block").slice(0, 1), "data": pa.array([_packed(data)], pa.binary())})
 

@@ -133,7 +133,7 @@ def rank(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 part = b.slice(i, 1024)
                 texts = part.column(2).to_pylist()
                 dense = np.array([features.densities(t) for t in texts]).reshape(-1, features.N_DENSE)
-                s = scores(dense, [hasher(t) for t in texts], model).astype(np.float64)
+                s = scores(dense, hasher.many(texts), model).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                                  ["doc_id", "held_out", "score", "predicted"])
 

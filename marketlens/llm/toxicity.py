@@ -45,6 +45,7 @@ def untrained() -> dict[str, np.ndarray]:
 def _losses(x: np.ndarray, y: np.ndarray, used: np.ndarray, w: np.ndarray) -> list:
     """Of the models in the columns of ``w``: logistic loss, its gradient and the
     number of rows, over the rows that ``used`` gives to each."""
+    x = x.astype(np.float64)  # once, not in each product
     s = np.clip(x @ w, -40, 40)
     gap = (features.sigmoid(s) - y[:, None]) * used
     return [((np.log1p(np.exp(s)) - y[:, None] * s) * used).sum(0), x.T @ gap, used.sum(0).astype(np.float64)]
@@ -154,7 +155,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = THRE
                 part = b.slice(i, 1024)
                 texts = part.column(1).to_pylist()
                 dense = np.array([features.densities(t) for t in texts]).reshape(-1, features.N_DENSE)
-                p = predict(dense, [hasher(t) for t in texts], model)
+                p = predict(dense, hasher.many(texts), model)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(p["toxic"] >= threshold), *[pa.array(p[c].astype(np.float64)) for c in CATEGORIES]],
                     ["doc_id", "toxic", *[f"p_{c}" for c in CATEGORIES]])
@@ -186,7 +187,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
                 part = b.slice(i, 1024)
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 dense = np.array([features.densities(t) for t in texts]).reshape(-1, features.N_DENSE)
-                p = predict(dense, [hasher(t) for t in texts], model)["toxic"]
+                p = predict(dense, hasher.many(texts), model)["toxic"]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p >= threshold)], [*names, flag])
 
     return docs.mapInArrow(run, schema).where(~F.col(flag)).select(*names)

@@ -426,6 +426,29 @@ def test_scoring_looks_up_the_chosen_features_only():
     assert (features.columns(few, chosen) == want).all() and (features.columns(every, chosen) == want).all()
 
 
+def test_features_of_many_texts_hash_each_word_once(monkeypatch):
+    from marketlens.llm import features
+    rnd = random.Random(3)
+    bits = ["th", "e", " a", "\u00c9", ".\nT", "_", "\u0130", "\u03a3 ", "\u65e5\u672c", "\u00d7", "\0", "\U0001f600", "\U00010400", "\u0663", "\u00b2", "\u0301", "\x1c", "9", "x" * 70]
+    texts = ["".join(rnd.choices(bits, k=rnd.randint(0, 40))) for _ in range(300)] + ["", " ", "\0"]
+
+    def plain(text):
+        words = set(re.findall(r"\w+", text.lower()))
+        parts = words | {f"{n}:{w[:n]}" for w in words for n in features.PREFIXES if len(w) >= n}
+        return sorted({zlib.crc32(p.encode()) >> (32 - features.BITS) for p in parts})
+
+    want = [plain(t) for t in texts]
+    assert [x.tolist() for x in features.Hasher().many(texts)] == want
+    chosen = np.unique(np.concatenate(want))[::3]
+    assert [x.tolist() for x in features.Hasher(chosen).many(texts)] == [sorted(set(x) & set(chosen.tolist())) for x in want]
+    assert features.Hasher().many([]) == []
+
+    hashed, checksums = [], features.checksums
+    monkeypatch.setattr(features, "checksums", lambda data, starts, ends, before=b"": hashed.append(len(starts)) or checksums(data, starts, ends, before))
+    assert len(features.Hasher().many(["alpha beta ab " * 30] * 50)) == 50
+    assert hashed == [3, 2, 2, 1, 0]
+
+
 def test_feature_counts_are_written_once(spark):
     from marketlens.llm import learn
     rows = spark.createDataFrame([([1, 2], 1), ([2], 0)], "ids array<int>, y int")
