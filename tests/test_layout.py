@@ -147,3 +147,45 @@ def test_only_keys_of_many_items_go_to_the_products(spark, monkeypatch):
         assert got.exceptAll(want).isEmpty() and want.where("product_id is null and price is not null").count() > 0
     finally:
         ctx.release()
+
+
+def test_node_ids_are_kept_only_where_they_fit(spark, monkeypatch):
+    """A forest of more rows than memory holds keeps no node ids, which would go to
+    disk; it is the same forest."""
+    from marketlens.operators import ml
+    ds = get_context(spark, SF).ml_dataset
+
+    def fitted():
+        tm = ml.train_models(ds, num_trees=4, max_depth=4)
+        return tm.estimators["rf"].getCacheNodeIds(), tm.rf.stages[-1].toDebugString.split("\n")[1:], tm.train.count()
+
+    kept, trees, rows = fitted()
+    assert kept and rows > 0
+    a_row = 4 * 4 * 4 + 512   # draws and three generations of ids in four trees, and the row
+    monkeypatch.setattr(ml, "storage_memory", lambda _: 2 * rows * a_row)
+    assert fitted() == (True, trees, rows)
+    monkeypatch.setattr(ml, "storage_memory", lambda _: 2 * rows * a_row - 2)
+    assert fitted() == (False, trees, rows)
+
+
+def test_storage_is_the_executors(spark):
+    """A local master has one store; on a cluster the driver's is not counted."""
+    from types import SimpleNamespace as N
+
+    from marketlens.session import storage_memory
+    one = storage_memory(spark)
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert 0 < one < heap
+
+    def cluster(sizes):
+        names = iter(sizes)
+        left = list(sizes)
+        status = N(keysIterator=lambda: N(hasNext=lambda: bool(left), next=lambda: (left.pop(), next(names))[1]),
+                   apply=lambda n: N(_1=lambda: sizes[n]))
+        manager = N(blockManagerId=lambda: N(hostPort=lambda: "driver:1"))
+        env = N(get=lambda: N(blockManager=lambda: manager))
+        jvm = N(org=N(apache=N(spark=N(SparkEnv=env))))
+        return N(sparkContext=N(_jsc=N(sc=lambda: N(getExecutorMemoryStatus=lambda: status)), _jvm=jvm))
+
+    assert storage_memory(cluster({"driver:1": 7, "a:1": 5, "a:2": 6})) == 11
+    assert storage_memory(cluster({"driver:1": 7})) == 7
