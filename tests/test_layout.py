@@ -189,3 +189,31 @@ def test_storage_is_the_executors(spark):
 
     assert storage_memory(cluster({"driver:1": 7, "a:1": 5, "a:2": 6})) == 11
     assert storage_memory(cluster({"driver:1": 7})) == 7
+
+
+def test_a_fact_leaves_no_shuffle_files(spark):
+    """They go when the fact is written, not when the driver's heap is next collected."""
+    import time
+
+    from marketlens.plans import context
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = blocks.getAllFiles()
+        names = (found.apply(k).getName() for k in range(found.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    ctx = context.MarketContext(spark, SF)
+    conf = spark.conf.get(context.DROP_SHUFFLES)
+    own, before = ctx.partitions, files()   # the count of the items is no fact
+    try:
+        assert own and ctx.master.count() > 0
+        for _ in range(100):
+            if len(left := {n for n in files() - before if n.endswith(".data")}) <= 1:   # that of the count above
+                break
+            time.sleep(0.2)
+        assert len({n.split("_")[1] for n in left}) <= 1, left
+        assert spark.conf.get(context.DROP_SHUFFLES) == conf
+        assert ctx.master.count() == ctx.orders.count()
+    finally:
+        ctx.release()
